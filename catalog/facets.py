@@ -71,13 +71,13 @@ _facet("facet_prefix", texts,
        " FROM tok WHERE starts_with(term, 'th') GROUP BY 2",
        Facet("text", limit=0, prefix="th"))
 
-_DIST = km(10.0, 20.0)
+_DIST = km(-40.0, -150.0)
 _facet("facet_distance", places,
-       f"WITH {PLACE}, d AS (SELECT {_DIST} AS dist FROM place) "
+       f"WITH {PLACE}, d AS (SELECT {_DIST} AS dist FROM place) SELECT * FROM ("
        + " UNION ALL ".join(
            f"SELECT 'place' AS facet, '[* {r}]' AS value, count(*) FILTER (dist <= {r} AND dist <= 6000) AS count FROM d"
-           for r in (4800, 3600, 2400, 1200)),
-       Facet("place", limit=5), spatial=(Spatial("place", 10.0, 20.0, radius=6000.0),))
+           for r in (4800, 3600, 2400, 1200)) + ") WHERE count >= 1",
+       Facet("place", limit=5), spatial=(Spatial("place", -40.0, -150.0, radius=6000.0),))
 
 _facet("total_count", parts,
        "SELECT count(*) AS total FROM part WHERE p_type = 'SMALL' OR p_size < 10",

@@ -49,7 +49,7 @@ c{number} AS (SELECT term, count(DISTINCT doc_id) AS results FROM tok WHERE {con
   ORDER BY results DESC, term LIMIT {5 * limit}),
 s{number} AS (SELECT {number}::INTEGER AS pass, term, results,
     CASE WHEN starts_with(term, '{fragment}') THEN substr(term, {len(fragment) + 1}) ELSE ' ' || term END AS suffix
-  FROM c{number} CROSS JOIN n{number} WHERE octet_length(CAST(term AS BLOB)) >= 3 AND term NOT IN ({typed})
+  FROM c{number} CROSS JOIN n{number} WHERE strlen(term) >= 3 AND term NOT IN ({typed})
     AND NOT (results > 0.9::DOUBLE * n AND 0.9::DOUBLE * n < n{extra}) ORDER BY results DESC, term LIMIT {limit})"""
 
     return f"""WITH {TOK}, m AS ({matched}), m2 AS ({second}),
@@ -76,12 +76,15 @@ def autocomplete_next_word(spark, sf):
 
 
 # -- corrections ----------------------------------------------------------
+# DuckDB counts edits in bytes, so letters beyond ASCII become one byte that no
+# typed word holds; the distance is then the one in characters.
 def _spell_sql(words: list[str], order: str, extra: str = "true") -> str:
     rows = " UNION ALL ".join(f"SELECT '{w}' AS word" for w in words)
     return f"""WITH {SPELL}, dict AS (SELECT term, count(*) AS df FROM spell GROUP BY term HAVING {extra}),
 typed AS ({rows}),
-c AS (SELECT word, term, CAST(levenshtein(term, word) AS INTEGER) AS distance, df FROM typed JOIN dict
-  ON levenshtein(term, word) BETWEEN 1 AND 2 AND word NOT IN (SELECT term FROM dict))
+ascii AS (SELECT *, regexp_replace(term, '[^\\x00-\\x7F]', '?', 'g') AS a FROM dict),
+c AS (SELECT word, term, CAST(levenshtein(a, word) AS INTEGER) AS distance, df FROM typed JOIN ascii
+  ON levenshtein(a, word) BETWEEN 1 AND 2 AND word NOT IN (SELECT term FROM dict))
 SELECT word, term AS suggestion, distance, df, 1::INTEGER AS place FROM c
 QUALIFY row_number() OVER (PARTITION BY word ORDER BY {order}, term) = 1"""
 
@@ -136,7 +139,7 @@ def highlight_format(spark, sf):
 
 
 # -- places ---------------------------------------------------------------
-LAT, LON = 35.0, 179.0
+LAT, LON = -50.0, 179.0
 DIST = km(LAT, LON)
 
 

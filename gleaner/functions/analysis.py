@@ -215,14 +215,14 @@ class Analyzer:
     def tokens(self, text: Column, multi: bool = False) -> Column:
         """``array<struct<term string, pos int>>`` of a string (or string array), not stemmed yet."""
         tokens = self.unstemmed_tokens(text, multi)
-        return F.array_distinct(tokens) if self.unique else tokens
+        return without_repeats(tokens) if self.unique else tokens
 
     def stemmed(self, tokens: Column) -> Column:
         """Stem a token column.  ``tokens`` must be a column of its own: the Python
         step then receives the finished terms of a batch and nothing else."""
         stems = stem_terms(F.transform(tokens, lambda x: x["term"]), self.stemmer, frozenset(self.protected))
         pairs = F.arrays_zip(stems.alias("term"), F.transform(tokens, lambda x: x["pos"]).alias("pos"))
-        return F.array_distinct(
+        return without_repeats(
             F.transform(pairs, lambda x: F.struct(x["term"].alias("term"), x["pos"].alias("pos")))
         )
 
@@ -256,6 +256,21 @@ class Analyzer:
         return list(dict.fromkeys(slot + extra))
 
 
+def without_repeats(tokens: Column) -> Column:
+    """Drop a token equal to one of the two before it.
+
+    Equal tokens share a position, and a position holds a handful of neighbouring
+    tokens, so this is the linear form of a distinct over the whole list.
+    """
+    return let(
+        tokens,
+        lambda all_: F.filter(
+            all_,
+            lambda x, i: ~F.coalesce((F.get(all_, i - 1) == x) | (F.get(all_, i - 2) == x), F.lit(False)),
+        ),
+    )
+
+
 def group_terms(tokens: Column) -> Column:
     """Tokens -> ``array<struct<term, positions>>``, one entry per distinct term.
 

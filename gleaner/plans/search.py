@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.columns import any_of
+from gleaner.functions.columns import all_of, any_of
 from gleaner.operators.facets import Facet, distance_facet, facet_counts
 from gleaner.operators.filters import (
     Condition, Group, compile_group, first_tags, text_phrases, without_tagged,
@@ -97,11 +97,23 @@ class SearchResult:
         used = {f.tag for f in self.request.facets if f.operator == "or"}
         return {t: g for t, g in first_tags(self.where).items() if t in used}
 
-    def _plain_filter(self) -> Column | None:
+    @cached_property
+    def _untagged(self) -> list:
+        """Top-level conditions outside the tagged groups."""
         rest = without_tagged(self.where) if self._tagged else self.where
         if rest is None:
-            return None
-        return compile_group(rest, self.index.docs, self.spec, self._phrase_hit)
+            return []
+        return list(rest.items) if isinstance(rest, Group) and rest.conjunction == "AND" else [rest]
+
+    def _compiled(self, items: list) -> list[Column]:
+        flags = [compile_group(i, self.index.docs, self.spec, self._phrase_hit) for i in items]
+        return [f for f in flags if f is not None]
+
+    @cached_property
+    def _row_conditions(self) -> list[Column]:
+        """Filters on plain columns: applied to the documents before any text work."""
+        plain = [i for i in self._untagged if not text_phrases(i, self.spec)]
+        return self._compiled(plain) + [c for c in (s.condition() for s in self.spatial) if c is not None]
 
     def _masks(self) -> dict[str, Column]:
         out = {}
@@ -117,17 +129,11 @@ class SearchResult:
                 out["_others"] = F.coalesce(flag, F.lit(False))
         return out
 
-    def _conditions(self) -> list[Column]:
-        """Filters beyond the masks: plain conditions, places and keywords."""
-        out = []
-        plain = self._plain_filter()
-        if plain is not None:
-            out.append(plain)
-        out += [c for c in (s.condition() for s in self.spatial) if c is not None]
+    def _text_conditions(self) -> list[Column]:
+        """Phrase filters and the keyword expression, on looked-up rows."""
+        out = self._compiled([i for i in self._untagged if text_phrases(i, self.spec)])
         matched = self.keys.column(self._key_hit)
-        if matched is not None:
-            out.append(matched)
-        return out
+        return out if matched is None else [*out, matched]
 
     @cached_property
     def _need_match(self) -> bool:
@@ -139,8 +145,11 @@ class SearchResult:
     @cached_property
     def _candidates(self) -> DataFrame:
         """Rows passing everything but tagged groups."""
-        rows = self._looked_up(self.index.docs, self._need_match)
-        for c in self._conditions():
+        docs = self.index.docs
+        for c in self._row_conditions:
+            docs = docs.where(c)
+        rows = self._looked_up(docs, self._need_match)
+        for c in self._text_conditions():
             rows = rows.where(c)
         return rows
 
@@ -253,12 +262,9 @@ class SearchResult:
         elif any(f.min_count == 0 for f in facets):
             # values without a hit must stay visible: flag rows instead of filtering
             rows = self._looked_up(self.index.docs, False)
-            conditions = self._conditions()
+            conditions = self._row_conditions + self._text_conditions()
             if conditions:
-                flag = conditions[0]
-                for c in conditions[1:]:
-                    flag = flag & c
-                masks[""] = F.coalesce(flag, F.lit(False))
+                masks[""] = F.coalesce(all_of(conditions), F.lit(False))
         else:
             rows = self._candidates
         if grouping and grouping.facet:
@@ -266,10 +272,7 @@ class SearchResult:
         return facet_counts(rows, facets, self.spec, masks, group)
 
     def _distance_facet(self, facet: Facet, spatial: Spatial) -> DataFrame:
-        mask = F.lit(True)
-        for m in self._masks().values():
-            mask = mask & m
-        return distance_facet(self._candidates, facet, spatial, mask)
+        return distance_facet(self._candidates, facet, spatial, all_of(self._masks().values()))
 
     @cached_property
     def groups(self) -> DataFrame:
