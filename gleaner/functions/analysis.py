@@ -145,6 +145,22 @@ class Analyzer:
             changed = replace(changed, tokenizer="keyword")
         return changed
 
+    @property
+    def is_plain(self) -> bool:
+        """Terms are words of the lower-cased text as they stand."""
+        return (
+            self.tokenizer in ("whitespace", "word") and self.lowercase
+            and not (self.delimiter or self.stemmer or self.char_map or self.stopwords)
+        )
+
+    def kept_words(self, text: Column) -> Column:
+        """Terms of a plain chain without positions."""
+        words = self.words(text)
+        if self.min_length or self.max_length:
+            kept = self._kept
+            words = F.filter(words, lambda w: kept(w))
+        return words
+
     # -- columns ---------------------------------------------------------
     def words(self, text: Column) -> Column:
         """Tokenize one string; case is folded early unless a step needs it."""

@@ -47,3 +47,14 @@ def string_array(values: Iterable[str]) -> Column:
     if not values:
         return F.array().cast("array<string>")
     return F.array(*[F.lit(v) for v in values])
+
+
+def compute_once(df, columns: dict[str, Column]):
+    """Add columns that later filters read but do not recompute.
+
+    Catalyst moves a filter below a projection by repeating its expressions there.
+    For expressions that walk a whole text this would double the work, so they are
+    produced by a one-row generator, which filters do not cross.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline_outer(F.array(row)))

@@ -87,21 +87,20 @@ def as_keys(keys: str | Keys | None) -> Keys:
     return parse_words(keys) if isinstance(keys, str) else keys
 
 
-def phrase_frequency(positions: Column, slots: list[list[int]]) -> Column:
-    """How often a phrase occurs, given the aligned position lists of its terms.
+def phrase_frequency(slots: list[list[Column]]) -> Column:
+    """How often a phrase occurs, given per offset the position lists of the terms accepted there.
 
-    ``slots`` holds, per offset, the indexes of the terms accepted there.  Each
-    list is shifted back by its offset; starts common to all offsets are hits.
-    ``array_intersect`` hashes, so long lists stay linear.
+    Each list is shifted back by its offset; starts common to all offsets are
+    hits.  ``array_intersect`` hashes, so long lists stay linear.
     """
     starts = None
     for offset, alternatives in enumerate(slots):
         if not alternatives:
             continue
-        here = F.get(positions, F.lit(alternatives[0]))
-        for i in alternatives[1:]:
-            here = F.array_union(here, F.get(positions, F.lit(i)))
+        here = alternatives[0]
+        for more in alternatives[1:]:
+            here = F.array_union(here, more)
         if offset:
             here = F.transform(here, lambda p: p - F.lit(offset))
         starts = here if starts is None else F.array_intersect(starts, here)
-    return F.lit(0) if starts is None else F.coalesce(F.size(starts), F.lit(0))
+    return F.lit(0) if starts is None else F.size(starts)

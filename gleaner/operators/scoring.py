@@ -43,23 +43,21 @@ class Measure:
     norms: bool
 
 
-def collection_stats(rows: DataFrame, measures: list[Measure], documents: DataFrame | None = None) -> Column:
-    """Struct of ``n``, ``df_i`` per measure and ``avg_<field>`` as a scalar subquery.
+def collection_stats(rows: DataFrame, measures: list[Measure]) -> Column:
+    """Struct of ``df_i`` per measure and ``avg_<field>`` as a scalar subquery.
 
-    ``rows`` may hold only documents with a hit; then ``documents`` counts N.
+    For document frequencies alone ``rows`` may leave out documents without a hit.
     """
     lengths = {m.field: m.length for m in measures}
-    stats = [F.count("*").alias("n")]
-    stats += [F.count_if(F.col(m.tf) > 0).alias(f"df_{i}") for i, m in enumerate(measures)]
+    stats = [F.count_if(F.col(m.tf) > 0).alias(f"df_{i}") for i, m in enumerate(measures)]
     stats += [
         F.avg(F.when(F.col(c) > 0, F.col(c).cast("double"))).alias(f"avg_{f}") for f, c in lengths.items()
     ]
     return rows.agg(*stats).select(F.struct("*").alias("stats")).scalar()
 
 
-def score(measures: list[Measure], stats: Column, n: Column | None = None, model: str = "tfidf") -> Column:
+def score(measures: list[Measure], stats: Column, n: Column, model: str = "tfidf") -> Column:
     """Sum over phrases of the best field's boosted score."""
-    n = stats["n"] if n is None else n
     per_phrase: dict[str, list[Column]] = {}
     for i, m in enumerate(measures):
         tf, df = F.col(m.tf), stats[f"df_{i}"]

@@ -19,13 +19,13 @@ from gleaner.operators.filters import (
     Condition, Group, compile_group, first_tags, text_phrases, without_tagged,
 )
 from gleaner.operators.grouping import Grouping, group_counts, heads, top_n
-from gleaner.operators.keys import as_keys, phrase_frequency
+from gleaner.operators.keys import as_keys
 from gleaner.operators.scoring import Measure, collection_stats, elevation_rank, score
 from gleaner.operators.similar import similar_scores
 from gleaner.operators.sorting import BY_RELEVANCE, sort_columns
 from gleaner.operators.spatial import Spatial, merge_ranges
 from gleaner.plans.request import SearchRequest
-from gleaner.sources.index import SearchIndex
+from gleaner.sources.index import Lookup, SearchIndex
 
 
 class SearchResult:
@@ -57,39 +57,70 @@ class SearchResult:
                 wanted.setdefault(f.name, []).append(phrase)
         for name, text in text_phrases(self.where, self.spec):
             wanted.setdefault(name, []).append(text)
-        self._terms: dict[str, list[str]] = {}
-        self._slots: dict[tuple[str, str], list[list[int]]] = {}
+        self._lookups: dict[str, Lookup] = {}
         for name, phrases in wanted.items():
             phrases = list(dict.fromkeys(phrases))
             terms: list[str] = []
+            slots_of = {}
             for phrase, slots in zip(phrases, self.spec[name].chain.query_slots(self.index.spark, phrases)):
                 for slot in slots:
                     terms += [t for t in slot if t not in terms]
-                self._slots[name, phrase] = [[terms.index(t) for t in slot] for slot in slots]
-            self._terms[name] = terms
-        # A key without any term left in a field (a stop word, say) cannot
-        # match there; with no terms at all the field is not looked up.
-        self._terms = {n: t for n, t in self._terms.items() if t}
-
-    def _frequency(self, phrase: str, field: str) -> Column:
-        if field not in self._terms:
-            return F.lit(0)
-        return phrase_frequency(F.col(f"_pos_{field}"), self._slots[field, phrase])
-
-    def _looked_up(self, docs: DataFrame, need_match: bool) -> DataFrame:
-        """Documents plus one frequency column per phrase and field."""
-        rows = replace(self.index, docs=docs).with_positions(self._terms, need_match)
-        names = {pair: f"_tf{i}" for i, pair in enumerate(self._slots)}
-        self._tf = names
-        keep = [c for c in rows.columns if not c.startswith("_pos_")]
-        return rows.select(*keep, *[self._frequency(p, f).alias(names[f, p]) for f, p in self._slots])
+                slots_of[phrase] = [[terms.index(t) for t in slot] for slot in slots]
+            # A key without any term left in a field (a stop word, say) cannot
+            # match there; with no terms at all the field is not looked up.
+            if terms:
+                self._lookups[name] = Lookup(terms, slots_of)
+
+    def _looked_up(self, docs: DataFrame, need_match: bool = False) -> DataFrame:
+        """Documents plus one frequency column per field and phrase."""
+        return replace(self.index, docs=docs).with_frequencies(self._lookups, need_match)
+
+    def _tf(self, field: str, phrase: str) -> str | None:
+        if field not in self._lookups:
+            return None
+        return f"_tf_{field}_{list(self._lookups[field].phrases).index(phrase)}"
 
     def _phrase_hit(self, field: str, phrase: str) -> Column:
-        return F.col(self._tf[field, phrase]) > 0
+        name = self._tf(field, phrase)
+        return F.lit(False) if name is None else F.col(name) > 0
 
     def _key_hit(self, phrase: str) -> Column:
         return any_of(self._phrase_hit(f.name, phrase) for f in self.fields)
 
+    def _may_hold(self, field: str, phrase: str) -> Column:
+        """A cheap test on the text that every document with the phrase passes."""
+        f = self.spec[field]
+        if field not in self._lookups:
+            return F.lit(False)
+        if f.type == "tokens" or f.multi or not f.chain.is_plain:
+            return F.lit(True)
+        lookup = self._lookups[field]
+        text = F.lower(F.col(field))
+        return all_of(
+            any_of(F.contains(text, F.lit(lookup.terms[i])) for i in slot)
+            for slot in lookup.phrases[phrase] if slot
+        )
+
+    def _may_hold_key(self, phrase: str) -> Column:
+        return any_of(self._may_hold(f.name, phrase) for f in self.fields)
+
+    def _likely(self) -> Column | None:
+        """The keyword expression on the raw text, true wherever the real one is.
+
+        A substring search in compiled code is far cheaper than analysis, so only
+        its survivors are analyzed.  Negations are left to the real test.
+        """
+        if self.index.stored_postings is not None:
+            return None
+        parts = [
+            self._may_hold(i.field, str(i.value).strip()) for i in self._untagged
+            if isinstance(i, Condition) and i.op == "=" and text_phrases(i, self.spec)
+        ]
+        keys = self.keys.evaluate(self._may_hold_key, all_of, any_of, lambda c: F.lit(True))
+        if keys is not None:
+            parts.append(keys)
+        return all_of(parts) if parts else None
+
     # -- filters ---------------------------------------------------------
     @cached_property
     def _tagged(self) -> dict[str, list]:
@@ -140,7 +171,7 @@ class SearchResult:
         """Can rows without any looked-up term be dropped early?"""
         if text_phrases(self.where, self.spec) or not self.keys.phrases():
             return False
-        return self.keys.needs_a_hit() and all(f.name in self._terms for f in self.fields)
+        return self.keys.needs_a_hit() and all(f.name in self._lookups for f in self.fields)
 
     @cached_property
     def _candidates(self) -> DataFrame:
@@ -148,6 +179,9 @@ class SearchResult:
         docs = self.index.docs
         for c in self._row_conditions:
             docs = docs.where(c)
+        likely = self._likely()
+        if likely is not None:
+            docs = docs.where(likely)
         rows = self._looked_up(docs, self._need_match)
         for c in self._text_conditions():
             rows = rows.where(c)
@@ -157,10 +191,10 @@ class SearchResult:
     def _measures(self) -> list[Measure]:
         scored = self.keys.phrases(positive_only=True)
         return [
-            Measure(p, f.name, self._tf[f.name, p], f"_len_{f.name}",
+            Measure(p, f.name, self._tf(f.name, p), f"_len_{f.name}",
                     self.request.boosts.get(f.name, f.boost), f.chain.norms)
             for p in scored for f in self.fields
-            if f.name in self._terms
+            if f.name in self._lookups
         ]
 
     def _scored(self, rows: DataFrame) -> DataFrame:
@@ -169,9 +203,14 @@ class SearchResult:
             return rows.join(similar_scores(self.index, self.request.similar), "doc_key")
         if not measures:
             return rows.withColumn("score", F.lit(1.0))
-        everywhere = self._looked_up(self.index.docs, False)
-        stats = collection_stats(everywhere, measures)
-        return rows.withColumn("score", score(measures, stats, model=self.request.scoring))
+        n = self.index.docs.agg(F.count("*").alias("n")).scalar()
+        docs = self.index.docs
+        if self.request.scoring != "bm25" and self.index.stored_postings is None:
+            # only documents that may hold a scored phrase are analyzed for the counts
+            docs = docs.where(any_of(self._may_hold_key(p) for p in dict.fromkeys(m.phrase for m in measures)))
+        need_match = self.request.scoring != "bm25"
+        stats = collection_stats(self._looked_up(docs, need_match), measures)
+        return rows.withColumn("score", score(measures, stats, n, model=self.request.scoring))
 
     @cached_property
     def matched(self) -> DataFrame:
@@ -261,7 +300,7 @@ class SearchResult:
             rows, masks = self.matched, {}
         elif any(f.min_count == 0 for f in facets):
             # values without a hit must stay visible: flag rows instead of filtering
-            rows = self._looked_up(self.index.docs, False)
+            rows = self._looked_up(self.index.docs)
             conditions = self._row_conditions + self._text_conditions()
             if conditions:
                 masks[""] = F.coalesce(all_of(conditions), F.lit(False))

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from gleaner.functions.analysis import analyzer, group_terms
 from gleaner.functions.coerce import coerce_values, first_value
-from gleaner.functions.columns import is_array
+from gleaner.functions.columns import compute_once, is_array, let
+from gleaner.operators.keys import phrase_frequency
 from gleaner.sources.tables import spread
 from gleaner.spec import FieldSpec, IndexSpec
 
@@ -181,20 +182,35 @@ def with_site_url(docs: DataFrame, urls: DataFrame, on: list[str]) -> DataFrame:
 # -- terms -------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """What to look up in one text field: its terms, and phrases as slots of term indexes."""
+
+    terms: list[str]
+    phrases: dict[str, list[list[int]]]
+
+    def columns(self, field: str, found: Column) -> list[Column]:
+        return [
+            F.coalesce(found["len"], F.lit(0)).alias(f"_len_{field}"),
+            *[F.coalesce(found[f"t{j}"], F.lit(0)).alias(f"_tf_{field}_{j}") for j in range(len(self.phrases))],
+        ]
+
+
+def _raw_tokens(f: FieldSpec) -> Column:
+    """Tokens of a text field before stemming; empty where the field is missing."""
+    if f.type == "tokens":
+        tokens = F.transform(
+            F.col(f.name), lambda x, i: F.struct(F.lower(x["value"]).alias("term"), i.alias("pos"))
+        )
+    else:
+        tokens = f.chain.tokens(F.col(f.name), f.multi)
+    return F.coalesce(tokens, F.array().cast("array<struct<term:string,pos:int>>"))
+
+
 def with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_tok_") -> DataFrame:
     """Add the token column ``<prefix><field>`` of text fields, computed in the row."""
-    raw, stemmed = {}, {}
-    for n in names:
-        f = spec[n]
-        if f.type == "tokens":
-            tokens = F.transform(
-                F.col(n), lambda x, i: F.struct(F.lower(x["value"]).alias("term"), i.alias("pos"))
-            )
-        else:
-            tokens = f.chain.tokens(F.col(n), f.multi)
-            if f.chain.stemmer:
-                stemmed[prefix + n] = f.chain
-        raw[prefix + n] = F.coalesce(tokens, F.array().cast("array<struct<term:string,pos:int>>"))
+    raw = {prefix + n: _raw_tokens(spec[n]) for n in names}
+    stemmed = {prefix + n: spec[n].chain for n in names if spec[n].type != "tokens" and spec[n].chain.stemmer}
     docs = docs.withColumns(raw)
     return docs.withColumns({c: chain.stemmed(F.col(c)) for c, chain in stemmed.items()}) if stemmed else docs
 
@@ -316,68 +332,90 @@ class SearchIndex:
             out = out.unionByName(p)
         return out
 
-    def with_positions(self, terms: dict[str, list[str]], need_match: bool) -> DataFrame:
-        """Documents plus, per field, the positions of the wanted terms.
+    def with_frequencies(self, lookups: dict[str, Lookup], need_match: bool = False) -> DataFrame:
+        """Documents plus ``_len_<field>`` and one ``_tf_<field>_<i>`` per phrase.
 
-        Adds ``_len_<field>`` and ``_pos_<field>``: an array aligned with the term
-        list, null entries for absent terms.  ``need_match`` says that documents
-        without any of the terms cannot match, so they may be dropped early.
+        ``need_match`` says that documents without any of the terms cannot match,
+        so stored postings may be joined from the inside.
         """
-        if not terms:
+        if not lookups:
             return self.docs
         if self.stored_postings is not None:
-            return self._positions_from_postings(terms, need_match)
-        lists = with_tokens(self.docs, self.spec, list(terms))
-        lists = lists.select(
-            *[c for c in lists.columns if not c.startswith("_tok_")],
-            *[F.size(f"_tok_{n}").alias(f"_len_{n}") for n in terms],
-            *[
-                F.filter(f"_tok_{n}", lambda x: x["term"].isin(*w)).alias(f"_sel_{n}")
-                for n, w in terms.items()
-            ],
-        )
-        found = F.lit(False)
-        for n in terms:
-            found = found | (F.size(f"_sel_{n}") > 0)
-        if need_match:
-            lists = lists.where(found)
-        return lists.select(
-            *[c for c in lists.columns if not c.startswith("_sel_")],
-            *[
-                F.array(*[
-                    F.transform(
-                        F.filter(f"_sel_{n}", lambda x: x["term"] == t), lambda x: x["pos"]
-                    )
-                    for t in w
-                ]).alias(f"_pos_{n}")
-                for n, w in terms.items()
-            ],
+            return self._frequencies_from_postings(lookups, need_match)
+        stemmed = [n for n in lookups if self.spec[n].is_text and self.spec[n].chain.stemmer]
+        rows = with_tokens(self.docs, self.spec, stemmed) if stemmed else self.docs
+        found = compute_once(rows, {
+            f"_x_{n}": _row_frequencies(self.spec[n], lookup, F.col(f"_tok_{n}") if n in stemmed else None)
+            for n, lookup in lookups.items()
+        })
+        return found.select(
+            *self.docs.columns,
+            *[c for n, lookup in lookups.items() for c in lookup.columns(n, F.col(f"_x_{n}"))],
         )
 
-    def _positions_from_postings(self, terms: dict[str, list[str]], need_match: bool) -> DataFrame:
+    def _frequencies_from_postings(self, lookups: dict[str, Lookup], need_match: bool) -> DataFrame:
         wanted = F.lit(False)
-        for n, w in terms.items():
-            wanted = wanted | ((F.col("field") == n) & F.col("term").isin(*w))
+        for n, lookup in lookups.items():
+            wanted = wanted | ((F.col("field") == n) & F.col("term").isin(*lookup.terms))
         keys = ["doc_key", "version"] if "version" in self.stored_postings.columns else ["doc_key"]
         columns = []
-        for n, w in terms.items():
+        for n, lookup in lookups.items():
             here = F.col("field") == n
             columns.append(F.max(F.when(here, F.col("len"))).alias(f"_len_{n}"))
             columns += [
                 F.max(F.when(here & (F.col("term") == t), F.col("positions"))).alias(f"_p_{n}_{i}")
-                for i, t in enumerate(w)
+                for i, t in enumerate(lookup.terms)
             ]
         hits = self.stored_postings.where(wanted).groupBy(*keys).agg(*columns)
         rows = self.docs.join(hits, keys, "inner" if need_match else "left")
         none = F.array().cast("array<int>")
-        return rows.select(
-            *self.docs.columns,
-            *[F.coalesce(f"_len_{n}", F.lit(0)).alias(f"_len_{n}") for n in terms],
-            *[
-                F.array(*[F.coalesce(f"_p_{n}_{i}", none) for i in range(len(w))]).alias(f"_pos_{n}")
-                for n, w in terms.items()
-            ],
-        )
+        out = []
+        for n, lookup in lookups.items():
+            lists = [F.coalesce(f"_p_{n}_{i}", none) for i in range(len(lookup.terms))]
+            out.append(F.coalesce(f"_len_{n}", F.lit(0)).alias(f"_len_{n}"))
+            out += [
+                phrase_frequency([[lists[i] for i in slot] for slot in slots]).alias(f"_tf_{n}_{j}")
+                for j, slots in enumerate(lookup.phrases.values())
+            ]
+        return rows.select(*self.docs.columns, *out)
+
+
+def _row_frequencies(f: FieldSpec, lookup: Lookup, tokens: Column | None) -> Column:
+    """Struct of the field length and the phrase frequencies, from the row's own text."""
+    words_only = f.type != "tokens" and f.chain.is_plain and not f.multi and all(
+        len(slots) <= 1 for slots in lookup.phrases.values()
+    )
+    if words_only:
+        # single words of a plain chain: no positions needed
+        def count(words: Column, selected: Column) -> Column:
+            return F.struct(F.size(words).alias("len"), *[
+                _count(F.filter(selected, lambda w: w.isin(*[lookup.terms[i] for i in slots[0]])), slots).alias(f"t{j}")
+                for j, slots in enumerate(lookup.phrases.values())
+            ])
+
+        words = f.chain.kept_words(F.coalesce(F.col(f.name), F.lit("")))
+        return let(words, lambda w: let(F.filter(w, lambda x: x.isin(*lookup.terms)), lambda s: count(w, s)))
+
+    def measure(all_tokens: Column, selected: Column) -> Column:
+        def positions(slot: list[int]) -> Column:
+            terms = [lookup.terms[i] for i in slot]
+            return F.transform(F.filter(selected, lambda x: x["term"].isin(*terms)), lambda x: x["pos"])
+
+        return F.struct(F.size(all_tokens).alias("len"), *[
+            phrase_frequency([[positions(slot)] if slot else [] for slot in slots]).alias(f"t{j}")
+            for j, slots in enumerate(lookup.phrases.values())
+        ])
+
+    if tokens is None:
+        tokens = _raw_tokens(f)
+    return let(
+        tokens,
+        lambda t: let(F.filter(t, lambda x: x["term"].isin(*lookup.terms)), lambda s: measure(t, s)),
+    )
+
+
+def _count(hits: Column, slots: list) -> Column:
+    return F.size(hits) if slots else F.lit(0)
 
 
 def value_array(docs: DataFrame, name: str) -> Column:
