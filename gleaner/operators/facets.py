@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.columns import all_of
 from gleaner.operators.grouping import top_n
 from gleaner.operators.spatial import Spatial
-from gleaner.sources.index import value_array, with_tokens
+from gleaner.sources.index import value_array, with_words
 from gleaner.spec import IndexSpec
 
 DEFAULT_LIMIT = 10
@@ -55,7 +55,7 @@ def label(value: Column, type_name: str) -> Column:
 def _labels(facet: Facet, docs: DataFrame, spec: IndexSpec) -> Column:
     f = spec[facet.field]
     if f.is_text:
-        values = F.array_distinct(F.transform(f"_facet_{f.name}", lambda x: x["term"]))
+        values = F.col(f"_facet_{f.name}")
     else:
         values = value_array(docs, f.name)
     if facet.prefix:
@@ -79,7 +79,7 @@ def facet_counts(
     masks = masks or {}
     text = list(dict.fromkeys(f.field for f in facets if spec[f.field].is_text))
     if text:
-        docs = with_tokens(docs, spec, text, "_facet_")
+        docs = with_words(docs, spec, text, "_facet_", distinct=True)
     pairs = []
     for facet in facets:
         holds = all_of(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.columns import any_of
@@ -13,7 +13,7 @@ from gleaner.operators.grouping import top_n
 from gleaner.operators.keys import Keys, as_keys, every
 from gleaner.plans.request import SearchRequest
 from gleaner.plans.search import SearchResult
-from gleaner.sources.index import SearchIndex, spell_dictionary, with_tokens
+from gleaner.sources.index import SearchIndex, spell_dictionary, with_words
 
 # Fixed values of the completion rules.
 KEY_BREAKS = r"""[-\s():{}\[\]\\"]+"""
@@ -27,69 +27,81 @@ def split_keys(text: str) -> list[str]:
     return [k for k in re.split(KEY_BREAKS, text) if k]
 
 
-def _term_counts(result: SearchResult, fields: list[str], prefix: str | None, limit: int) -> DataFrame:
-    """``(term, count)``: documents per term, the largest count over the fields."""
-    rows = with_tokens(result.matched.select("doc_key", *fields), result.spec, fields, "_t_")
-    entries = []
-    for f in fields:
-        terms = F.array_distinct(F.transform(f"_t_{f}", lambda x: x["term"]))
-        if prefix:
-            terms = F.filter(terms, lambda t: t.startswith(prefix))
-        entries.append(F.transform(terms, lambda t: F.struct(F.lit(f).alias("field"), t.alias("term"))))
-    counts = rows.select(F.inline(F.concat(*entries))).groupBy("field", "term").agg(F.count("*").alias("n"))
-    kept = top_n(counts, ["field"], [F.col("n").desc(), F.col("term").asc()], OVERFETCH * limit)
-    return kept.groupBy("term").agg(F.max("n").alias("results"))
-
-
-def _pass(
-    index: SearchIndex, request: SearchRequest, fragment: str, prefix: str | None, typed: list[str],
-    limit: int, number: int,
-) -> DataFrame:
-    result = SearchResult(index, request)
-    fields = [f.name for f in result.fields]
-    found = result.total.scalar()
-    most = found * MAX_OCCURRENCES
-    counts = _term_counts(result, fields, prefix, limit).where(F.octet_length("term") >= MIN_BYTES)
-    if typed:
-        counts = counts.where(~F.col("term").isin(*typed))
-    too_many = (F.col("results") > most) & (most < found)
-    if number == 1:
-        too_many = too_many & (most >= 1)
-    starts = F.lower(F.col("term")).startswith(fragment)
-    return (
-        counts.where(~too_many)
-        .orderBy(F.col("results").desc(), F.col("term").asc()).limit(limit)
-        .select(
-            F.lit(number).alias("pass"), "term", "results",
-            F.when(starts, F.substring("term", len(fragment) + 1, 2**31 - 1))
-            .otherwise(F.concat(F.lit(" "), "term")).alias("suffix"),
-        )
-    )
-
-
 def autocomplete(
     index: SearchIndex, fragment: str, request: SearchRequest | None = None, limit: int = 10,
-    suggest_words: bool = True,
+    suggest_words: bool = True, user_input: str | None = None, dictionary: DataFrame | None = None,
 ) -> DataFrame:
     """``(pass, term, results, suffix)``.
 
     Pass 1 completes the fragment among the documents matching the complete keys.
     Pass 2 offers next words among those that also match the fragment; it counts
-    only when pass 1 left room, and never repeats a term.
+    only when pass 1 left room, and never repeats a term.  With a ``dictionary``
+    the corrected input comes first, as pass 0.
+
+    Both passes share one scan: terms are counted for the documents of pass 1, with
+    a flag for those of pass 2.
     """
     request = request or SearchRequest()
     lowered = fragment.lower()
     keys = as_keys(request.keys)
     typed = [k.lower() for k in (split_keys(request.keys) if isinstance(request.keys, str) else keys.phrases())]
-    first = _pass(index, replace(request, keys=keys), lowered, lowered, typed, limit, 1)
-    if not suggest_words:
-        return first
-    more = every(keys, fragment) if keys.items else every(fragment)
-    second = _pass(index, replace(request, keys=more), lowered, None, typed, limit, 2)
-    room = first.agg(F.count("*")).scalar() < limit
-    # at most `limit` rows on either side
-    fresh = second.join(F.broadcast(first.select("term")), "term", "left_anti").where(room)
-    return first.unionByName(fresh.select(*first.columns))
+    result = SearchResult(index, replace(request, keys=every(keys, fragment) if keys.items else every(fragment)))
+    fields = [f.name for f in result.fields]
+    base = SearchResult(index, replace(request, keys=keys))
+    found = {1: base.total.scalar(), 2: result.total.scalar()}
+
+    rows = result.looked_up_for(keys)
+    words = with_words(rows.select(*index.docs.columns, "_also"), index.spec, fields, distinct=True)
+    pairs = [
+        F.transform(
+            # a term either completes the fragment or, for the flagged documents, may follow it
+            F.filter(f"_words_{f}", lambda t: t.startswith(lowered) | F.col("_also")),
+            lambda t: F.struct(F.lit(f).alias("field"), t.alias("term")),
+        )
+        for f in fields
+    ]
+    counts = words.select("_also", F.inline(F.concat(*pairs))).groupBy("field", "term").agg(
+        F.count("*").alias("n1"), F.count_if("_also").alias("n2"))
+    starts = F.col("term").startswith(lowered)
+    passes = F.filter(
+        F.array(
+            F.struct(F.lit(1).alias("pass"), F.when(starts, F.col("n1")).otherwise(F.lit(0)).alias("n")),
+            F.struct(F.lit(2).alias("pass"), F.col("n2").alias("n")),
+        ),
+        lambda p: (p["n"] > 0) & ((p["pass"] == 1) | F.lit(suggest_words)),
+    )
+    by_field = counts.select("field", "term", F.inline(passes))
+    kept = top_n(by_field, ["pass", "field"], [F.col("n").desc(), F.col("term").asc()], OVERFETCH * limit)
+    merged = kept.groupBy("pass", "term").agg(F.max("n").alias("results"))
+    merged = merged.where(F.octet_length("term") >= MIN_BYTES)
+    if typed:
+        merged = merged.where(~F.col("term").isin(*typed))
+    for number, count in found.items():
+        most = count * MAX_OCCURRENCES
+        too_many = (F.col("pass") == number) & (F.col("results") > most) & (most < count)
+        merged = merged.where(~(too_many & (most >= 1)) if number == 1 else ~too_many)
+    best = top_n(merged, ["pass"], [F.col("results").desc(), F.col("term").asc()], limit).drop("rank")
+    # from here on at most 2 * limit rows
+    corrections = None
+    if dictionary is not None:
+        corrections = did_you_mean(spell_suggest(dictionary, user_input or fragment), user_input or fragment)
+    taken = F.count_if(F.col("pass") == 1).over(Window.partitionBy(F.lit(1)))
+    if corrections is not None:
+        taken = taken + corrections.agg(F.count("*")).scalar()
+    best = best.withColumn("_taken", taken).withColumn(
+        "_first", F.min("pass").over(Window.partitionBy("term")))
+    starts = F.lower(F.col("term")).startswith(lowered)
+    shown = best.where((F.col("pass") == F.col("_first")) & ((F.col("pass") == 1) | (F.col("_taken") < limit))).select(
+        "pass", "term", "results",
+        F.when(starts, F.substring("term", len(fragment) + 1, 2**31 - 1))
+        .otherwise(F.concat(F.lit(" "), "term")).alias("suffix"),
+    )
+    if corrections is None:
+        return shown
+    return corrections.select(
+        F.lit(0).alias("pass"), F.col("user_input").alias("term"), F.lit(None).cast("bigint").alias("results"),
+        F.lit(None).cast("string").alias("suffix"),
+    ).unionByName(shown)
 
 
 def candidates(dictionary: DataFrame, words: list[str], max_edits: int = MAX_EDITS) -> DataFrame:

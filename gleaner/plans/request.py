@@ -35,5 +35,6 @@ class SearchRequest:
     index_ids: tuple[str, ...] | None = None
     seed: int | str = 0
     elevation: DataFrame | None = field(default=None, hash=False)
+    ranks: DataFrame | None = field(default=None, hash=False)  # external rank as a factor
     on_request: Callable | None = None
     on_hits: Callable | None = None

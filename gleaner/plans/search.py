@@ -19,13 +19,13 @@ from gleaner.operators.filters import (
     Condition, Group, compile_group, first_tags, text_phrases, without_tagged,
 )
 from gleaner.operators.grouping import Grouping, group_counts, heads, top_n
-from gleaner.operators.keys import as_keys
+from gleaner.operators.keys import Keys, as_keys
 from gleaner.operators.scoring import Measure, collection_stats, elevation_rank, score
 from gleaner.operators.similar import similar_scores
 from gleaner.operators.sorting import BY_RELEVANCE, sort_columns
 from gleaner.operators.spatial import Spatial, merge_ranges
 from gleaner.plans.request import SearchRequest
-from gleaner.sources.index import Lookup, SearchIndex
+from gleaner.sources.index import Lookup, SearchIndex, ranked_by
 
 
 class SearchResult:
@@ -174,11 +174,17 @@ class SearchResult:
         return self.keys.needs_a_hit() and all(f.name in self._lookups for f in self.fields)
 
     @cached_property
-    def _candidates(self) -> DataFrame:
-        """Rows passing everything but tagged groups."""
+    def filtered_docs(self) -> DataFrame:
+        """Documents passing the filters on plain columns."""
         docs = self.index.docs
         for c in self._row_conditions:
             docs = docs.where(c)
+        return docs
+
+    @cached_property
+    def _candidates(self) -> DataFrame:
+        """Rows passing everything but tagged groups."""
+        docs = self.filtered_docs
         likely = self._likely()
         if likely is not None:
             docs = docs.where(likely)
@@ -187,6 +193,22 @@ class SearchResult:
             rows = rows.where(c)
         return rows
 
+    def looked_up_for(self, keys: Keys) -> DataFrame:
+        """Rows matching ``keys`` (part of this request's keys), flagged ``_also``
+        where they match all of this request's keys."""
+        docs = self.filtered_docs
+        if self.index.stored_postings is None:
+            likely = keys.evaluate(self._may_hold_key, all_of, any_of, lambda c: F.lit(True))
+            docs = docs if likely is None else docs.where(likely)
+        rows = self._looked_up(docs, bool(keys.phrases()) and self._need_match)
+        for c in self._compiled([i for i in self._untagged if text_phrases(i, self.spec)]):
+            rows = rows.where(c)
+        for m in self._masks().values():
+            rows = rows.where(m)
+        wanted = keys.column(self._key_hit)
+        rows = rows if wanted is None else rows.where(wanted)
+        return rows.withColumn("_also", self.keys.column(self._key_hit))
+
     @cached_property
     def _measures(self) -> list[Measure]:
         scored = self.keys.phrases(positive_only=True)
@@ -220,6 +242,8 @@ class SearchResult:
             rows = rows.where(m)
         rows = self._scored(rows)
         rows = rows.drop(*[c for c in rows.columns if c.startswith(("_len_", "_tf"))])
+        if self.request.ranks is not None:
+            rows = ranked_by(rows, self.request.ranks)
         if self.request.elevation is not None:
             keys = self.request.keys if isinstance(self.request.keys, str) else " ".join(self.keys.phrases())
             rows = elevation_rank(rows, self.request.elevation, keys)
@@ -236,7 +260,7 @@ class SearchResult:
     def _projected(self, rows: DataFrame) -> DataFrame:
         if self.request.retrieve_all:
             hidden = [f.name for f in self.spec.fields if not f.is_stored]
-            hidden += [c for c in rows.columns if c.startswith(("first__", "sort__"))]
+            hidden += [c for c in rows.columns if c == "terms" or c.startswith(("first__", "sort__", "len__"))]
             rows = rows.drop(*hidden)
         else:
             extra = [f"distance__{s.field}" for s in self.spatial]

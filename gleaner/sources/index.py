@@ -9,7 +9,6 @@ of its terms only).
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,6 +144,11 @@ def delete_where(docs: DataFrame, condition: Column) -> DataFrame:
     return docs.where(~F.coalesce(condition, F.lit(False)))
 
 
+def delete_all(docs: DataFrame) -> DataFrame:
+    """An empty snapshot with the same layout."""
+    return docs.where(F.lit(False))
+
+
 def delete_index(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     """Drop the rows of one index (all sites share the table), unless read-only."""
     if spec.read_only:
@@ -174,6 +178,12 @@ def with_external_rank(docs: DataFrame, ranks: DataFrame, default: float = 1.0)
     )
 
 
+def ranked_by(hits: DataFrame, ranks: DataFrame, default: float = 1.0) -> DataFrame:
+    """Multiply the score by the external rank of each document."""
+    ranked = with_external_rank(hits, ranks, default)
+    return ranked.withColumn("score", F.col("score") * F.col("rank")).drop("rank")
+
+
 def with_site_url(docs: DataFrame, urls: DataFrame, on: list[str]) -> DataFrame:
     """Attach the base URL of the site (per language)."""
     return docs.join(urls, on, "left")
@@ -215,6 +225,38 @@ def with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str
     return docs.withColumns({c: chain.stemmed(F.col(c)) for c, chain in stemmed.items()}) if stemmed else docs
 
 
+def with_words(
+    docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_words_", distinct: bool = False
+) -> DataFrame:
+    """Add ``array<string>`` columns with the terms of any fields, repeats included unless ``distinct``.
+
+    Values of other fields are one term each.  Documents read from a store carry
+    their term vectors, which then replace the analysis.
+    """
+    if distinct and "terms" in docs.columns:
+        def stored(n: str) -> Column:
+            own = F.filter("terms", lambda t: t["field"] == n)
+            return F.transform(own, lambda t: t["term"])
+
+        text = {prefix + n: stored(n) for n in names if spec[n].is_text}
+    else:
+        stemmed = [n for n in names if spec[n].is_text and spec[n].type != "tokens" and spec[n].chain.stemmer]
+        if stemmed:
+            docs = with_tokens(docs, spec, stemmed)
+
+        def analyzed(n: str) -> Column:
+            f = spec[n]
+            if f.type != "tokens" and f.chain.is_plain and not f.multi:
+                return f.chain.kept_words(F.coalesce(F.col(n), F.lit("")))
+            return F.transform(F.col(f"_tok_{n}") if n in stemmed else _raw_tokens(f), lambda x: x["term"])
+
+        text = {prefix + n: analyzed(n) for n in names if spec[n].is_text}
+        if distinct:
+            text = {c: F.array_distinct(words) for c, words in text.items()}
+    plain = {prefix + n: value_array(docs, n).cast("array<string>") for n in names if not spec[n].is_text}
+    return compute_once(docs, {**text, **plain}).drop(*[f"_tok_{n}" for n in names])
+
+
 def scored_tokens(docs: DataFrame, name: str) -> DataFrame:
     """Pre-tokenized text: one row per value, the last score of a value wins."""
     return (
@@ -224,11 +266,42 @@ def scored_tokens(docs: DataFrame, name: str) -> DataFrame:
     )
 
 
+def term_vectors(docs: DataFrame, spec: IndexSpec, names: list[str]) -> DataFrame:
+    """Add ``terms``: per text field and distinct term its frequency, positions and the field length."""
+    rows = with_tokens(docs, spec, names)
+    entries = []
+    for n in names:
+        chain = spec[n].chain
+
+        def entry(size: Column, g: Column) -> Column:
+            return F.struct(
+                F.lit(n).alias("field"),
+                g["term"].alias("term"),
+                (F.size(g["positions"]) if chain.frequencies else F.lit(1)).alias("tf"),
+                (g["positions"] if chain.frequencies else F.array().cast("array<int>")).alias("positions"),
+                (size if chain.norms else F.lit(1)).alias("len"),
+            )
+
+        entries.append(let(
+            F.col(f"_tok_{n}"),
+            lambda t: F.transform(group_terms(t), lambda g: entry(F.size(t), g)),
+        ))
+    return compute_once(rows, {"terms": F.concat(*entries)}).drop(*[f"_tok_{n}" for n in names])
+
+
 def doc_frequency(postings: DataFrame) -> DataFrame:
     """Documents per field and term: one posting is one document."""
     return postings.groupBy("field", "term").agg(F.count("*").alias("df"))
 
 
+def field_statistics(postings: DataFrame) -> DataFrame:
+    """Per field: documents with a value, distinct terms and postings."""
+    terms = doc_frequency(postings).groupBy("field").agg(
+        F.count("*").alias("terms"), F.sum("df").alias("postings"))
+    docs = postings.select("field", "doc_key").distinct().groupBy("field").agg(F.count("*").alias("docs"))
+    return terms.join(docs, "field")
+
+
 def top_terms(postings: DataFrame, n: int) -> DataFrame:
     """The n most frequent terms per field."""
     from gleaner.operators.grouping import top_n
@@ -289,24 +362,8 @@ class SearchIndex:
             return self.stored_postings.where(F.col("field").isin(*names)).join(
                 self.docs.select(*keys), keys, "left_semi"
             )
-        entries = []
-        rows = with_tokens(self.docs, self.spec, names)
-        for n in names:
-            chain = self.spec[n].chain
-            size = F.size(f"_tok_{n}")
-
-            def entry(g):
-                return F.struct(
-                    F.lit(n).alias("field"),
-                    g["term"].alias("term"),
-                    (F.size(g["positions"]) if chain.frequencies else F.lit(1)).alias("tf"),
-                    (g["positions"] if chain.frequencies else F.array().cast("array<int>")).alias("positions"),
-                    (size if chain.norms else F.lit(1)).alias("len"),
-                )
-
-            entries.append(F.transform(group_terms(F.col(f"_tok_{n}")), entry))
-        keep = [c for c in ("doc_key", "version") if c in rows.columns]
-        return rows.select(*keep, F.inline(F.concat(*entries)))
+        keep = [c for c in ("doc_key", "version") if c in self.docs.columns]
+        return term_vectors(self.docs, self.spec, names).select(*keep, F.inline("terms"))
 
     def term_rows(self, fields: list[str]) -> DataFrame:
         """``(doc_key, field, term, tf, len)`` of any fields; other values are one term each."""
@@ -361,7 +418,6 @@ class SearchIndex:
         columns = []
         for n, lookup in lookups.items():
             here = F.col("field") == n
-            columns.append(F.max(F.when(here, F.col("len"))).alias(f"_len_{n}"))
             columns += [
                 F.max(F.when(here & (F.col("term") == t), F.col("positions"))).alias(f"_p_{n}_{i}")
                 for i, t in enumerate(lookup.terms)
@@ -372,7 +428,7 @@ class SearchIndex:
         out = []
         for n, lookup in lookups.items():
             lists = [F.coalesce(f"_p_{n}_{i}", none) for i in range(len(lookup.terms))]
-            out.append(F.coalesce(f"_len_{n}", F.lit(0)).alias(f"_len_{n}"))
+            out.append(F.coalesce(f"len__{n}", F.lit(0)).alias(f"_len_{n}"))
             out += [
                 phrase_frequency([[lists[i] for i in slot] for slot in slots]).alias(f"_tf_{n}_{j}")
                 for j, slots in enumerate(lookup.phrases.values())
@@ -439,13 +495,22 @@ class IndexStore:
     spec: IndexSpec
 
     def append(self, docs: DataFrame, batch: int = 0) -> None:
-        """Write document rows (with ``version`` and ``op``) and their postings."""
-        self._write_docs(docs, batch)
-        written = self._part("docs", batch)
-        live = self.spark.read.schema(docs.schema).parquet(written).where("op <> 'D'")
-        postings = SearchIndex(self.spec, live).postings().withColumn("index_id", F.lit(self.spec.index_id))
-        # Range-partitioned by (field, term, id): a term that occurs in a third of
-        # all documents spans several files instead of filling one task.
+        """Write document rows (with ``version`` and ``op``), their term vectors and postings.
+
+        Texts are analyzed once: the postings are read off the vectors just written.
+        """
+        names = [f.name for f in self.spec.text_fields]
+        vectors = term_vectors(latest(docs), self.spec, names)
+        lengths = {
+            f"len__{n}": F.coalesce(F.array_max(F.transform(
+                F.filter("terms", lambda t: t["field"] == n), lambda t: t["len"])), F.lit(0))
+            for n in names
+        }
+        self._write_docs(compute_once(vectors, lengths), batch)
+        written = self.spark.read.parquet(self._part("docs", batch)).where("op <> 'D'")
+        postings = written.select("index_id", "doc_key", "version", F.inline("terms"))
+        # Range-partitioned by (field, term, document): a term that occurs in a third
+        # of all documents spans several files instead of filling one task.
         (
             postings.repartitionByRange("field", "term", "doc_key")
             .sortWithinPartitions("field", "term", "doc_key")
@@ -453,23 +518,39 @@ class IndexStore:
         )
 
     def append_documents(self, docs: DataFrame, batch: int = 0) -> None:
-        self._write_docs(docs, batch)
+        """Write document rows only, for indexes that are not searched by term."""
+        self._write_docs(latest(docs), batch)
 
     def _write_docs(self, docs: DataFrame, batch: int) -> None:
-        docs.write.mode("overwrite").parquet(self._part("docs", batch))
+        renamed = docs.withColumnsRenamed(self.spec.renames) if self.spec.renames else docs
+        renamed.write.mode("overwrite").parquet(self._part("docs", batch))
 
     def _part(self, table: str, batch: int) -> str:
         return f"{self.path}/{table}/batch={batch}"
 
-    @cached_property
-    def _docs_schema(self) -> T.StructType:
-        return self.spark.read.parquet(f"{self.path}/docs").schema
+    def batches(self) -> int:
+        """Number of batches written so far."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/docs")
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sum(1 for entry in files.listStatus(folder) if entry.getPath().getName().startswith("batch="))
 
     def log(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/docs")
+        """All writes, under the logical field names."""
+        log = self.spark.read.parquet(f"{self.path}/docs")
+        return log.withColumnsRenamed({v: k for k, v in self.spec.renames.items()})
 
     def current(self) -> DataFrame:
-        return current_view(self.log(), order=("version", "batch")).drop("batch")
+        """Latest version per document.  A single batch holds each document once
+        already; else the winners are found on the narrow key columns, so a query
+        still reads and shuffles only the columns it needs."""
+        log = self.log()
+        if self.batches() > 1:
+            winners = latest(log.select("doc_key", "version", "batch", "op"), order=("version", "batch"))
+            log = log.join(
+                winners.where(F.col("op") != "D").select("doc_key", "version", "batch"),
+                ["doc_key", "version", "batch"], "left_semi",
+            )
+        return log.where(F.col("op") != "D").drop("batch")
 
     def index(self) -> SearchIndex:
         postings = self.spark.read.parquet(f"{self.path}/postings").drop("batch")
@@ -478,5 +559,7 @@ class IndexStore:
     def compact(self, target: str) -> "IndexStore":
         """Write the current view to a new folder as a single batch."""
         done = IndexStore(self.spark, target, self.spec)
-        done.append(self.current(), 0)
+        current = self.current()
+        derived = ["terms", *[c for c in current.columns if c.startswith("len__")]]
+        done.append(current.drop(*derived), 0)
         return done

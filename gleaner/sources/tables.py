@@ -74,6 +74,23 @@ def read_char_map(spark: SparkSession, path: str) -> dict[str, str]:
     return {a.strip().strip('"'): b.strip().strip('"') for a, sep, b in pairs if sep}
 
 
+def read_elevation(spark: SparkSession, path: str) -> DataFrame:
+    """``<query text="..."><doc id="..."/>...</query>`` lists -> (query_text, doc_key, rank)."""
+    schema = "_text string, doc array<struct<_id string>>"
+    queries = spark.read.format("xml").option("rowTag", "query").schema(schema).load(path)
+    return queries.select(F.col("_text").alias("query_text"), F.posexplode("doc").alias("rank", "doc")).select(
+        "query_text", F.col("doc._id").alias("doc_key"), "rank")
+
+
+def read_external_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """Lines ``document=number`` -> (doc_key, rank)."""
+    line = F.col("value")
+    return spark.read.text(path).where(line.contains("=")).select(
+        F.regexp_extract(line, r"^(.*)=[^=]*$", 1).alias("doc_key"),
+        F.regexp_extract(line, r"=([^=]*)$", 1).try_cast("double").alias("rank"),
+    )
+
+
 def without_stopwords(postings: DataFrame, stopwords: DataFrame, word: str = "word") -> DataFrame:
     """Drop the rows of a stop word table of any size; positions keep their gaps.
 
