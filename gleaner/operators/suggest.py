@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.functions.analysis import analyzer
 from gleaner.functions.columns import any_of
 from gleaner.operators.grouping import top_n
 from gleaner.operators.keys import Keys, as_keys, every
@@ -131,9 +132,15 @@ def spell_suggest(
 ) -> DataFrame:
     """``(word, suggestion, distance, df, place)`` for words missing from the dictionary.
 
+    Words that are too short or too long for the dictionary are not checked.
     ``threshold`` drops dictionary terms in a smaller share of ``documents``.
     """
-    words = list(dict.fromkeys(w.lower() for w in split_keys(text)))
+    chain = analyzer("spell")
+    words = [w.lower() for w in split_keys(text) if chain.min_length <= len(w) <= chain.max_length]
+    words = list(dict.fromkeys(words))
+    if not words:
+        return candidates(dictionary.where(F.lit(False)), [""]).select(
+            "word", F.col("term").alias("suggestion"), "distance", "df", F.lit(1).alias("place"))
     if threshold and documents is not None:
         dictionary = dictionary.where(F.col("df") >= documents * threshold)
     known = dictionary.where(F.col("term").isin(*words)).select(F.col("term").alias("word"))
@@ -156,7 +163,7 @@ def did_you_mean(suggestions: DataFrame, user_input: str) -> DataFrame:
     )
     corrected = F.aggregate(
         "pairs", F.lit(user_input),
-        lambda text, p: F.regexp_replace(text, F.concat(F.lit("(?iu)"), p["word"]), p["suggestion"]),
+        lambda text, p: F.regexp_replace(text, F.concat(F.lit(r"(?iu)\Q"), p["word"], F.lit(r"\E")), p["suggestion"]),
     )
     return pairs.select(corrected.alias("user_input")).where(F.col("user_input") != user_input)
 

@@ -1,36 +1,23 @@
 """The five-row fixture: boolean keywords, null-safe filters and facets."""
 
 import pytest
-from pyspark.sql import types as T
+from fixture import ROWS, SCHEMA, spec
+from pyspark.sql import functions as F
 
 from gleaner import (
-    Condition, Facet, FieldSpec, IndexSpec, SearchIndex, every, none, not_every, search, some, where_all, where_any,
+    Condition, Facet, IndexStore, SearchIndex, every, none, not_every, search, some, where_all, where_any,
 )
-from gleaner.sources.index import delete_index
-
-ROWS = [
-    (1, "foo bar baz smileὠ1", "test Case", "item", ["orange"], "item_category"),
-    (2, "foo test", "bar test case", "item", ["orange", "apple", "grape"], "item_category"),
-    (3, "bar", "test foobar Case", "item", None, None),
-    (4, "foo baz", "test test", "article", ["apple", "strawberry", "grape"], "article_category"),
-    (5, "bar baz", "foo", "article", ["orange", "strawberry", "grape", "banana"], "article_category"),
-]
-SCHEMA = "id bigint, name string, body string, type string, keywords array<string>, category string"
-
-
-def spec(text_type="text"):
-    return IndexSpec(
-        "fixture", "id",
-        (
-            FieldSpec("id", "integer"), FieldSpec("name", text_type, boost=5.0), FieldSpec("body", text_type),
-            FieldSpec("type"), FieldSpec("keywords", multi=True), FieldSpec("category"),
-        ),
-    )
+from gleaner.sources.index import delete_all, delete_index
 
-
-@pytest.fixture(scope="module", params=["text", "text_ws"])
-def index(spark, request):
-    return SearchIndex.build(spark.createDataFrame(ROWS, SCHEMA), spec(request.param))
+@pytest.fixture(scope="module", params=["text", "text_ws", "stored"])
+def index(spark, request, tmp_path_factory):
+    """Stemmed and plain text analyzed on the fly, and an index read back from storage."""
+    built = SearchIndex.build(spark.createDataFrame(ROWS, SCHEMA), spec(request.param.replace("stored", "text")))
+    if request.param != "stored":
+        return built
+    store = IndexStore(spark, str(tmp_path_factory.mktemp("store")), built.spec)
+    store.append(built.docs.withColumns({"version": F.lit(1), "op": F.lit("U")}))
+    return store.index()
 
 
 def ids(index, **options):
@@ -135,8 +122,4 @@ def test_keys_and_their_negation_cover_everything(index):
 
 def test_clear_index(index):
     assert delete_index(index.docs, index.spec).count() == 0
-
-
-def test_missing_values_schema(spark):
-    schema = T._parse_datatype_string(SCHEMA)
-    assert schema["keywords"].dataType.typeName() == "array"
+    assert delete_all(index.docs).count() == 0
