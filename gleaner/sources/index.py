@@ -163,12 +163,10 @@ def remaining_items(source: DataFrame, indexed: DataFrame, keys: tuple[str, ...]
 
 def index_statistics(log: DataFrame) -> DataFrame:
     """Writes, deletes and live documents per index and site."""
-    last = latest(log)
-    live = last.groupBy("index_id", "site").agg(F.count_if(F.col("op") != "D").alias("docs"))
-    writes = log.groupBy("index_id", "site").agg(
-        F.count("*").alias("log_rows"), F.count_if(F.col("op") == "D").alias("deletes")
-    )
-    return writes.join(live, ["index_id", "site"])
+    per_document = log.groupBy("index_id", "site", "doc_key").agg(
+        F.count("*").alias("n"), F.count_if(F.col("op") == "D").alias("d"), F.max_by("op", "version").alias("last"))
+    return per_document.groupBy("index_id", "site").agg(
+        F.sum("n").alias("log_rows"), F.sum("d").alias("deletes"), F.count_if(F.col("last") != "D").alias("docs"))
 
 
 def with_external_rank(docs: DataFrame, ranks: DataFrame, default: float = 1.0) -> DataFrame:
