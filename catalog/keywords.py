@@ -128,3 +128,14 @@ def elevate(spark, sf):
         F.concat(F.lit("local-parts-"), "p_partkey").alias("doc_key"), F.col("p_partkey").alias("rank"),
     )
     return search(parts(spark, sf), keys=some("small", "red"), elevation=listed, limit=60).hits
+
+
+@query("rank_factor", f"""
+WITH {BOOSTED}
+SELECT item_id, score * CASE WHEN p_size < 10 THEN 2.5::DOUBLE ELSE 1.0::DOUBLE END AS score
+FROM scored JOIN part ON item_id = CAST(p_partkey AS VARCHAR)""")
+def rank_factor(spark, sf):
+    """The external rank of some parts multiplies their score."""
+    ranks = table(spark, sf, "part").where("p_size < 10").select(
+        F.concat(F.lit("local-parts-"), "p_partkey").alias("doc_key"), F.lit(2.5).alias("rank"))
+    return search(parts(spark, sf), keys=some("small", "red"), ranks=ranks).hits

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import ORDERS, TEXT, documents, orders, parts, query, table
 from gleaner import FieldSpec, IndexSpec, IndexStore, build_documents
 from gleaner.sources.index import (
-    coerce_documents, delete_ids, delete_index, delete_where, index_statistics, latest,
+    coerce_documents, delete_ids, delete_index, delete_where, field_statistics, index_statistics, latest,
     remaining_items, spell_dictionary, spell_texts, split_unknown, top_terms, with_external_rank, with_site_url,
 )
 from gleaner.sources.tables import work_dir
@@ -153,7 +153,7 @@ def compact(spark, sf):
     store = IndexStore(spark, work_dir(spark, "log"), EVENTS)
     store.append_documents(event_log(spark, sf))
     done = IndexStore(spark, work_dir(spark, "compact"), EVENTS)
-    done.append_documents(store.current())
+    done.append_documents(store.current(), unique=True)
     return done.log().select("item_id", "version", "kind", "value")
 
 
@@ -196,6 +196,13 @@ def field_top_terms(spark, sf):
     return top_terms(documents(spark, sf, TEXT).postings(), 50)
 
 
+@query("field_stats", r"""
+WITH t AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS term FROM documents)
+SELECT 'text' AS field, count(DISTINCT term) AS terms, count(*) AS postings, count(DISTINCT doc_id) AS docs FROM t WHERE term <> ''""")
+def field_stats(spark, sf):
+    return field_statistics(documents(spark, sf, TEXT).postings())
+
+
 SPELL = r"""spell AS (SELECT DISTINCT doc_id, lang, term FROM (
   SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents)
   WHERE length(term) BETWEEN 4 AND 20)"""

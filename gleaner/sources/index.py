@@ -492,32 +492,37 @@ class IndexStore:
     path: str
     spec: IndexSpec
 
-    def append(self, docs: DataFrame, batch: int = 0) -> None:
+    def append(
+        self, docs: DataFrame, batch: int = 0, unique: bool = False, partitions: int | None = None
+    ) -> None:
         """Write document rows (with ``version`` and ``op``), their term vectors and postings.
 
         Texts are analyzed once: the postings are read off the vectors just written.
+        ``unique`` says that no document occurs twice in ``docs``, which saves the
+        shuffle that keeps its last write.  ``partitions`` sets the number of
+        posting files (default: ``spark.sql.shuffle.partitions``).
         """
         names = [f.name for f in self.spec.text_fields]
-        vectors = term_vectors(latest(docs), self.spec, names)
+        docs = docs if unique else latest(docs)
+        vectors = docs if "terms" in docs.columns else term_vectors(docs, self.spec, names)
         lengths = {
             f"len__{n}": F.coalesce(F.array_max(F.transform(
                 F.filter("terms", lambda t: t["field"] == n), lambda t: t["len"])), F.lit(0))
             for n in names
         }
+        vectors = vectors.drop(*[c for c in lengths if c in vectors.columns])
         self._write_docs(compute_once(vectors, lengths), batch)
         written = self.spark.read.parquet(self._part("docs", batch)).where("op <> 'D'")
         postings = written.select("index_id", "doc_key", "version", F.inline("terms"))
         # Range-partitioned by (field, term, document): a term that occurs in a third
         # of all documents spans several files instead of filling one task.
-        (
-            postings.repartitionByRange("field", "term", "doc_key")
-            .sortWithinPartitions("field", "term", "doc_key")
-            .write.mode("overwrite").parquet(self._part("postings", batch))
-        )
+        order = ["field", "term", "doc_key"]
+        spread_out = postings.repartitionByRange(*([partitions] if partitions else []), *order)
+        spread_out.sortWithinPartitions(*order).write.mode("overwrite").parquet(self._part("postings", batch))
 
-    def append_documents(self, docs: DataFrame, batch: int = 0) -> None:
+    def append_documents(self, docs: DataFrame, batch: int = 0, unique: bool = False) -> None:
         """Write document rows only, for indexes that are not searched by term."""
-        self._write_docs(latest(docs), batch)
+        self._write_docs(docs if unique else latest(docs), batch)
 
     def _write_docs(self, docs: DataFrame, batch: int) -> None:
         renamed = docs.withColumnsRenamed(self.spec.renames) if self.spec.renames else docs
@@ -555,9 +560,7 @@ class IndexStore:
         return SearchIndex(self.spec, self.current(), postings)
 
     def compact(self, target: str) -> "IndexStore":
-        """Write the current view to a new folder as a single batch."""
+        """Write the current view to a new folder as a single batch; texts are not analyzed again."""
         done = IndexStore(self.spark, target, self.spec)
-        current = self.current()
-        derived = ["terms", *[c for c in current.columns if c.startswith("len__")]]
-        done.append(current.drop(*derived), 0)
+        done.append(self.current(), 0, unique=True)
         return done

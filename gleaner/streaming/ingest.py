@@ -36,9 +36,9 @@ def upsert_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         docs = latest(to_documents(batch)).withColumn("indexed_at", F.current_timestamp())
         if with_postings:
-            store.append(docs, batch_id)
+            store.append(docs, batch_id, unique=True)
         else:
-            store.append_documents(docs, batch_id)
+            store.append_documents(docs, batch_id, unique=True)
 
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": VISIBLE_WITHIN}
