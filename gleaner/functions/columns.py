@@ -50,11 +50,12 @@ def string_array(values: Iterable[str]) -> Column:
 
 
 def compute_once(df, columns: dict[str, Column]):
-    """Add columns that later filters read but do not recompute.
+    """Add columns that later steps read but do not recompute.
 
-    Catalyst moves a filter below a projection by repeating its expressions there.
-    For expressions that walk a whole text this would double the work, so they are
-    produced by a one-row generator, which filters do not cross.
+    Catalyst merges projections and moves filters below them by repeating their
+    expressions.  For expressions that walk a whole text, and for scalar
+    subqueries, this would multiply the work, so they are produced by a one-row
+    generator, which nothing is inlined across.
     """
     row = F.struct(*[c.alias(n) for n, c in columns.items()])
     return df.select("*", F.inline_outer(F.array(row)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.columns import compute_once, let, total
-from gleaner.operators.scoring import DIGITS, tfidf
+from gleaner.operators.scoring import DIGITS
 from gleaner.sources.index import SearchIndex, with_words
 
 MAX_TERMS = 25
@@ -27,32 +27,33 @@ def usable_fields(index: SearchIndex, fields: tuple[str, ...]) -> list[str]:
     return [f for f in fields if not index.spec[f].type.startswith(skipped)]
 
 
-def _idf(n: Column, df: Column) -> Column:
-    return 1 + F.log(n.cast("double") / (df + 1))
-
-
 def _chosen(own: DataFrame, df: DataFrame, n: Column, limit: int) -> DataFrame:
-    """The source's best terms: ``(field, term, weight, df)``, at most ``limit`` rows."""
+    """The source's best terms: ``(field, term, weight, idf2)``, at most ``limit`` rows."""
+    idf = 1 + F.log(F.col("_n").cast("double") / (F.col("df") + 1))
     return (
-        own.join(df, ["field", "term"])
-        .withColumn("weight", F.round(F.col("own_tf") * _idf(n, F.col("df")), DIGITS))
+        compute_once(own.join(df, ["field", "term"]), {"_n": n})
+        .withColumns({"weight": F.round(F.col("own_tf") * idf, DIGITS), "idf2": F.pow(idf, F.lit(2.0))})
         .orderBy(F.col("weight").desc(), F.col("field").asc(), F.col("term").asc())
         .limit(limit)
     )
 
 
+def _term_score(weight: Column, idf2: Column, tf: Column, length: Column) -> Column:
+    return weight * F.sqrt(tf.cast("double")) * idf2 / F.sqrt(length.cast("double"))
+
+
 def similar_scores(index: SearchIndex, similar: Similar) -> DataFrame:
     """``(doc_key, score)`` of the documents that share a chosen term with the source."""
     fields = usable_fields(index, similar.fields)
     n = index.docs.agg(F.count("*").alias("n")).scalar()
     source = index.docs.where(F.col("item_id") == similar.item_id)
     if index.stored_postings is not None:
-        return _from_postings(index, source, fields, n, similar.max_terms)
-    return _from_rows(index, source, fields, n, similar.max_terms)
+        return _from_postings(index, source, fields, n, similar)
+    return _from_rows(index, source, fields, n, similar)
 
 
-def _from_postings(index: SearchIndex, source: DataFrame, fields: list[str], n: Column, limit: int) -> DataFrame:
-    """Only postings of the source's terms are read; ``limit`` of them are joined for the scores."""
+def _from_postings(index: SearchIndex, source: DataFrame, fields: list[str], n: Column, similar: Similar) -> DataFrame:
+    """Only postings of the source's terms are read; the chosen ones are joined for the scores."""
     terms = index.term_rows(fields)
     own_rows = SearchIndex(index.spec, source, index.stored_postings).term_rows(fields)
     own = own_rows.select("field", "term", F.col("tf").alias("own_tf"), F.col("doc_key").alias("own_key"))
@@ -60,25 +61,25 @@ def _from_postings(index: SearchIndex, source: DataFrame, fields: list[str], n:
         terms.join(own.select("field", "term"), ["field", "term"], "left_semi")
         .groupBy("field", "term").agg(F.count("*").alias("df"))
     )
-    chosen = _chosen(own, df, n, limit)
-    # at most `limit` rows, so the broadcast has a fixed bound
+    chosen = _chosen(own, df, n, similar.max_terms)
+    # at most `max_terms` rows, so the broadcast has a fixed bound
     hits = terms.join(F.broadcast(chosen), ["field", "term"]).where(F.col("doc_key") != F.col("own_key"))
     return hits.groupBy("doc_key").agg(
-        F.round(F.sum(F.col("weight") * tfidf(F.col("tf"), F.col("df"), n, F.col("len"))), DIGITS - 2).alias("score")
+        F.round(F.sum(_term_score(F.col("weight"), F.col("idf2"), F.col("tf"), F.col("len"))), DIGITS - 2).alias("score")
     )
 
 
-def _from_rows(index: SearchIndex, source: DataFrame, fields: list[str], n: Column, limit: int) -> DataFrame:
+def _from_rows(index: SearchIndex, source: DataFrame, fields: list[str], n: Column, similar: Similar) -> DataFrame:
     """Without stored postings: two scans, no join of the corpus.
 
     The first counts the source's terms, the second scores every document inside
     its own row.  The source's terms and the chosen ones (one document's worth and
-    at most ``limit``) enter as scalar subqueries.
+    at most ``max_terms``) enter as scalar subqueries.
     """
     own_words = with_words(source, index.spec, fields)
-    own_lists = [
-        own_words.agg(F.flatten(F.collect_list(f"_words_{f}")).alias("w")).scalar().alias(f"_own_{f}") for f in fields
-    ]
+    own_lists = {
+        f"_own_{f}": own_words.agg(F.flatten(F.collect_list(f"_words_{f}")).alias("w")).scalar() for f in fields
+    }
     own = (
         own_words.select(F.inline(F.concat(*[
             F.transform(f"_words_{f}", lambda w: F.struct(F.lit(f).alias("field"), w.alias("term"))) for f in fields
@@ -86,7 +87,7 @@ def _from_rows(index: SearchIndex, source: DataFrame, fields: list[str], n: Colu
         .groupBy("field", "term").agg(F.count("*").alias("own_tf"))
     )
     rows = with_words(index.docs, index.spec, fields)
-    shared = rows.select("*", *own_lists).select(F.inline(F.concat(*[
+    shared = compute_once(rows, own_lists).select(F.inline(F.concat(*[
         F.transform(
             F.array_intersect(f"_words_{f}", f"_own_{f}"),
             lambda w: F.struct(F.lit(f).alias("field"), w.alias("term")),
@@ -94,17 +95,13 @@ def _from_rows(index: SearchIndex, source: DataFrame, fields: list[str], n: Colu
         for f in fields
     ])))
     df = shared.groupBy("field", "term").agg(F.count("*").alias("df"))
-    chosen = _chosen(own, df, n, limit).agg(F.collect_list(F.struct("field", "term", "weight", "df")).alias("c")).scalar()
-    rows = rows.where(F.col("item_id") != similar_id(source)).select("*", chosen.alias("_chosen"), n.alias("_n"))
+    chosen = _chosen(own, df, n, similar.max_terms).agg(
+        F.collect_list(F.struct("field", "term", "weight", "idf2")).alias("c")).scalar()
+    rows = compute_once(rows.where(F.col("item_id") != similar.item_id), {"_chosen": chosen})
     scored = compute_once(rows, {"score": total(_row_score(index, f) for f in fields)})
     return scored.where("score > 0").select("doc_key", F.round("score", DIGITS - 2).alias("score"))
 
 
-def similar_id(source: DataFrame) -> Column:
-    """The source's own id; no row of it means no terms and hence no hits."""
-    return F.coalesce(source.agg(F.max("item_id")).scalar(), F.lit(""))
-
-
 def _row_score(index: SearchIndex, field: str) -> Column:
     """Score of one field: its words are cut down to the chosen terms, then counted."""
     f = index.spec[field]
@@ -117,7 +114,7 @@ def _row_score(index: SearchIndex, field: str) -> Column:
             wanted, F.lit(0.0),
             lambda acc, c: acc + F.when(
                 F.array_contains(selected, c["term"]),
-                c["weight"] * tfidf(F.size(F.filter(selected, lambda w: w == c["term"])), c["df"], F.col("_n"), length),
+                _term_score(c["weight"], c["idf2"], F.size(F.filter(selected, lambda w: w == c["term"])), length),
             ).otherwise(F.lit(0.0)),
         )
 

@@ -39,8 +39,9 @@ def autocomplete(
     only when pass 1 left room, and never repeats a term.  With a ``dictionary``
     the corrected input comes first, as pass 0.
 
-    Both passes share one scan: terms are counted for the documents of pass 1, with
-    a flag for those of pass 2.
+    Both passes and both result counts come from one scan: terms are counted for
+    the documents of pass 1, with a flag for those of pass 2, and an empty term
+    stands for the document itself.
     """
     request = request or SearchRequest()
     lowered = fragment.lower()
@@ -48,12 +49,11 @@ def autocomplete(
     typed = [k.lower() for k in (split_keys(request.keys) if isinstance(request.keys, str) else keys.phrases())]
     result = SearchResult(index, replace(request, keys=every(keys, fragment) if keys.items else every(fragment)))
     fields = [f.name for f in result.fields]
-    base = SearchResult(index, replace(request, keys=keys))
-    found = {1: base.total.scalar(), 2: result.total.scalar()}
 
     rows = result.looked_up_for(keys)
     words = with_words(rows.select(*index.docs.columns, "_also"), index.spec, fields, distinct=True)
-    pairs = [
+    document = F.array(F.struct(F.lit("").alias("field"), F.lit("").alias("term")))
+    pairs = [document] + [
         F.transform(
             # a term either completes the fragment or, for the flagged documents, may follow it
             F.filter(f"_words_{f}", lambda t: t.startswith(lowered) | F.col("_also")),
@@ -63,7 +63,7 @@ def autocomplete(
     ]
     counts = words.select("_also", F.inline(F.concat(*pairs))).groupBy("field", "term").agg(
         F.count("*").alias("n1"), F.count_if("_also").alias("n2"))
-    starts = F.col("term").startswith(lowered)
+    starts = F.col("term").startswith(lowered) | (F.col("term") == "")
     passes = F.filter(
         F.array(
             F.struct(F.lit(1).alias("pass"), F.when(starts, F.col("n1")).otherwise(F.lit(0)).alias("n")),
@@ -73,16 +73,15 @@ def autocomplete(
     )
     by_field = counts.select("field", "term", F.inline(passes))
     kept = top_n(by_field, ["pass", "field"], [F.col("n").desc(), F.col("term").asc()], OVERFETCH * limit)
+    # from here on a bounded number of rows: passes * fields * OVERFETCH * limit
     merged = kept.groupBy("pass", "term").agg(F.max("n").alias("results"))
-    merged = merged.where(F.octet_length("term") >= MIN_BYTES)
+    documents = F.max(F.when(F.col("term") == "", F.col("results"))).over(Window.partitionBy("pass"))
+    most = F.col("_found") * MAX_OCCURRENCES
+    too_many = (F.col("results") > most) & (most < F.col("_found")) & ((F.col("pass") == 2) | (most >= 1))
+    merged = merged.withColumn("_found", documents).where((F.octet_length("term") >= MIN_BYTES) & ~too_many)
     if typed:
         merged = merged.where(~F.col("term").isin(*typed))
-    for number, count in found.items():
-        most = count * MAX_OCCURRENCES
-        too_many = (F.col("pass") == number) & (F.col("results") > most) & (most < count)
-        merged = merged.where(~(too_many & (most >= 1)) if number == 1 else ~too_many)
-    best = top_n(merged, ["pass"], [F.col("results").desc(), F.col("term").asc()], limit).drop("rank")
-    # from here on at most 2 * limit rows
+    best = top_n(merged.select("pass", "term", "results"), ["pass"], [F.col("results").desc(), F.col("term").asc()], limit).drop("rank")
     corrections = None
     if dictionary is not None:
         corrections = did_you_mean(spell_suggest(dictionary, user_input or fragment), user_input or fragment)

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.columns import all_of, any_of
+from gleaner.functions.columns import all_of, any_of, compute_once
 from gleaner.operators.facets import Facet, distance_facet, facet_counts
 from gleaner.operators.filters import (
     Condition, Group, compile_group, first_tags, text_phrases, without_tagged,
@@ -232,7 +232,9 @@ class SearchResult:
             docs = docs.where(any_of(self._may_hold_key(p) for p in dict.fromkeys(m.phrase for m in measures)))
         need_match = self.request.scoring != "bm25"
         stats = collection_stats(self._looked_up(docs, need_match), measures)
-        return rows.withColumn("score", score(measures, stats, n, model=self.request.scoring))
+        rows = compute_once(rows, {"_n": n, "_stats": stats})
+        value = score(measures, F.col("_stats"), F.col("_n"), model=self.request.scoring)
+        return rows.withColumn("score", value).drop("_n", "_stats")
 
     @cached_property
     def matched(self) -> DataFrame:
