@@ -12,7 +12,7 @@ from gleaner import every, none, not_every, search, some, where_all
 def _keys(name, keys, sql, **options):
     @query(name, sql)
     def run(spark, sf):
-        return ids(search(documents(spark, sf, TEXT), keys=keys, **options).hits)
+        return ids(search(documents(spark, sf, TEXT), keys=keys, scoring=None, **options).hits)
 
 
 _keys("match_all", None, "SELECT CAST(doc_id AS VARCHAR) AS item_id FROM documents")
@@ -42,7 +42,7 @@ SELECT DISTINCT CAST(a.doc_id AS VARCHAR) FROM pos a JOIN pos b ON a.doc_id = b.
   JOIN pos c ON a.doc_id = c.doc_id AND c.p = a.p + 2
 WHERE a.term = 'de' AND b.term = 'la' AND c.term = 'et'""")
 def kw_phrase(spark, sf):
-    return ids(search(documents(spark, sf, TEXT), keys=some("in the", "de la et")).hits)
+    return ids(search(documents(spark, sf, TEXT), keys=some("in the", "de la et"), scoring=None).hits)
 
 
 PART_WORDS = """w AS (
@@ -54,14 +54,14 @@ PART_WORDS = """w AS (
 WITH {PART_WORDS}, f AS (SELECT p_partkey, bool_or(term = 'small') AS a, bool_or(term = 'red') AS b FROM w GROUP BY 1)
 SELECT CAST(p_partkey AS VARCHAR) AS item_id FROM f WHERE a AND b""")
 def kw_multi_field(spark, sf):
-    return ids(search(parts(spark, sf), keys="small red").hits)
+    return ids(search(parts(spark, sf), keys="small red", scoring=None).hits)
 
 
 @query("kw_single_field", f"""
 WITH {PART_WORDS}, f AS (SELECT p_partkey, bool_or(term = 'small') AS a FROM w WHERE field = 'kind_text' GROUP BY 1)
 SELECT CAST(p_partkey AS VARCHAR) AS item_id FROM f WHERE a""")
 def kw_single_field(spark, sf):
-    return ids(search(parts(spark, sf), keys="small", fields=("kind_text",)).hits)
+    return ids(search(parts(spark, sf), keys="small", fields=("kind_text",), scoring=None).hits)
 
 
 # -- scores ---------------------------------------------------------------

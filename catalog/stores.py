@@ -36,7 +36,7 @@ WITH {POS}
 SELECT DISTINCT CAST(a.doc_id AS VARCHAR) AS item_id FROM pos a JOIN pos b ON a.doc_id = b.doc_id AND b.p = a.p + 1
 WHERE a.term = 'in' AND b.term = 'the'""")
 def store_phrase(spark, sf):
-    return ids(search(written(spark, sf).index(), keys=every("in the")).hits)
+    return ids(search(written(spark, sf).index(), keys=every("in the"), scoring=None).hits)
 
 
 @query("store_more_like_this", f"WITH {SIMILAR}")
@@ -74,12 +74,12 @@ MATCHED = "SELECT DISTINCT CAST(doc_id AS VARCHAR) AS item_id FROM tok WHERE ter
 
 @query("store_upsert", f"WITH {UPDATED} {MATCHED}")
 def store_upsert(spark, sf):
-    return ids(search(updated(spark, sf).index(), keys=some("rewritten", "der", "the")).hits)
+    return ids(search(updated(spark, sf).index(), keys=some("rewritten", "der", "the"), scoring=None).hits)
 
 
 @query("store_compact", f"WITH {UPDATED} {MATCHED}")
 def store_compact(spark, sf):
     done = updated(spark, sf).compact(work_dir(spark, "store-compact"))
-    return ids(search(done.index(), keys=some("rewritten", "der", "the")).hits)
+    return ids(search(done.index(), keys=some("rewritten", "der", "the"), scoring=None).hits)
 
 

@@ -43,7 +43,7 @@ def _term_score(weight: Column, idf2: Column, tf: Column, length: Column) -> Col
 
 
 def similar_scores(index: SearchIndex, similar: Similar) -> DataFrame:
-    """``(doc_key, score)`` of the documents that share a chosen term with the source."""
+    """``(doc_key[, version], score)`` of the documents that share a chosen term with the source."""
     fields = usable_fields(index, similar.fields)
     n = index.docs.agg(F.count("*").alias("n")).scalar()
     source = index.docs.where(F.col("item_id") == similar.item_id)
@@ -63,8 +63,10 @@ def _from_postings(index: SearchIndex, source: DataFrame, fields: list[str], n:
     )
     chosen = _chosen(own, df, n, similar.max_terms)
     # at most `max_terms` rows, so the broadcast has a fixed bound
-    hits = terms.join(F.broadcast(chosen), ["field", "term"]).where(F.col("doc_key") != F.col("own_key"))
-    return hits.groupBy("doc_key").agg(
+    hits = index.term_rows(fields, checked=False).join(F.broadcast(chosen), ["field", "term"])
+    # the caller joins the scores to live documents, version by version
+    keys = ["doc_key", *[c for c in ("version",) if c in hits.columns]]
+    return hits.where(F.col("doc_key") != F.col("own_key")).groupBy(*keys).agg(
         F.round(F.sum(_term_score(F.col("weight"), F.col("idf2"), F.col("tf"), F.col("len"))), DIGITS - 2).alias("score")
     )
 

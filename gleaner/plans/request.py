@@ -28,7 +28,7 @@ class SearchRequest:
     spatial: tuple[Spatial, ...] = ()
     similar: Similar | None = None
     boosts: dict[str, float] = field(default_factory=dict, hash=False)
-    scoring: str = "tfidf"
+    scoring: str | None = "tfidf"  # or "bm25"; None: every hit scores 1
     retrieve_all: bool = False
     sites: tuple[str, ...] | None = None  # None: the site of the index
     all_sites: bool = False

@@ -222,8 +222,9 @@ class SearchResult:
     def _scored(self, rows: DataFrame) -> DataFrame:
         measures = self._measures
         if self.request.similar is not None:
-            return rows.join(similar_scores(self.index, self.request.similar), "doc_key")
-        if not measures:
+            scores = similar_scores(self.index, self.request.similar)
+            return rows.join(scores, [c for c in scores.columns if c != "score"])
+        if not measures or self.request.scoring is None:
             return rows.withColumn("score", F.lit(1.0))
         n = self.index.docs.agg(F.count("*").alias("n")).scalar()
         docs = self.index.docs
@@ -237,12 +238,17 @@ class SearchResult:
         return rows.withColumn("score", value).drop("_n", "_stats")
 
     @cached_property
-    def matched(self) -> DataFrame:
-        """All matching documents with their score."""
+    def _matching(self) -> DataFrame:
+        """Documents passing all filters and keywords, not scored."""
         rows = self._candidates
         for m in self._masks().values():
             rows = rows.where(m)
-        rows = self._scored(rows)
+        return rows
+
+    @cached_property
+    def matched(self) -> DataFrame:
+        """All matching documents with their score."""
+        rows = self._scored(self._matching)
         rows = rows.drop(*[c for c in rows.columns if c.startswith(("_len_", "_tf"))])
         if self.request.ranks is not None:
             rows = ranked_by(rows, self.request.ranks)
@@ -292,11 +298,10 @@ class SearchResult:
     @cached_property
     def total(self) -> DataFrame:
         """Number of matching documents."""
-        rows = self._candidates
-        for m in self._masks().values():
-            rows = rows.where(m)
+        rows = self._matching
         if self.request.similar is not None:
-            rows = rows.join(similar_scores(self.index, self.request.similar).select("doc_key"), "doc_key", "left_semi")
+            scores = similar_scores(self.index, self.request.similar).drop("score")
+            rows = rows.join(scores, scores.columns, "left_semi")
         return rows.agg(F.count("*").alias("total"))
 
     @cached_property
@@ -356,7 +361,8 @@ class SearchResult:
     @cached_property
     def group_total(self) -> DataFrame:
         """``(group_field, groups)``: number of groups per field."""
-        return group_counts(self.matched, self._grouping().fields)
+        rows = self.matched if self.request.similar is not None else self._matching
+        return group_counts(rows, self._grouping().fields)
 
     def _grouping(self) -> Grouping:
         grouping = self.request.grouping

@@ -217,6 +217,10 @@ def _raw_tokens(f: FieldSpec) -> Column:
 
 def with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_tok_") -> DataFrame:
     """Add the token column ``<prefix><field>`` of text fields, computed in the row."""
+    return _with_tokens(spread(docs, "doc_key"), spec, names, prefix)
+
+
+def _with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_tok_") -> DataFrame:
     raw = {prefix + n: _raw_tokens(spec[n]) for n in names}
     stemmed = {prefix + n: spec[n].chain for n in names if spec[n].type != "tokens" and spec[n].chain.stemmer}
     docs = docs.withColumns(raw)
@@ -238,9 +242,10 @@ def with_words(
 
         text = {prefix + n: stored(n) for n in names if spec[n].is_text}
     else:
+        docs = spread(docs, "doc_key")
         stemmed = [n for n in names if spec[n].is_text and spec[n].type != "tokens" and spec[n].chain.stemmer]
         if stemmed:
-            docs = with_tokens(docs, spec, stemmed)
+            docs = _with_tokens(docs, spec, stemmed)
 
         def analyzed(n: str) -> Column:
             f = spec[n]
@@ -334,8 +339,6 @@ class SearchIndex:
 
     @classmethod
     def build(cls, source: DataFrame, spec: IndexSpec, site: str | None = None) -> "SearchIndex":
-        if spec.text_fields:
-            source = spread(source, spec.key)
         return cls(spec, build_documents(source, spec, site))
 
     @property
@@ -350,9 +353,15 @@ class SearchIndex:
             scope = scope & F.col("site").isin(*sites)
         return replace(self, docs=self.docs.where(scope))
 
-    def postings(self, fields: list[str] | None = None) -> DataFrame:
-        """``(doc_key, field, term, tf, positions, len)`` of the text fields."""
+    def postings(self, fields: list[str] | None = None, checked: bool = True) -> DataFrame:
+        """``(doc_key, field, term, tf, positions, len)`` of the text fields.
+
+        Unchecked stored postings may belong to documents that are gone; a later
+        join with the documents drops them.
+        """
         names = fields or [f.name for f in self.spec.text_fields]
+        if self.stored_postings is not None and not checked:
+            return self.stored_postings.where(F.col("field").isin(*names))
         if self.stored_postings is not None:
             # A stored posting belongs to a document version; the semi join
             # keeps those of live, scoped documents.
@@ -363,13 +372,14 @@ class SearchIndex:
         keep = [c for c in ("doc_key", "version") if c in self.docs.columns]
         return term_vectors(self.docs, self.spec, names).select(*keep, F.inline("terms"))
 
-    def term_rows(self, fields: list[str]) -> DataFrame:
+    def term_rows(self, fields: list[str], checked: bool = True) -> DataFrame:
         """``(doc_key, field, term, tf, len)`` of any fields; other values are one term each."""
         text = [n for n in fields if self.spec[n].is_text]
         plain = [n for n in fields if not self.spec[n].is_text]
         parts = []
         if text:
-            parts.append(self.postings(text).select("doc_key", "field", "term", "tf", "len"))
+            version = ["version"] if "version" in self.docs.columns else []
+            parts.append(self.postings(text, checked).select("doc_key", *version, "field", "term", "tf", "len"))
         if plain:
             values = F.concat(*[
                 F.transform(
@@ -381,7 +391,8 @@ class SearchIndex:
                 )
                 for n in plain
             ])
-            parts.append(self.docs.select("doc_key", F.inline(values)))
+            version = ["version"] if "version" in self.docs.columns else []
+            parts.append(self.docs.select("doc_key", *version, F.inline(values)))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -398,7 +409,8 @@ class SearchIndex:
         if self.stored_postings is not None:
             return self._frequencies_from_postings(lookups, need_match)
         stemmed = [n for n in lookups if self.spec[n].is_text and self.spec[n].chain.stemmer]
-        rows = with_tokens(self.docs, self.spec, stemmed) if stemmed else self.docs
+        rows = spread(self.docs, "doc_key")
+        rows = _with_tokens(rows, self.spec, stemmed) if stemmed else rows
         found = compute_once(rows, {
             f"_x_{n}": _row_frequencies(self.spec[n], lookup, F.col(f"_tok_{n}") if n in stemmed else None)
             for n, lookup in lookups.items()
@@ -413,24 +425,29 @@ class SearchIndex:
         for n, lookup in lookups.items():
             wanted = wanted | ((F.col("field") == n) & F.col("term").isin(*lookup.terms))
         keys = ["doc_key", "version"] if "version" in self.stored_postings.columns else ["doc_key"]
-        columns = []
-        for n, lookup in lookups.items():
-            here = F.col("field") == n
-            columns += [
-                F.max(F.when(here & (F.col("term") == t), F.col("positions"))).alias(f"_p_{n}_{i}")
-                for i, t in enumerate(lookup.terms)
-            ]
+        # Single words need their count only: integers keep the aggregate hash-based.
+        words_only = all(
+            len(slots) <= 1 and all(len(slot) == 1 for slot in slots)
+            for lookup in lookups.values() for slots in lookup.phrases.values()
+        )
+        value = "tf" if words_only else "positions"
+        columns = [
+            F.max(F.when((F.col("field") == n) & (F.col("term") == t), F.col(value))).alias(f"_p_{n}_{i}")
+            for n, lookup in lookups.items() for i, t in enumerate(lookup.terms)
+        ]
         hits = self.stored_postings.where(wanted).groupBy(*keys).agg(*columns)
         rows = self.docs.join(hits, keys, "inner" if need_match else "left")
         none = F.array().cast("array<int>")
         out = []
         for n, lookup in lookups.items():
-            lists = [F.coalesce(f"_p_{n}_{i}", none) for i in range(len(lookup.terms))]
             out.append(F.coalesce(f"len__{n}", F.lit(0)).alias(f"_len_{n}"))
-            out += [
-                phrase_frequency([[lists[i] for i in slot] for slot in slots]).alias(f"_tf_{n}_{j}")
-                for j, slots in enumerate(lookup.phrases.values())
-            ]
+            found = [F.coalesce(f"_p_{n}_{i}", F.lit(0) if words_only else none) for i in range(len(lookup.terms))]
+            for j, slots in enumerate(lookup.phrases.values()):
+                if words_only:
+                    tf = found[slots[0][0]] if slots else F.lit(0)
+                else:
+                    tf = phrase_frequency([[found[i] for i in slot] for slot in slots])
+                out.append(tf.alias(f"_tf_{n}_{j}"))
         return rows.select(*self.docs.columns, *out)
 
 
