@@ -23,7 +23,7 @@ def postings(spark, sf, type_name, **options):
 def listed(df):
     """Postings as flat rows: the positions become their number and the first one."""
     return df.select(
-        F.regexp_extract("doc_key", "[^-]*$", 0).alias("item_id"), "term",
+        F.substring_index("doc_key", "-", -1).alias("item_id"), "term",
         F.col("tf").cast("bigint").alias("tf"), F.array_min("positions").cast("bigint").alias("first_pos"),
         F.col("len").cast("bigint").alias("len"),
     )

@@ -296,12 +296,10 @@ def group_terms(tokens: Column) -> Column:
 
     def cut(sorted_tokens: Column) -> Column:
         def entry(start: Column, end: Column) -> Column:
-            return F.struct(
-                F.get(sorted_tokens, start)["term"].alias("term"),
-                F.transform(
-                    F.slice(sorted_tokens, start + 1, end - start), lambda x: x["pos"]
-                ).alias("positions"),
-            )
+            first = F.get(sorted_tokens, start)
+            several = F.transform(F.slice(sorted_tokens, start + 1, end - start), lambda x: x["pos"])
+            positions = F.when(end - start == 1, F.array(first["pos"])).otherwise(several)
+            return F.struct(first["term"].alias("term"), positions.alias("positions"))
 
         starts = F.filter(
             F.transform(sorted_tokens, lambda x, i: i),

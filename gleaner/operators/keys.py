@@ -45,9 +45,9 @@ class Keys:
     def column(self, matched: Callable[[str], Column]) -> Column | None:
         return self.evaluate(matched, all_of, any_of, lambda c: ~c)
 
-    def needs_a_hit(self) -> bool:
+    def needs_a_hit(self, ignored: Callable[[str], bool] = lambda p: False) -> bool:
         """False where a document without any of the keys can match."""
-        return not self.evaluate(lambda p: False, all, any, lambda b: not b)
+        return not self.evaluate(lambda p: None if ignored(p) else False, all, any, lambda b: not b)
 
 
 def _clean(items) -> tuple:

@@ -84,9 +84,22 @@ class SearchResult:
         name = self._tf(field, phrase)
         return F.lit(False) if name is None else F.col(name) > 0
 
-    def _key_hit(self, phrase: str) -> Column:
+    def _is_empty(self, phrase: str) -> bool:
+        """No term is left of this key in any field (stop words, punctuation): it is ignored."""
+        return not any(
+            f.name in self._lookups and any(self._lookups[f.name].phrases[phrase]) for f in self.fields
+        )
+
+    def _key_hit(self, phrase: str) -> Column | None:
+        if self._is_empty(phrase):
+            return None
         return any_of(self._phrase_hit(f.name, phrase) for f in self.fields)
 
+    def _key_column(self, keys: Keys) -> Column | None:
+        """The keyword expression; keys that are all empty match nothing."""
+        column = keys.column(self._key_hit)
+        return F.lit(False) if column is None and keys.phrases() else column
+
     def _may_hold(self, field: str, phrase: str) -> Column:
         """A cheap test on the text that every document with the phrase passes."""
         f = self.spec[field]
@@ -101,7 +114,9 @@ class SearchResult:
             for slot in lookup.phrases[phrase] if slot
         )
 
-    def _may_hold_key(self, phrase: str) -> Column:
+    def _may_hold_key(self, phrase: str) -> Column | None:
+        if self._is_empty(phrase):
+            return None
         return any_of(self._may_hold(f.name, phrase) for f in self.fields)
 
     def _likely(self) -> Column | None:
@@ -163,7 +178,7 @@ class SearchResult:
     def _text_conditions(self) -> list[Column]:
         """Phrase filters and the keyword expression, on looked-up rows."""
         out = self._compiled([i for i in self._untagged if text_phrases(i, self.spec)])
-        matched = self.keys.column(self._key_hit)
+        matched = self._key_column(self.keys)
         return out if matched is None else [*out, matched]
 
     @cached_property
@@ -171,7 +186,7 @@ class SearchResult:
         """Can rows without any looked-up term be dropped early?"""
         if text_phrases(self.where, self.spec) or not self.keys.phrases():
             return False
-        return self.keys.needs_a_hit() and all(f.name in self._lookups for f in self.fields)
+        return self.keys.needs_a_hit(self._is_empty)
 
     @cached_property
     def filtered_docs(self) -> DataFrame:
@@ -205,9 +220,9 @@ class SearchResult:
             rows = rows.where(c)
         for m in self._masks().values():
             rows = rows.where(m)
-        wanted = keys.column(self._key_hit)
+        wanted = self._key_column(keys)
         rows = rows if wanted is None else rows.where(wanted)
-        return rows.withColumn("_also", self.keys.column(self._key_hit))
+        return rows.withColumn("_also", self._key_column(self.keys))
 
     @cached_property
     def _measures(self) -> list[Measure]:
@@ -230,7 +245,8 @@ class SearchResult:
         docs = self.index.docs
         if self.request.scoring != "bm25" and self.index.stored_postings is None:
             # only documents that may hold a scored phrase are analyzed for the counts
-            docs = docs.where(any_of(self._may_hold_key(p) for p in dict.fromkeys(m.phrase for m in measures)))
+            flags = [self._may_hold_key(p) for p in dict.fromkeys(m.phrase for m in measures)]
+            docs = docs.where(any_of(f for f in flags if f is not None))
         need_match = self.request.scoring != "bm25"
         stats = collection_stats(self._looked_up(docs, need_match), measures)
         rows = compute_once(rows, {"_n": n, "_stats": stats})

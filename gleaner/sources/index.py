@@ -319,7 +319,8 @@ def spell_dictionary(docs: DataFrame, spec: IndexSpec, by: tuple[str, ...] = ())
         spell_texts(spec),
         lambda v: F.filter(chain.words(v), lambda w: F.length(w).between(chain.min_length, chain.max_length)),
     )))
-    return docs.select(*by, F.explode(words).alias("term")).groupBy(*by, "term").agg(F.count("*").alias("df"))
+    rows = spread(docs, "doc_key")
+    return rows.select(*by, F.explode(words).alias("term")).groupBy(*by, "term").agg(F.count("*").alias("df"))
 
 
 def dictionary_from_lines(lines: DataFrame) -> DataFrame:

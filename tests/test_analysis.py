@@ -113,6 +113,8 @@ def test_key_of_stop_words_only_matches_nothing(spark):
     index = SearchIndex.build(spark.createDataFrame([(1, "the end")], "id int, t string"), spec)
     assert search(index, keys="the").hits.count() == 0
     assert search(index, keys=every("end")).hits.count() == 1
+    assert search(index, keys="the end").hits.count() == 1  # the empty key is ignored
+    assert search(index, keys="the dog").hits.count() == 0
 
 
 def test_accent_folding(spark):

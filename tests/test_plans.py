@@ -51,11 +51,15 @@ def test_filters_and_columns_reach_the_scan(plans):
     assert "TakeOrderedAndProject" in plans["top_k"]
 
 
-def test_keywords_need_no_shuffle_of_their_own(spark):
-    index = SearchIndex.build(spark.createDataFrame(ROWS, SCHEMA).repartition(2), spec("text_ws"))
-    lazy = SearchIndex(index.spec, index.docs)
-    before = plan(lazy.docs).count("Exchange")
-    assert plan(search(lazy, keys="foo bar").total).count("Exchange") == before + 1  # the final count
+def test_text_work_adds_no_shuffle_at_scale(spark, monkeypatch):
+    """With inputs larger than the small-scan bound, only the final counts are exchanged."""
+    monkeypatch.setattr("gleaner.sources.tables.SMALL_SCAN", 0)
+    index = SearchIndex.build(spark.createDataFrame(ROWS, SCHEMA), spec("text_ws"))
+    assert "Exchange" not in plan(index.postings())
+    assert "Exchange" not in plan(search(index, keys="foo bar", scoring=None).hits)
+    assert plan(search(index, keys="foo bar").total).count("Exchange") == 1
+    # scores add the two collection counts, as subqueries
+    assert plan(search(index, keys="foo bar").hits).count("Exchange SinglePartition") == 2
 
 
 def test_one_shuffle_serves_all_facets(spark):

@@ -82,6 +82,18 @@ def test_upsert_delete_compact(spark, tmp_path):
     assert (found(done, "new"), found(done, "stays")) == ([3], [2])
 
 
+def test_similarity_ignores_old_versions(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "a"), SMALL)
+    store.append(docs(spark, [(1, 1, "alpha beta", 1), (2, 1, "alpha gamma", 1), (3, 1, "beta", 1)]), 0)
+    store.append(docs(spark, [(2, 2, "delta", 1)]), 1)
+    request = SearchRequest(similar=Similar("1", ("t",)))
+    assert [r.item_id for r in search(store.index(), request).hits.collect()] == ["3"]
+    assert search(store.index(), request).total.first().total == 1
+    fresh = SearchIndex.build(
+        spark.createDataFrame([(1, "alpha beta", 1), (2, "delta", 1), (3, "beta", 1)], "id int, t string, n int"), SMALL)
+    assert rows(search(fresh, request).hits) == rows(search(store.index(), request).hits)
+
+
 def test_a_batch_written_twice_counts_once(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path / "a"), SMALL)
     for _ in range(2):
