@@ -23,9 +23,9 @@ from gleaner.functions.stemming import stem_terms, stem_word
 SPACES = r"\s+"
 WORDS = r"[\p{L}\p{N}]+"
 RUNS = r"\p{L}+(?:[^\p{L}\p{N}]+\p{L}+)*|\p{N}+(?:[^\p{L}\p{N}]+\p{N}+)*"
-CASE_RUNS = r"\p{L}+(?:[^\p{L}\p{N}]+\p{L}+)*|\p{N}+(?:[^\p{L}\p{N}]+\p{N}+)*"
 PARTS = r"\p{L}+|\p{N}+"
 CASE_PARTS = r"\p{Lu}*[^\p{Lu}\P{L}]+|\p{Lu}+|\p{L}+|\p{N}+"
+LONE_WORD = r"^[^\p{L}\p{N}]*(\p{L}+|\p{N}+)[^\p{L}\p{N}]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 POSSESSIVE = r"'[sS]($|[^\p{L}\p{N}])"
 VALUE_GAP = 100
@@ -109,6 +109,15 @@ class Delimiter:
             )
         else:
             split = let(split, lambda s: F.when(F.size(s) == 0, F.array(string_array([]))).otherwise(s))
+        if not self.split_case:
+            # one word between punctuation: a single match finds it
+            general = split
+            split = let(
+                F.regexp_extract(token, LONE_WORD, 1),
+                lambda word: F.when(
+                    word.isin("", "s", "S"), general
+                ).otherwise(F.array(F.array_union(F.array(token), F.array(word)) if self.keep_original else F.array(word))),
+            )
         # Most tokens are one plain word: they skip the splitting.
         plain = token.rlike(r"^(?:\p{L}+|\p{N}+)$")
         if self.split_case:

@@ -48,6 +48,7 @@ def test_word_delimiter(spark):
     assert words("John's") == {"john's", "john"}
     assert words("a-b-1-2") == {"a-b-1-2", "ab", "12"}  # one-letter parts are too short
     assert words("&amp; --- x") == {"&amp;", "---"}
+    assert words("(fish), 's 42;") == {"(fish),", "fish", "'s", "42;", "42"}
     assert words("smileὠ1") == {"smileὠ1", "smileὠ"}
 
 
