@@ -10,7 +10,6 @@ from gleaner import FieldSpec, SearchRequest, Similar, Spatial, every, search
 from gleaner import Condition as C
 from gleaner.functions.geo import bounding_box, geodist
 from gleaner.functions.markup import format_highlight
-from gleaner.operators.snippets import with_excerpts
 from gleaner.operators.suggest import autocomplete, did_you_mean, index_dictionary, spell_suggest
 
 # -- similar documents ----------------------------------------------------
@@ -116,8 +115,7 @@ STEMMED = unlabelled(FieldSpec("text", "text"))
 
 def _page(spark, sf):
     """One page of ten hits with the texts needed to show them."""
-    result = search(documents(spark, sf, STEMMED), keys=every("from", "this"), limit=10, retrieve_all=True)
-    return with_excerpts(result.hits, STEMMED["text"], ["from", "this"])
+    return search(documents(spark, sf, STEMMED), keys=every("from", "this"), limit=10).excerpts("text")
 
 
 @query("excerpt")

@@ -22,6 +22,7 @@ from gleaner.operators.grouping import Grouping, group_counts, heads, top_n
 from gleaner.operators.keys import Keys, as_keys
 from gleaner.operators.scoring import Measure, collection_stats, elevation_rank, score
 from gleaner.operators.similar import similar_scores
+from gleaner.operators.snippets import with_excerpts
 from gleaner.operators.sorting import BY_RELEVANCE, sort_columns
 from gleaner.operators.spatial import Spatial, merge_ranges
 from gleaner.plans.request import SearchRequest
@@ -36,6 +37,7 @@ class SearchResult:
             request = request.on_request(request)
         self.request = request
         self.spec = index.spec
+        self._given = index
         sites = None if request.all_sites else (request.sites or (index.spec.site,))
         self.index = index.scoped(sites, request.index_ids)
         self.keys = as_keys(request.keys) if request.similar is None else as_keys(None)
@@ -311,6 +313,16 @@ class SearchResult:
         rows = self._projected(rows)
         return self.request.on_hits(rows) if self.request.on_hits else rows
 
+    def excerpts(self, field: str) -> DataFrame:
+        """The page of hits with all stored columns, plus ``excerpt`` and ``highlight`` of one text field."""
+        lookup = self._lookups.get(field)
+        terms: list[str] = []
+        if lookup:
+            for phrase in self.keys.phrases(positive_only=True):
+                terms += [lookup.terms[i] for slot in lookup.phrases[phrase] for i in slot]
+        page = SearchResult(self._given, replace(self.request, retrieve_all=True, on_request=None)).hits
+        return with_excerpts(page, self.spec[field], list(dict.fromkeys(terms)))
+
     @cached_property
     def total(self) -> DataFrame:
         """Number of matching documents."""

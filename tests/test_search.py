@@ -230,6 +230,18 @@ def test_candidates_miss_nothing(spark):
         assert got == {w for w in vocab if 1 <= distance(w, typed) <= 2}
 
 
+def test_excerpts_of_a_page(spark):
+    index = SearchIndex.build(
+        spark.createDataFrame([(1, "Cats and dogs."), (2, "a cat"), (3, "birds")], "id int, t string"),
+        IndexSpec("i", "id", (FieldSpec("t", "text"),)))
+    rows = {r.item_id: r for r in search(index, keys="cat", limit=5).excerpts("t").collect()}
+    assert {k: r.highlight for k, r in rows.items()} == {
+        "1": "<strong>Cats</strong> and dogs.", "2": "a <strong>cat</strong>"}
+    assert rows["1"].excerpt == "<strong>Cats</strong> and dogs"
+    plain = {r.item_id: (r.excerpt, r.highlight) for r in search(index).excerpts("t").collect()}
+    assert plain["3"] == (None, "birds")
+
+
 # -- specs, flags and hooks -----------------------------------------------
 def test_flags(spark):
     fields = (FieldSpec("a"), FieldSpec("b", "string_unindexed"), FieldSpec("c", "access", multi=True), FieldSpec("t", "text", indexed=False))
