@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gleaner.llm import mixing, urls
+from gleaner.llm.bagminhash import op3_bagminhash
 from gleaner.llm.decontaminate import op6_decontaminate
+from gleaner.llm.mixing import op2_mix_sources
 from gleaner.llm.tokens import op10_token_ids
+from gleaner.llm.urls import op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
+    "op3_bagminhash": op3_bagminhash,
+    "op4_url_filter": op4_url_filter,
     "op6_decontaminate": op6_decontaminate,
     "op10_token_ids": op10_token_ids,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_mix_sources": mixing.SQL.strip(), "op4_url_filter": urls.SQL.strip()}
