@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from gleaner.llm import mixing, urls
 from gleaner.llm.bagminhash import op3_bagminhash
 from gleaner.llm.decontaminate import op6_decontaminate
+from gleaner.llm.embeddings import op8_embedding_links
 from gleaner.llm.mixing import op2_mix_sources
 from gleaner.llm.tokens import op10_token_ids
+from gleaner.llm.toxicity import op9_toxicity
 from gleaner.llm.urls import op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bagminhash": op3_bagminhash,
     "op4_url_filter": op4_url_filter,
     "op6_decontaminate": op6_decontaminate,
+    "op8_embedding_links": op8_embedding_links,
+    "op9_toxicity": op9_toxicity,
     "op10_token_ids": op10_token_ids,
 }
 SQL: dict[str, str] = {"op2_mix_sources": mixing.SQL.strip(), "op4_url_filter": urls.SQL.strip()}
