@@ -11,11 +11,13 @@ from gleaner.llm.bagminhash import op3_bagminhash
 from gleaner.llm.decontaminate import op6_decontaminate
 from gleaner.llm.embeddings import op8_embedding_links
 from gleaner.llm.mixing import op2_mix_sources
+from gleaner.llm.repeats import op1_repeats
 from gleaner.llm.tokens import op10_token_ids
 from gleaner.llm.toxicity import op9_toxicity
 from gleaner.llm.urls import op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": op1_repeats,
     "op2_mix_sources": op2_mix_sources,
     "op3_bagminhash": op3_bagminhash,
     "op4_url_filter": op4_url_filter,
