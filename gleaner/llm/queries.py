@@ -11,6 +11,8 @@ from gleaner.llm.bagminhash import op3_bagminhash
 from gleaner.llm.decontaminate import op6_decontaminate
 from gleaner.llm.embeddings import op8_embedding_links
 from gleaner.llm.mixing import op2_mix_sources
+from gleaner.llm.pages import op5_main_text
+from gleaner.llm.pseudonyms import op7_pseudonyms
 from gleaner.llm.repeats import op1_repeats
 from gleaner.llm.tokens import op10_token_ids
 from gleaner.llm.toxicity import op9_toxicity
@@ -21,7 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_bagminhash": op3_bagminhash,
     "op4_url_filter": op4_url_filter,
+    "op5_main_text": op5_main_text,
     "op6_decontaminate": op6_decontaminate,
+    "op7_pseudonyms": op7_pseudonyms,
     "op8_embedding_links": op8_embedding_links,
     "op9_toxicity": op9_toxicity,
     "op10_token_ids": op10_token_ids,
