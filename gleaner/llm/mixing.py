@@ -2,8 +2,8 @@
 
 Sizes are words `[^\\x20\\x09-\\x0D]+`. Every source asks for its share, by weight, of all words. A target
 stops at `epochs` times its source's size; what is above goes to the other sources by weight until nothing
-is above. Sorted by cap / weight that is one running sum: the water level is the first one that no further
-source's cap is below.
+is above. Sorted by cap / weight that is one running sum: the level at which the first source stays below its cap is
+the level of all that do.
 
 A document is taken floor(target / source size) whole times. The rest of the target is one more repetition
 of documents in a seeded order (md5 of seed and key): whole ones, and the first words of the one at which the
@@ -47,9 +47,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFram
         ((F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(so_far), F.lit(0)))
          / F.sum("weight").over(from_here)).alias("level"),
     )
-    water = levels.agg(F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).alias("water"))
+    # Levels rise until the right one and fall after it, so the right one is the highest that its cap allows.
+    fits = F.col("level") * F.col("weight") <= F.col("cap")
+    levels = levels.withColumn("water", F.max(F.when(fits, F.col("level"))).over(Window.partitionBy()))
     target = F.least(F.coalesce(F.col("water") * F.col("weight"), F.col("cap").cast("double")), F.col("cap").cast("double"))
-    return levels.crossJoin(water).select("source", "source_size", target.alias("target"))
+    return levels.select("source", "source_size", target.alias("target"))
 
 
 def mix(
@@ -135,7 +137,7 @@ l AS (
     / (sum(weight) OVER (ORDER BY 3 * source_size / weight, source NULLS FIRST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
   FROM w),
 g AS (
-  SELECT *, least(coalesce((SELECT min(level) FROM l WHERE level * weight <= 3 * source_size) * weight, 3 * source_size), 3 * source_size)::DOUBLE AS target FROM l),
+  SELECT *, least(coalesce((SELECT max(level) FROM l WHERE level * weight <= 3 * source_size) * weight, 3 * source_size), 3 * source_size)::DOUBLE AS target FROM l),
 h AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM g),
 r AS (
