@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,6 +32,15 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more.
+
+    Spark does so when the driver's garbage is collected, which may otherwise be long after their use.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

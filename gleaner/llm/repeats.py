@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm._frame import settle, table
+from gleaner.llm._frame import release, settle, table
 from gleaner.llm._text import BASE, INVERSE, U64, blocks, mix, powers, utf8
 
 LENGTH, SEED = 50, 16
 HOT = 100_000
+#: Keys and hashes of texts that all tasks may get; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
 #: A place is variant * PLACE + position: texts of one key differ in the variant.
 PLACE = 1 << 40
 
@@ -128,7 +130,7 @@ def intervals(common: list[int], least: int) -> Iterator[tuple[int, int, int]]:
     `common` holds the common prefix of each neighbouring pair. One scan with a stack (Abouelhoda, Kurtz and
     Ohlebusch): an interval closes when the common prefix falls below its depth.
     """
-    stack = [(0, 0)]
+    stack: list[tuple[int, int]] = []
     for k, depth in enumerate([*common, -1]):
         first = k
         while stack and stack[-1][0] > depth:
@@ -161,60 +163,70 @@ def maximal_groups(right: np.ndarray, left: np.ndarray, least: int, length: int)
             yield back, depth, first + order[a : b + 1]
 
 
+def scan(group: pa.Table, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions in the group and bytes to the left and right of each covered occurrence."""
+    anchor = group.column("anchor").to_numpy()
+    data = np.frombuffer(b"".join(group.column("bytes").to_pylist()), dtype=np.uint8).reshape(len(anchor), -1)
+    rank = group.column("id").combine_chunks().dictionary_encode()
+    names = rank.dictionary.to_numpy(zero_copy_only=False)
+    places = np.empty(len(names), dtype=np.int64)
+    places[np.argsort(names, kind="stable")] = np.arange(len(names))
+    key = places[rank.indices.to_numpy()]
+    new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+    new_class = new_anchor | np.concatenate([[True], (data[1:] != data[:-1]).any(axis=1)])
+    of_class = np.cumsum(new_class) - 1
+    heads = np.flatnonzero(new_class)
+    lowest = np.minimum.reduceat(key, heads)
+    right, left, sizes = data[heads, :length], data[heads, length:-2], data[heads, -2:].astype(np.int64)
+    back, ahead = np.full(len(heads), -1), np.zeros(len(heads), dtype=np.int64)
+    starts = np.flatnonzero(new_anchor[heads])
+    counts = np.diff(np.append(starts, len(heads)))
+    two = starts[counts == 2]
+    if len(two):
+        a, b = two, two + 1
+        depth = np.minimum(common_prefix(right[a], right[b]), np.minimum(sizes[a, 0], sizes[b, 0]))
+        shared = np.minimum(common_prefix(left[a], left[b]), np.minimum(sizes[a, 1], sizes[b, 1]))
+        ok = (depth + shared >= length) & (lowest[a] != lowest[b])
+        later = np.where(lowest[a] > lowest[b], a, b)[ok]
+        back[later], ahead[later] = shared[ok], depth[ok]
+    for start, count in zip(starts[counts > 2], counts[counts > 2], strict=True):
+        here = slice(start, start + count)
+        for shared, depth, members in maximal_groups(right[here], left[here], seed, length):
+            extend(back, ahead, members + start, lowest, sizes, shared, depth, length)
+    # All spans of a place hold the anchor, so their union is one span.
+    rows = np.flatnonzero((back[of_class] >= 0) & (key == lowest[of_class]))
+    return rows, back[of_class[rows]], ahead[of_class[rows]]
+
+
+def extend(back: np.ndarray, ahead: np.ndarray, members: np.ndarray, lowest: np.ndarray, sizes: np.ndarray, shared: int, depth: int, length: int) -> None:
+    """Stretch the spans of the members that a smaller key precedes to what they share with it inside both texts."""
+    s, d = np.minimum(shared, sizes[members, 1]), np.minimum(depth, sizes[members, 0])
+    fits = s + d >= length
+    members, s, d = members[fits], s[fits], d[fits]
+    if not len(members):
+        return
+    if s.min() == shared and d.min() == depth:
+        cuts = [(shared, depth)]
+    else:
+        cuts = list({(int(x), int(y)) for x, y in zip(s, d, strict=True)})
+    for x, y in cuts:
+        some = members if len(cuts) == 1 else members[(s >= x) & (d >= y)]
+        low = lowest[some]
+        later = some[low > low.min()]
+        back[later] = np.maximum(back[later], x)
+        ahead[later] = np.maximum(ahead[later], y)
+
+
 def part_repeats(contexts: DataFrame, length: int, seed: int) -> DataFrame:
     """(id, at, back, ahead): the places of contexts that share LENGTH bytes or more with one of a smaller key."""
     kind = contexts.schema["id"].dataType.simpleString()
 
-    def scan(group: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Positions in the group and bytes to the left and right of each covered occurrence."""
-        anchor = group.column("anchor").to_numpy()
-        data = np.frombuffer(b"".join(group.column("bytes").to_pylist()), dtype=np.uint8).reshape(len(anchor), -1)
-        rank = group.column("id").combine_chunks().dictionary_encode()
-        names = rank.dictionary.to_numpy(zero_copy_only=False)
-        places = np.empty(len(names), dtype=np.int64)
-        places[np.argsort(names, kind="stable")] = np.arange(len(names))
-        key = places[rank.indices.to_numpy()]
-        new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-        new_class = new_anchor | np.concatenate([[True], (data[1:] != data[:-1]).any(axis=1)])
-        of_class = np.cumsum(new_class) - 1
-        heads = np.flatnonzero(new_class)
-        lowest = np.minimum.reduceat(key, heads)
-        right, left, sizes = data[heads, :length], data[heads, length:-2], data[heads, -2:].astype(np.int64)
-        back, ahead = np.full(len(heads), -1), np.zeros(len(heads), dtype=np.int64)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        starts = np.flatnonzero(new_anchor[heads])
-        counts = np.diff(np.append(starts, len(heads)))
-        two = starts[counts == 2]
-        if len(two):
-            a, b = two, two + 1
-            depth = np.minimum(common_prefix(right[a], right[b]), np.minimum(sizes[a, 0], sizes[b, 0]))
-            shared = np.minimum(common_prefix(left[a], left[b]), np.minimum(sizes[a, 1], sizes[b, 1]))
-            ok = (depth + shared >= length) & (lowest[a] != lowest[b])
-            later = np.where(lowest[a] > lowest[b], a, b)[ok]
-            back[later], ahead[later] = shared[ok], depth[ok]
-        spans = {int(c): [(int(back[c]), int(ahead[c]))] for c in np.flatnonzero(back >= 0)}
-        for start, count in zip(starts[counts > 2], counts[counts > 2], strict=True):
-            here = slice(start, start + count)
-            for shared, depth, members in maximal_groups(right[here], left[here], seed, length):
-                members = members + start
-                for c, s, d in clipped(members, lowest, sizes, shared, depth, length):
-                    spans.setdefault(c, []).append((s, d))
-        rows = np.argsort(of_class, kind="stable")
-        edges = np.searchsorted(of_class[rows], np.arange(len(heads) + 1))
-        for c, pairs in spans.items():
-            mine = rows[edges[c] : edges[c + 1]]
-            mine = mine[key[mine] == lowest[c]]
-            for s, d in set(pairs):
-                found.append((mine, np.full(len(mine), s), np.full(len(mine), d)))
-        return found
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def done(group: pa.Table) -> Iterator[pa.RecordBatch]:
-            found = scan(group)
-            if found:
-                rows, back, ahead = (np.concatenate(c) for c in zip(*found, strict=True))
+            rows, back, ahead = scan(group, length, seed)
+            if len(rows):
                 some = group.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([some.column("id").combine_chunks(), some.column("at").combine_chunks(), pa.array(back), pa.array(ahead)], names=["id", "at", "back", "ahead"])
 
@@ -236,19 +248,6 @@ def part_repeats(contexts: DataFrame, length: int, seed: int) -> DataFrame:
     return spread.mapInArrow(run, f"id {kind}, at long, back long, ahead long")
 
 
-def clipped(members: np.ndarray, lowest: np.ndarray, sizes: np.ndarray, shared: int, depth: int, length: int) -> Iterator[tuple[int, int, int]]:
-    """The members that a smaller key precedes, with the bytes that they share with it inside both texts."""
-    s, d = np.minimum(shared, sizes[members, 1]), np.minimum(depth, sizes[members, 0])
-    fits = s + d >= length
-    if not fits.any():
-        return
-    for back, ahead in {(int(x), int(y)) for x, y in zip(s[fits], d[fits], strict=True)}:
-        holds = (sizes[members, 1] >= back) & (sizes[members, 0] >= ahead)
-        some = members[holds]
-        for c in some[lowest[some] > lowest[some].min()]:
-            yield int(c), back, ahead
-
-
 def string_repeats(contexts: DataFrame, length: int, seed: int) -> DataFrame:
     """The same for anchors with very many contexts: all their strings of LENGTH bytes, aggregated by hash."""
     kind = contexts.schema["id"].dataType.simpleString()
@@ -286,13 +285,18 @@ def with_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     firsts = names.groupBy("c").agg(F.min("id").alias("first"))
     variant = F.row_number().over(Window.partitionBy("first").orderBy("c")) - 1
     known = settle(names.join(firsts.withColumn("variant", variant), "c").select("id", "c", "first", "variant"))
-    unique = rows.join(known.where("id = first"), ["id", "c"]).dropDuplicates(["id", "c"]).select("id", "variant", "t")
+    if known.count() <= BROADCAST_ROWS:
+        unique = rows.join(F.broadcast(known.where("id = first")), ["id", "c"])
+    else:
+        unique = rows.join(known.where("id = first"), ["id", "c"])
     by_anchor, by_context = Window.partitionBy("anchor"), Window.partitionBy("anchor", "context")
-    found = find_anchors(unique, length, seed).select(
+    found = find_anchors(unique.select("id", "variant", "t"), length, seed).select(
         "*", F.min("id").over(by_anchor).alias("low"), F.max("id").over(by_anchor).alias("high"),
         (F.min("context").over(by_anchor) < F.max("context").over(by_anchor)).alias("several"), F.count("*").over(by_anchor).alias("n"),
     ).where("low < high").withColumn("first", F.min("id").over(by_context))
     found = settle(found.where("id > first or several").select("anchor", "id", "at", (F.col("id") > F.col("first")).alias("whole"), (F.col("n") > hot).alias("hot")))
+    del unique
+    release(docs.sparkSession)
     whole = found.where("whole").select("id", "at", F.lit(length - seed).alias("back"), F.lit(length).alias("ahead"))
     places = found.where("not whole").withColumn("variant", F.floor(F.col("at") / PLACE).cast("int"))
     places = places.groupBy("id", "variant").agg(F.collect_list(F.struct("anchor", "at", "hot")).alias("places"))
@@ -311,17 +315,16 @@ def with_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     return out.union(nameless.select("id", "t", F.lit(False), F.lit(None).cast("array<struct<s:bigint,e:bigint>>")))
 
 
-def merged(spans: list[tuple[int, int]], size: int, length: int) -> list[tuple[int, int]]:
-    """Spans inside a text of `size` bytes, sorted and joined; what is left shorter than `length` was no repeat."""
-    out: list[tuple[int, int]] = []
-    for start, end in sorted((max(s, 0), min(e, size)) for s, e in spans):
-        if end - start < length:
-            continue
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((start, end))
-    return out
+def covered(offsets: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """Which bytes of a block of texts lie in a span, spans being cut to their text first. A span that is then
+    shorter than `length` was no repeat."""
+    size = np.diff(offsets)[row]
+    start, end = np.maximum(start, 0), np.minimum(end, size)
+    real = end - start >= length
+    edges = np.zeros(offsets[-1] + 1, dtype=np.int32)
+    np.add.at(edges, (offsets[row] + start)[real], 1)
+    np.add.at(edges, (offsets[row] + end)[real], -1)
+    return np.cumsum(edges[:-1]) > 0
 
 
 def without_repeats(docs: DataFrame, *, key: str = "doc_id", length: int = LENGTH, **options) -> DataFrame:
@@ -331,22 +334,24 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", length: int = LENGT
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "t"):
             raw, offsets = utf8(batch.column("t"))
-            copy = batch.column("copy").to_numpy(zero_copy_only=False)
+            copy = np.flatnonzero(batch.column("copy").to_numpy(zero_copy_only=False))
             lists = batch.column("spans")
+            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             flat = lists.flatten()
-            s, e = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
-            edges = np.concatenate([[0], np.cumsum(np.nan_to_num(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))]).astype(int)
-            removed, kept = [], []
-            for k in range(batch.num_rows):
-                text = raw[offsets[k] : offsets[k + 1]]
-                spans = [(0, len(text))] if copy[k] else list(zip(s[edges[k] : edges[k + 1]].tolist(), e[edges[k] : edges[k + 1]].tolist(), strict=True))
-                gone = merged(spans, len(text), length)
-                stays = np.ones(len(text), dtype=bool)
-                for a, b in gone:
-                    stays[a:b] = False
-                removed.append([{"start": a, "end": b} for a, b in gone])
-                kept.append(text[stays].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(offsets)), pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], names=["id", "n_bytes", "removed", "kept"])
+            start, end = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            row = np.concatenate([np.repeat(np.arange(batch.num_rows), counts), copy])
+            start, end = np.concatenate([start, np.zeros(len(copy), np.int64)]), np.concatenate([end, np.diff(offsets)[copy]])
+            gone = covered(offsets, row, start, end, length)
+            before, after = np.concatenate([[False], gone[:-1]]), np.concatenate([gone[1:], [False]])
+            before[offsets[:-1][offsets[:-1] < len(raw)]] = False
+            after[offsets[1:][offsets[1:] > 0] - 1] = False
+            starts, ends = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+            runs = np.searchsorted(starts, offsets)
+            base = offsets[np.searchsorted(offsets, starts, side="right") - 1]
+            removed = pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.StructArray.from_arrays([pa.array(starts - base), pa.array(ends - base)], names=["start", "end"]))
+            stays = np.concatenate([[0], np.cumsum(~gone)])[offsets]
+            kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(stays), pa.py_buffer(raw[~gone].tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(offsets)), removed, kept.cast(pa.binary())], names=["id", "n_bytes", "removed", "kept"])
 
     kind = found.schema["id"].dataType.simpleString()
     return found.mapInArrow(run, f"id {kind}, n_bytes long, removed array<struct<start: long, end: long>>, kept binary").withColumnRenamed("id", key)
