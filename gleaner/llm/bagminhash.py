@@ -8,8 +8,8 @@ and only up to a bound at which all slots are filled, so a long text costs littl
 
 Signatures are cut into bands; documents that share a band are candidates, and every link is verified on the
 whole multisets. Copies of a text are one node. In each bucket the member with most candidates is compared
-with all others first; what stays apart is compared member by member, in rounds of one pivot per bucket for
-as long as the open pairs outnumber the members. No pair is emitted that components already connect.
+with all others first; what stays apart is compared member by member, after rounds of one more pivot per bucket for
+as long as there are many open pairs for each member. No pair is emitted that components already connect.
 
 Definitions. Words are as in `_text`; null, empty and wordless texts link with nothing. A row without an id
 is its own class with a null id. Rows with one id are one node. Any other column is ignored.
@@ -31,6 +31,8 @@ from gleaner.llm.graph import components
 WORDS, SIMILARITY = 5, 0.8
 #: 40 bands of 6: two documents at similarity 0.8 share no band once in 200,000 times, at 0.5 they do once in 2.
 BANDS, ROWS = 40, 6
+#: Open pairs per open member up to which they are compared one by one, and pairs or keys that all tasks may get.
+OPEN_PAIRS, BROADCAST_ROWS = 64, 500_000
 
 
 def uniform(seeds: np.ndarray) -> np.ndarray:
@@ -164,7 +166,9 @@ def similar(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found)], names=["a", "b", "similarity"]).filter(kept)
 
     kind = pairs.schema["a"].dataType.simpleString()
-    joined = pairs.join(contents.withColumnRenamed("id", "a"), "a").join(contents.select(F.col("id").alias("b"), F.col("bag").alias("bag_b")), "b")
+    small = pairs.count() <= BROADCAST_ROWS
+    joined = contents.withColumnRenamed("id", "a").join(F.broadcast(pairs) if small else pairs, "a")
+    joined = joined.join(contents.select(F.col("id").alias("b"), F.col("bag").alias("bag_b")), "b")
     return joined.select("a", "b", "bag", "bag_b").mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
@@ -185,8 +189,10 @@ def near_duplicates(
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = settle(keys.join(sizes, "key"))
     degrees = shared.groupBy("id").agg(F.sum("n").alias("degree"))
-    wanted = settle(texts.join(degrees.select("id"), "id", "left_semi").dropDuplicates(["id", "t"]))
-    contents = settle(bags(wanted, words))
+    ids = settle(degrees.select("id"))
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    contents = settle(bags(texts.join(ids, "id", "left_semi"), words).distinct())
     open_ = settle(shared.join(degrees, "id").select("key", "id", "degree"))
     links = member.select(F.col("id").alias("a"), F.col("rep").alias("b"))
     used = None
@@ -196,7 +202,8 @@ def near_duplicates(
         tested = open_.join(pivots, "key").where("id <> pivot")
         if used is not None:
             tested = tested.join(parts.withColumnsRenamed({"node": "pivot", "component": "pivot_part"}), "pivot").where("part <> pivot_part")
-        edges = settle(similar(tested.select(*pair("id", "pivot")).distinct(), contents, similarity)).select("a", "b")
+        tested = settle(tested.select(*pair("id", "pivot")).distinct())
+        edges = similar(tested, contents, similarity).select("a", "b")
         links = settle(links.union(edges))
         used = pivots.select("key", F.col("pivot").alias("id")) if used is None else settle(used.union(pivots.select("key", F.col("pivot").alias("id"))))
         parts = settle(components(links))
@@ -207,9 +214,9 @@ def near_duplicates(
         if not left["rows"]:
             break
         open_ = settle(joined.join(live.select("key"), "key", "left_semi"))
-        if left["pairs"] <= 4 * left["rows"] + 10_000:
+        if left["pairs"] <= OPEN_PAIRS * left["rows"]:
             other = open_.select("key", F.col("id").alias("other"), F.col("part").alias("other_part"))
-            rest = open_.join(other, "key").where("part < other_part").select(*pair("id", "other")).distinct()
+            rest = settle(open_.join(other, "key").where("part < other_part").select(*pair("id", "other")).distinct())
             links = settle(links.union(similar(rest, contents, similarity).select("a", "b")))
             parts = settle(components(links))
             break
