@@ -13,7 +13,7 @@ from gleaner.functions.markup import strip_html, tag_texts
 from gleaner.functions.stemming import stem_terms
 from gleaner.operators.suggest import matches_any_prefix
 from gleaner.sources.index import doc_frequency, scored_tokens, with_tokens
-from gleaner.sources.tables import expand_synonyms, spread, without_stopwords
+from gleaner.sources.tables import expand_synonyms, without_stopwords
 
 
 def postings(spark, sf, type_name, **options):
@@ -125,7 +125,7 @@ def protected_words(spark, sf):
     """Entities on the protected list stay whole, others fall into parts."""
     tokens = F.regexp_extract_all("html", F.lit(r"&[#a-z0-9]+;|\p{L}+|\p{N}+"), F.lit(0))
     split = Delimiter(catenate=False, keep_original=False)
-    rows = spread(table(spark, sf, "pages"), "page_id").select(
+    rows = table(spark, sf, "pages").select(
         F.col("page_id").cast("string").alias("item_id"), F.explode(tokens).alias("tok"))
     return (
         rows.select("item_id", F.explode(F.flatten(split.slots(F.col("tok"), PROTECTED_WORDS))).alias("term"))
@@ -184,9 +184,9 @@ def accent_fold(spark, sf):
 
 @query("stem_vocab")
 def stem_vocab(spark, sf):
-    """Distinct words of the English documents with their stems."""
+    """Distinct words of all documents with their English stems."""
     words = F.array_distinct(word_tokens(F.lower("text")))
-    rows = spread(table(spark, sf, "documents").where("lang = 'en'"), "doc_id").select(words.alias("words"))
+    rows = table(spark, sf, "documents").select(words.alias("words"))
     pairs = rows.withColumn("stems", stem_terms(F.col("words"), "english"))
     return pairs.select(F.inline(F.arrays_zip("words", "stems"))).distinct().select(
         F.col("words").alias("term"), F.col("stems").alias("stem"))
@@ -239,7 +239,7 @@ SELECT CAST(page_id AS VARCHAR) AS item_id, trim(regexp_replace(
     regexp_replace(regexp_replace(html, '(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'),
     '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#039;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS body FROM pages""")
 def strip_html_query(spark, sf):
-    return spread(table(spark, sf, "pages"), "page_id").select(
+    return table(spark, sf, "pages").select(
         F.col("page_id").cast("string").alias("item_id"), strip_html(F.col("html")).alias("body"))
 
 

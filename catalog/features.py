@@ -44,8 +44,7 @@ def mlt_missing(spark, sf):
 def _suggest_sql(matched: str, second: str, fragment: str, typed: str, limit: int, found2: str) -> str:
     def one(number: int, cond: str, prefix: str, extra: str) -> str:
         return f"""n{number} AS (SELECT count(DISTINCT doc_id) AS n FROM documents WHERE {cond}),
-c{number} AS (SELECT term, count(DISTINCT doc_id) AS results FROM tok WHERE {cond}{prefix} GROUP BY term
-  ORDER BY results DESC, term LIMIT {5 * limit}),
+c{number} AS (SELECT term, count(DISTINCT doc_id) AS results FROM tok WHERE {cond}{prefix} GROUP BY term),
 s{number} AS (SELECT {number}::INTEGER AS pass, term, results,
     CASE WHEN starts_with(term, '{fragment}') THEN substr(term, {len(fragment) + 1}) ELSE ' ' || term END AS suffix
   FROM c{number} CROSS JOIN n{number} WHERE strlen(term) >= 3 AND term NOT IN ({typed})

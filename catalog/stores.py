@@ -79,7 +79,92 @@ def store_upsert(spark, sf):
 
 @query("store_compact", f"WITH {UPDATED} {MATCHED}")
 def store_compact(spark, sf):
-    done = updated(spark, sf).compact(work_dir(spark, "store-compact"))
+    done = updated(spark, sf).compact()
     return ids(search(done.index(), keys=some("rewritten", "der", "the"), scoring=None).hits)
 
 
+
+
+def halves(spark, sf) -> IndexStore:
+    """Odd and even documents in two appends, neither of them numbered."""
+    store = IndexStore(spark, work_dir(spark, "store"), STORED)
+    docs = documents(spark, sf, STORED).docs.withColumns({"version": F.lit(1).cast("bigint"), "op": F.lit("U")})
+    for k in (0, 1):
+        store.append(docs.where(F.col("item_id").cast("long") % 2 == k), unique=True)
+    return store
+
+
+ALL_MATCHED = f"WITH {TOK} SELECT DISTINCT CAST(doc_id AS VARCHAR) AS item_id FROM tok WHERE term IN ('der', 'the')"
+
+
+@query("store_two_appends", ALL_MATCHED)
+def store_two_appends(spark, sf):
+    return ids(search(halves(spark, sf).index(), keys=some("der", "the"), scoring=None).hits)
+
+
+@query("store_score_parts", SQL["score_tfidf"])
+def store_score_parts(spark, sf):
+    """Scores of a store in two parts."""
+    return search(halves(spark, sf).index(), keys="de la", where=C("lang", "fr")).hits
+
+
+REWRITTEN = TOK.replace(
+    "unnest(string_split_regex(lower(text), '\\s+')) AS term FROM documents",
+    "unnest(string_split_regex(lower(CASE WHEN lang = 'fr' THEN text || ' rewritten' ELSE text END), '\\s+')) AS term"
+    " FROM documents")
+
+
+@query("store_same_version", f"""WITH {REWRITTEN}, m AS (SELECT DISTINCT doc_id, lang FROM tok WHERE term IN ('rewritten', 'the'))
+SELECT lang AS value, count(*) AS count FROM m GROUP BY lang""")
+def store_same_version(spark, sf):
+    """A version sent again with other texts: the later one counts, and counts once."""
+    store = halves(spark, sf)
+    newer = table(spark, sf, "documents").where("lang = 'fr'").withColumns({
+        "text": F.concat("text", F.lit(" rewritten")), "version": F.lit(1).cast("bigint"), "op": F.lit("U")})
+    store.append(build_documents(newer, STORED), unique=True)
+    found = search(store.index(), keys=some("rewritten", "the"), scoring=None, facets=(Facet("lang", limit=0),))
+    return found.facets.select(F.regexp_replace("value", '"', "").alias("value"), "count")
+
+
+@query("store_bulk_then_stream", f"""WITH {TOK}, m AS (SELECT DISTINCT doc_id FROM tok WHERE term IN ('der', 'the'))
+SELECT CAST(doc_id AS VARCHAR) AS item_id FROM m""")
+def store_bulk_then_stream(spark, sf):
+    """Even documents loaded in bulk, then all of them from a stream."""
+    from gleaner.streaming.ingest import read_changes, upsert_stream
+
+    store = IndexStore(spark, work_dir(spark, "store"), STORED)
+    docs = documents(spark, sf, STORED).docs.withColumns({"version": F.lit(1).cast("bigint"), "op": F.lit("U")})
+    store.append(docs.where(F.col("item_id").cast("long") % 2 == 0), unique=True)
+    changes = read_changes(spark, sf, table(spark, sf, "documents").schema, pathGlobFilter="documents.parquet")
+    upsert_stream(
+        changes, store,
+        lambda rows: build_documents(rows.withColumns({"version": F.lit(2).cast("bigint"), "op": F.lit("U")}), STORED),
+        f"{store.path}/checkpoint", available_now=True,
+    ).awaitTermination()
+    return ids(search(store.index(), keys=some("der", "the"), scoring=None).hits)
+
+
+@query("store_delete_ids", "SELECT CAST(doc_id AS VARCHAR) AS item_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def store_delete_ids(spark, sf):
+    store = halves(spark, sf)
+    gone = table(spark, sf, "labels").where("toxic = 1").select(
+        F.concat(F.lit("local-documents-"), "doc_id").alias("doc_key"))
+    store.delete(gone)
+    return store.current().select("item_id")
+
+
+@query("store_delete_where", "SELECT CAST(doc_id AS VARCHAR) AS item_id FROM documents WHERE NOT coalesce(n_chars > 1000, false)")
+def store_delete_where(spark, sf):
+    store = halves(spark, sf)
+    store.delete_where(F.col("n_chars") > 1000)
+    return store.current().select("item_id")
+
+
+@query("store_clear", "SELECT lang, count(*) AS docs FROM documents WHERE lang = 'es' GROUP BY lang")
+def store_clear(spark, sf):
+    """Everything deleted, then the Spanish documents loaded again."""
+    store = halves(spark, sf)
+    store.clear()
+    docs = documents(spark, sf, STORED).docs.where("lang = 'es'")
+    store.append(docs.withColumns({"version": F.lit(1).cast("bigint"), "op": F.lit("U")}), unique=True)
+    return store.current().groupBy("lang").agg(F.count("*").alias("docs"))

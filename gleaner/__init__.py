@@ -8,7 +8,8 @@ from gleaner.operators.similar import Similar
 from gleaner.operators.spatial import Spatial
 from gleaner.plans.request import SearchRequest
 from gleaner.plans.search import SearchResult, search
-from gleaner.sources.index import IndexStore, SearchIndex, build_documents
+from gleaner.sources.index import SearchIndex, build_documents
+from gleaner.sources.store import IndexStore
 from gleaner.spec import FieldSpec, IndexSpec, register_type
 
 __all__ = [

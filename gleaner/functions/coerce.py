@@ -27,7 +27,9 @@ def to_integer(raw: Column) -> Column:
 
 def to_date(raw: Column) -> Column:
     """Epoch seconds or date text -> UTC second; null for a bad date."""
-    epoch = F.when(raw.rlike(NUMERIC), F.timestamp_seconds(to_integer(raw)))
+    seconds = to_integer(raw)
+    # years 1 to 9999; other epochs are bad dates
+    epoch = F.when(raw.rlike(NUMERIC) & seconds.between(-62135596800, 253402300799), F.timestamp_seconds(seconds))
     return F.coalesce(epoch, F.date_trunc("second", F.try_to_timestamp(raw)))
 
 

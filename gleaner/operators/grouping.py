@@ -26,12 +26,12 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str
 
     Spark cuts every task's rows to n per key before the shuffle
     (WindowGroupLimit), so a huge group sends n rows per task.  Above Spark's
-    rank limit the cut is made here, on key plus salt.
+    rank limit the cut is made here, on the key and the task that read the row.
     """
     if n >= WINDOW_LIMIT:
         salt = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = (
-            df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+            df.withColumn("_salt", F.spark_partition_id())
             .withColumn("_pre", F.row_number().over(salt))
             .where(F.col("_pre") <= n)
             .drop("_pre", "_salt")

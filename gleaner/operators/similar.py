@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.columns import compute_once, let, total
 from gleaner.operators.scoring import DIGITS
-from gleaner.sources.index import SearchIndex, with_words
+from gleaner.sources.index import SearchIndex, document_key, row_keys, with_words
 
 MAX_TERMS = 25
 
@@ -18,7 +18,14 @@ MAX_TERMS = 25
 class Similar:
     item_id: str
     fields: tuple[str, ...]
-    max_terms: int = MAX_TERMS
+    max_terms: int = MAX_TERMS  # the feature's own number of telling terms
+    site: str | None = None  # of the source document, if not the index's own
+    index_id: str | None = None
+
+    def key(self, index: SearchIndex) -> Column:
+        """Ids are unique within a site and index only."""
+        site, index_id = self.site or index.spec.site, self.index_id or index.spec.index_id
+        return document_key(F.lit(site), F.lit(index_id), F.lit(self.item_id))
 
 
 def usable_fields(index: SearchIndex, fields: tuple[str, ...]) -> list[str]:
@@ -46,7 +53,7 @@ def similar_scores(index: SearchIndex, similar: Similar) -> DataFrame:
     """``(doc_key[, version], score)`` of the documents that share a chosen term with the source."""
     fields = usable_fields(index, similar.fields)
     n = index.docs.agg(F.count("*").alias("n")).scalar()
-    source = index.docs.where(F.col("item_id") == similar.item_id)
+    source = index.docs.where(F.col("doc_key") == similar.key(index))
     if index.stored_postings is not None:
         return _from_postings(index, source, fields, n, similar)
     return _from_rows(index, source, fields, n, similar)
@@ -62,10 +69,9 @@ def _from_postings(index: SearchIndex, source: DataFrame, fields: list[str], n:
         .groupBy("field", "term").agg(F.count("*").alias("df"))
     )
     chosen = _chosen(own, df, n, similar.max_terms)
-    # at most `max_terms` rows, so the broadcast has a fixed bound
-    hits = index.term_rows(fields, checked=False).join(F.broadcast(chosen), ["field", "term"])
-    # the caller joins the scores to live documents, version by version
-    keys = ["doc_key", *[c for c in ("version",) if c in hits.columns]]
+    hits = index.term_rows(fields, checked=False).join(chosen, ["field", "term"])
+    # the caller joins the scores to live documents, write by write
+    keys = row_keys(hits)
     return hits.where(F.col("doc_key") != F.col("own_key")).groupBy(*keys).agg(
         F.round(F.sum(_term_score(F.col("weight"), F.col("idf2"), F.col("tf"), F.col("len"))), DIGITS - 2).alias("score")
     )
@@ -99,7 +105,7 @@ def _from_rows(index: SearchIndex, source: DataFrame, fields: list[str], n: Colu
     df = shared.groupBy("field", "term").agg(F.count("*").alias("df"))
     chosen = _chosen(own, df, n, similar.max_terms).agg(
         F.collect_list(F.struct("field", "term", "weight", "idf2")).alias("c")).scalar()
-    rows = compute_once(rows.where(F.col("item_id") != similar.item_id), {"_chosen": chosen})
+    rows = compute_once(rows.where(F.col("doc_key") != similar.key(index)), {"_chosen": chosen})
     scored = compute_once(rows, {"score": total(_row_score(index, f) for f in fields)})
     return scored.where("score > 0").select("doc_key", F.round("score", DIGITS - 2).alias("score"))
 

@@ -45,9 +45,14 @@ class Spatial:
 def merge_ranges(spatials: list[Spatial], conditions) -> tuple[list[Spatial], object]:
     """Move top-level range conditions on a location field into its distances:
     the smallest upper bound and the largest lower bound win."""
+    fields = {s.field for s in spatials}
+    if isinstance(conditions, Condition) and conditions.field in fields:
+        conditions = Group((conditions,), "AND")
     if not isinstance(conditions, Group) or conditions.conjunction != "AND":
         return spatials, conditions
-    fields = {s.field for s in spatials}
+    for c in conditions.items:
+        if isinstance(c, Condition) and c.field in fields and c.op in ("<", ">"):
+            raise ValueError(f"{c.field}: a distance takes <= or >=, not {c.op}")
     ranges = [
         c for c in conditions.items
         if isinstance(c, Condition) and c.field in fields and c.op in ("<=", ">=") and c.value is not None

@@ -20,7 +20,6 @@ from gleaner.sources.index import SearchIndex, spell_dictionary, with_words
 KEY_BREAKS = r"""[-\s():{}\[\]\\"]+"""
 MIN_BYTES = 3
 MAX_OCCURRENCES = 0.9
-OVERFETCH = 5
 MAX_EDITS = 2
 
 
@@ -72,13 +71,12 @@ def autocomplete(
         lambda p: (p["n"] > 0) & ((p["pass"] == 1) | F.lit(suggest_words)),
     )
     by_field = counts.select("field", "term", F.inline(passes))
-    kept = top_n(by_field, ["pass", "field"], [F.col("n").desc(), F.col("term").asc()], OVERFETCH * limit)
-    # from here on a bounded number of rows: passes * fields * OVERFETCH * limit
-    merged = kept.groupBy("pass", "term").agg(F.max("n").alias("results"))
-    documents = F.max(F.when(F.col("term") == "", F.col("results"))).over(Window.partitionBy("pass"))
+    # Fields are merged and terms excluded on the full counts; the cut comes last.
+    merged = by_field.groupBy("pass", "term").agg(F.max("n").alias("results"))
+    documents = merged.where(F.col("term") == "").select("pass", F.col("results").alias("_found"))
     most = F.col("_found") * MAX_OCCURRENCES
     too_many = (F.col("results") > most) & (most < F.col("_found")) & ((F.col("pass") == 2) | (most >= 1))
-    merged = merged.withColumn("_found", documents).where((F.octet_length("term") >= MIN_BYTES) & ~too_many)
+    merged = merged.join(documents, "pass").where((F.octet_length("term") >= MIN_BYTES) & ~too_many)
     if typed:
         merged = merged.where(~F.col("term").isin(*typed))
     best = top_n(merged.select("pass", "term", "results"), ["pass"], [F.col("results").desc(), F.col("term").asc()], limit).drop("rank")

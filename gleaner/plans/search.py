@@ -286,7 +286,7 @@ class SearchResult:
     def _projected(self, rows: DataFrame) -> DataFrame:
         if self.request.retrieve_all:
             hidden = [f.name for f in self.spec.fields if not f.is_stored]
-            hidden += [c for c in rows.columns if c == "terms" or c.startswith(("first__", "sort__", "len__"))]
+            hidden += [c for c in rows.columns if c in ("terms", "part") or c.startswith(("first__", "sort__", "len__"))]
             rows = rows.drop(*hidden)
         else:
             extra = [f"distance__{s.field}" for s in self.spatial]
@@ -304,7 +304,8 @@ class SearchResult:
         for s in self.spatial:
             rows = rows.withColumn(f"distance__{s.field}", F.round(s.distance, 6))
         paged = self.request.offset or self.request.limit is not None
-        if paged or self.request.sorts or self.request.elevation is not None:
+        ranked = self.request.similar is not None or self.request.scoring is not None and self._measures
+        if paged or ranked or self.request.sorts or self.request.elevation is not None:
             rows = rows.orderBy(*self._order(self.request.sorts))
         if self.request.offset:
             rows = rows.offset(self.request.offset)
@@ -379,13 +380,23 @@ class SearchResult:
         order = self._order(grouping.sort or self.request.sorts)
         out = None
         for name in grouping.fields:
-            top = top_n(self.matched, [name], order, grouping.limit).select(
+            top = top_n(self._group_page(name, order), [name], order, grouping.limit).select(
                 F.lit(name).alias("group_field"), F.col(name).cast("string").alias("group_value"),
                 F.col("rank"), "item_id", "score",
             )
             out = top if out is None else out.unionByName(top)
         return out
 
+    def _group_page(self, name: str, order: list) -> DataFrame:
+        """The rows of one page of groups; groups stand in the order of their first rows."""
+        if not self.request.offset and self.request.limit is None:
+            return self.matched
+        page = heads(self.matched, name, order).orderBy(*order)
+        page = page.offset(self.request.offset) if self.request.offset else page
+        page = page.limit(self.request.limit) if self.request.limit is not None else page
+        wanted = page.select(F.col(name).alias("_group"))
+        return self.matched.join(wanted, F.col(name).eqNullSafe(F.col("_group")), "left_semi")
+
     @cached_property
     def group_total(self) -> DataFrame:
         """``(group_field, groups)``: number of groups per field."""

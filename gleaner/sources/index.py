@@ -18,7 +18,6 @@ from gleaner.functions.analysis import analyzer, group_terms
 from gleaner.functions.coerce import coerce_values, first_value
 from gleaner.functions.columns import compute_once, is_array, let
 from gleaner.operators.keys import phrase_frequency
-from gleaner.sources.tables import spread
 from gleaner.spec import FieldSpec, IndexSpec
 
 def document_key(site: Column, index_id: Column, item_id: Column) -> Column:
@@ -110,6 +109,11 @@ def coerce_documents(source: DataFrame, spec: IndexSpec, values: str = "fields")
 # -- maintenance -------------------------------------------------------------
 
 
+def row_keys(rows: DataFrame) -> list[str]:
+    """The columns that name one write of a document: its key, its version, and in a store its part."""
+    return ["doc_key", *[c for c in ("version", "part") if c in rows.columns]]
+
+
 def latest(log: DataFrame, key: str = "doc_key", order: tuple[str, ...] = ("version",)) -> DataFrame:
     """Last write per key.  Partial aggregation keeps one row per key and task,
     so a key with a third of all writes costs no more than the others."""
@@ -217,7 +221,7 @@ def _raw_tokens(f: FieldSpec) -> Column:
 
 def with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_tok_") -> DataFrame:
     """Add the token column ``<prefix><field>`` of text fields, computed in the row."""
-    return _with_tokens(spread(docs, "doc_key"), spec, names, prefix)
+    return _with_tokens(docs, spec, names, prefix)
 
 
 def _with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_tok_") -> DataFrame:
@@ -242,7 +246,6 @@ def with_words(
 
         text = {prefix + n: stored(n) for n in names if spec[n].is_text}
     else:
-        docs = spread(docs, "doc_key")
         stemmed = [n for n in names if spec[n].is_text and spec[n].type != "tokens" and spec[n].chain.stemmer]
         if stemmed:
             docs = _with_tokens(docs, spec, stemmed)
@@ -319,7 +322,7 @@ def spell_dictionary(docs: DataFrame, spec: IndexSpec, by: tuple[str, ...] = ())
         spell_texts(spec),
         lambda v: F.filter(chain.words(v), lambda w: F.length(w).between(chain.min_length, chain.max_length)),
     )))
-    rows = spread(docs, "doc_key")
+    rows = docs
     return rows.select(*by, F.explode(words).alias("term")).groupBy(*by, "term").agg(F.count("*").alias("df"))
 
 
@@ -364,14 +367,13 @@ class SearchIndex:
         if self.stored_postings is not None and not checked:
             return self.stored_postings.where(F.col("field").isin(*names))
         if self.stored_postings is not None:
-            # A stored posting belongs to a document version; the semi join
+            # A stored posting belongs to one write of a document; the semi join
             # keeps those of live, scoped documents.
-            keys = ["doc_key", "version"] if "version" in self.stored_postings.columns else ["doc_key"]
+            keys = row_keys(self.stored_postings)
             return self.stored_postings.where(F.col("field").isin(*names)).join(
                 self.docs.select(*keys), keys, "left_semi"
             )
-        keep = [c for c in ("doc_key", "version") if c in self.docs.columns]
-        return term_vectors(self.docs, self.spec, names).select(*keep, F.inline("terms"))
+        return term_vectors(self.docs, self.spec, names).select(*row_keys(self.docs), F.inline("terms"))
 
     def term_rows(self, fields: list[str], checked: bool = True) -> DataFrame:
         """``(doc_key, field, term, tf, len)`` of any fields; other values are one term each."""
@@ -379,8 +381,7 @@ class SearchIndex:
         plain = [n for n in fields if not self.spec[n].is_text]
         parts = []
         if text:
-            version = ["version"] if "version" in self.docs.columns else []
-            parts.append(self.postings(text, checked).select("doc_key", *version, "field", "term", "tf", "len"))
+            parts.append(self.postings(text, checked).select(*row_keys(self.docs), "field", "term", "tf", "len"))
         if plain:
             values = F.concat(*[
                 F.transform(
@@ -392,8 +393,7 @@ class SearchIndex:
                 )
                 for n in plain
             ])
-            version = ["version"] if "version" in self.docs.columns else []
-            parts.append(self.docs.select("doc_key", *version, F.inline(values)))
+            parts.append(self.docs.select(*row_keys(self.docs), F.inline(values)))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -410,8 +410,7 @@ class SearchIndex:
         if self.stored_postings is not None:
             return self._frequencies_from_postings(lookups, need_match)
         stemmed = [n for n in lookups if self.spec[n].is_text and self.spec[n].chain.stemmer]
-        rows = spread(self.docs, "doc_key")
-        rows = _with_tokens(rows, self.spec, stemmed) if stemmed else rows
+        rows = _with_tokens(self.docs, self.spec, stemmed) if stemmed else self.docs
         found = compute_once(rows, {
             f"_x_{n}": _row_frequencies(self.spec[n], lookup, F.col(f"_tok_{n}") if n in stemmed else None)
             for n, lookup in lookups.items()
@@ -425,7 +424,7 @@ class SearchIndex:
         wanted = F.lit(False)
         for n, lookup in lookups.items():
             wanted = wanted | ((F.col("field") == n) & F.col("term").isin(*lookup.terms))
-        keys = ["doc_key", "version"] if "version" in self.stored_postings.columns else ["doc_key"]
+        keys = row_keys(self.stored_postings)
         # Single words need their count only: integers keep the aggregate hash-based.
         words_only = all(
             len(slots) <= 1 and all(len(slot) == 1 for slot in slots)
@@ -496,89 +495,3 @@ def value_array(docs: DataFrame, name: str) -> Column:
         values = F.array_distinct(F.filter(F.col(name), lambda v: v.isNotNull()))
         return F.coalesce(values, F.array().cast(docs.schema[name].dataType))
     return F.filter(F.array(F.col(name)), lambda v: v.isNotNull())
-
-
-@dataclass(frozen=True)
-class IndexStore:
-    """An append-only index in a folder: ``docs`` and ``postings``, one part per batch.
-
-    A batch overwrites its own part, so running it again after a failure leaves
-    the same content.  Readers see the latest version per id.
-    """
-
-    spark: SparkSession
-    path: str
-    spec: IndexSpec
-
-    def append(
-        self, docs: DataFrame, batch: int = 0, unique: bool = False, partitions: int | None = None
-    ) -> None:
-        """Write document rows (with ``version`` and ``op``), their term vectors and postings.
-
-        Texts are analyzed once: the postings are read off the vectors just written.
-        ``unique`` says that no document occurs twice in ``docs``, which saves the
-        shuffle that keeps its last write.  ``partitions`` sets the number of
-        posting files (default: ``spark.sql.shuffle.partitions``).
-        """
-        names = [f.name for f in self.spec.text_fields]
-        docs = docs if unique else latest(docs)
-        vectors = docs if "terms" in docs.columns else term_vectors(docs, self.spec, names)
-        lengths = {
-            f"len__{n}": F.coalesce(F.array_max(F.transform(
-                F.filter("terms", lambda t: t["field"] == n), lambda t: t["len"])), F.lit(0))
-            for n in names
-        }
-        vectors = vectors.drop(*[c for c in lengths if c in vectors.columns])
-        self._write_docs(compute_once(vectors, lengths), batch)
-        written = self.spark.read.parquet(self._part("docs", batch)).where("op <> 'D'")
-        postings = written.select("index_id", "doc_key", "version", F.inline("terms"))
-        # Range-partitioned by (field, term, document): a term that occurs in a third
-        # of all documents spans several files instead of filling one task.
-        order = ["field", "term", "doc_key"]
-        spread_out = postings.repartitionByRange(*([partitions] if partitions else []), *order)
-        spread_out.sortWithinPartitions(*order).write.mode("overwrite").parquet(self._part("postings", batch))
-
-    def append_documents(self, docs: DataFrame, batch: int = 0, unique: bool = False) -> None:
-        """Write document rows only, for indexes that are not searched by term."""
-        self._write_docs(docs if unique else latest(docs), batch)
-
-    def _write_docs(self, docs: DataFrame, batch: int) -> None:
-        renamed = docs.withColumnsRenamed(self.spec.renames) if self.spec.renames else docs
-        renamed.write.mode("overwrite").parquet(self._part("docs", batch))
-
-    def _part(self, table: str, batch: int) -> str:
-        return f"{self.path}/{table}/batch={batch}"
-
-    def batches(self) -> int:
-        """Number of batches written so far."""
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/docs")
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return sum(1 for entry in files.listStatus(folder) if entry.getPath().getName().startswith("batch="))
-
-    def log(self) -> DataFrame:
-        """All writes, under the logical field names."""
-        log = self.spark.read.parquet(f"{self.path}/docs")
-        return log.withColumnsRenamed({v: k for k, v in self.spec.renames.items()})
-
-    def current(self) -> DataFrame:
-        """Latest version per document.  A single batch holds each document once
-        already; else the winners are found on the narrow key columns, so a query
-        still reads and shuffles only the columns it needs."""
-        log = self.log()
-        if self.batches() > 1:
-            winners = latest(log.select("doc_key", "version", "batch", "op"), order=("version", "batch"))
-            log = log.join(
-                winners.where(F.col("op") != "D").select("doc_key", "version", "batch"),
-                ["doc_key", "version", "batch"], "left_semi",
-            )
-        return log.where(F.col("op") != "D").drop("batch")
-
-    def index(self) -> SearchIndex:
-        postings = self.spark.read.parquet(f"{self.path}/postings").drop("batch")
-        return SearchIndex(self.spec, self.current(), postings)
-
-    def compact(self, target: str) -> "IndexStore":
-        """Write the current view to a new folder as a single batch; texts are not analyzed again."""
-        done = IndexStore(self.spark, target, self.spec)
-        done.append(self.current(), 0, unique=True)
-        return done

@@ -8,26 +8,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_LIST = 10_000  # word lists above this are data, not configuration
-SMALL_SCAN = 64 * 1024 * 1024  # bytes of input per core below which a scan is spread out
-
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
     reader = spark.read.format(fmt).options(**options)
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for a small input that sits in a few file splits.
-
-    Large inputs already come in more splits than cores; they keep the
-    partitioning of their scan, so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if size < cores * SMALL_SCAN else df
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder the session names."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -39,16 +25,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/gleaner/{name}-{uuid.uuid4().hex}"
 
 
+def read_word_table(spark: SparkSession, path: str) -> DataFrame:
+    """A word list of any size as a table ``(word)``, for ``without_stopwords`` and ``expand_synonyms``."""
+    line = F.trim("value").alias("word")
+    return spark.read.text(path).select(line).where((F.col("word") != "") & ~F.col("word").startswith("#"))
+
+
 def _lines(spark: SparkSession, path: str) -> list[str]:
-    lines = (
-        spark.read.text(path)
-        .select(F.trim("value").alias("line"))
-        .where((F.col("line") != "") & ~F.col("line").startswith("#"))
-        .take(MAX_LIST + 1)
-    )
-    if len(lines) > MAX_LIST:
-        raise ValueError(f"{path} holds more than {MAX_LIST} entries; join it as a table instead")
-    return [r.line for r in lines]
+    """All lines of a list that becomes part of a chain's configuration."""
+    return [r.word for r in read_word_table(spark, path).collect()]
 
 
 def read_word_list(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -102,8 +87,9 @@ def without_stopwords(postings: DataFrame, stopwords: DataFrame, word: str = "wo
 
 def expand_synonyms(terms: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Query terms plus their synonyms: ``(term)`` joined to ``(term, synonym)``."""
-    extra = terms.join(synonyms, "term").select(F.lower("synonym").alias("term"))
-    return terms.select("term").unionByName(extra).distinct()
+    asked = terms.select("term").distinct()
+    extra = asked.join(synonyms.select("term", F.lower("synonym").alias("synonym")).distinct(), "term")
+    return asked.unionByName(extra.select(F.col("synonym").alias("term"))).distinct()
 
 
 def normalized(text: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gleaner.sources.index import IndexStore, latest
+from gleaner.sources.index import latest
+from gleaner.sources.store import IndexStore, stream_writer
 
 VISIBLE_WITHIN = "1 second"
 
@@ -28,17 +29,20 @@ def upsert_stream(
     """Append each micro-batch of changes to the store.
 
     ``to_documents`` builds document rows with ``version`` and ``op`` ("U" or "D").
-    Each batch keeps the last write per document, and writes its own part, so a
-    batch that runs twice leaves the same rows.  An older version that arrives late
+    Each batch keeps the last write per document, and writes its own part under the
+    name of the checkpoint, so a batch that runs twice leaves the same rows and no
+    other stream or bulk load is overwritten.  An older version that arrives late
     loses against the stored one by its version; no watermark is needed.
     """
 
+    writer_name = stream_writer(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         docs = latest(to_documents(batch)).withColumn("indexed_at", F.current_timestamp())
         if with_postings:
-            store.append(docs, batch_id, unique=True)
+            store.append(docs, batch_id, unique=True, writer=writer_name)
         else:
-            store.append_documents(docs, batch_id, unique=True)
+            store.append_documents(docs, batch_id, unique=True, writer=writer_name)
 
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": VISIBLE_WITHIN}

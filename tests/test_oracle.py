@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from catalog import QUERIES, SQL
 from check_oracle import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -18,11 +18,11 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_same_rows(spark, con, name):
     status, _, _, note = compare(spark, con, name, SF)
     assert status in ("ok", "rows only"), note
 
 
 def test_twins_belong_to_queries():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(SQL) <= set(QUERIES)

@@ -5,11 +5,11 @@ from fixture import ROWS, SCHEMA, spec
 from pyspark.sql import functions as F
 
 from gleaner import (
-    Condition, Facet, FieldSpec, IndexSpec, IndexStore, SearchIndex, SearchRequest, Similar, build_documents, every,
-    search, some,
+    Condition, Facet, FieldSpec, Grouping, IndexSpec, IndexStore, SearchIndex, SearchRequest, Similar, build_documents,
+    every, search, some,
 )
 from gleaner.operators.suggest import autocomplete
-from gleaner.sources.index import index_statistics, latest, remaining_items, tombstones
+from gleaner.sources.index import doc_frequency, index_statistics, latest, remaining_items, tombstones
 from gleaner.streaming.ingest import read_changes, upsert_stream
 
 
@@ -157,3 +157,114 @@ def test_stream(spark, tmp_path):
     assert store.log().where("indexed_at IS NULL").count() == 0
     run()
     assert store.log().count() == 5
+
+
+def test_appends_do_not_overwrite(spark, tmp_path):
+    """Two bulk loads, two streams and a new checkpoint all keep their batches."""
+    store = IndexStore(spark, str(tmp_path / "a"), SMALL)
+    store.append(docs(spark, [(1, 1, "x", 1)]))
+    store.append(docs(spark, [(2, 1, "x", 1)]))
+    store.append(docs(spark, [(3, 1, "x", 1)]), 0, writer="stream-a")
+    store.append(docs(spark, [(4, 1, "x", 1)]), 0, writer="stream-b")
+    assert found(store, "x") == [1, 2, 3, 4] and store.batches() == 4
+    store.append(docs(spark, [(5, 1, "x", 1)]), 0, writer="stream-a")
+    assert found(store, "x") == [1, 2, 4, 5] and store.batches() == 4
+
+
+def test_same_version_sent_again(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "a"), SMALL)
+    store.append(docs(spark, [(1, 1, "red dog", 1), (2, 1, "blue cat", 2)]))
+    store.append(docs(spark, [(1, 1, "red fox", 1), (2, 1, "blue cat", 2)]))
+    assert (found(store, "dog"), found(store, "fox"), found(store, "cat")) == ([], [1], [2])
+    df = {r.term: r.df for r in doc_frequency(store.index().postings()).collect()}
+    assert df == {"red": 1, "fox": 1, "blue": 1, "cat": 1}
+
+
+def test_an_unfinished_part_is_not_read(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "a"), SMALL)
+    store.append(docs(spark, [(1, 1, "x", 1)]))
+    store._write_docs(docs(spark, [(2, 1, "x", 1)]))
+    assert found(store, "x") == [1]
+    assert store.remove_unused() == 1 and found(store, "x") == [1]
+
+
+def test_a_replaced_batch_revives_and_keeps_what_it_should(spark, tmp_path):
+    """A batch that runs again without a document gives back the older one, unless a later batch beats both."""
+    store = IndexStore(spark, str(tmp_path / "a"), SMALL)
+    store.append(docs(spark, [(1, 1, "first", 1), (2, 1, "first", 1)]))
+    store.append(docs(spark, [(1, 2, "second", 1), (2, 2, "second", 1)]), 7, writer="w")
+    store.append(docs(spark, [(1, 3, "third", 1)]))
+    store.append(docs(spark, [(3, 1, "second", 1)]), 7, writer="w")
+    assert (found(store, "first"), found(store, "second"), found(store, "third")) == ([2], [3], [1])
+
+
+def test_two_writers_at_once(spark, tmp_path, monkeypatch):
+    """The slower one sees the other's part before it lists its own."""
+    store = IndexStore(spark, str(tmp_path / "a"), SMALL)
+    store.append(docs(spark, [(1, 1, "old", 1)]))
+    write, done = IndexStore._write_superseded, []
+
+    def slow(self, part, others):
+        out = write(self, part, others)
+        if not done:
+            done.append(1)
+            store.append(docs(spark, [(1, 3, "newest", 1)]), writer="other")
+        return out
+
+    monkeypatch.setattr(IndexStore, "_write_superseded", slow)
+    store.append(docs(spark, [(1, 2, "late", 1)]))
+    assert (found(store, "newest"), found(store, "late"), found(store, "old")) == ([1], [], [])
+
+
+def test_deletes_and_compaction_in_place(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "a"), SMALL)
+    for k in range(4):
+        store.append(docs(spark, [(k, 1, "x", k), (k + 10, 1, "x", k)]))
+    store.delete(store.current().where("item_id = '1'").select("doc_key"))
+    store.delete_where(F.col("n") == 2)
+    assert found(store, "x") == [0, 3, 10, 11, 13]
+    plan = store.current()._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan.split("Exchange")[0]
+    stats = store.statistics().first()
+    assert (stats.docs, stats.parts) == (5, 6) and stats.bytes > 0
+    store.compact()
+    assert store.batches() == 1 and found(store, "x") == [0, 3, 10, 11, 13] and store.remove_unused() > 0
+    assert found(store, "x") == [0, 3, 10, 11, 13]
+    store.append(docs(spark, [(1, 1, "x", 9)]))
+    assert found(store, "x") == [0, 1, 3, 10, 11, 13]
+    store.clear()
+    assert store.current().count() == 0 and store.drop()
+    assert not IndexStore(spark, store.path, IndexSpec("small", "id", SMALL.fields, read_only=True)).drop()
+
+
+def test_hits_come_by_score_and_groups_in_pages(spark):
+    rows_ = [(1, "a b c d", 1), (2, "a", 1), (3, "a a", 2), (4, "a b", 3)]
+    spec_ = IndexSpec("small", "id", (FieldSpec("t", "text_ws", norms=True), FieldSpec("n", "integer")))
+    index = SearchIndex.build(spark.createDataFrame(rows_, "id int, t string, n int"), spec_)
+    scores = [r.score for r in search(index, keys="a").hits.collect()]
+    assert scores == sorted(scores, reverse=True) and len(set(scores)) > 1
+    by_score = search(index, keys="a", grouping=Grouping(("n",))).groups.collect()
+    order = [r.group_value for r in sorted(by_score, key=lambda r: -r.score)]
+    page = search(index, keys="a", grouping=Grouping(("n",)), offset=1, limit=1).groups.collect()
+    assert [r.group_value for r in page] == order[1:2]
+
+
+def test_odd_input_is_no_error(spark):
+    from gleaner.functions.coerce import coerce_values
+    from gleaner.operators.spatial import Spatial, merge_ranges
+
+    df = spark.createDataFrame([(["0", "9223372036854775807", "1"],)], "v array<string>")
+    assert [d.year for d in df.select(coerce_values(F.col("v"), "date").alias("d")).first().d] == [1970]
+    place = Spatial("place", 0.0, 0.0)
+    merged, rest = merge_ranges([place], Condition("place", 5, "<="))
+    assert merged[0].radius == 5 and not rest.items
+    with pytest.raises(ValueError, match="distance"):
+        merge_ranges([place], Condition("place", 5, "<"))
+
+
+def test_similar_by_key(spark):
+    fields = (FieldSpec("t", "text_ws", norms=True),)
+    data = [(1, "red", "a"), (1, "blue", "b"), (2, "red", "a"), (3, "blue", "b")]
+    index = SearchIndex.build(spark.createDataFrame(data, "id int, t string, s string"), IndexSpec("small", "id", fields), site="s")
+    request = SearchRequest(similar=Similar("1", ("t",), site="a"), all_sites=True)
+    assert [(r.item_id, r.site) for r in search(index, request).hits.collect()] == [("a--2", "a")]
