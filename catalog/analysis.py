@@ -12,7 +12,7 @@ from gleaner.functions.analysis import (
 from gleaner.functions.markup import strip_html, tag_texts
 from gleaner.functions.stemming import stem_terms
 from gleaner.operators.suggest import matches_any_prefix
-from gleaner.sources.index import doc_frequency, scored_tokens, with_tokens
+from gleaner.sources.index import distinct_terms, doc_frequency, scored_tokens, with_tokens
 from gleaner.sources.tables import expand_synonyms, without_stopwords
 
 
@@ -90,7 +90,8 @@ def postings_ws(spark, sf):
 
 @query("doc_freq", f"WITH {WS} SELECT 'text' AS field, term, count(DISTINCT doc_id) AS df FROM ws GROUP BY term")
 def doc_freq(spark, sf):
-    return doc_frequency(postings(spark, sf, "text_ws"))
+    spec = unlabelled(FieldSpec("text", "text_ws"))
+    return doc_frequency(distinct_terms(documents(spark, sf, spec).docs, spec, ["text"]))
 
 
 @query("postings_positions", r"""

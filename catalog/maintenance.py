@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import ORDERS, TEXT, documents, orders, parts, query, table
 from gleaner import FieldSpec, IndexSpec, IndexStore, build_documents
 from gleaner.sources.index import (
-    coerce_documents, delete_ids, delete_index, delete_where, field_statistics, index_statistics, latest,
+    coerce_documents, delete_ids, delete_index, delete_where, distinct_terms, field_statistics, index_statistics, latest,
     remaining_items, spell_dictionary, spell_texts, split_unknown, top_terms, with_external_rank, with_site_url,
 )
 from gleaner.sources.tables import work_dir
@@ -195,14 +195,14 @@ d AS (SELECT term, count(*) AS df FROM t WHERE term <> '' GROUP BY 1)
 SELECT 'text' AS field, term, df, CAST(row_number() OVER (ORDER BY df DESC, term) AS INTEGER) AS rank FROM d
 QUALIFY row_number() OVER (ORDER BY df DESC, term) <= 50""")
 def field_top_terms(spark, sf):
-    return top_terms(documents(spark, sf, TEXT).postings(), 50)
+    return top_terms(distinct_terms(documents(spark, sf, TEXT).docs, TEXT, ["text"]), 50)
 
 
 @query("field_stats", r"""
 WITH t AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS term FROM documents)
 SELECT 'text' AS field, count(DISTINCT term) AS terms, count(*) AS postings, count(DISTINCT doc_id) AS docs FROM t WHERE term <> ''""")
 def field_stats(spark, sf):
-    return field_statistics(documents(spark, sf, TEXT).postings())
+    return field_statistics(distinct_terms(documents(spark, sf, TEXT).docs, TEXT, ["text"]))
 
 
 SPELL = r"""spell AS (SELECT DISTINCT doc_id, lang, term FROM (

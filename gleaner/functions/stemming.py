@@ -171,6 +171,20 @@ def stem_word(name: str, word: str, protected: frozenset[str] = frozenset()) ->
     return word if word in protected else STEMMERS[name](word)
 
 
+_known: dict[str, dict[str, str]] = {}  # stems this worker has found, by stemmer
+REMEMBERED = 500_000
+
+
+def _stems(name: str, stem: Callable[[str], str], words: list) -> list:
+    known = _known.setdefault(name, {})
+    if len(known) > REMEMBERED:
+        known.clear()
+    for w in words:
+        if w is not None and w not in known:
+            known[w] = stem(w)
+    return [None if w is None else known[w] for w in words]
+
+
 def stem_terms(terms: Column, name: str, protected: frozenset[str] = frozenset()) -> Column:
     """Stem every string of an ``array<string>`` column."""
     stem = STEMMERS[name]
@@ -178,10 +192,9 @@ def stem_terms(terms: Column, name: str, protected: frozenset[str] = frozenset()
     @F.arrow_udf("array<string>")
     def apply(batch: pa.Array) -> pa.Array:
         coded = batch.flatten().dictionary_encode()
-        stems = pa.array(
-            [w if w is None or w in protected else stem(w) for w in coded.dictionary.to_pylist()],
-            type=pa.string(),
-        )
+        words = coded.dictionary.to_pylist()
+        found = _stems(name, stem, words)
+        stems = pa.array([w if w in protected else s for w, s in zip(words, found, strict=True)], type=pa.string())
         sizes = batch.value_lengths().fill_null(0).to_numpy()
         offsets = pa.array([0, *sizes.cumsum()], type=pa.int32())
         return pa.ListArray.from_arrays(offsets, stems.take(coded.indices))

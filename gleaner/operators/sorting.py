@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleaner.functions.columns import sort_key
 from gleaner.functions.geo import geodist
 from gleaner.spec import IndexSpec
 
@@ -44,5 +45,6 @@ def sort_columns(
             f = spec[name]
             if f.sort_column is None:
                 continue  # places have no order of their own
-            out.append(directed(F.col(f.sort_column), direction, f.field_type.missing_last))
+            value = sort_key(F.col(f.first_column)) if f.is_text else F.col(f.sort_column)
+            out.append(directed(value, direction, f.field_type.missing_last))
     return out + [F.col("item_id").asc()]

@@ -16,19 +16,15 @@ from pyspark.sql import types as T
 
 from gleaner.functions.analysis import analyzer, group_terms
 from gleaner.functions.coerce import coerce_values, first_value
-from gleaner.functions.columns import compute_once, is_array, let
+from gleaner.functions.columns import compute_once, is_array, let, sort_key
 from gleaner.operators.keys import phrase_frequency
 from gleaner.spec import FieldSpec, IndexSpec
 
+
 def document_key(site: Column, index_id: Column, item_id: Column) -> Column:
     return F.concat_ws("-", site, index_id, item_id)
 
 
-def sort_key(value: Column) -> Column:
-    """Case-insensitive sort companion of a string."""
-    return F.trim(F.lower(value))
-
-
 def _field_value(f: FieldSpec) -> Column:
     value = F.expr(f.source or f"`{f.name}`")
     if f.type == "tokens":
@@ -66,7 +62,7 @@ def with_derived(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     sort = {
         f.sort_column: sort_key(F.col(f.first_column))
         for f in spec.fields
-        if f.sort_column and f.sort_column.startswith("sort__")
+        if f.sort_column and f.sort_column.startswith("sort__") and not f.is_text  # a text is no second copy of itself
     }
     return docs.withColumns(sort) if sort else docs
 
@@ -295,6 +291,13 @@ def term_vectors(docs: DataFrame, spec: IndexSpec, names: list[str]) -> DataFram
     return compute_once(rows, {"terms": F.concat(*entries)}).drop(*[f"_tok_{n}" for n in names])
 
 
+def distinct_terms(docs: DataFrame, spec: IndexSpec, names: list[str]) -> DataFrame:
+    """``(doc_key, field, term)``, once per document: postings for those who only count documents."""
+    rows = with_words(docs, spec, names, distinct=True)
+    pairs = [F.transform(f"_words_{n}", lambda w: F.struct(F.lit(n).alias("field"), w.alias("term"))) for n in names]
+    return rows.select("doc_key", F.inline(F.concat(*pairs)))
+
+
 def doc_frequency(postings: DataFrame) -> DataFrame:
     """Documents per field and term: one posting is one document."""
     return postings.groupBy("field", "term").agg(F.count("*").alias("df"))
