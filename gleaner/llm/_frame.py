@@ -32,6 +32,13 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The same for many rows: a compressed table in the shared folder, which stays there like a checkpoint."""
+    folder = fresh_folder(frame.sparkSession, name)
+    frame.write.option("compression", "zstd").parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nothing refers to any more.
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm._frame import release, settle, table
+from gleaner.llm._frame import release, settle, stored, table
 from gleaner.llm._text import BASE, INVERSE, U64, blocks, mix, powers, utf8
 
 LENGTH, SEED = 50, 16
@@ -294,7 +294,8 @@ def with_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
         "*", F.min("id").over(by_anchor).alias("low"), F.max("id").over(by_anchor).alias("high"),
         (F.min("context").over(by_anchor) < F.max("context").over(by_anchor)).alias("several"), F.count("*").over(by_anchor).alias("n"),
     ).where("low < high").withColumn("first", F.min("id").over(by_context))
-    found = settle(found.where("id > first or several").select("anchor", "id", "at", (F.col("id") > F.col("first")).alias("whole"), (F.col("n") > hot).alias("hot")))
+    whole = F.col("id") > F.col("first")
+    found = stored(found.where(whole | F.col("several")).select(F.when(~whole, F.col("anchor")).alias("anchor"), "id", "at", whole.alias("whole"), (F.col("n") > hot).alias("hot")), "anchors")
     del unique
     release(docs.sparkSession)
     whole = found.where("whole").select("id", "at", F.lit(length - seed).alias("back"), F.lit(length).alias("ahead"))
