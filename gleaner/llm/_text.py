@@ -29,7 +29,7 @@ def powers(base: int, count: int) -> np.ndarray:
     """base^0 .. base^(count-1) modulo 2^64; kept, since every block asks for them."""
     have = _powers.get(base)
     if have is None or len(have) < count:
-        factors = np.full(max(count, 1 << 20), base, dtype=U64)
+        factors = np.full(1 << max(20, (count - 1).bit_length()), base, dtype=U64)
         factors[0] = 1
         have = _powers[base] = np.multiply.accumulate(factors)
     return have[:count]
