@@ -53,7 +53,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into pieces of about `limit` text bytes, a single longer text being its own piece."""
     for batch in batches:
         if not batch.num_rows:

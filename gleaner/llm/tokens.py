@@ -124,7 +124,7 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         part, number, before = TaskContext.get().partitionId(), 0, 0
-        for batch in blocks(batches, "t"):
+        for batch in blocks(batches, "t", 2 << 20):
             raw, edges = utf8(batch.column("t"))
             data = raw.tobytes()
             coded = tool.encode([data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], end)
