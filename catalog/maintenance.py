@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.base import ORDERS, TEXT, documents, orders, parts, query, table
-from gleaner import FieldSpec, IndexSpec, IndexStore, build_documents
+from gleaner import Condition, FieldSpec, IndexSpec, IndexStore, build_documents, search, where_all
 from gleaner.sources.index import (
-    coerce_documents, delete_ids, delete_index, delete_where, distinct_terms, field_statistics, index_statistics, latest,
+    coerce_documents, delete_ids, delete_index, delete_where, distinct_terms, documents_from_text, field_statistics,
+    index_statistics, latest,
     remaining_items, spell_dictionary, spell_texts, split_unknown, top_terms, with_external_rank, with_site_url,
 )
 from gleaner.sources.tables import work_dir
@@ -99,6 +101,27 @@ def coerce_bad_date(spark, sf):
         "item_id", F.array_join(epochs, ",").alias("dates"), F.unix_timestamp("first__when").alias("first_date"))
 
 
+COERCED = IndexSpec("coerced", "event_id", (
+    FieldSpec("n", "int32", multi=True), FieldSpec("x", "float_missing_last"), FieldSpec("when", "date_missing_last"),
+    FieldSpec("kind"),
+))
+
+
+@query("coerce_search", """
+SELECT CAST(event_id AS VARCHAR) AS item_id, CAST(user_id AS INTEGER) AS n, CAST(row_number() OVER (
+  ORDER BY event_type DESC, CAST(event_id AS VARCHAR)) AS INTEGER) AS place
+FROM events WHERE user_id > 5 AND event_type <> 'error' AND epoch(ts) >= epoch(TIMESTAMP '2024-01-01')""")
+def coerce_search(spark, sf):
+    """Raw texts, coerced, stored, filtered by number and date, sorted by text."""
+    source = raw_events(spark, sf).withColumns({"version": F.lit(1).cast("bigint"), "op": F.lit("U")})
+    store = IndexStore(spark, work_dir(spark, "coerced"), COERCED)
+    store.append_documents(documents_from_text(source, COERCED), unique=True)
+    where = where_all(Condition("n", 5, ">"), Condition("when", "2024-01-01", ">="))
+    hits = search(store.index(), where=where, sorts=(("kind", "desc"),), retrieve_all=True).hits
+    order = Window.orderBy(F.lower("kind").desc(), "item_id")
+    return hits.select("item_id", F.get("n", F.lit(0)).alias("n"), F.row_number().over(order).alias("place"))
+
+
 @query("reject_unknown", """
 SELECT CAST(event_id AS VARCHAR) AS item_id, event_type <> 'click' AS accepted FROM events""")
 def reject_unknown(spark, sf):

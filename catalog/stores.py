@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import NORMED, POS, SQL, TOK, documents, ids, query, table
 from catalog.features import SIMILAR
+from gleaner.operators.suggest import spell_suggest
 from gleaner import Condition as C
 from gleaner import Facet, IndexSpec, IndexStore, SearchRequest, Similar, build_documents, every, search, some
 from gleaner.sources.index import tombstones
@@ -168,3 +169,11 @@ def store_clear(spark, sf):
     docs = documents(spark, sf, STORED).docs.where("lang = 'es'")
     store.append(docs.withColumns({"version": F.lit(1).cast("bigint"), "op": F.lit("U")}), unique=True)
     return store.current().groupBy("lang").agg(F.count("*").alias("docs"))
+
+
+@query("store_spell_suggest", SQL["spell_suggest"])
+def store_spell_suggest(spark, sf):
+    """Corrections from the dictionary that the store keeps."""
+    store = written(spark, sf)
+    store.rebuild_dictionary()
+    return spell_suggest(store.dictionary(), "whith tihs (quee) froom that")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleaner.spec import TYPES
+
 NUMBER_PREFIX = r"^\s*([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
 WHOLE = r"^\s*[+-]?\d+\s*$"
 NUMERIC = r"^\s*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?\s*$"
@@ -33,19 +35,30 @@ def to_date(raw: Column) -> Column:
     return F.coalesce(epoch, F.date_trunc("second", F.try_to_timestamp(raw)))
 
 
+def to_point(raw: Column) -> Column:
+    """``lat,lon`` -> a place; null for anything else."""
+    lat, lon = (F.get(F.split(raw, ","), F.lit(k)).try_cast("double") for k in (0, 1))
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("lat"), lon.alias("lon")))
+
+
+#: By the Spark type of a logical type; other types stay text.
 COERCIONS = {
-    "boolean": to_boolean, "date": to_date, "integer": to_integer,
-    "duration": to_integer, "long": to_integer, "decimal": to_decimal, "double": to_decimal,
+    "boolean": to_boolean, "timestamp": to_date, "bigint": to_integer, "int": lambda v: to_integer(v).try_cast("int"),
+    "double": to_decimal, "float": lambda v: to_decimal(v).cast("float"), "struct<lat:double,lon:double>": to_point,
 }
 
 
+def spark_name(type_name: str) -> str:
+    return TYPES[type_name].spark_type.simpleString()
+
+
 def coerce_values(raw: Column, type_name: str) -> Column:
     """Coerce an ``array<string>``.  A bad date ends the list: later values are not kept."""
-    if type_name not in COERCIONS:
+    kind = spark_name(type_name)
+    if kind not in COERCIONS:
         return raw
-    convert = COERCIONS[type_name]
-    values = F.transform(raw, lambda v: convert(v))
-    if type_name != "date":
+    values = F.transform(raw, lambda v: COERCIONS[kind](v))
+    if kind != "timestamp":
         return values
     bad = F.array_position(F.transform(values, lambda v: v.isNull()), F.lit(True))
     return F.when(bad > 0, F.slice(values, F.lit(1), (bad - 1).cast("int"))).otherwise(values)
@@ -55,6 +68,6 @@ def first_value(raw: Column, type_name: str) -> Column:
     """First coerced value; null for dates as soon as one value of the field is bad."""
     values = coerce_values(raw, type_name)
     first = F.get(values, F.lit(0))
-    if type_name != "date":
+    if spark_name(type_name) != "timestamp":
         return first
     return F.when(F.size(values) == F.size(raw), first)

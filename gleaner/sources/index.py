@@ -102,6 +102,25 @@ def coerce_documents(source: DataFrame, spec: IndexSpec, values: str = "fields")
     return docs.withColumn("doc_key", document_key(F.col("site"), F.col("index_id"), F.col("item_id")))
 
 
+def documents_from_text(source: DataFrame, spec: IndexSpec, values: str = "fields") -> DataFrame:
+    """Rows with raw text values per field -> documents that can be searched and stored: every field in its
+    own type, single or multi-valued, with its derived columns, and ``version`` and ``op`` if the rows have them."""
+    raw = {f.name: F.try_element_at(F.col(values), F.lit(f.name)) for f in spec.fields}
+    keep = [c for c in ("version", "op") if c in source.columns]
+    docs = source.select(
+        F.lit(spec.index_id).alias("index_id"),
+        F.lit(spec.site).alias("site"),
+        F.col(spec.key).cast("string").alias("item_id"),
+        *keep,
+        *[
+            (coerce_values(raw[f.name], f.type) if f.multi else first_value(raw[f.name], f.type)).cast(f.spark_type).alias(f.name)
+            for f in spec.fields
+        ],
+    )
+    docs = docs.withColumn("doc_key", document_key(F.col("site"), F.col("index_id"), F.col("item_id")))
+    return with_derived(docs, spec)
+
+
 # -- maintenance -------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.columns import compute_once
-from gleaner.sources.index import SearchIndex, index_statistics, latest, term_vectors, tombstones
+from gleaner.sources.index import SearchIndex, index_statistics, latest, spell_dictionary, term_vectors, tombstones
 from gleaner.spec import IndexSpec
 
 COMMIT = "seq long, writer string, batch long, part string, replaces array<string>, base boolean, superseded long"
@@ -111,6 +111,24 @@ class IndexStore:
                     gone += files.delete(entry.getPath(), True)
         return gone
 
+    def rebuild_dictionary(self, by: tuple[str, ...] = ()) -> None:
+        """Write the spelling dictionary of the current documents, e.g. per language with ``by=("lang",)``."""
+        number = self._next()
+        found = spell_dictionary(self.current(), self.spec, by)
+        found.write.mode("overwrite").parquet(f"{self.path}/dictionary/number={number}")
+
+    def dictionary(self) -> DataFrame:
+        """The dictionary as last rebuilt; no text is read."""
+        folder, files = self._folder("dictionary")
+        done = [
+            entry.getPath() for entry in (files.listStatus(folder) if files.exists(folder) else ())
+            if files.exists(self._folder(f"dictionary/{entry.getPath().getName()}/_SUCCESS")[0])
+        ]
+        if not done:
+            raise ValueError("rebuild the dictionary first")
+        last = max(int(p.getName().partition("=")[2]) for p in done)
+        return self.spark.read.parquet(f"{self.path}/dictionary/number={last}")
+
     def _bury(self, rows: DataFrame, writer: str) -> None:
         schema = self.log().drop("part").schema
         gone = tombstones(rows.select("doc_key", "item_id", "index_id", "site", "version"), schema, F.col("version"))
