@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,10 +43,13 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nothing refers to any more.
 
-    Spark does so when the driver's garbage is collected, which may otherwise be long after their use.
+    Spark does so when the driver's garbage is collected, which may otherwise be long after their use. The
+    first round frees the handles, the second what they referred to.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
