@@ -8,7 +8,7 @@ from catalog.base import (
     POS, TEXT, documents, ids, orders, parts, query, table,
 )
 from gleaner import Condition as C
-from gleaner import FieldSpec, IndexSpec, SearchIndex, SearchRequest, between, one_of, search, where_all, where_any
+from gleaner import Facet, FieldSpec, IndexSpec, SearchIndex, SearchRequest, between, one_of, search, where_all, where_any
 from gleaner.functions.dates import date_math, to_epoch
 from gleaner.operators.filters import granted_by_table
 
@@ -204,3 +204,16 @@ _sorted(
     "SELECT CAST(o_orderkey AS VARCHAR) AS item_id FROM orders WHERE o_orderstatus = 'F'"
     " ORDER BY o_orderdate ASC NULLS FIRST, o_totalprice DESC NULLS LAST, CAST(o_orderkey AS VARCHAR) LIMIT 20",
 )
+
+
+@query("access_search", """
+SELECT 'segment' AS facet, '"' || c_mktsegment || '"' AS value, count(*) AS count FROM customer
+WHERE (c_nationkey IN (3, 7) OR c_custkey % 7 + 100 IN (3, 7, 101)) AND c_acctbal > 0 GROUP BY c_mktsegment""")
+def access_search(spark, sf):
+    """Facets of a request with the grants of a user."""
+    spec = IndexSpec("customers", "c_custkey", (
+        FieldSpec("access", "access", source="array(c_nationkey, cast(c_custkey % 7 + 100 as int))", multi=True),
+        FieldSpec("segment", source="c_mktsegment"), FieldSpec("balance", "decimal", source="c_acctbal"),
+    ))
+    index = SearchIndex.build(table(spark, sf, "customer"), spec)
+    return search(index, where=C("balance", 0, ">"), grants=(3, 7, 101), facets=(Facet("segment", limit=0),)).facets

@@ -33,6 +33,7 @@ class SearchRequest:
     sites: tuple[str, ...] | None = None  # None: the site of the index
     all_sites: bool = False
     index_ids: tuple[str, ...] | None = None
+    grants: tuple[int, ...] | None = None  # of the user; None: no check of access lists
     seed: int | str = 0
     elevation: DataFrame | None = field(default=None, hash=False)
     ranks: DataFrame | None = field(default=None, hash=False)  # external rank as a factor

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.columns import all_of, any_of, compute_once
 from gleaner.operators.facets import Facet, distance_facet, facet_counts
 from gleaner.operators.filters import (
-    Condition, Group, compile_group, first_tags, text_phrases, without_tagged,
+    Condition, Group, compile_group, first_tags, granted, text_phrases, without_tagged,
 )
 from gleaner.operators.grouping import Grouping, group_counts, heads, top_n
 from gleaner.operators.keys import Keys, as_keys
@@ -40,6 +40,11 @@ class SearchResult:
         self._given = index
         sites = None if request.all_sites else (request.sites or (index.spec.site,))
         self.index = index.scoped(sites, request.index_ids)
+        if request.grants is not None:
+            # part of the scope, so that counts and facets obey it too
+            lists = [F.col(f.name) for f in self.spec.fields if f.type == "access" and f.multi]
+            allowed = [F.coalesce(granted(c, list(request.grants)), F.lit(False)) for c in lists]
+            self.index = replace(self.index, docs=self.index.docs.where(all_of(allowed) if allowed else F.lit(False)))
         self.keys = as_keys(request.keys) if request.similar is None else as_keys(None)
         self.fields = [self.spec[f] for f in request.fields] if request.fields else list(self.spec.text_fields)
         for f in self.fields:
