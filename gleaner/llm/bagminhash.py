@@ -7,9 +7,11 @@ two signatures have the weighted Jaccard similarity as their chance. Points are
 and only up to a bound at which all slots are filled, so a long text costs little more than one pass.
 
 Signatures are cut into bands; documents that share a band are candidates, and every link is verified on the
-whole multisets. Copies of a text are one node. In each bucket the member with most candidates is compared
-with all others first; what stays apart is compared member by member, after rounds of one more pivot per bucket for
-as long as there are many open pairs for each member. No pair is emitted that components already connect.
+whole multisets. Copies of a text are one node. In each bucket the member with most candidates, the pivot, is
+compared with all others first. While many pairs of each member stay open, rounds compare every member with a
+random other one of its bucket that isn't connected to it yet; the open pairs of the rest are all compared. No
+pair is emitted that components already connect, or whose distances to their pivot differ by more than a link
+allows (one minus the weighted Jaccard similarity is a metric).
 
 Definitions. Words are as in `_text`; null, empty and wordless texts link with nothing. A row without an id
 is its own class with a null id. Rows with one id are one node. Any other column is ignored.
@@ -17,6 +19,7 @@ is its own class with a null id. Rows with one id are one node. Any other column
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +35,7 @@ WORDS, SIMILARITY = 5, 0.8
 #: 40 bands of 6: two documents at similarity 0.8 share no band once in 200,000 times, at 0.5 they do once in 2.
 BANDS, ROWS = 40, 6
 #: Open pairs per open member up to which they are compared one by one, and pairs or keys that all tasks may get.
-OPEN_PAIRS, BROADCAST_ROWS = 64, 500_000
+OPEN_PAIRS, BROADCAST_ROWS = 6, 500_000
 
 
 def uniform(seeds: np.ndarray) -> np.ndarray:
@@ -193,33 +196,36 @@ def near_duplicates(
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     contents = settle(bags(texts.join(ids, "id", "left_semi"), words).distinct())
-    open_ = settle(shared.join(degrees, "id").select("key", "id", "degree"))
-    links = member.select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    used = None
-    while True:
-        pivots = open_ if used is None else open_.join(used, ["key", "id"], "left_anti")
-        pivots = settle(pivots.groupBy("key").agg(F.max_by("id", F.struct("degree", "id")).alias("pivot")))
-        tested = open_.join(pivots, "key").where("id <> pivot")
-        if used is not None:
-            tested = tested.join(parts.withColumnsRenamed({"node": "pivot", "component": "pivot_part"}), "pivot").where("part <> pivot_part")
-        tested = settle(tested.select(*pair("id", "pivot")).distinct())
-        edges = similar(tested, contents, similarity).select("a", "b")
-        links = settle(links.union(edges))
-        used = pivots.select("key", F.col("pivot").alias("id")) if used is None else settle(used.union(pivots.select("key", F.col("pivot").alias("id"))))
+    ranked = shared.join(degrees, "id")
+    pivots = settle(ranked.groupBy("key").agg(F.max_by("id", F.struct("degree", "id")).alias("pivot")))
+    to_pivot = settle(shared.select("key", "id").join(pivots, "key").select("key", "id", F.col("id") == F.col("pivot"), *pair("id", "pivot")).toDF("key", "id", "self", "a", "b"))
+    measured = settle(similar(settle(to_pivot.where("not self").select("a", "b").distinct()), contents, 0.0))
+    links = settle(member.select(F.col("id").alias("a"), F.col("rep").alias("b")).union(measured.where(F.col("similarity") >= similarity).select("a", "b")))
+    known = to_pivot.join(measured, ["a", "b"], "left")
+    open_ = settle(known.select("key", "id", F.when(F.col("self"), 1.0).otherwise(F.coalesce("similarity", F.lit(0.0))).alias("near")))
+    before = None
+    for number in itertools.count():
         parts = settle(components(links))
-        joined = open_.select("key", "id", "degree").join(parts.withColumnsRenamed({"node": "id", "component": "part"}), "id")
+        joined = open_.select("key", "id", "near").join(parts.withColumnsRenamed({"node": "id", "component": "part"}), "id")
         by_part = joined.groupBy("key", "part").agg(F.count("*").alias("n"))
         live = by_part.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
         left = live.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")).first()
         if not left["rows"]:
             break
         open_ = settle(joined.join(live.select("key"), "key", "left_semi"))
-        if left["pairs"] <= OPEN_PAIRS * left["rows"]:
-            other = open_.select("key", F.col("id").alias("other"), F.col("part").alias("other_part"))
-            rest = settle(open_.join(other, "key").where("part < other_part").select(*pair("id", "other")).distinct())
-            links = settle(links.union(similar(rest, contents, similarity).select("a", "b")))
+        # 1 - similarity is a metric: two texts that differ more in their nearness to the pivot aren't linked.
+        reach = 1 - similarity + 1e-9
+        if left["pairs"] <= OPEN_PAIRS * left["rows"] or before is not None and left["pairs"] > 0.9 * before:
+            other = open_.select("key", F.col("id").alias("other"), F.col("part").alias("other_part"), F.col("near").alias("other_near"))
+            rest = open_.join(other, "key").where((F.col("part") < F.col("other_part")) & (F.abs(F.col("near") - F.col("other_near")) <= reach))
+            links = settle(links.union(similar(settle(rest.select(*pair("id", "other")).distinct()), contents, similarity).select("a", "b")))
             parts = settle(components(links))
             break
+        before = left["pairs"]
+        order = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(number)), "id")
+        following = open_.select("key", "id", "near", "part", *[F.lead(c).over(order).alias("next_" + c) for c in ("id", "near", "part")])
+        chosen = following.where((F.col("part") != F.col("next_part")) & (F.abs(F.col("near") - F.col("next_near")) <= reach))
+        links = settle(links.union(similar(settle(chosen.select(*pair("id", "next_id")).distinct()), contents, similarity).select("a", "b")))
     found = texts.select("id").join(parts, F.col("id") == F.col("node"), "left")
     return found.select(F.col("id").alias(key), F.coalesce("component", "id").alias("class"))
 
