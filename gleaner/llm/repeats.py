@@ -299,15 +299,16 @@ def with_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     del unique
     release(docs.sparkSession)
     whole = found.where("whole").select("id", "at", F.lit(length - seed).alias("back"), F.lit(length).alias("ahead"))
-    places = found.where("not whole").withColumn("variant", F.floor(F.col("at") / PLACE).cast("int"))
-    places = places.groupBy("id", "variant").agg(F.collect_list(F.struct("anchor", "at", "hot")).alias("places"))
-    places = places.join(known.where("id = first").select("id", "c", "variant"), ["id", "variant"])
-    contexts = contexts_of(rows.join(places, ["id", "c"]).select("id", "t", "places"), length, seed)
-    if found.where("hot and not whole").limit(1).count():
-        contexts = settle(contexts)
-        part = part_repeats(contexts.where("not hot"), length, seed).union(string_repeats(contexts.where("hot"), length, seed))
-    else:
-        part = part_repeats(contexts, length, seed)
+
+    def around(places: DataFrame) -> DataFrame:
+        """The contexts of some places; the texts they are cut from are shuffled once for all uses."""
+        lists = places.withColumn("variant", F.floor(F.col("at") / PLACE).cast("int")).groupBy("id", "variant").agg(F.collect_list(F.struct("anchor", "at", "hot")).alias("places"))
+        lists = lists.join(known.where("id = first").select("id", "c", "variant"), ["id", "variant"])
+        return contexts_of(rows.join(lists, ["id", "c"]).select("id", "t", "places"), length, seed)
+
+    part = part_repeats(around(found.where("not whole and not hot")), length, seed)
+    if found.where("not whole and hot").limit(1).count():
+        part = part.union(string_repeats(around(found.where("not whole and hot")), length, seed))
     start = F.col("at") % PLACE
     spans = whole.union(part).select("id", F.floor(F.col("at") / PLACE).cast("int").alias("variant"), F.struct((start - F.col("back")).alias("s"), (start + F.col("ahead")).alias("e")).alias("span"))
     spans = spans.groupBy("id", "variant").agg(F.collect_list("span").alias("spans"))
