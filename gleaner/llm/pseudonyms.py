@@ -42,8 +42,8 @@ TELEPHONE = (
     r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}|\+[0-9]{8,15})(?![0-9])"
 )
 ANY = "|".join((EMAIL, ACCOUNT, DATE, ADDRESS, SECURITY, CARD, TELEPHONE))
-#: What every candidate has; most texts end here.
-HINT = r"[0-9]{4}|[0-9]\.[0-9]|@"
+#: What every candidate has, whichever alternative of ANY it fits (`+` and a digit: a telephone in short groups); most texts end here.
+HINT = r"[0-9]{4}|[0-9]\.[0-9]|@|\+[0-9]"
 DAYS = 146097
 
 

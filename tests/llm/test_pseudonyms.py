@@ -74,6 +74,18 @@ def test_neighbours_repeats_and_long_texts(spark):
     assert a == b != one and n == 2 and (again, m) == (two, 2) and k == 1 and end.endswith(" " + a) and len(end) == len(long)
 
 
+ALONE = [
+    "und.34@mail7.example.com", "DE89 3704 0044 0532 0130 00", "2024-02-29", "31.12.1999", "97.51.17.173", "123-45-6789", *CARDS, "(555) 123-4567", "555 123 4567",
+    "+1 (017) 555-7713", "+33 612 345 678", "+49 30 123 456 78", "+48 601 234 567", "+48-601-234-567", "+49.30.123.456", "+4930123456",
+]
+
+
+def test_every_form_alone_and_beside_others(spark):
+    alone, beside = (change(spark, [form.format(v) for v in ALONE]) for form in ("call {} now", "call {} now, 9999, 3.1, @"))
+    for value, (new, count), (other, again) in zip(ALONE, alone, beside, strict=True):
+        assert count == again == 1 and value not in new and other == new + ", 9999, 3.1, @", value
+
+
 def test_feistel_is_a_permutation(spark):
     m, n = (F.lit(k).cast("long") for k in (7, 23))
     pairs = spark.range(7 * 23).select(feistel(F.floor(F.col("id") / 23).cast("long"), F.col("id") % 23, m, n, "k", "t").alias("p"))
