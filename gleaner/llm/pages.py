@@ -2,6 +2,8 @@
 
 Elements that are never part of an article go first: by tag (menus, headers outside an article, footers,
 sidebars, forms, scripts, styles) and by the words of their class, id or role (adverts, notices, comments).
+Such words don't count after `with`, `has` or `no`, nor beside a class or id that names the content, nor on what
+holds most of the text with its heading or article, nor on what holds most of a page that has no article or paragraph else.
 Every paragraph then passes points for its length and its commas to its ancestors, whole to the nearest one,
 half to the next, less to those above, each discounted by the paragraph's share of link text. The container
 with most points after the discount of its own links wins. Its siblings are kept if they have a fifth of its
@@ -26,8 +28,9 @@ from pyspark.sql import functions as F
 from gleaner.llm._frame import table
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>)""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-label)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 WORDS = re.compile(r"[a-z]+")
+INVISIBLE = re.compile(r"visibility\s*:\s*hidden", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math".split())
@@ -36,6 +39,10 @@ BLOCKS = frozenset(
     "address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li main ol p pre section "
     "summary table tbody td tfoot th thead tr ul caption".split()
 )
+#: These too end an open `p`.
+ENDS_P = frozenset("aside dialog fieldset footer form header menu nav".split())
+#: What may stand in a `head`; anything else ends it.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 #: A start tag of the first kind ends an open element of the second.
 ENDS_OPEN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 PARAGRAPHS = frozenset("p pre td blockquote li dd div section article".split())
@@ -46,54 +53,78 @@ JUNK_WORDS = frozenset(
 )
 #: Classes that name the article itself outweigh a junk word beside them (`article-header` in an article is its head).
 ARTICLE = frozenset(("article", "main"))
+HEADED = frozenset("article entry post story".split())
+CONTENT = HEADED | frozenset("body content contents main page".split())
+#: May stand in a class or id that names the content.
+NEUTRAL = frozenset("area block col column container inner layout outer primary section site wrap wrapper".split())
+#: What such a word is followed by in one class or id describes the surroundings (`with-sidebar`).
+MODIFIERS = frozenset("has have no non with without".split())
 COMMAS = re.compile("[,،、，]")
 LEAST_LENGTH, SIBLING_POINTS, SIBLING_SHARE = 25, 10, 0.2
 
 
+#: Kinds of junk: by tag or invisible; by words of its attributes; an article or main element with such words, which stays.
+DROP, WORDY, NAMED = 1, 2, 3
+
+
 class Node:
-    __slots__ = ("children", "links", "parent", "points", "size", "tag")
+    __slots__ = ("children", "junk", "links", "parent", "points", "size", "tag")
 
-    def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.children, self.points = tag, parent, [], 0.0
+    def __init__(self, tag: str, parent: Node | None, junk: int = 0):
+        self.tag, self.parent, self.children, self.points, self.junk = tag, parent, [], 0.0, junk
         self.size = self.links = 0
 
 
-def is_junk(tag: str, attributes: str, open_: Node) -> bool:
+def junk_words(name: str) -> bool:
+    """Whether one class, id, role or label has a junk word that isn't about its surroundings."""
+    words = WORDS.findall(name)
+    words = words[: next((k for k, w in enumerate(words) if w in MODIFIERS), len(words))]
+    found = JUNK_WORDS.intersection(words)
+    return bool(found) and not (found == {"header"} and not HEADED.isdisjoint(words))
+
+
+def names_content(name: str) -> bool:
+    words = set(WORDS.findall(name))
+    return not words.isdisjoint(CONTENT) and words <= CONTENT | NEUTRAL
+
+
+def junk_of(tag: str, attributes: str, open_: Node | None) -> int:
     if tag in DROPPED:
         if tag != "header":
-            return True
+            return DROP
         while open_ is not None and open_.tag not in ARTICLE:
             open_ = open_.parent
-        return open_ is None
-    if tag in ("html", "body") or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return DROP if open_ is None else 0
+    if tag in ("html", "body") or "=" not in attributes and "hidden" not in attributes.lower():
+        return 0
+    names, labels = [], []
     for name, value in ATTRIBUTE.findall(attributes):
-        if name.lower() == "hidden":
-            return True
-        if tag not in ARTICLE and JUNK_WORDS.intersection(WORDS.findall(value.lower())):
-            return True
-    return False
+        name, value = name.lower(), value.strip("\"'").lower()
+        if name == "hidden" or name == "style" and INVISIBLE.search(value) or name == "aria-hidden" and value == "true" and tag not in ARTICLE:
+            return DROP
+        if name in ("class", "id"):
+            names += value.split()
+        elif name in ("role", "aria-label"):
+            labels.append(value)
+    if not any(map(junk_words, labels)) and (not any(map(junk_words, names)) or any(map(names_content, names))):
+        return 0
+    return NAMED if tag in ARTICLE else WORDY
 
 
 def parse(page: str) -> Node:
-    """The tree of a page without what is never text. Children are nodes and strings."""
+    """The tree of a page with its junk marked. Children are nodes and strings."""
     root = here = Node("html", None)
-    at, skipping, depth = 0, "", 0
+    at = 0
     for match in TOKEN.finditer(page):
         start, end = match.span()
         if start < at:
             continue
-        if start > at and not skipping:
-            here.children.append(unescape(page[at:start]))
+        if start > at:
+            here = add_text(here, page[at:start])
         at = end
         if match[2] is None:
             continue
         tag, closing = match[2].lower(), bool(match[1])
-        if skipping:
-            if tag == skipping and not match[3].endswith("/>"):
-                depth += -1 if closing else 1
-                skipping = skipping if depth else ""
-            continue
         if closing:
             node = here
             while node is not None and node.tag != tag:
@@ -106,32 +137,38 @@ def parse(page: str) -> Node:
             continue
         if tag in VOID:
             continue
-        if tag in RAW or is_junk(tag, match[3], here):
+        if here.tag == "head" and tag not in IN_HEAD:
+            here = here.parent
+        if tag in RAW:
             if match[3].endswith("/>"):
                 continue
-            if tag in RAW:
-                close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, end)
-                at = close.end() if close else len(page)
-            else:
-                skipping, depth = tag, 1
-            if tag in BLOCKS or tag in DROPPED:
-                here.children.append(Node("hr", here))
+            close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, end)
+            at = close.end() if close else len(page)
+            here.children.append(Node("hr", here))
             continue
-        if tag in BLOCKS or tag in ENDS_OPEN:
+        if tag in BLOCKS or tag in ENDS_OPEN or tag in ENDS_P:
             here = closed(here, {"p"}, BLOCKS - {"p"})
         if tag in ENDS_OPEN:
             here = closed(here, ENDS_OPEN[tag], {"ul", "ol", "dl", "table"})
         if tag in ("html", "body"):
             continue
-        node = Node(tag, here)
+        node = Node(tag, here, junk_of(tag, match[3], here))
         here.children.append(node)
         if not match[3].endswith("/>"):
             here = node
-    if at < len(page) and not skipping:
-        here.children.append(unescape(page[at:]))
+    if at < len(page):
+        add_text(here, page[at:])
     return root
 
 
+def add_text(here: Node, text: str) -> Node:
+    """Append it where it belongs; the node that is open then."""
+    if here.tag == "head" and not text.isspace():
+        here = here.parent
+    here.children.append(unescape(text))
+    return here
+
+
 def closed(here: Node, tags: set[str], stops: set[str]) -> Node:
     """Where a start tag goes that ends an open element of `tags`, searched up to one of `stops`."""
     node = here
@@ -151,10 +188,39 @@ def walk(root: Node) -> Iterator[Node]:
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
 
+def cut(root: Node) -> list[tuple[Node, int, Node]]:
+    """Put blanks in the place of junk; what had junk words and more than half of the text, and where it was."""
+    nodes = list(walk(root))
+    sizes, titled = {}, set()
+    for node in reversed(nodes):
+        size = 0
+        for child in node.children:
+            if isinstance(child, str):
+                size += len(" ".join(child.split()))
+            elif child.junk != DROP:
+                size += sizes[id(child)]
+                if id(child) in titled or not child.junk and (child.tag == "h1" or child.tag in ARTICLE):
+                    titled.add(id(node))
+        sizes[id(node)] = size
+    large = []
+    for node in nodes:
+        for k, child in enumerate(node.children):
+            if isinstance(child, str) or child.junk not in (DROP, WORDY):
+                continue
+            most = child.junk == WORDY and 2 * sizes[id(child)] > sizes[id(root)]
+            if most and id(child) in titled:
+                continue
+            if most:
+                large.append((node, k, child))
+            node.children[k] = Node("hr" if child.tag in BLOCKS or child.tag in DROPPED else "span", node)
+    return large
+
+
 def measure(root: Node) -> list[Node]:
     """Lengths of all text and of link text for each node; the nodes in page order."""
     nodes = list(walk(root))
     for node in reversed(nodes):
+        node.size, node.links = 0, 0
         for child in node.children:
             if isinstance(child, Node):
                 node.size += child.size
@@ -249,8 +315,17 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    large = cut(root)
     nodes = measure(root)
     best = score(nodes)
+    if best is None and large and not any(n.size for n in nodes if n.tag in ARTICLE):
+        blanks = [parent.children[k] for parent, k, _ in large]
+        for parent, k, node in large:
+            parent.children[k] = node
+        best = score(measure(root))
+        if best is None:
+            for (parent, k, _), blank in zip(large, blanks, strict=True):
+                parent.children[k] = blank
     if best is None:
         best = next((n for n in nodes if n.tag in ARTICLE), root)
         return text_of([best])

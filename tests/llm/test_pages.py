@@ -27,6 +27,38 @@ def test_small_pages(page, text):
     assert main_text(page) == text
 
 
+ONE, TWO = ("A paragraph of this page, long enough to count, number " + n for n in ("one.", "two."))
+
+
+@pytest.mark.parametrize("start", [
+    '<div style="overflow:hidden">', '<article aria-hidden="false">', '<div title="a hidden valley">', '<div data-id="comments">', '<div data-x=/p?id=comments>',
+    '<div class="content with-sidebar">', '<div id=main class="sidebar">', '<div class="no-ads">', '<div class="page-sidebar"><h1>T</h1>', '<div class="widget">',
+])
+def test_what_only_looks_like_junk_stays(start):
+    end = "</article>" if "article" in start else "</div>"
+    assert main_text(f"{start}<p>{ONE}</p><p>{TWO}</p>{end}").removeprefix("T\n") == f"{ONE}\n{TWO}"
+
+
+def test_links_keep_their_words():
+    assert main_text(f'<article><p>{ONE} <a href="/hidden-gems">Gems</a> <a href="/p?id=comments">and more</a></p></article>') == f"{ONE} Gems and more"
+
+
+@pytest.mark.parametrize("junk", [
+    "<p class=notice>Take note", "<p class=notice>Take note<div>", '<div class="ad"><p>Buy', '<ul><li class="ad">Buy<li>', "<div hidden>x</div>", "<nav><a>One</a>", "<div><nav>One</div>",
+    '<div class="comment-content"><p>Reader</div>', "<div aria-hidden=true>x</div>", '<div style="visibility: hidden">x</div>', "<div class=article-comments>x</div>",
+])
+def test_junk_ends_where_it_must(junk):
+    page = f"<body><article><section>{junk}</section><p>{ONE}</p><p>{TWO}</p></article></body>"
+    assert main_text(page) == f"{ONE}\n{TWO}"
+
+
+def test_junk_without_end_tags_drops_nothing_else():
+    assert main_text(f"<head><title>T</title><body><p>{ONE}<p>{TWO}") == f"{ONE}\n{TWO}"
+    assert main_text(f"<article><p class=notice>Note<p>{ONE}<p>{TWO}</article>") == f"{ONE}\n{TWO}"
+    comments = f'<div class="comments"><article class="comment"><p>{"Reader, says. " * 90}</p></article></div>'
+    assert main_text(f"<div><p>{ONE}</p><p>{TWO}</p></div>{comments}") == f"{ONE}\n{TWO}"
+
+
 def test_split_articles_and_link_lists():
     section = "<section><p>" + "Many words, and commas, for a paragraph of text. " * 4 + "</p></section>"
     links = "<div><p>" + '<a href="x">a link text, long enough to be counted as such</a> ' * 9 + "</p></div>"
