@@ -6,8 +6,10 @@ Such words don't count after `with`, `has` or `no`, nor beside a class or id tha
 holds most of the text with its heading or article, nor on what holds most of a page that has no article or paragraph else.
 Every paragraph then passes points for its length and its commas to its ancestors, whole to the nearest one,
 half to the next, less to those above, each discounted by the paragraph's share of link text. The container
-with most points after the discount of its own links wins. Its siblings are kept if they have a fifth of its
-points, or are paragraphs that read like text.
+with most points after the discount of its own links wins; if it lies in an `article`, else in a `main`, that one
+is taken in its place, without lists of links beside the winner. Siblings are kept if they have a fifth of the
+winner's points, are paragraphs that read like text, or lists, tables, figures and `pre` that aren't lists of
+links. Headings before the container are kept unless a list of links follows, later ones if a kept sibling does.
 
 Definitions. A null or empty page gives an empty text. Without any points, the first `article` or `main`, else
 what is left of the page, is the text. Ends of elements may be missing; end tags without a start are ignored.
@@ -60,7 +62,10 @@ NEUTRAL = frozenset("area block col column container inner layout outer primary
 #: What such a word is followed by in one class or id describes the surroundings (`with-sidebar`).
 MODIFIERS = frozenset("has have no non with without".split())
 COMMAS = re.compile("[,،、，]")
-LEAST_LENGTH, SIBLING_POINTS, SIBLING_SHARE = 25, 10, 0.2
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Siblings that need no points.
+PIECES = frozenset("pre ul ol dl table figure".split())
+LEAST_LENGTH, SIBLING_SHARE, LINK_SHARE = 25, 0.2, 0.5
 
 
 #: Kinds of junk: by tag or invisible; by words of its attributes; an article or main element with such words, which stays.
@@ -270,19 +275,47 @@ def score(nodes: list[Node]) -> Node | None:
     return best
 
 
+def is_link_list(node: Node) -> bool:
+    return node.tag in BLOCKS and density(node) > LINK_SHARE and sum(n.tag == "a" for n in walk(node)) > 1
+
+
+def container(best: Node) -> Node:
+    """The article or main element around the winner, without lists of links beside it; else the winner."""
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    top = next((n for tag in ("article", "main") for n in above if n.tag == tag), best)
+    for node in above[: above.index(top)]:
+        beside = node.parent.children
+        for k, child in enumerate(beside):
+            if child is not node and isinstance(child, Node) and is_link_list(child):
+                beside[k] = Node("hr", node.parent)
+    return top
+
+
 def kept(best: Node) -> list[Node]:
     """The container and those of its siblings that belong to it, in page order."""
-    if best.parent is None:
-        return [best]
-    limit = max(SIBLING_POINTS, SIBLING_SHARE * best.points)
-    out = []
-    for node in best.parent.children:
-        if isinstance(node, str):
+    top = container(best)
+    if top.parent is None:
+        return [top]
+    limit = SIBLING_SHARE * best.points
+    out, after, next_ = [], True, None
+    for node in reversed(top.parent.children):
+        if isinstance(node, str) or node is not top and not node.size:
             continue
-        reads = node.tag == "p" and (node.size > 80 and density(node) < 0.25 or 0 < node.size <= 80 and not node.links)
-        if node is best or reads or node.tag in BLOCKS and node.points * (1 - min(density(node), 1)) >= limit:
+        after = after and node is not top
+        if node is top:
+            keep = True
+        elif node.tag in HEADINGS:
+            keep = not is_link_list(next_) if not after else bool(out) and next_ is out[-1]
+        elif node.tag == "p":
+            keep = node.size > 80 and density(node) < 0.25 or node.size <= 80 and not node.links
+        else:
+            keep = node.tag in PIECES and not is_link_list(node)
+        if keep or node.tag in BLOCKS and node.points * (1 - min(density(node), 1)) >= limit:
             out.append(node)
-    return out
+        next_ = node
+    return out[::-1]
 
 
 def text_of(nodes: list[Node]) -> str:

@@ -66,6 +66,34 @@ def test_split_articles_and_link_lists():
     assert got.count("\n") == 2 and "link" not in got
 
 
+MANY = "<p>" + "Many words, and commas, for a paragraph of text. " * 4 + "</p>"
+SHORT = "<section><p>A short last section, of one paragraph, no more.</p></section>"
+TAIL = "A short last section, of one paragraph, no more."
+
+
+def lines(page):
+    return ["many" if line.startswith("Many") else line for line in main_text(page).split("\n")]
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_an_article_is_taken_whole(tag):
+    assert lines(f"<body><{tag}><h1>T</h1><div>{MANY * 3}</div><pre>code</pre></{tag}></body>") == ["T", "many", "many", "many", "code"]
+    assert lines(f"<body><{tag}><section>{MANY * 9}</section>{SHORT}</{tag}></body>")[-2:] == ["many", TAIL]
+    links = "<ul>" + "<li><a href=x>some other page of this site</a>" * 5 + "</ul>"
+    assert lines(f"<body><{tag}><h1>T</h1><div>{MANY * 3}</div>{links}</{tag}><p>{'<a>x</a> ' * 50}</body>") == ["T", "many", "many", "many"]
+
+
+def test_siblings_of_the_winner():
+    links = "<ul><li><a href=x>Home</a><li><a href=y>News</a></ul>"
+    body = f"<h3>Pages</h3>{links}<h1>T</h1><div>by X</div><div>{MANY * 3}</div>"
+    pieces = "<h2>Code</h2><pre>x = 1</pre><ul><li>a<li>b</ul><table><tr><td>1<td>2</table><figure><figcaption>F</figcaption></figure>"
+    assert lines(f"<body>{body}{pieces}<h3>More</h3>{links}<h3>End</h3></body>") == ["T", "many", "many", "many", "Code", "x = 1", "a", "b", "1", "2", "F"]
+
+
+def test_a_fifth_of_the_points_is_enough():
+    assert lines(f"<body><div>{MANY}</div>{SHORT}</body>") == ["many", TAIL]
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "deep text"
     assert main_text(deep) == "deep text"
