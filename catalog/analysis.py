@@ -198,7 +198,7 @@ def analyze_by_lang(spark, sf):
     """German documents through the German chain, the others through the default one."""
     rows = table(spark, sf, "documents")
     out = None
-    for condition, type_name in (("lang = 'de'", "text_de"), ("lang <> 'de'", "text")):
+    for condition, type_name in (("lang = 'de'", "text_de"), ("NOT (lang <=> 'de')", "text")):
         spec = unlabelled(FieldSpec("text", type_name))
         part = SearchIndex.build(rows.where(condition), spec).postings()
         part = doc_frequency(part).withColumn("chain", F.lit(type_name))

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from gleaner import FieldSpec, IndexSpec, SearchIndex, every, search
 from gleaner.functions.analysis import Analyzer, Delimiter, accent_map, analyzer, edge_ngrams, fold_chars, group_terms
 from gleaner.functions.stemming import register_stemmer, stem_english, stem_german, stem_terms
@@ -149,3 +150,11 @@ def test_statistics(spark):
         ("t", "a", 2), ("t", "b", 1), ("u", "x", 1)}
     assert {(r.field, r.docs, r.terms) for r in field_statistics(postings).collect()} == {("t", 2, 2), ("u", 1, 1)}
     assert {(r.field, r.term) for r in top_terms(postings, 1).collect()} == {("t", "a"), ("u", "x")}
+
+
+def test_documents_without_a_language_take_the_default_chain(spark, tmp_path):
+    rows = [(1, "häuser", "de"), (2, "running", "en"), (3, "running", None)]
+    spark.createDataFrame([(k, t, lang, "s", len(t)) for k, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    found = {(r.chain, r.term): r.df for r in queries()["analyze_by_lang"](spark, str(tmp_path)).where("field = 'text'").collect()}
+    assert found == {("text_de", "haus"): 1, ("text", "run"): 2}
