@@ -266,11 +266,10 @@ def drop_common_lines(
     else:
         heaviest = shard_index(counts.where(F.col("n") * HEAVY > total).coalesce(1), 1)
         known = spark.sparkContext.broadcast(gathered(heaviest, 1))
-        lists = unused(docs, "line_keys")
-        found = sent_probes(docs, text, index, known, shards, min_docs, min_chars).withColumnRenamed("keys", lists)
-        digest = unused(docs, "line_digest")
-        rows = docs.withColumn(digest, F.unhex(F.md5(F.coalesce(text, F.lit("")))))
-        rows = rows.join(found, rows[digest] == found["t"], "left").select(*docs.columns, lists)
+        lists, digest = unused(docs, "line_keys"), unused(docs, "line_digest")
+        found = sent_probes(docs, text, index, known, shards, min_docs, min_chars).withColumnsRenamed({"keys": lists, "t": digest})
+        hashed = docs.withColumn(digest, F.unhex(F.md5(F.coalesce(text, F.lit("")))))
+        rows = hashed.join(found, digest, "left").select(*docs.columns, lists)
     names, place = docs.columns, docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
