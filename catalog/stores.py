@@ -8,7 +8,7 @@ from catalog.base import NORMED, POS, SQL, TOK, documents, ids, query, table
 from catalog.features import SIMILAR
 from gleaner.operators.suggest import spell_suggest
 from gleaner import Condition as C
-from gleaner import Facet, IndexSpec, IndexStore, SearchRequest, Similar, build_documents, every, search, some
+from gleaner import Facet, FieldSpec, IndexSpec, IndexStore, SearchIndex, SearchRequest, Similar, build_documents, every, search, some
 from gleaner.sources.index import tombstones
 from gleaner.sources.tables import work_dir
 
@@ -127,6 +127,68 @@ def store_same_version(spark, sf):
     return found.facets.select(F.regexp_replace("value", '"', "").alias("value"), "count")
 
 
+@query("store_rerun_batch", """
+SELECT lang, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0 GROUP BY lang""")
+def store_rerun_batch(spark, sf):
+    """A batch beats an older version of another writer, then comes again without those documents."""
+    store = IndexStore(spark, work_dir(spark, "store"), STORED)
+    docs = documents(spark, sf, STORED).docs.withColumn("op", F.lit("U"))
+    number = F.col("item_id").cast("long")
+    newer, older = docs.withColumn("version", F.lit(5).cast("bigint")), docs.withColumn("version", F.lit(3).cast("bigint"))
+    store.append(newer.withColumn("n_chars", F.lit(0).cast("bigint")), 0, unique=True, writer="b")
+    store.append(older.where(number % 2 == 0), 0, unique=True, writer="c")
+    store.append(newer.where((number % 2 == 1) & (number % 3 != 0)), 0, unique=True, writer="b")
+    return store.current().groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_chars").alias("chars"))
+
+
+@query("store_statistics", """
+SELECT 'documents' AS index_id, 'local' AS site, count(*) + count(*) FILTER (lang = 'de') + count(*) FILTER (lang = 'fr' AND doc_id % 2 = 0) AS log_rows,
+  count(*) FILTER (lang = 'de') + count(*) FILTER (lang = 'fr' AND doc_id % 2 = 0) AS deletes,
+  count(*) FILTER (lang = 'fr' AND doc_id % 2 = 0) AS deletes_by_id, count(*) FILTER (lang = 'de') AS deletes_by_condition,
+  count(*) FILTER (NOT coalesce(lang = 'de' OR lang = 'fr' AND doc_id % 2 = 0, false)) AS docs,
+  count(*) FILTER (coalesce(lang = 'de' OR lang = 'fr' AND doc_id % 2 = 0, false)) AS pending
+FROM documents""")
+def store_statistics(spark, sf):
+    """Writes, deletes by kind and what a tracker still has to index, from the parts' summaries."""
+    store = written(spark, sf)
+    store.delete_where(F.col("lang") == "de")
+    store.delete(store.current().where("lang = 'fr' AND cast(item_id AS long) % 2 = 0").select("doc_key"))
+    tracked = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("item_id"), F.lit(1).cast("long").alias("version"))
+    return store.statistics(tracked).drop("parts", "bytes")
+
+
+WEIGHTED = IndexSpec("parts", "p_partkey", (
+    FieldSpec("words", "tokens", source="transform(split(p_name, ' '), (w, i) -> named_struct('value', w, 'score', double(1 + p_size % 7 + i)))"),
+))
+WEIGHTED_SQL = r"""
+WITH t AS (SELECT p_partkey, lower(w[i]) AS term, 1 + p_size % 7 + i - 1 AS weight, i, len(w) AS n
+  FROM (SELECT p_partkey, p_size, string_split(p_name, ' ') AS w FROM part), unnest(range(1, len(w) + 1)) AS r(i)),
+p AS (SELECT p_partkey, term, count(*) AS tf, arg_max(weight, i) AS weight FROM t GROUP BY ALL),
+d AS (SELECT count(*) AS df, (SELECT count(*) FROM part) AS n FROM p WHERE term = (SELECT term FROM p GROUP BY term ORDER BY count(*) DESC, term LIMIT 1))
+SELECT CAST(p_partkey AS VARCHAR) AS item_id, round(round(sqrt(tf) * pow(1 + ln(n::DOUBLE / (df + 1)), 2) * weight, 6), 5) AS score
+FROM p, d WHERE term = (SELECT term FROM p GROUP BY term ORDER BY count(*) DESC, term LIMIT 1)"""
+
+
+def weighted(index, spark, sf):
+    words = table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("w"), "p_partkey").distinct()
+    word = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").first()["w"]
+    return search(index, keys=word).hits.withColumn("score", F.round("score", 5))
+
+
+@query("score_weighted_tokens", WEIGHTED_SQL)
+def score_weighted_tokens(spark, sf):
+    """Pre-tokenized text: a word's score goes with the weight of its last token."""
+    return weighted(SearchIndex.build(table(spark, sf, "part"), WEIGHTED), spark, sf)
+
+
+@query("store_weighted_tokens", WEIGHTED_SQL)
+def store_weighted_tokens(spark, sf):
+    """The same from weights in stored postings."""
+    store = IndexStore(spark, work_dir(spark, "weighted"), WEIGHTED)
+    store.append(build_documents(table(spark, sf, "part"), WEIGHTED), unique=True)
+    return weighted(store.index(), spark, sf)
+
+
 @query("store_bulk_then_stream", f"""WITH {TOK}, m AS (SELECT DISTINCT doc_id FROM tok WHERE term IN ('der', 'the'))
 SELECT CAST(doc_id AS VARCHAR) AS item_id FROM m""")
 def store_bulk_then_stream(spark, sf):

@@ -41,6 +41,7 @@ class Measure:
     length: str
     boost: float
     norms: bool
+    weight: str | None = None  # column with the phrase's weight, of pre-tokenized text
 
 
 def collection_stats(rows: DataFrame, measures: list[Measure]) -> Column:
@@ -67,6 +68,8 @@ def score(measures: list[Measure], stats: Column, n: Column, model: str = "tfidf
             value = bm25(tf, df, n, length, average)
         else:
             value = tfidf(tf, df, n, length)
+        if m.weight:
+            value = value * F.col(m.weight)
         per_phrase.setdefault(m.phrase, []).append(F.when(tf > 0, value * m.boost).otherwise(F.lit(0.0)))
     return F.round(total(largest(values) for values in per_phrase.values()), DIGITS)
 

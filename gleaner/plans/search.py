@@ -44,7 +44,8 @@ class SearchResult:
             # part of the scope, so that counts and facets obey it too
             lists = [F.col(f.name) for f in self.spec.fields if f.type == "access" and f.multi]
             allowed = [F.coalesce(granted(c, list(request.grants)), F.lit(False)) for c in lists]
-            self.index = replace(self.index, docs=self.index.docs.where(all_of(allowed) if allowed else F.lit(False)))
+            allowed_docs = self.index.docs.where(all_of(allowed) if allowed else F.lit(False))
+            self.index = replace(self.index, docs=allowed_docs, counts=None)
         self.keys = as_keys(request.keys) if request.similar is None else as_keys(None)
         self.fields = [self.spec[f] for f in request.fields] if request.fields else list(self.spec.text_fields)
         for f in self.fields:
@@ -236,7 +237,8 @@ class SearchResult:
         scored = self.keys.phrases(positive_only=True)
         return [
             Measure(p, f.name, self._tf(f.name, p), f"_len_{f.name}",
-                    self.request.boosts.get(f.name, f.boost), f.chain.norms)
+                    self.request.boosts.get(f.name, f.boost), f.chain.norms,
+                    self._tf(f.name, p).replace("_tf_", "_w_", 1) if f.type == "tokens" else None)
             for p in scored for f in self.fields
             if f.name in self._lookups
         ]
@@ -248,6 +250,12 @@ class SearchResult:
             return rows.join(scores, [c for c in scores.columns if c != "score"])
         if not measures or self.request.scoring is None:
             return rows.withColumn("score", F.lit(1.0))
+        words = self._words_of(measures)
+        if self.index.counts is not None and words is not None:
+            # counted when the parts were written
+            n = self.index.counts.documents()
+            averaged = {m.field: m.norms and self.request.scoring == "bm25" for m in measures}
+            return self._with_scores(rows, n, self.index.counts.collection(words, averaged))
         n = self.index.docs.agg(F.count("*").alias("n")).scalar()
         docs = self.index.docs
         if self.request.scoring != "bm25" and self.index.stored_postings is None:
@@ -255,11 +263,24 @@ class SearchResult:
             flags = [self._may_hold_key(p) for p in dict.fromkeys(m.phrase for m in measures)]
             docs = docs.where(any_of(f for f in flags if f is not None))
         need_match = self.request.scoring != "bm25"
-        stats = collection_stats(self._looked_up(docs, need_match), measures)
+        return self._with_scores(rows, n, collection_stats(self._looked_up(docs, need_match), measures))
+
+    def _with_scores(self, rows: DataFrame, n: Column, stats: Column) -> DataFrame:
         rows = compute_once(rows, {"_n": n, "_stats": stats})
-        value = score(measures, F.col("_stats"), F.col("_n"), model=self.request.scoring)
+        value = score(self._measures, F.col("_stats"), F.col("_n"), model=self.request.scoring)
         return rows.withColumn("score", value).drop("_n", "_stats")
 
+    def _words_of(self, measures: list[Measure]) -> list[tuple[str, str]] | None:
+        """(field, term) of each measure, if all of them are single words."""
+        words = []
+        for m in measures:
+            lookup = self._lookups[m.field]
+            slots = lookup.phrases[m.phrase]
+            if len(slots) != 1 or len(slots[0]) != 1:
+                return None
+            words.append((m.field, lookup.terms[slots[0][0]]))
+        return words
+
     @cached_property
     def _matching(self) -> DataFrame:
         """Documents passing all filters and keywords, not scored."""
@@ -272,7 +293,7 @@ class SearchResult:
     def matched(self) -> DataFrame:
         """All matching documents with their score."""
         rows = self._scored(self._matching)
-        rows = rows.drop(*[c for c in rows.columns if c.startswith(("_len_", "_tf"))])
+        rows = rows.drop(*[c for c in rows.columns if c.startswith(("_len_", "_tf", "_w_"))])
         if self.request.ranks is not None:
             rows = ranked_by(rows, self.request.ranks)
         if self.request.elevation is not None:
@@ -291,7 +312,7 @@ class SearchResult:
     def _projected(self, rows: DataFrame) -> DataFrame:
         if self.request.retrieve_all:
             hidden = [f.name for f in self.spec.fields if not f.is_stored]
-            hidden += [c for c in rows.columns if c in ("terms", "part") or c.startswith(("first__", "sort__", "len__"))]
+            hidden += [c for c in rows.columns if c in ("terms", "part", "written_at") or c.startswith(("first__", "sort__", "len__"))]
             rows = rows.drop(*hidden)
         else:
             extra = [f"distance__{s.field}" for s in self.spatial]

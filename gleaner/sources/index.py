@@ -8,6 +8,7 @@ of its terms only).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,9 @@ from pyspark.sql import types as T
 
 from gleaner.functions.analysis import analyzer, group_terms
 from gleaner.functions.coerce import coerce_values, first_value
-from gleaner.functions.columns import compute_once, is_array, let, sort_key
+from gleaner.functions.columns import compute_once, is_array, largest, let, sort_key, total
 from gleaner.operators.keys import phrase_frequency
+from gleaner.sources.statistics import StoredCounts
 from gleaner.spec import FieldSpec, IndexSpec
 
 
@@ -125,8 +127,8 @@ def documents_from_text(source: DataFrame, spec: IndexSpec, values: str = "field
 
 
 def row_keys(rows: DataFrame) -> list[str]:
-    """The columns that name one write of a document: its key, its version, and in a store its part."""
-    return ["doc_key", *[c for c in ("version", "part") if c in rows.columns]]
+    """The columns that name one write of a document: its key, and in a store its part, else its version."""
+    return ["doc_key", *[c for c in ("part", "version") if c in rows.columns][:1]]
 
 
 def latest(log: DataFrame, key: str = "doc_key", order: tuple[str, ...] = ("version",)) -> DataFrame:
@@ -216,12 +218,22 @@ class Lookup:
     terms: list[str]
     phrases: dict[str, list[list[int]]]
 
-    def columns(self, field: str, found: Column) -> list[Column]:
+    def columns(self, field: str, found: Column, tokens: Column | None = None) -> list[Column]:
+        weights = [] if tokens is None else [
+            self.weight(slots, lambda terms: last_weight(tokens, terms)).alias(f"_w_{field}_{j}")
+            for j, slots in enumerate(self.phrases.values())
+        ]
         return [
             F.coalesce(found["len"], F.lit(0)).alias(f"_len_{field}"),
             *[F.coalesce(found[f"t{j}"], F.lit(0)).alias(f"_tf_{field}_{j}") for j in range(len(self.phrases))],
+            *weights,
         ]
 
+    def weight(self, slots: list[list[int]], of: Callable[[list[str]], Column]) -> Column:
+        """Of a phrase: the mean weight of its words."""
+        used = [slot for slot in slots if slot]
+        return total(of([self.terms[i] for i in slot]) for slot in used) / max(1, len(used))
+
 
 def _raw_tokens(f: FieldSpec) -> Column:
     """Tokens of a text field before stemming; empty where the field is missing."""
@@ -287,8 +299,14 @@ def scored_tokens(docs: DataFrame, name: str) -> DataFrame:
     )
 
 
+def last_weight(tokens: Column, terms: list) -> Column:
+    """The score of the last value that is one of the terms; 1 where it has none."""
+    own = F.filter(tokens, lambda x: F.lower(x["value"]).isin(*terms))
+    return F.coalesce(F.try_element_at(own, F.lit(-1))["score"], F.lit(1.0))
+
+
 def term_vectors(docs: DataFrame, spec: IndexSpec, names: list[str]) -> DataFrame:
-    """Add ``terms``: per text field and distinct term its frequency, positions and the field length."""
+    """Add ``terms``: per text field and distinct term its frequency, positions, the field length and the term's weight."""
     rows = with_tokens(docs, spec, names)
     entries = []
     for n in names:
@@ -301,6 +319,7 @@ def term_vectors(docs: DataFrame, spec: IndexSpec, names: list[str]) -> DataFram
                 (F.size(g["positions"]) if chain.frequencies else F.lit(1)).alias("tf"),
                 (g["positions"] if chain.frequencies else F.array().cast("array<int>")).alias("positions"),
                 (size if chain.norms else F.lit(1)).alias("len"),
+                (last_weight(F.col(n), [g["term"]]) if spec[n].type == "tokens" else F.lit(1.0)).alias("weight"),
             )
 
         entries.append(let(
@@ -362,9 +381,12 @@ class SearchIndex:
     spec: IndexSpec
     docs: DataFrame
     stored_postings: DataFrame | None = None
+    counts: StoredCounts | None = None  # of the stored postings
 
     @classmethod
-    def build(cls, source: DataFrame, spec: IndexSpec, site: str | None = None) -> "SearchIndex":
+    def build(cls, source: DataFrame, spec: IndexSpec, site: str | None = None, partitions: int | None = None) -> "SearchIndex":
+        """``partitions`` spreads the source's rows first, e.g. a small file that Spark reads as one task."""
+        source = source.repartition(partitions) if partitions else source
         return cls(spec, build_documents(source, spec, site))
 
     @property
@@ -377,7 +399,16 @@ class SearchIndex:
         scope = F.col("index_id").isin(*ids)
         if sites is not None:
             scope = scope & F.col("site").isin(*sites)
-        return replace(self, docs=self.docs.where(scope))
+        counts = None if self.counts is None else self.counts.scoped(scope)
+        stored = None if self.stored_postings is None else self.stored_postings.where(scope)
+        return replace(self, docs=self.docs.where(scope), stored_postings=stored, counts=counts)
+
+    def document_frequency(self, fields: list[str] | None = None) -> DataFrame:
+        """``(field, term, df)``; a stored index reads its term counts only."""
+        names = fields or [f.name for f in self.spec.text_fields]
+        if self.counts is not None:
+            return self.counts.document_frequency().where(F.col("field").isin(*names))
+        return doc_frequency(distinct_terms(self.docs, self.spec, names))
 
     def postings(self, fields: list[str] | None = None, checked: bool = True) -> DataFrame:
         """``(doc_key, field, term, tf, positions, len)`` of the text fields.
@@ -439,7 +470,10 @@ class SearchIndex:
         })
         return found.select(
             *self.docs.columns,
-            *[c for n, lookup in lookups.items() for c in lookup.columns(n, F.col(f"_x_{n}"))],
+            *[
+                c for n, lookup in lookups.items()
+                for c in lookup.columns(n, F.col(f"_x_{n}"), F.col(n) if self.spec[n].type == "tokens" else None)
+            ],
         )
 
     def _frequencies_from_postings(self, lookups: dict[str, Lookup], need_match: bool) -> DataFrame:
@@ -457,6 +491,11 @@ class SearchIndex:
             F.max(F.when((F.col("field") == n) & (F.col("term") == t), F.col(value))).alias(f"_p_{n}_{i}")
             for n, lookup in lookups.items() for i, t in enumerate(lookup.terms)
         ]
+        weighted = [n for n in lookups if self.spec[n].type == "tokens"]
+        columns += [
+            F.max(F.when((F.col("field") == n) & (F.col("term") == t), F.col("weight"))).alias(f"_q_{n}_{i}")
+            for n in weighted for i, t in enumerate(lookups[n].terms)
+        ]
         hits = self.stored_postings.where(wanted).groupBy(*keys).agg(*columns)
         rows = self.docs.join(hits, keys, "inner" if need_match else "left")
         none = F.array().cast("array<int>")
@@ -470,6 +509,9 @@ class SearchIndex:
                 else:
                     tf = phrase_frequency([[found[i] for i in slot] for slot in slots])
                 out.append(tf.alias(f"_tf_{n}_{j}"))
+                if n in weighted:
+                    of = {t: F.coalesce(f"_q_{n}_{i}", F.lit(1.0)) for i, t in enumerate(lookup.terms)}
+                    out.append(lookup.weight(slots, lambda terms: largest([of[t] for t in terms])).alias(f"_w_{n}_{j}"))
         return rows.select(*self.docs.columns, *out)
 
 

@@ -1,36 +1,40 @@
-"""The stored index: parts of documents and postings, and a list of the finished ones."""
+"""The stored index: partitions of documents, postings, term counts and a summary, one for each batch of a writer."""
 
 from __future__ import annotations
 
 import hashlib
-import json
-import uuid
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.functions.columns import compute_once
-from gleaner.sources.index import SearchIndex, index_statistics, latest, spell_dictionary, term_vectors, tombstones
+from gleaner.sources.index import SearchIndex, latest, remaining_items, spell_dictionary, term_vectors, tombstones
+from gleaner.sources.statistics import StoredCounts, summary, term_counts
 from gleaner.spec import IndexSpec
 
-COMMIT = "seq long, writer string, batch long, part string, replaces array<string>, base boolean, superseded long"
-
-
-class Conflict(RuntimeError):
-    """Another writer has finished a part in the meantime."""
+TABLES = ("docs", "postings", "terms", "summary")
+POSTINGS = "index_id string, part string, site string, doc_key string, field string, term string, tf int, positions array<int>, len int, weight double"
+TERMS = "index_id string, part string, site string, field string, term string, df long, tf long"
+SUMMARY = "index_id string, part string, site string, field string, docs long, total long"
+BY_ID, BY_CONDITION, BASE = "delete-ids", "delete-where", "base"
 
 
 @dataclass(frozen=True)
 class IndexStore:
-    """An index in a folder: ``docs``, ``postings`` and ``superseded``, one part for each batch of a writer.
+    """An index in a folder, as plain partitioned Parquet tables.
 
-    A part is written to new folders and listed in ``finished`` last, so readers see whole parts only, and a
-    batch that runs again takes the place of its first run without a gap.  Entries are numbered; a number can
-    be taken once, which orders all writers.  The later entry wins between equal versions of a document.
+    A part is one batch of one writer and has a partition in each table: `docs`, `postings` sorted by (field,
+    term, document), `terms` (documents for each term) and `summary` (documents and lengths, a few rows), each
+    split by `index_id` within.  Writing a batch again overwrites its partitions.  The summary is taken away first
+    and written last, and a part without one isn't read, so a batch counts as a whole or not at all.
 
-    Each part names the rows that it supersedes and those of its own that came too late; readers drop these by
-    an anti join with that list and never work out the winners again.
+    Readers pick the last write of each document by version, then time of writing: one aggregate over the narrow
+    keys of all parts but the largest, joined to the documents.  No part depends on what another one holds, so
+    batches can come again, with other rows too, in any order.  `compact` writes a new generation of one
+    part, which replaces all parts before it once it is whole.
     """
 
     spark: SparkSession
@@ -50,40 +54,26 @@ class IndexStore:
         ``unique`` says that no document occurs twice in ``docs``, which saves the shuffle that keeps its last
         write.  ``partitions`` sets the number of posting files (default: ``spark.sql.shuffle.partitions``).
         """
-        names = [f.name for f in self.spec.text_fields]
         docs = docs if unique else latest(docs)
-        vectors = docs if "terms" in docs.columns else term_vectors(docs, self.spec, names)
-        lengths = {
-            f"len__{n}": F.coalesce(F.array_max(F.transform(
-                F.filter("terms", lambda t: t["field"] == n), lambda t: t["len"])), F.lit(0))
-            for n in names
-        }
-        vectors = vectors.drop(*[c for c in lengths if c in vectors.columns])
-        part = self._write_docs(compute_once(vectors, lengths))
-        written = self.spark.read.parquet(f"{self.path}/docs/part={part}").where("op <> 'D'")
-        postings = written.select("index_id", "doc_key", "version", F.inline("terms"))
-        # Range-partitioned by (field, term, document): a term that occurs in a third
-        # of all documents spans several files instead of filling one task.
-        order = ["field", "term", "doc_key"]
-        spread_out = postings.repartitionByRange(*([partitions] if partitions else []), *order)
-        spread_out.sortWithinPartitions(*order).write.parquet(f"{self.path}/postings/part={part}")
-        self._finish(part, writer, batch)
+        if "terms" not in docs.columns:
+            docs = term_vectors(docs, self.spec, [f.name for f in self.spec.text_fields])
+        self._write(docs, self._name(writer, batch), partitions=partitions)
 
     def append_documents(self, docs: DataFrame, batch: int | None = None, unique: bool = False, writer: str = "bulk") -> None:
         """Write document rows only, for indexes that are not searched by term."""
-        self._finish(self._write_docs(docs if unique else latest(docs)), writer, batch)
+        self._write(docs if unique else latest(docs), self._name(writer, batch))
 
-    def delete(self, ids: DataFrame, writer: str = "bulk") -> None:
+    def delete(self, ids: DataFrame, writer: str = BY_ID) -> None:
         """Delete the documents of a frame with ``doc_key``."""
         self._bury(self.current().join(ids.select("doc_key").distinct(), "doc_key", "left_semi"), writer)
 
-    def delete_where(self, condition: Column, writer: str = "bulk") -> None:
+    def delete_where(self, condition: Column, writer: str = BY_CONDITION) -> None:
         """Delete the documents for which the condition holds; unknown counts as not holding."""
         self._bury(self.current().where(F.coalesce(condition, F.lit(False))), writer)
 
     def clear(self) -> None:
         """Delete all documents."""
-        self._replace(self.log().drop("part").limit(0))
+        self._write(self.log().limit(0), f"{BASE}.0", self._generation() + 1)
 
     def drop(self) -> bool:
         """Remove the whole folder, unless the index is read-only."""
@@ -93,169 +83,216 @@ class IndexStore:
         return files.delete(folder, True)
 
     def compact(self, target: str | None = None) -> IndexStore:
-        """The current documents as a single part, in this store or in a new folder; texts aren't analyzed again."""
+        """The current documents as a single part, in this store or in a new folder; texts aren't analyzed again.
+
+        Batches that others write meanwhile aren't part of the new generation: stop the writers first.
+        """
         done = IndexStore(self.spark, target, self.spec) if target else self
-        done._replace(self.current().drop("part"))
+        done._write(self.current(), f"{BASE}.0", done._generation() + 1 if done._generations() else 0)
         return done
 
     def remove_unused(self) -> int:
-        """Delete the folders of parts that no list names: replaced, compacted or never finished.
+        """Delete the partitions that aren't read: of earlier generations, and of parts that were never finished.
 
         Only when no reader uses an older state and no writer is at work.
         """
-        names, gone = {c["part"] for c in self.parts()}, 0
-        for table in ("docs", "postings", "superseded"):
-            folder, files = self._folder(table)
-            for entry in files.listStatus(folder) if files.exists(folder) else ():
-                if entry.getPath().getName().removeprefix("part=") not in names:
-                    gone += files.delete(entry.getPath(), True)
+        number, names, gone = self._generation(), set(self.parts()), 0
+        for name in TABLES:
+            for generation in self._children(name):
+                whole = generation == f"generation={number}"
+                for part in self._children(f"{name}/{generation}"):
+                    if not whole or part.removeprefix("part=") not in names:
+                        folder, files = self._folder(f"{name}/{generation}/{part}")
+                        gone += files.delete(folder, True)
         return gone
 
     def rebuild_dictionary(self, by: tuple[str, ...] = ()) -> None:
         """Write the spelling dictionary of the current documents, e.g. per language with ``by=("lang",)``."""
-        number = self._next()
-        found = spell_dictionary(self.current(), self.spec, by)
-        found.write.mode("overwrite").parquet(f"{self.path}/dictionary/number={number}")
+        spell_dictionary(self.current(), self.spec, by).write.mode("overwrite").parquet(f"{self.path}/dictionary")
 
     def dictionary(self) -> DataFrame:
         """The dictionary as last rebuilt; no text is read."""
-        folder, files = self._folder("dictionary")
-        done = [
-            entry.getPath() for entry in (files.listStatus(folder) if files.exists(folder) else ())
-            if files.exists(self._folder(f"dictionary/{entry.getPath().getName()}/_SUCCESS")[0])
-        ]
-        if not done:
+        if not self._exists("dictionary/_SUCCESS"):
             raise ValueError("rebuild the dictionary first")
-        last = max(int(p.getName().partition("=")[2]) for p in done)
-        return self.spark.read.parquet(f"{self.path}/dictionary/number={last}")
+        return self.spark.read.parquet(f"{self.path}/dictionary")
 
     def _bury(self, rows: DataFrame, writer: str) -> None:
-        schema = self.log().drop("part").schema
-        gone = tombstones(rows.select("doc_key", "item_id", "index_id", "site", "version"), schema, F.col("version"))
-        self._finish(self._write_docs(gone), writer, None, postings=False)
-
-    def _replace(self, docs: DataFrame) -> None:
-        """Publish ``docs`` as all there is; nothing may be finished by others meanwhile."""
-        seen = self._next()
-        part = self._write_docs(docs)
+        gone = tombstones(rows.select("doc_key", "item_id", "index_id", "site", "version"), self.log().schema, F.col("version"))
+        self._write(gone.drop("terms"), self._name(writer, None))
+
+    def _name(self, writer: str, batch: int | None) -> str:
+        if not re.fullmatch(r"[\w-]+", writer):
+            raise ValueError(f"a writer's name has letters, digits, - and _ only, not {writer!r}")
+        if batch is None:
+            started = [p.removeprefix("part=") for p in self._children(f"docs/generation={self._generation()}")]
+            batch = max((int(p.rpartition(".")[2]) for p in started if p.rpartition(".")[0] == writer), default=-1) + 1
+        return f"{writer}.{batch}"
+
+    def _write(self, docs: DataFrame, part: str, generation: int | None = None, partitions: int | None = None) -> None:
+        generation = self._generation() if generation is None else generation
+        place = f"generation={generation}/part={part}"
+        for name in TABLES[::-1]:
+            folder, files = self._folder(f"{name}/{place}")
+            if files.exists(folder):
+                files.delete(folder, True)
+        rows = self._layout(docs)
+        if not self._exists("layout/_SUCCESS"):
+            rows.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/layout")
+        rows.write.mode("overwrite").partitionBy("index_id").parquet(f"{self.path}/docs/{place}")
+        written = self._docs([part], generation)
         if "terms" in docs.columns:
-            written = self.spark.read.parquet(f"{self.path}/docs/part={part}")
+            # Range-partitioned by (field, term, document): a term that occurs in a third
+            # of all documents spans several files instead of filling one task.
             order = ["field", "term", "doc_key"]
-            postings = written.select("index_id", "doc_key", "version", F.inline("terms"))
-            postings.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{self.path}/postings/part={part}")
-        self._publish({"seq": seen, "writer": "compact", "batch": seen, "part": part, "replaces": [], "base": True, "superseded": 0})
-
-    def _write_docs(self, docs: DataFrame) -> str:
-        part = f"p{uuid.uuid4().hex}"
-        docs = docs.drop("part")
-        renamed = docs.withColumnsRenamed(self.spec.renames) if self.spec.renames else docs
-        renamed.write.parquet(f"{self.path}/docs/part={part}")
-        return part
-
-    def _finish(self, part: str, writer: str, batch: int | None, postings: bool = True) -> None:
-        """List a part, with the rows that lose against it and those of its own that lose; again if another
-        writer was faster."""
-        while True:
-            seq, live, commits = self._next(), self.parts(), self._commits()
-            mine = [c for c in commits if c["writer"] == writer]
-            number = batch if batch is not None else max([c["batch"] for c in mine], default=-1) + 1
-            replaces = [c["part"] for c in live if c["writer"] == writer and c["batch"] == number]
-            others = [c for c in live if c["part"] not in replaces]
-            lost = self._write_superseded(part, others) if others else 0
-            try:
-                self._publish({"seq": seq, "writer": writer, "batch": number, "part": part, "replaces": replaces, "base": False, "superseded": lost})
-                return
-            except Conflict:
-                continue
-
-    def _write_superseded(self, part: str, others: list[dict]) -> int:
-        keys = ["doc_key", "version", "part"]
-        new = self._read("docs", [{"part": part}]).select("doc_key", F.col("version").alias("new_version"))
-        old = self._read("docs", others).select(*keys).join(new, "doc_key")
-        newer = F.col("version").isNotNull() & (F.col("new_version").isNull() | (F.col("version") > F.col("new_version")))
-        lost = old.select("doc_key", F.when(newer, F.lit(part)).otherwise(F.col("part")).alias("lost")).distinct()
-        lost.write.mode("overwrite").parquet(f"{self.path}/superseded/part={part}")
-        return self.spark.read.parquet(f"{self.path}/superseded/part={part}").count()
-
-    # -- the list of finished parts -----------------------------------------
+            postings = written.where("op <> 'D'").select("index_id", "site", "doc_key", F.inline("terms"))
+            spread_out = postings.repartitionByRange(*([partitions] if partitions else []), *order)
+            spread_out.sortWithinPartitions("index_id", *order).write.mode("overwrite").partitionBy("index_id").parquet(f"{self.path}/postings/{place}")
+            counted = term_counts(self._table("postings", POSTINGS, [part], generation))
+            counted.sortWithinPartitions("index_id", "field", "term").write.mode("overwrite").partitionBy("index_id").parquet(f"{self.path}/terms/{place}")
+        names = [f.name for f in self.spec.text_fields]
+        summary(written, names).coalesce(1).write.mode("overwrite").partitionBy("index_id").parquet(f"{self.path}/summary/{place}")
+
+    def _layout(self, docs: DataFrame) -> DataFrame:
+        """The same columns in every part: those of the log, with lengths and the time of writing."""
+        have = set(docs.columns)
+        terms = "array<struct<field:string,term:string,tf:int,positions:array<int>,len:int,weight:double>>"
+        missing = {
+            "version": F.lit(None).cast("long"), "op": F.lit("U"), "indexed_at": F.current_timestamp(),
+            "terms": F.array().cast(terms),
+        }
+        rows = docs.withColumns({c: v for c, v in missing.items() if c not in have})
+        rows = rows.withColumns({"version": F.col("version").cast("long"), "written_at": F.current_timestamp()})
+        lengths = {
+            f"len__{f.name}": F.coalesce(F.array_max(F.transform(
+                F.filter("terms", lambda t: t["field"] == f.name), lambda t: t["len"])), F.lit(0))
+            for f in self.spec.text_fields
+        }
+        rows = rows.drop("part", *lengths)
+        rows = compute_once(rows, lengths) if lengths else rows
+        return rows.withColumnsRenamed(self.spec.renames) if self.spec.renames else rows
+
+    # -- the parts -------------------------------------------------------------
 
     def _folder(self, name: str):
         jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
 
-    def _commits(self) -> list[dict]:
-        folder, files = self._folder("finished")
-        if not files.exists(folder):
-            return []
-        rows = self.spark.read.schema(COMMIT).json(f"{self.path}/finished").where("part IS NOT NULL").collect()
-        return sorted((r.asDict() for r in rows), key=lambda c: c["seq"])
-
-    def _next(self) -> int:
-        return max([c["seq"] for c in self._commits()], default=-1) + 1
-
-    def _publish(self, commit: dict) -> None:
-        path, files = self._folder(f"finished/{commit['seq']:012d}.json")
-        if files.exists(path):
-            raise Conflict(path.toString())
-        try:
-            out = files.create(path, False)
-        except Exception as error:
-            raise Conflict(path.toString()) from error
-        out.write(bytearray(json.dumps(commit).encode()))
-        out.close()
-
-    def parts(self) -> list[dict]:
-        """The finished parts that count, in order."""
-        live: list[dict] = []
-        for commit in self._commits():
-            live = [] if commit["base"] else [c for c in live if c["part"] not in commit["replaces"]]
-            live.append(commit)
-        return live
+    def _exists(self, name: str) -> bool:
+        folder, files = self._folder(name)
+        return files.exists(folder)
+
+    def _children(self, name: str) -> list[str]:
+        folder, files = self._folder(name)
+        entries = files.listStatus(folder) if files.exists(folder) else ()
+        return sorted(e.getPath().getName() for e in entries if "=" in e.getPath().getName())
+
+    def _finished(self, generation: int) -> list[str]:
+        folder = f"summary/generation={generation}"
+        return [p.removeprefix("part=") for p in self._children(folder) if self._exists(f"{folder}/{p}/_SUCCESS")]
+
+    def _generations(self) -> list[int]:
+        return sorted(int(g.removeprefix("generation=")) for g in self._children("summary"))
+
+    def _generation(self) -> int:
+        """The last generation that begins with a finished part of its own."""
+        whole = [g for g in self._generations() if g == 0 or f"{BASE}.0" in self._finished(g)]
+        return max(whole, default=0)
+
+    def parts(self) -> list[str]:
+        """Names of the parts that are read."""
+        return self._finished(self._generation())
 
     def batches(self) -> int:
         return len(self.parts())
 
+    def _bytes(self, name: str) -> int:
+        folder, files = self._folder(name)
+        return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
+
     # -- reading -------------------------------------------------------------
 
-    def _read(self, table: str, parts: list[dict]) -> DataFrame:
-        paths = [f"{self.path}/{table}/part={c['part']}" for c in parts]
-        return self.spark.read.option("basePath", f"{self.path}/{table}").parquet(*paths)
+    def _table(self, name: str, schema, parts: list[str], generation: int) -> DataFrame:
+        paths = [f"{self.path}/{name}/generation={generation}/part={p}" for p in parts]
+        paths = [p for p, short in zip(paths, parts, strict=True) if self._exists(f"{name}/generation={generation}/part={short}")]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}/generation={generation}").parquet(*paths)
+
+    def _docs(self, parts: list[str], generation: int) -> DataFrame:
+        stored = self.spark.read.parquet(f"{self.path}/layout").schema
+        schema = T.StructType([*stored.fields, T.StructField("part", T.StringType())])
+        rows = self._table("docs", schema, parts, generation)
+        return rows.withColumnsRenamed({v: k for k, v in self.spec.renames.items()})
 
-    def log(self, parts: list[dict] | None = None) -> DataFrame:
+    def log(self) -> DataFrame:
         """All writes, under the logical field names, each with its part."""
-        parts = self.parts() if parts is None else parts
+        generation = self._generation()
+        parts = self._finished(generation)
         if not parts:
             raise ValueError(f"{self.path} has no finished part")
-        return self._read("docs", parts).withColumnsRenamed({v: k for k, v in self.spec.renames.items()})
-
-    def _live(self, parts: list[dict]) -> DataFrame:
-        log = self.log(parts)
-        lists = [c for c in parts if c["superseded"]]
-        if lists:
-            lost = self._read("superseded", lists).select("doc_key", F.col("lost").alias("part")).distinct()
-            log = log.join(lost, ["doc_key", "part"], "left_anti")
-        return log.where(F.col("op") != "D")
+        return self._docs(parts, generation)
+
+    def _split(self) -> tuple[DataFrame, DataFrame | None]:
+        """(live, dead): the last write of each document that isn't deleted, and the keys of the other rows."""
+        generation = self._generation()
+        parts = self._finished(generation)
+        if len(parts) < 2:
+            return self.log().where("op <> 'D'"), None
+        largest = max(parts, key=lambda p: (self._bytes(f"docs/generation={generation}/part={p}"), p))
+        base, rest = self._docs([largest], generation), self._docs([p for p in parts if p != largest], generation)
+        key = ["index_id", "doc_key"]  # a request's index prunes all of these scans
+        place = F.struct("version", "written_at")
+        newest = rest.groupBy(*key).agg(F.max(F.struct("version", "written_at", "part", "op")).alias("_last"))
+        newer = F.col("_last").isNull() | (place > F.struct("_last.version", "_last.written_at"))
+        against = base.join(newest, key, "left")
+        # keys for which the largest part holds the last write after all
+        beaten = base.select(*key, "version", "written_at").join(newest, key).where(newer).select(*key)
+        winners = newest.join(beaten, key, "left_anti")
+        matched = rest.join(winners, key, "left")
+        wins = F.coalesce(F.col("part") == F.col("_last.part"), F.lit(False))
+        alive = F.col("op") != "D"
+        live = against.where(newer & alive).drop("_last").unionByName(matched.where(wins & alive).drop("_last"))
+        dead = against.where(~newer & alive).drop("_last").unionByName(matched.where(~wins & alive).drop("_last"))
+        return live, dead
 
     def current(self) -> DataFrame:
         """The latest version of each document that isn't deleted."""
-        return self._live(self.parts())
+        return self._split()[0]
 
     def index(self) -> SearchIndex:
-        parts = self.parts()
-        stored = [c for c in parts if self._has_postings(c)]
-        return SearchIndex(self.spec, self._live(parts), self._read("postings", stored) if stored else None)
-
-    def _has_postings(self, commit: dict) -> bool:
-        folder, files = self._folder(f"postings/part={commit['part']}")
-        return files.exists(folder)
-
-    def statistics(self) -> DataFrame:
-        """Per index and site: rows written, deletes, live documents; and parts and bytes of the store."""
-        folder, files = self._folder("")
-        size = files.getContentSummary(folder).getLength() if files.exists(folder) else 0
-        found = index_statistics(self.log().select("index_id", "site", "doc_key", "version", "op"))
-        return found.withColumns({"parts": F.lit(self.batches()), "bytes": F.lit(int(size)).cast("long")})
+        live, dead = self._split()
+        generation = self._generation()
+        parts = self._finished(generation)
+        stored = [p for p in parts if self._exists(f"postings/generation={generation}/part={p}")]
+        if not stored:
+            return SearchIndex(self.spec, live)
+        postings = self._table("postings", POSTINGS, stored, generation)
+        counts = StoredCounts(
+            self._table("terms", TERMS, stored, generation), self._table("summary", SUMMARY, parts, generation), postings, dead)
+        return SearchIndex(self.spec, live, postings, counts)
+
+    def statistics(self, source: DataFrame | None = None) -> DataFrame:
+        """Per index and site, from the summaries: rows written, deletes by id, by condition and by other writers,
+        live documents; and parts and bytes of the store.  With a tracked ``source`` of (item_id, version) also
+        ``pending``: its rows whose version isn't in the index.
+        """
+        generation = self._generation()
+        counts = self._table("summary", SUMMARY, self._finished(generation), generation).where("field = ''")
+        by_id, by_condition = F.col("part").startswith(f"{BY_ID}."), F.col("part").startswith(f"{BY_CONDITION}.")
+        written = counts.groupBy("index_id", "site").agg(
+            F.sum(F.col("docs") + F.col("total")).alias("log_rows"), F.sum("total").alias("deletes"),
+            F.coalesce(F.sum(F.when(by_id, F.col("total"))), F.lit(0)).alias("deletes_by_id"),
+            F.coalesce(F.sum(F.when(by_condition, F.col("total"))), F.lit(0)).alias("deletes_by_condition"), F.sum("docs").alias("docs"))
+        dead = self._split()[1]
+        if dead is not None:
+            lost = dead.groupBy("index_id", "site").agg(F.count("*").alias("_lost"))
+            written = written.join(lost, ["index_id", "site"], "left").withColumn("docs", F.col("docs") - F.coalesce("_lost", F.lit(0))).drop("_lost")
+        out = written.withColumns({"parts": F.lit(self.batches()), "bytes": F.lit(int(self._bytes(""))).cast("long")})
+        if source is not None:
+            waiting = remaining_items(source, self.current()).agg(F.count("*")).scalar()
+            out = out.withColumn("pending", waiting)
+        return out
 
 
 def stream_writer(checkpoint: str) -> str:

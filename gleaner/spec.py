@@ -26,7 +26,7 @@ class FieldType:
         return self.analyzer is not None
 
 
-RESERVED = ("index_id", "site", "item_id", "doc_key", "version", "op", "score", "part")
+RESERVED = ("index_id", "site", "item_id", "doc_key", "version", "op", "score", "part", "written_at")
 
 POINT = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
 TOKENS = T.ArrayType(

@@ -32,7 +32,8 @@ def upsert_stream(
     Each batch keeps the last write per document, and writes its own part under the
     name of the checkpoint, so a batch that runs twice leaves the same rows and no
     other stream or bulk load is overwritten.  An older version that arrives late
-    loses against the stored one by its version; no watermark is needed.
+    loses against the stored one by its version; no watermark is needed.  Writing a batch touches its own partitions
+    only, whatever the store holds.  ``changes`` in the query's progress tells each batch's rows.
     """
 
     writer_name = stream_writer(checkpoint)
@@ -44,6 +45,7 @@ def upsert_stream(
         else:
             store.append_documents(docs, batch_id, unique=True, writer=writer_name)
 
-    writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    watched = changes.observe("changes", F.count(F.lit(1)).alias("rows"))
+    writer = watched.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": VISIBLE_WITHIN}
     return writer.trigger(**trigger).start()
