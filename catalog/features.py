@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import NORMED, PLACE, TEXT, TOK, documents, km, places, query, table, unlabelled
+from catalog.base import NORMED, PLACE, TEXT, TOK, documents, km, parts, places, query, table, unlabelled
 from catalog.maintenance import SPELL
-from gleaner import FieldSpec, SearchRequest, Similar, Spatial, every, search
+from gleaner import FieldSpec, SearchRequest, Similar, Spatial, every, search, some
 from gleaner import Condition as C
 from gleaner.functions.geo import bounding_box, geodist
 from gleaner.functions.markup import format_highlight
@@ -127,6 +127,43 @@ def highlight(spark, sf):
     return _page(spark, sf).select("item_id", "highlight")
 
 
+def _marked_sql(text: str, terms: str) -> str:
+    """A text with its blank-separated terms between the marks of a snippet."""
+    return (f"array_to_string(list_transform(regexp_extract_all({text}, '\\S+|\\s+'), lambda t: "
+            f"CASE WHEN lower(t) IN ({terms}) THEN chr(57344) || t || chr(57345) ELSE t END), '')")
+
+
+def _strong_sql(text: str) -> str:
+    return f"replace(replace({text}, chr(57344), '<strong>'), chr(57345), '</strong>')"
+
+
+@query("highlight_fields", f"""
+WITH h AS (SELECT p_partkey, p_name, p_type FROM part WHERE list_has_any(string_split(lower(p_name || ' ' || p_type), ' '), ['blue', 'steel', 'red']))
+SELECT CAST(p_partkey AS VARCHAR) AS item_id, {_strong_sql(_marked_sql("p_name", "'blue', 'steel', 'red'"))} AS name,
+  {_strong_sql(_marked_sql("p_type", "'blue', 'steel', 'red'"))} AS kind_text FROM h""")
+def highlight_fields(spark, sf):
+    """All searched text fields of the hits, highlighted in place."""
+    return search(parts(spark, sf), keys=some("blue", "steel", "red"), scoring=None).excerpts().select("item_id", "name", "kind_text")
+
+
+_HIT = r"\x{E000}[^\x{E001}]*\x{E001}"
+_SNIPPET = r"(?s)(?:(?:^|[^\p{L}\p{N}]).{0,35})?" + _HIT + r"(?:.{0,70}?" + _HIT + r")*(?:.{0,35}(?:[^\p{L}\p{N}]|$))?"
+_CLEAN = (
+    "regexp_replace(replace(replace(regexp_replace(regexp_replace(s, '<[^>]*>', '', 'g'), '^[^<>]*>|<[^<>]*$', '', 'g'), "
+    r"chr(57344), '<strong>'), chr(57345), '</strong>'), '^[\x00-/:;=?@\[-`]+|[\x00-/:;=?@\[-`]+$', '', 'g')"
+)
+
+
+@query("excerpt_text", f"""
+WITH m AS (SELECT doc_id, {_marked_sql("text", "'from', 'this'")} AS t FROM documents),
+s AS (SELECT doc_id, regexp_extract_all(t, '{_SNIPPET}')[1:3] AS found FROM m WHERE contains(t, chr(57344)))
+SELECT CAST(doc_id AS VARCHAR) AS item_id, md5(array_to_string(list_transform(found, lambda s: {_CLEAN}), ' … ')) AS excerpt FROM s""")
+def excerpt_text(spark, sf):
+    """Up to three snippets of every hit in a text that is split at blanks."""
+    hits = search(documents(spark, sf, TEXT), keys=some("from", "this"), scoring=None).excerpts("text")
+    return hits.select("item_id", F.md5("excerpt").alias("excerpt"))
+
+
 @query("highlight_format", r"""
 SELECT CAST(doc_id AS VARCHAR) AS item_id, md5(replace(text, ' the ', ' <strong>the</strong> ')) AS marked FROM documents""")
 def highlight_format(spark, sf):

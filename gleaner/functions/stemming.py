@@ -171,14 +171,15 @@ def stem_word(name: str, word: str, protected: frozenset[str] = frozenset()) ->
     return word if word in protected else STEMMERS[name](word)
 
 
-_known: dict[str, dict[str, str]] = {}  # stems this worker has found, by stemmer
+_known: dict[str, tuple[Callable, dict[str, str]]] = {}  # by name: the stemmer and the stems this worker has found
 REMEMBERED = 500_000
 
 
 def _stems(name: str, stem: Callable[[str], str], words: list) -> list:
-    known = _known.setdefault(name, {})
-    if len(known) > REMEMBERED:
-        known.clear()
+    owner, known = _known.get(name, (None, {}))
+    if owner is not stem or len(known) > REMEMBERED:
+        known = {}  # another function under the same name has other stems
+        _known[name] = (stem, known)
     for w in words:
         if w is not None and w not in known:
             known[w] = stem(w)

@@ -22,7 +22,7 @@ from gleaner.operators.grouping import Grouping, group_counts, heads, top_n
 from gleaner.operators.keys import Keys, as_keys
 from gleaner.operators.scoring import Measure, collection_stats, elevation_rank, score
 from gleaner.operators.similar import similar_scores
-from gleaner.operators.snippets import with_excerpts
+from gleaner.operators.snippets import with_excerpts, with_highlights
 from gleaner.operators.sorting import BY_RELEVANCE, sort_columns
 from gleaner.operators.spatial import Spatial, merge_ranges
 from gleaner.plans.request import SearchRequest
@@ -340,15 +340,22 @@ class SearchResult:
         rows = self._projected(rows)
         return self.request.on_hits(rows) if self.request.on_hits else rows
 
-    def excerpts(self, field: str) -> DataFrame:
-        """The page of hits with all stored columns, plus ``excerpt`` and ``highlight`` of one text field."""
+    def excerpts(self, field: str | None = None) -> DataFrame:
+        """The page of hits with all stored columns and an ``excerpt``: of one text field, with its ``highlight``,
+        or of all searched text fields, which are then highlighted in their own columns."""
+        page = SearchResult(self._given, replace(self.request, retrieve_all=True, on_request=None)).hits
+        if field is not None:
+            return with_excerpts(page, self.spec[field], self._positive_terms(field))
+        shown = [f for f in self.fields if f.is_stored]
+        return with_highlights(page, {f: self._positive_terms(f.name) for f in shown})
+
+    def _positive_terms(self, field: str) -> list[str]:
         lookup = self._lookups.get(field)
         terms: list[str] = []
         if lookup:
             for phrase in self.keys.phrases(positive_only=True):
                 terms += [lookup.terms[i] for slot in lookup.phrases[phrase] for i in slot]
-        page = SearchResult(self._given, replace(self.request, retrieve_all=True, on_request=None)).hits
-        return with_excerpts(page, self.spec[field], list(dict.fromkeys(terms)))
+        return list(dict.fromkeys(terms))
 
     @cached_property
     def total(self) -> DataFrame:

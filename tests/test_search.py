@@ -11,6 +11,7 @@ from gleaner import (
     Condition, Facet, FieldSpec, Grouping, IndexSpec, SearchIndex, SearchRequest, Similar, every, register_type, search,
     some, where_all, where_any,
 )
+from gleaner.functions.analysis import Analyzer, Delimiter, accent_map
 from gleaner.operators.facets import facet_counts
 from gleaner.operators.grouping import top_n
 from gleaner.operators.suggest import autocomplete, candidates, did_you_mean, index_dictionary, spell_suggest
@@ -242,6 +243,43 @@ def test_excerpts_of_a_page(spark):
     assert plain["3"] == (None, "birds")
 
 
+def test_highlights_of_all_fields(spark):
+    """Punctuated, mapped, split and pre-tokenized words, several values, nulls; each field keeps its shape."""
+    accents = Analyzer(char_map=accent_map(), delimiter=Delimiter(), stopwords=("the",), stemmer="english")
+    fields = (
+        FieldSpec("a", "text_ws"), FieldSpec("b", "text_unstemmed", multi=True), FieldSpec("c", "text", analyzer=accents),
+        FieldSpec("d", "tokens"), FieldSpec("e", "text_de"), FieldSpec("n", "integer"),
+    )
+    data = [
+        (1, "the wi-fi router, Wi-Fi", ["a wi-fi card", "none", "WiFi"], "Wí-Fí straßen; the wifi", [("wi-fi", 2.0), ("fi", 1.0)], "der WiFi Router", 3),
+        (2, None, None, "wi-fi", None, None, None), (3, "nothing", ["x"], "y", [("z", 1.0)], "w", 1),
+    ]
+    schema = "id int, a string, b array<string>, c string, d array<struct<value:string,score:double>>, e string, n int"
+    index = SearchIndex.build(spark.createDataFrame(data, schema), IndexSpec("i", "id", fields))
+    rows = {r.item_id: r for r in search(index, keys="wi-fi").excerpts().collect()}
+    assert sorted(rows) == ["1", "2"]
+    one = rows["1"]
+    hit = "<strong>{}</strong>".format
+    assert one.a == f"the {hit('wi-fi')} router, {hit('Wi-Fi')}"
+    assert one.b[0] == f"a {hit('wi')}-{hit('fi')} card" and one.b[1] == "none"
+    assert one.c.startswith(f"{hit('Wí-Fí')} straßen; the ")
+    assert one.d == [hit("wi-fi"), "fi"]
+    assert (rows["2"].a, rows["2"].b, rows["2"].c, rows["2"].d) == (None, None, hit("wi-fi"), None)
+    assert one.excerpt.count("…") == 2 and rows["2"].excerpt == hit("wi-fi")
+    strassen = search(index, keys="strassen", fields=("c",)).excerpts().collect()
+    assert [r.c for r in strassen] == [f"Wí-Fí {hit('straßen')}; the wifi"]
+    assert [r.excerpt for r in search(index, keys="fi", fields=("a",)).excerpts().collect()] == []
+    everything = {r.item_id: r for r in search(index).excerpts().collect()}
+    assert everything["1"].a == data[0][1] and everything["1"].excerpt is None
+
+
+def test_excerpt_of_a_punctuated_word(spark):
+    index = SearchIndex.build(
+        spark.createDataFrame([(1, "x " * 60 + "my wi-fi, here " + "y " * 60)], "id int, t string"),
+        IndexSpec("i", "id", (FieldSpec("t", "text_ws"),)))
+    assert search(index, keys="wi-fi,").excerpts("t").first().excerpt.count("<strong>wi-fi,</strong>") == 1
+
+
 # -- specs, flags and hooks -----------------------------------------------
 def test_flags(spark):
     fields = (FieldSpec("a"), FieldSpec("b", "string_unindexed"), FieldSpec("c", "access", multi=True), FieldSpec("t", "text", indexed=False))
