@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from gleaner import FieldSpec, IndexSpec, SearchIndex
 
+#: Tasks that the documents are spread over before their texts are analyzed; None leaves Spark's own split.
+PARTITIONS: int | None = None
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -72,7 +74,7 @@ def documents(spark: SparkSession, sf: str, spec: IndexSpec = DOCUMENTS) -> Sear
     rows = table(spark, sf, "documents")
     if any(f.name in ("quality", "toxic") for f in spec.fields):
         rows = rows.join(table(spark, sf, "labels"), "doc_id", "left")
-    return SearchIndex.build(rows, spec)
+    return SearchIndex.build(rows, spec, partitions=PARTITIONS)
 
 
 def unlabelled(*fields: FieldSpec, name: str = "documents") -> IndexSpec:

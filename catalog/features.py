@@ -10,7 +10,7 @@ from gleaner import FieldSpec, SearchRequest, Similar, Spatial, every, search, s
 from gleaner import Condition as C
 from gleaner.functions.geo import bounding_box, geodist
 from gleaner.functions.markup import format_highlight
-from gleaner.operators.suggest import autocomplete, did_you_mean, index_dictionary, spell_suggest
+from gleaner.operators.suggest import autocomplete, did_you_mean, index_dictionary, spell_suggest, spell_suggest_batch
 
 # -- similar documents ----------------------------------------------------
 SIMILAR = f"""{TOK},
@@ -108,6 +108,35 @@ def did_you_mean_query(spark, sf):
     return did_you_mean(spell_suggest(dictionary, "Whith this"), "Whith this")
 
 
+PART_TERMS = r"""terms AS (SELECT term, count(DISTINCT p_partkey) AS df FROM (
+  SELECT p_partkey, unnest(regexp_extract_all(lower(p_name || ' ' || p_type), '[\p{L}\p{N}]+')) AS term FROM part)
+  WHERE length(term) BETWEEN 4 AND 20 GROUP BY term)"""
+
+
+@query("spell_suggest_batch", f"""WITH {PART_TERMS},
+typed AS (SELECT DISTINCT replace(term, 'e', 'ai') AS word FROM terms),
+near AS (SELECT word, term, levenshtein(word, term) AS distance, df FROM typed, terms
+  WHERE word NOT IN (SELECT term FROM terms) AND length(word) BETWEEN 4 AND 20 AND levenshtein(word, term) <= 2)
+SELECT word, term AS suggestion, CAST(distance AS INTEGER) AS distance, df, CAST(place AS INTEGER) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, df DESC, term) AS place FROM near) WHERE place <= 3""")
+def spell_suggest_batch_query(spark, sf):
+    """A misspelling of every word of the parts, corrected in one join; the twin compares all pairs."""
+    dictionary = index_dictionary(parts(spark, sf))
+    typed = dictionary.select(F.replace("term", F.lit("e"), F.lit("ai")).alias("word"))
+    return spell_suggest_batch(dictionary, typed, count=3)
+
+
+@query("spell_jaro_winkler", f"""WITH {PART_TERMS},
+typed AS (SELECT unnest(['smal', 'lrage', 'meduim', 'wdiget', 'anvli', 'stadnard', 'econmy', 'gizom']) AS word),
+near AS (SELECT word, term, round(1 - jaro_winkler_similarity(word, term), 6) AS distance, df FROM typed, terms)
+SELECT word, term AS suggestion, distance, df, CAST(place AS INTEGER) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, df DESC, term) AS place FROM near
+  WHERE distance > 0 AND distance <= 0.3) WHERE place <= 5""")
+def spell_jaro_winkler(spark, sf):
+    typed = "smal lrage meduim wdiget anvli stadnard econmy gizom"
+    return spell_suggest(index_dictionary(parts(spark, sf)), typed, count=5, measure="jaro_winkler")
+
+
 # -- excerpts -------------------------------------------------------------
 STEMMED = unlabelled(FieldSpec("text", "text"))
 

@@ -140,6 +140,24 @@ def copy_fields(spark, sf):
     return index.docs.select("item_id", "sort__brand", F.array_join(spell_texts(index.spec), " | ").alias("spell"))
 
 
+@query("copy_rules", r"""
+SELECT CAST(p_partkey AS VARCHAR) AS item_id, string_split(p_name, ' ')[1] || '|' || p_type || '|' || p_name AS taxonomy_names,
+  p_name || '|' || string_split(p_name, ' ')[1] || '|' || p_type AS everything, p_brand AS first_name FROM part""")
+def copy_rules(spark, sf):
+    """Patterns of source fields, copies of copies, own values first, single targets take the first value."""
+    spec = IndexSpec("parts", "p_partkey", (
+        FieldSpec("everything", "text_ws", source="array(p_name)", multi=True, copies=("taxonomy_names",)),
+        FieldSpec("vid_1_names", "text", source="array(split(p_name, ' ')[0])", multi=True), FieldSpec("vid_2_names", source="p_type"),
+        FieldSpec("brand", source="p_brand"), FieldSpec("maker", source="p_type"),
+        FieldSpec("first_name", copies=("brand", "maker")),
+        FieldSpec("taxonomy_names", "text", multi=True, norms=False, copies=("vid_*", "title")), FieldSpec("title", source="p_name"),
+    ))
+    docs = build_documents(table(spark, sf, "part"), spec)
+    joined = [F.array_join(c, "|").alias(c) for c in ("taxonomy_names", "everything")]
+    # the second copy holds the name again, which the twin leaves out
+    return docs.select("item_id", joined[0], F.regexp_replace(joined[1], r"\|[^|]*$", "").alias("everything"), "first_name")
+
+
 # -- writes and deletes ---------------------------------------------------
 @query("latest_version", f"WITH {LATEST} SELECT CAST(user_id AS VARCHAR) AS item_id, version, kind, value FROM last")
 def latest_version(spark, sf):

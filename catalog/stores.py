@@ -9,7 +9,7 @@ from catalog.features import SIMILAR
 from gleaner.operators.suggest import spell_suggest
 from gleaner import Condition as C
 from gleaner import Facet, FieldSpec, IndexSpec, IndexStore, SearchIndex, SearchRequest, Similar, build_documents, every, search, some
-from gleaner.sources.index import tombstones
+from gleaner.sources.index import combined, tombstones
 from gleaner.sources.tables import work_dir
 
 STORED = IndexSpec("documents", "doc_id", NORMED.fields)
@@ -53,6 +53,36 @@ def store_facet_fulltext(spark, sf):
     return search(written(spark, sf).index(), facets=(Facet("text", limit=100),), where=C("lang", "fr")).facets
 
 
+@query("store_facet_terms", f"""
+WITH {TOK} SELECT 'text' AS facet, '"' || term || '"' AS value, count(DISTINCT doc_id) AS count
+FROM tok WHERE starts_with(term, 'co') GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 50""")
+def store_facet_terms(spark, sf):
+    """A text facet over the whole index: read off the term counts, not the documents."""
+    return search(written(spark, sf).index(), facets=(Facet("text", limit=50, prefix="co"),)).facets
+
+
+@query("multi_store_search", r"""
+WITH t AS (
+  SELECT CAST(doc_id AS VARCHAR) AS item_id, 'documents' AS index_id, unnest(string_split_regex(lower(text), '\s+')) AS term FROM documents
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'parts', unnest(string_split_regex(lower(p_name), '\s+')) FROM part),
+tf AS (SELECT index_id, item_id, count(*) AS len, count(*) FILTER (term = 'blue') AS tf0, count(*) FILTER (term = 'the') AS tf1 FROM t WHERE term <> '' GROUP BY ALL),
+d AS (SELECT count(*) FILTER (tf0 > 0) AS df0, count(*) FILTER (tf1 > 0) AS df1,
+  (SELECT count(*) FROM documents) + (SELECT count(*) FROM part) AS n FROM tf)
+SELECT index_id, item_id, round(round(
+    CASE WHEN tf0 > 0 THEN sqrt(tf0) * pow(1 + ln(n::DOUBLE / (df0 + 1)), 2) / sqrt(len) ELSE 0 END
+  + CASE WHEN tf1 > 0 THEN sqrt(tf1) * pow(1 + ln(n::DOUBLE / (df1 + 1)), 2) / sqrt(len) ELSE 0 END, 6), 5) AS score
+FROM tf, d WHERE tf0 > 0 OR tf1 > 0""")
+def multi_store_search(spark, sf):
+    """One search over two stores with different fields: scores from the numbers of both."""
+    parts_spec = IndexSpec("parts", "p_partkey", (
+        FieldSpec("text", "text_ws", source="p_name", norms=True), FieldSpec("size", "integer", source="p_size")))
+    store = IndexStore(spark, work_dir(spark, "store"), parts_spec)
+    store.append(build_documents(table(spark, sf, "part"), parts_spec), unique=True)
+    both = combined([written(spark, sf).index(), store.index()])
+    hits = search(both, keys=some("blue", "the"), retrieve_all=True).hits
+    return hits.select("index_id", "item_id", F.round("score", 5).alias("score"))
+
+
 def updated(spark, sf) -> IndexStore:
     """All documents; then the French ones rewritten and the German ones deleted."""
     store = written(spark, sf)

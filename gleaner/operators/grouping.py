@@ -19,6 +19,7 @@ class Grouping:
     sort: tuple[tuple[str, str], ...] = ()
     truncate: bool = False  # facets count the head of each group only
     facet: bool = False  # facets count distinct groups
+    approximate: bool = False  # the number of groups from mergeable sketches
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -44,8 +45,26 @@ def heads(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return top_n(df, [key], order, 1, "_head").drop("_head")
 
 
-def group_counts(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """Groups per field; rows without a value form one group."""
+#: Bits of a sketch's bucket number: 2^14 buckets, an error of about 0.7% in two of three cases.
+SKETCH_BITS = 14
+
+
+def group_counts(df: DataFrame, fields: tuple[str, ...], approximate: bool = False) -> DataFrame:
+    """Groups per field; rows without a value form one group.
+
+    ``approximate`` keeps one HLL sketch per task and field instead of all distinct values, and reads the rows once.
+    """
+    if approximate:
+        sizes = [
+            (F.hll_sketch_estimate(F.hll_sketch_agg(F.col(f).cast("string"), F.lit(SKETCH_BITS)))
+             + F.max(F.when(F.col(f).isNull(), 1).otherwise(0))).alias(f"n{i}")
+            for i, f in enumerate(fields)
+        ]
+        rows = F.array(*[
+            F.struct(F.lit(f).alias("group_field"), F.coalesce(f"n{i}", F.lit(0)).cast("long").alias("groups"))
+            for i, f in enumerate(fields)
+        ])
+        return df.agg(*sizes).select(F.inline(rows))
     out = None
     for f in fields:
         one = df.select(f).distinct().agg(F.count("*").alias("groups")).select(F.lit(f).alias("group_field"), "groups")

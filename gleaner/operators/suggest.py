@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.analysis import analyzer
 from gleaner.functions.columns import any_of
+from gleaner.functions.distance import deletion_keys, jaro_winkler
 from gleaner.operators.grouping import top_n
 from gleaner.operators.keys import Keys, as_keys, every
 from gleaner.plans.request import SearchRequest
@@ -21,6 +22,7 @@ KEY_BREAKS = r"""[-\s():{}\[\]\\"]+"""
 MIN_BYTES = 3
 MAX_OCCURRENCES = 0.9
 MAX_EDITS = 2
+ACCURACY = 0.7
 
 
 def split_keys(text: str) -> list[str]:
@@ -123,12 +125,52 @@ def candidates(dictionary: DataFrame, words: list[str], max_edits: int = MAX_EDI
     return dictionary.select("term", "df", F.inline(near)).select("word", "term", "distance", "df")
 
 
+def similar_candidates(dictionary: DataFrame, words: list[str], accuracy: float = ACCURACY) -> DataFrame:
+    """``(word, term, distance, df)`` of a Jaro-Winkler similarity of ``accuracy`` at least; the distance is what is missing
+    to 1.  One scan of the dictionary."""
+    entries = F.array(*[
+        F.struct(F.lit(w).alias("word"), F.round(1 - jaro_winkler(F.lit(w), F.col("term")), 6).alias("distance")) for w in words
+    ])
+    near = F.filter(entries, lambda e: (e["distance"] > 0) & (e["distance"] <= F.lit(round(1 - accuracy, 6))))
+    return dictionary.select("term", "df", F.inline(near)).select("word", "term", "distance", "df")
+
+
+def batch_candidates(dictionary: DataFrame, words: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
+    """``(word, term, distance, df)`` within ``max_edits`` edits for a table of words of any size.
+
+    Both sides write down what is left of a word after up to ``max_edits`` deletions; near words share one of these
+    keys, so an equi-join finds all pairs, and the bounded edit distance decides.
+    """
+    terms = dictionary.select("term", "df", F.explode(deletion_keys(F.col("term"), max_edits)).alias("_key"))
+    typed = words.select("word").where("word IS NOT NULL").distinct()
+    typed = typed.select("word", F.explode(deletion_keys(F.col("word"), max_edits)).alias("_key"))
+    pairs = typed.join(terms, "_key").select("word", "term", "df").distinct()
+    distance = F.levenshtein("word", "term", max_edits)
+    return pairs.withColumn("distance", distance).where(F.col("distance").between(1, max_edits)).select("word", "term", "distance", "df")
+
+
+def spell_suggest_batch(
+    dictionary: DataFrame, words: DataFrame, max_edits: int = MAX_EDITS, count: int = 1, by_frequency: bool = False,
+) -> DataFrame:
+    """``spell_suggest`` for a table with a column ``word``: suggestions for those missing from the dictionary."""
+    chain = analyzer("spell")
+    typed = words.select(F.lower("word").alias("word")).where(F.char_length("word").between(chain.min_length, chain.max_length))
+    unknown = typed.distinct().join(dictionary.select(F.col("term").alias("word")), "word", "left_anti")
+    order = [F.col("distance").asc(), F.col("df").desc()]
+    if by_frequency:
+        order.reverse()
+    best = top_n(batch_candidates(dictionary, unknown, max_edits), ["word"], [*order, F.col("term").asc()], count, "place")
+    return best.select("word", F.col("term").alias("suggestion"), "distance", "df", "place")
+
+
 def spell_suggest(
     dictionary: DataFrame, text: str, max_edits: int = MAX_EDITS, count: int = 1, by_frequency: bool = False,
-    threshold: float = 0.0, documents: Column | None = None,
+    threshold: float = 0.0, documents: Column | None = None, measure: str = "edits", accuracy: float = ACCURACY,
 ) -> DataFrame:
     """``(word, suggestion, distance, df, place)`` for words missing from the dictionary.
 
+    ``measure`` is "edits" (up to ``max_edits``) or "jaro_winkler" (a similarity of ``accuracy`` at least).
+
     Words that are too short or too long for the dictionary are not checked.
     ``threshold`` drops dictionary terms in a smaller share of ``documents``.
     """
@@ -144,7 +186,10 @@ def spell_suggest(
     order = [F.col("distance").asc(), F.col("df").desc()]
     if by_frequency:
         order.reverse()
-    best = top_n(candidates(dictionary, words, max_edits), ["word"], [*order, F.col("term").asc()], count, "place")
+    if measure not in ("edits", "jaro_winkler"):
+        raise ValueError(f"unknown measure {measure!r}")
+    near = candidates(dictionary, words, max_edits) if measure == "edits" else similar_candidates(dictionary, words, accuracy)
+    best = top_n(near, ["word"], [*order, F.col("term").asc()], count, "place")
     return best.join(known, "word", "left_anti").select(
         "word", F.col("term").alias("suggestion"), "distance", "df", "place"
     )
@@ -175,6 +220,6 @@ def matches_any_prefix(value: Column, prefixes: list[str]) -> Column:
 
 
 __all__ = [
-    "Keys", "autocomplete", "candidates", "did_you_mean", "index_dictionary", "matches_any_prefix",
+    "Keys", "autocomplete", "batch_candidates", "candidates", "similar_candidates", "spell_suggest_batch", "did_you_mean", "index_dictionary", "matches_any_prefix",
     "spell_suggest", "split_keys",
 ]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.columns import all_of, any_of, compute_once
-from gleaner.operators.facets import Facet, distance_facet, facet_counts
+from gleaner.operators.facets import Facet, distance_facet, facet_counts, stored_facets
 from gleaner.operators.filters import (
     Condition, Group, compile_group, first_tags, granted, text_phrases, without_tagged,
 )
@@ -386,11 +386,13 @@ class SearchResult:
         grouping = self.request.grouping
         group = None
         masks = dict(self._masks())
+        if self._counts_suffice(facets):
+            names = list(dict.fromkeys(f.field for f in facets))
+            return stored_facets(self.index.document_frequency(names), facets)
         if grouping and grouping.truncate:
-            rows = self.matched
-            rows, masks = heads(rows, grouping.fields[0], self._order(grouping.sort)), {}
-        elif self.request.similar is not None:
-            rows, masks = self.matched, {}
+            return self._truncated_facets(facets, masks)
+        if self.request.similar is not None:
+            rows = self._scored(self._candidates)
         elif any(f.min_count == 0 for f in facets):
             # values without a hit must stay visible: flag rows instead of filtering
             rows = self._looked_up(self.index.docs)
@@ -403,6 +405,29 @@ class SearchResult:
             group = grouping.fields[0]
         return facet_counts(rows, facets, self.spec, masks, group)
 
+    def _counts_suffice(self, facets: list[Facet]) -> bool:
+        """Facets of text fields over all documents of a stored index: its term counts are the answer."""
+        unfiltered = not (self._row_conditions or self._text_conditions() or self._masks())
+        plain = self.request.similar is None and self.request.grouping is None and self.index.counts is not None
+        return plain and unfiltered and all(
+            self.spec[f.field].is_text and self.spec[f.field].is_indexed and f.min_count > 0 and not f.missing for f in facets)
+
+    def _truncated_facets(self, facets: list[Facet], masks: dict[str, Column]) -> DataFrame:
+        """Facets over the head of each group.  The heads are chosen among the rows that pass the facet's filters,
+        so an OR facet, which leaves one out, has heads of its own."""
+        grouping = self.request.grouping
+        scored = self._scored(self._candidates)
+        parts: dict[str, list[Facet]] = {}
+        for f in facets:
+            parts.setdefault(f.tag if f.operator == "or" and f.tag in masks else "", []).append(f)
+        out = None
+        for left_out, own in parts.items():
+            rows = scored.where(all_of(m for tag, m in masks.items() if tag != left_out))
+            rows = heads(rows, grouping.fields[0], self._order(grouping.sort))
+            counted = facet_counts(rows, own, self.spec, {}, grouping.fields[0] if grouping.facet else None)
+            out = counted if out is None else out.unionByName(counted)
+        return out
+
     def _distance_facet(self, facet: Facet, spatial: Spatial) -> DataFrame:
         return distance_facet(self._candidates, facet, spatial, all_of(self._masks().values()))
 
@@ -434,7 +459,7 @@ class SearchResult:
     def group_total(self) -> DataFrame:
         """``(group_field, groups)``: number of groups per field."""
         rows = self.matched if self.request.similar is not None else self._matching
-        return group_counts(rows, self._grouping().fields)
+        return group_counts(rows, self._grouping().fields, self._grouping().approximate)
 
     def _grouping(self) -> Grouping:
         grouping = self.request.grouping

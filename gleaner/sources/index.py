@@ -28,6 +28,8 @@ def document_key(site: Column, index_id: Column, item_id: Column) -> Column:
 
 
 def _field_value(f: FieldSpec) -> Column:
+    if f.copies and not f.source:
+        return F.lit(None).cast(f.spark_type)
     value = F.expr(f.source or f"`{f.name}`")
     if f.type == "tokens":
         return value
@@ -53,10 +55,31 @@ def build_documents(source: DataFrame, spec: IndexSpec, site: str | None = None)
         *[_field_value(f).alias(f.name) for f in spec.fields],
     )
     docs = docs.withColumn("doc_key", document_key(F.col("site"), F.col("index_id"), F.col("item_id")))
-    docs = with_derived(docs, spec)
+    docs = with_derived(with_copies(docs, spec), spec)
     return docs.transform(lambda d: spec.on_documents(d, spec)) if spec.on_documents else docs
 
 
+def with_copies(docs: DataFrame, spec: IndexSpec) -> DataFrame:
+    """Fill the fields that copy others: own values first, then those of the copied fields in the order of the spec.
+
+    A single-valued field takes the first value.  Copies see copies made before them, whatever the order of the spec.
+    """
+
+    def values(f: FieldSpec, kind: T.DataType) -> Column:
+        if f.type == "tokens":
+            own = F.transform(f.name, lambda x: x["value"])
+        else:
+            own = F.col(f.name) if f.multi else F.array(f.name)
+        several = own.cast(T.ArrayType(kind))
+        return F.coalesce(F.filter(several, lambda v: v.isNotNull()), F.array().cast(T.ArrayType(kind)))
+
+    for f in spec.copy_order():
+        kind = f.field_type.spark_type
+        taken = F.concat(*[values(s, kind) for s in [f, *spec.copied(f)]])
+        docs = docs.withColumn(f.name, F.when(F.size(taken) > 0, taken if f.multi else F.get(taken, F.lit(0))))
+    return docs
+
+
 def with_derived(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     """First-value columns, sort companions and the spelling source."""
     first = {f.first_column: F.get(F.col(f.name), F.lit(0)) for f in spec.fields if f.multi and f.type != "tokens"}
@@ -382,6 +405,7 @@ class SearchIndex:
     docs: DataFrame
     stored_postings: DataFrame | None = None
     counts: StoredCounts | None = None  # of the stored postings
+    index_ids: tuple[str, ...] | None = None  # what a request without index ids searches, by default the spec's
 
     @classmethod
     def build(cls, source: DataFrame, spec: IndexSpec, site: str | None = None, partitions: int | None = None) -> "SearchIndex":
@@ -395,7 +419,7 @@ class SearchIndex:
 
     def scoped(self, sites: tuple[str, ...] | None = None, index_ids: tuple[str, ...] | None = None) -> "SearchIndex":
         """Restrict to the index (always) and to sites (unless all are wanted)."""
-        ids = index_ids or (self.spec.index_id,)
+        ids = index_ids or self.index_ids or (self.spec.index_id,)
         scope = F.col("index_id").isin(*ids)
         if sites is not None:
             scope = scope & F.col("site").isin(*sites)
@@ -515,6 +539,42 @@ class SearchIndex:
         return rows.select(*self.docs.columns, *out)
 
 
+def combined(indexes: list[SearchIndex]) -> SearchIndex:
+    """One index over several ones, stored or not, to be searched together: documents, postings and collection
+    numbers are added up.  Fields of one name must be of one kind; a field that an index lacks is missing there."""
+    stored = [i.stored_postings is not None for i in indexes]
+    if any(stored) and not all(stored):
+        raise ValueError("stored indexes can only be searched together with stored ones")
+    fields: dict[str, FieldSpec] = {}
+    for index in indexes:
+        for f in index.spec.fields:
+            known = fields.setdefault(f.name, f)
+            if (known.spark_type, known.is_text and known.chain) != (f.spark_type, f.is_text and f.chain):
+                raise ValueError(f"field {f.name!r} is of different kinds")
+    spec = replace(indexes[0].spec, fields=tuple(fields.values()))
+    ids = tuple(dict.fromkeys(i for index in indexes for i in index.index_ids or (index.spec.index_id,)))
+
+    def together(frames: list[DataFrame | None]) -> DataFrame | None:
+        out = None
+        for number, frame in enumerate(frames):
+            if frame is None:
+                continue
+            if "part" in frame.columns:  # stores name their parts alike
+                frame = frame.withColumn("part", F.concat(F.lit(f"{number}/"), "part"))
+            out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
+        return out
+
+    docs = together([i.docs for i in indexes])
+    if not all(stored):
+        return SearchIndex(spec, docs, index_ids=ids)
+    each = [i.counts for i in indexes]
+    postings = together([i.stored_postings for i in indexes])
+    counts = StoredCounts(
+        together([c.terms for c in each]), together([c.lengths for c in each]), postings, together([c.dead for c in each]),
+    ) if all(each) else None
+    return SearchIndex(spec, docs, postings, counts, ids)
+
+
 def _row_frequencies(f: FieldSpec, lookup: Lookup, tokens: Column | None) -> Column:
     """Struct of the field length and the phrase frequencies, from the row's own text."""
     words_only = f.type != "tokens" and f.chain.is_plain and not f.multi and all(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from fnmatch import fnmatchcase
 
 from pyspark.sql import types as T
 
@@ -86,6 +87,7 @@ class FieldSpec:
     indexed: bool | None = None
     stored: bool | None = None
     copy_to_spell: bool = True
+    copies: tuple[str, ...] = ()  # patterns of other fields whose values this field takes, too
 
     @property
     def field_type(self) -> FieldType:
@@ -161,6 +163,23 @@ class IndexSpec:
     def has(self, name: str) -> bool:
         return any(f.name == name for f in self.fields)
 
+    def copied(self, target: FieldSpec) -> list[FieldSpec]:
+        """The fields that a field copies, in the order of the spec."""
+        return [f for f in self.fields if f.name != target.name and any(fnmatchcase(f.name, p) for p in target.copies)]
+
+    def copy_order(self) -> list[FieldSpec]:
+        """Fields that copy others, each after those it copies."""
+        done = {f.name for f in self.fields if not f.copies}
+        waiting, out = [f for f in self.fields if f.copies], []
+        while waiting:
+            ready = [f for f in waiting if all(s.name in done for s in self.copied(f))]
+            if not ready:
+                raise ValueError(f"fields copy each other in a circle: {[f.name for f in waiting]}")
+            out += ready
+            done |= {f.name for f in ready}
+            waiting = [f for f in waiting if f.name not in done]
+        return out
+
     @property
     def text_fields(self) -> tuple[FieldSpec, ...]:
         return tuple(f for f in self.fields if f.is_text and f.is_indexed)
@@ -173,7 +192,7 @@ class IndexSpec:
 
         def shape(spec: IndexSpec):
             return spec.index_id, {
-                f.name: (f.type, f.multi, f.source, f.is_indexed, f.is_stored, f.chain if f.is_text else None)
+                f.name: (f.type, f.multi, f.source, f.is_indexed, f.is_stored, f.copies, f.chain if f.is_text else None)
                 for f in spec.fields
             }, spec.renames
 

@@ -8,13 +8,15 @@ from fixture import ROWS, SCHEMA, spec
 from pyspark.sql import functions as F
 
 from gleaner import (
-    Condition, Facet, FieldSpec, Grouping, IndexSpec, SearchIndex, SearchRequest, Similar, every, register_type, search,
+    Condition, Facet, FieldSpec, Group, Grouping, IndexSpec, SearchIndex, SearchRequest, Similar, every, register_type, search,
     some, where_all, where_any,
 )
 from gleaner.functions.analysis import Analyzer, Delimiter, accent_map
+from gleaner.functions.distance import jaro_winkler
 from gleaner.operators.facets import facet_counts
 from gleaner.operators.grouping import top_n
-from gleaner.operators.suggest import autocomplete, candidates, did_you_mean, index_dictionary, spell_suggest
+from gleaner.operators.suggest import autocomplete, batch_candidates, candidates, did_you_mean, index_dictionary, spell_suggest
+from gleaner.sources.index import combined
 
 
 @pytest.fixture(scope="module")
@@ -327,3 +329,94 @@ def test_empty_trees(index):
     assert len(ids(search(index, keys=every("", every())).hits)) == 5
     assert len(ids(search(index, where=where_all(Condition("type", ""))).hits)) == 5
     assert ids(search(index, keys="0").hits) == []
+
+
+# -- facets under grouping and similarity, several indexes, copies ----------
+def test_or_facets_under_truncation_and_similarity(spark):
+    data = [(1, "a b", "red", "x", 1), (2, "a", "red", "x", 2), (3, "a", "blue", "y", 3), (4, "a c", "blue", "x", 9), (5, "b", "green", "z", 4)]
+    fields = (FieldSpec("t", "text_ws"), FieldSpec("color"), FieldSpec("shape"), FieldSpec("n", "integer"))
+    index = SearchIndex.build(spark.createDataFrame(data, "id int, t string, color string, shape string, n int"), IndexSpec("i", "id", fields))
+    tagged = Group((Condition("color", "red"),), tags=("facet:color",))
+    facets = (Facet("color", operator="or"), Facet("shape"))
+
+    def counts(request):
+        return {(r["facet"], r["value"].strip('"')): r["count"] for r in search(index, request).facets.collect()}
+
+    truncated = SearchRequest(keys="a", where=tagged, facets=facets, grouping=Grouping(("shape",), truncate=True, sort=(("n", "desc"),)))
+    # heads of all colors: 4 (shape x) and 3 (shape y); of the red ones: 2
+    assert counts(truncated) == {("color", "blue"): 2, ("shape", "x"): 1}
+    alike = SearchRequest(similar=Similar("1", ("t",)), where=tagged, facets=facets)
+    assert counts(alike) == {("color", "red"): 1, ("color", "blue"): 2, ("color", "green"): 1, ("shape", "x"): 1}
+    assert search(index, alike).total.first().total == 1
+
+
+def test_approximate_group_count(spark):
+    data = [(i, f"g{i % 5000}" if i % 7 else None, i % 3) for i in range(20_000)]
+    index = SearchIndex.build(
+        spark.createDataFrame(data, "id int, g string, h int"), IndexSpec("i", "id", (FieldSpec("g"), FieldSpec("h", "integer"))))
+    exact = {r[0]: r[1] for r in search(index, grouping=Grouping(("g", "h"))).group_total.collect()}
+    near = {r[0]: r[1] for r in search(index, grouping=Grouping(("g", "h"), approximate=True)).group_total.collect()}
+    assert exact == {"g": 5001, "h": 3} and near["h"] == 3 and abs(near["g"] - 5001) <= 0.03 * 5001
+    nothing = search(index, where=Condition("h", 9), grouping=Grouping(("g",), approximate=True)).group_total.collect()
+    assert [tuple(r) for r in nothing] == [("g", 0)]
+
+
+def test_copies(spark):
+    fields = (
+        FieldSpec("all_text", "text", multi=True, copies=("names", "n_*")), FieldSpec("n_a"), FieldSpec("n_b", multi=True),
+        FieldSpec("number", "integer"), FieldSpec("names", "text_ws", multi=True, copies=("n_a", "number")), FieldSpec("one", copies=("n_*",)),
+    )
+    spec_ = IndexSpec("i", "id", fields)
+    data = [(1, "Red Cats", ["x", None], 7), (2, None, None, None)]
+    index = SearchIndex.build(spark.createDataFrame(data, "id int, n_a string, n_b array<string>, number int"), spec_)
+    rows = {r.item_id: r for r in index.docs.collect()}
+    assert rows["1"].all_text == ["Red Cats", "x", "Red Cats", "7"] and rows["1"].names == ["Red Cats", "7"] and rows["1"].one == "Red Cats"
+    assert rows["2"].all_text is None and rows["2"].one is None
+    assert search(index, keys="cat", fields=("all_text",)).total.first().total == 1  # each target has a chain of its own
+    assert search(index, keys="cat", fields=("names",)).total.first().total == 0
+    assert spec_.needs_rebuild(IndexSpec("i", "id", (*fields[:5], FieldSpec("one"))))
+    with pytest.raises(ValueError, match="circle"):
+        IndexSpec("i", "id", (FieldSpec("a", copies=("b",)), FieldSpec("b", copies=("a",)))).copy_order()
+
+
+def test_combined_indexes(spark):
+    a = SearchIndex.build(spark.createDataFrame([(1, "x y", 1)], "id int, t string, n int"), IndexSpec("a", "id", (FieldSpec("t", "text_ws"), FieldSpec("n", "integer"))))
+    b = SearchIndex.build(spark.createDataFrame([(1, "x", "q")], "id int, t string, s string"), IndexSpec("b", "id", (FieldSpec("t", "text_ws"), FieldSpec("s"))))
+    both = combined([a, b])
+    hits = search(both, keys="x", retrieve_all=True).hits.collect()
+    assert sorted((r.index_id, r.item_id, r.n, r.s) for r in hits) == [("a", "1", 1, None), ("b", "1", None, "q")]
+    assert search(both, keys="x", index_ids=("b",)).total.first().total == 1
+    with pytest.raises(ValueError, match="kinds"):
+        combined([a, SearchIndex.build(a.docs.select("item_id", "n"), IndexSpec("c", "item_id", (FieldSpec("n"),)))])
+
+
+# -- corrections ------------------------------------------------------------
+def test_deletion_keys_meet(spark):
+    """All pairs within two edits, by keys, against the distance itself."""
+    import itertools
+
+    words = ["".join(w) for n in range(5) for w in itertools.product("abé", repeat=n)][:70]
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    dictionary = frame.select(F.col("word").alias("term"), F.lit(1).alias("df"))
+    want = frame.crossJoin(dictionary).where(F.levenshtein("word", "term").between(1, 2)).select("word", "term")
+    got = batch_candidates(dictionary, frame.union(spark.createDataFrame([(None,), ("ab",)], "word string")))
+    assert sorted(map(tuple, got.select("word", "term").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_jaro_winkler(spark):
+    pairs = [("martha", "marhta", 0.961111), ("dixon", "dicksonx", 0.813333), ("dwayne", "duane", 0.84), ("abc", "xyz", 0.0),
+             ("", "", 1.0), ("a", "", 0.0), ("same", "same", 1.0), ("été", "étè", 0.822222), (None, "a", None)]
+    rows = spark.createDataFrame([p[:2] for p in pairs], "x string, y string").select(F.round(jaro_winkler(F.col("x"), F.col("y")), 6).alias("s")).collect()
+    assert [r.s for r in rows] == [p[2] for p in pairs]
+
+
+def test_a_stemmer_registered_anew(spark):
+    from gleaner.functions.stemming import STEMMERS, register_stemmer, stem_terms
+
+    frame = spark.createDataFrame([(["walking"],)], "w array<string>")
+    try:
+        for cut in (3, 1):
+            register_stemmer("cut", lambda w, n=cut: w[:-n])
+            assert frame.select(stem_terms(F.col("w"), "cut").alias("s")).first().s == ["walking"[:-cut]]
+    finally:
+        STEMMERS.pop("cut")
