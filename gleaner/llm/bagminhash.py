@@ -8,10 +8,8 @@ and only up to a bound at which all slots are filled, so a long text costs littl
 
 Signatures are cut into bands; documents that share a band are candidates, and every link is verified on the
 whole multisets. Copies of a text are one node. In each bucket the member with most candidates, the pivot, is
-compared with all others first. While many pairs of each member stay open, rounds compare every member with a
-random other one of its bucket that isn't connected to it yet; the open pairs of the rest are all compared. No
-pair is emitted that components already connect, or whose distances to their pivot differ by more than a link
-allows (one minus the weighted Jaccard similarity is a metric).
+compared with all others first. The members of buckets that these links don't connect are then joined by prefixes of
+their shingles in a common order, an exact join that compares hardly any pair below the threshold.
 
 Definitions. Words are as in `_text`; null, empty and wordless texts link with nothing. A row without an id
 is its own class with a null id. Rows with one id are one node. Any other column is ignored.
@@ -19,7 +17,7 @@ is its own class with a null id. Rows with one id are one node. Any other column
 
 from __future__ import annotations
 
-import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +32,8 @@ from gleaner.llm.graph import components
 WORDS, SIMILARITY = 5, 0.8
 #: 40 bands of 6: two documents at similarity 0.8 share no band once in 200,000 times, at 0.5 they do once in 2.
 BANDS, ROWS = 40, 6
-#: Open pairs per open member up to which they are compared one by one, and pairs or keys that all tasks may get.
-OPEN_PAIRS, BROADCAST_ROWS = 6, 500_000
+#: Pairs or keys that all tasks may get.
+BROADCAST_ROWS = 500_000
 
 
 def uniform(seeds: np.ndarray) -> np.ndarray:
@@ -84,7 +82,7 @@ def signatures(doc: np.ndarray, values: np.ndarray, weights: np.ndarray, count:
             mine = np.flatnonzero((weights > lower) & todo[doc])
             if not len(mine):
                 break
-            fill(out, doc[mine], values[mine] + U64(lower) * U64(0xD6E8FEB86659FD93), weights[mine], lower, width, bound)
+            fill(out, doc[mine], values[mine] + U64(lower * 0xD6E8FEB86659FD93 % (1 << 64)), weights[mine], lower, width, bound)
             lower += width
         todo &= np.isinf(out).any(axis=1)
         reach *= 2
@@ -175,6 +173,55 @@ def similar(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFra
     return joined.select("a", "b", "bag", "bag_b").mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
+def prefix_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of (id, part, bag) from different parts that can be similar enough, and few others.
+
+    A set-similarity join by prefixes. Shingles are put in one order for all members: first those that only one part
+    has, then from rare to frequent. Two similar multisets of x and y shingles have an overlap of s / (1 + s) * (x + y)
+    at least, so they share a shingle before the place from which on too few are left in either. Members meet by
+    shingle and by both sizes (in steps of a fiftieth), for those partners' sizes only for which the place is early
+    enough. Near copies whose changes differ have their own shingles in front and don't meet at all.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 100):
+                some = batch.slice(start, 100)
+                values = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in some.column("bag")]
+                sizes = np.array([len(v) for v in values])
+                row = pa.array(np.repeat(np.arange(len(values)), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("id").take(row), some.column("part").take(row), pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate(values))],
+                    names=["id", "part", "size", "shingle"],
+                )
+
+    kind = members.schema["id"].dataType.simpleString()
+    rows = members.select("id", "part", "bag").mapInArrow(listed, f"id {kind}, part {kind}, size int, shingle long")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    ordered = rows.join(shared.select("shingle", "n"), "shingle").groupBy("id", "part", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("order"))
+    s, step = similarity, 1.02
+    tiny = 1e-9
+    longest = (F.col("size") - F.ceil(F.col("size") * s - tiny) + 1).cast("int")
+    own = F.col("size") - F.size("order")
+    places = ordered.where(longest > own).select("id", "part", "size", own.alias("own"), F.posexplode(F.slice("order", F.lit(1), longest - own)).alias("at", "entry"))
+    level = lambda n: F.floor(F.log(n.cast("double")) / math.log(step) + tiny).cast("int")
+    smallest, largest = F.ceil(F.col("size") * s - tiny), F.floor(F.col("size") / s + tiny)
+    needed = lambda x, y: F.ceil((x + y) * (s / (1 + s)) - tiny)
+    left = F.col("size") - F.col("own") - F.col("at")
+    least = F.greatest(F.ceil(F.pow(F.lit(step), F.col("other")) - 1e-6), smallest)
+    met = (
+        places.select("id", "part", "size", left.alias("left"), F.col("entry.shingle").alias("shingle"), F.explode(F.sequence(level(smallest), level(largest))).alias("other"))
+        .where(F.col("left") >= needed(F.col("size"), least))
+        .select("shingle", F.least(level(F.col("size")), "other").alias("lower"), F.greatest(level(F.col("size")), "other").alias("upper"), "id", "part", "size", "left")
+    )
+    keys = ["shingle", "lower", "upper"]
+    met = settle(met)
+    other = met.select(*keys, *[F.col(c).alias(f"{c}_b") for c in ("id", "part", "size", "left")])
+    enough = F.least("left", "left_b") >= needed(F.col("size"), F.col("size_b"))
+    apart = F.least("size", "size_b") >= F.greatest("size", "size_b") * s - tiny
+    return met.join(other, keys).where((F.col("part") < F.col("part_b")) & enough & apart).select(*pair("id", "id_b")).distinct()
+
+
 def pair(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
@@ -198,34 +245,16 @@ def near_duplicates(
     contents = settle(bags(texts.join(ids, "id", "left_semi"), words).distinct())
     ranked = shared.join(degrees, "id")
     pivots = settle(ranked.groupBy("key").agg(F.max_by("id", F.struct("degree", "id")).alias("pivot")))
-    to_pivot = settle(shared.select("key", "id").join(pivots, "key").select("key", "id", F.col("id") == F.col("pivot"), *pair("id", "pivot")).toDF("key", "id", "self", "a", "b"))
-    measured = settle(similar(settle(to_pivot.where("not self").select("a", "b").distinct()), contents, 0.0))
-    links = settle(member.select(F.col("id").alias("a"), F.col("rep").alias("b")).union(measured.where(F.col("similarity") >= similarity).select("a", "b")))
-    known = to_pivot.join(measured, ["a", "b"], "left")
-    open_ = settle(known.select("key", "id", F.when(F.col("self"), 1.0).otherwise(F.coalesce("similarity", F.lit(0.0))).alias("near")))
-    before = None
-    for number in itertools.count():
-        parts = settle(components(links))
-        joined = open_.select("key", "id", "near").join(parts.withColumnsRenamed({"node": "id", "component": "part"}), "id")
-        by_part = joined.groupBy("key", "part").agg(F.count("*").alias("n"))
-        live = by_part.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
-        left = live.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")).first()
-        if not left["rows"]:
-            break
-        open_ = settle(joined.join(live.select("key"), "key", "left_semi"))
-        # 1 - similarity is a metric: two texts that differ more in their nearness to the pivot aren't linked.
-        reach = 1 - similarity + 1e-9
-        if left["pairs"] <= OPEN_PAIRS * left["rows"] or before is not None and left["pairs"] > 0.9 * before:
-            other = open_.select("key", F.col("id").alias("other"), F.col("part").alias("other_part"), F.col("near").alias("other_near"))
-            rest = open_.join(other, "key").where((F.col("part") < F.col("other_part")) & (F.abs(F.col("near") - F.col("other_near")) <= reach))
-            links = settle(links.union(similar(settle(rest.select(*pair("id", "other")).distinct()), contents, similarity).select("a", "b")))
-            parts = settle(components(links))
-            break
-        before = left["pairs"]
-        order = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(number)), "id")
-        following = open_.select("key", "id", "near", "part", *[F.lead(c).over(order).alias("next_" + c) for c in ("id", "near", "part")])
-        chosen = following.where((F.col("part") != F.col("next_part")) & (F.abs(F.col("near") - F.col("next_near")) <= reach))
-        links = settle(links.union(similar(settle(chosen.select(*pair("id", "next_id")).distinct()), contents, similarity).select("a", "b")))
+    to_pivot = shared.select("key", "id").join(pivots, "key").where("id <> pivot").select(*pair("id", "pivot")).distinct()
+    measured = similar(settle(to_pivot), contents, similarity)
+    links = settle(member.select(F.col("id").alias("a"), F.col("rep").alias("b")).union(measured.select("a", "b")))
+    parts = settle(components(links)).withColumnsRenamed({"node": "id", "component": "part"})
+    joined = shared.select("key", "id").join(parts, "id")
+    mixed = joined.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+    open_ = settle(joined.join(mixed, "key", "left_semi").select("id", "part").distinct())
+    candidates = settle(prefix_pairs(contents.join(open_, "id"), similarity))
+    links = settle(links.union(similar(candidates, contents, similarity).select("a", "b")))
+    parts = settle(components(links))
     found = texts.select("id").join(parts, F.col("id") == F.col("node"), "left")
     return found.select(F.col("id").alias(key), F.coalesce("component", "id").alias("class"))
 
