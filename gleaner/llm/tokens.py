@@ -8,7 +8,7 @@ part's second run and no more.
 
 Definitions. Null is the empty text; every document has at least the end id. Documents are in ascending
 order of the key, null first; equal keys by the hash of their texts. An empty table gives an empty folder of
-files and no rows. Special tokens' names in a text are ordinary text.
+files and no rows. Keys are integers; others are an error. Special tokens' names in a text give their ids.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from gleaner.llm._frame import fresh_folder, table
 from gleaner.llm._text import blocks, utf8
@@ -31,6 +32,9 @@ from gleaner.llm.simple8b import pack, unpack
 #: Strings whose ids a worker remembers; then it starts anew.
 REMEMBERED = 500_000
 END_ID = 1
+#: Bytes that end a chunk.
+WHITE = np.zeros(256, dtype=bool)
+WHITE[list(b" \t\n\r\x0b\x0c")] = True
 #: Signs that the tokenizer splits from the letters before them (no apostrophe, which may start a short form).
 SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -46,7 +50,8 @@ class Encoder:
     """The tokenizer, with a memory of what it has encoded.
 
     White space is dropped and ends words, so what stands between blanks is encoded by itself; letters and
-    the signs after them are split before the merges, so they are encoded by themselves too.
+    the signs after them are split before the merges, so they are encoded by themselves too, as long as they
+    stay letters in lower case (U+0130 doesn't).
     """
 
     def __init__(self, name: str):
@@ -55,7 +60,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.chunks: dict[bytes, bytes] = {}
@@ -71,12 +75,12 @@ class Encoder:
         data, edges = found.tobytes(), [0, *(4 * ends).tolist()]
         return [data[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
 
-    def learn(self, chunks: set[bytes]) -> None:
+    def learn(self, chunks: list[bytes]) -> None:
         split: list[tuple[bytes, str, str]] = []
         for chunk in chunks:
             word = chunk.lower().rstrip(SIGNS)
             letters = word.decode("utf-8", "replace")
-            if letters.isalpha() and (word.isascii() or is_normalized("NFC", letters)):
+            if letters.isalpha() and (word.isascii() or is_normalized("NFC", letters) and letters.lower().isalpha()):
                 split.append((chunk, letters, chunk[len(word) :].decode()))
             else:
                 found = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False)
@@ -90,16 +94,35 @@ class Encoder:
             known.update(zip(new[start : start + 1000], self.ids(new[start : start + 1000]), strict=True))
         self.chunks.update([(chunk, known[word] + known[signs]) for chunk, word, signs in split])
 
-    def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, with the end id."""
-        split = [text.split() for text in texts]
+    def encode(self, raw: np.ndarray, edges: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a block of texts, each text with the end id, and the number of ids of each text.
+
+        Arrow finds the distinct chunks of the block; each is looked up once and its ids are dealt out by place.
+        """
+        inside = ~WHITE[raw]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        first = edges[:-1][edges[:-1] < len(raw)]
+        begins[first] = inside[first]
+        starts = np.flatnonzero(begins)
+        places = np.append(np.cumsum(inside)[starts] - 1, np.count_nonzero(inside)).astype(np.int64)
+        data = raw[inside]
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
+        words = chunks.dictionary.to_pylist()
         if len(self.chunks) > REMEMBERED:
             self.chunks = {}
-        new = set().union(*split).difference(self.chunks)
+        new = [w for w in words if w not in self.chunks]
         if new:
             self.learn(new)
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, words)) + end for words in split]
+        coded = [*map(self.chunks.__getitem__, words), np.array([end_id], dtype="<u4").tobytes()]
+        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+        table, offsets = np.frombuffer(b"".join(coded), dtype="<u4"), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        upto = np.searchsorted(starts, edges)  # chunks before each text
+        order = np.insert(chunks.indices.to_numpy(), upto[1:], len(words))
+        size = sizes[order]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = table[np.repeat(offsets[order] - total[:-1], size) + np.arange(total[-1])]
+        return ids, np.diff(total[upto + np.arange(len(edges))])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -122,20 +145,21 @@ def write_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        tool = encoder(tokenizer)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         for batch in blocks(batches, "t", 2 << 20):
             raw, edges = utf8(batch.column("t"))
-            data = raw.tobytes()
-            coded = tool.encode([data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], end)
-            lengths = [len(c) // 4 for c in coded]
-            words, escapes, offsets = pack(np.frombuffer(b"".join(coded), dtype="<u4"))
+            ids, sizes = tool.encode(raw, edges, end_id)
+            lengths = sizes.tolist()
+            words, escapes, offsets = pack(ids)
             yield pa.RecordBatch.from_pylist([{
                 "part": part, "run": number, "before": before, "keys": batch.column("k").to_pylist(), "lengths": lengths,
                 "words": words.astype("<u8").tobytes(), "escapes": escapes.astype("<u8").tobytes(), "offsets": offsets,
             }], schema=ROW)
             number, before = number + 1, before + sum(lengths)
 
+    if not isinstance(docs.schema[key].dataType, IntegralType):
+        raise ValueError(f"the key {key!r} must be of an integer type")
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(text, F.lit("")).alias("t"))
     order = (F.col("k").asc_nulls_first(), F.xxhash64("t"))
     spread = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)

@@ -1,5 +1,6 @@
 """Round trips of the format, and ids against the tokenizer itself."""
 
+import functools
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gleaner.llm.simple8b import BLOCK, COUNTS, ESCAPE, pack, unpack, unpack_block
-from gleaner.llm.tokens import read_tokens, token_digests, write_tokens
+from gleaner.llm.tokens import encoder, read_tokens, token_digests, write_tokens
 
 VALUES = st.one_of(st.integers(0, 2**64 - 1), st.integers(0, 3), st.sampled_from([0, 1, 2**60 - 1, 2**60, 49407]))
 
@@ -39,13 +40,33 @@ TEXTS = [
 ]
 
 
+@functools.cache
 def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    tool = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tool.encode_special_tokens = True
-    return tool
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+ODD = ["İ", "TÜRKİYE'NİN BİRLİĞİ.", "DEVLETİ!", "<|endoftext|>", "a<|startoftext|>b", "e\u0301", "!!", "ǅ", "ß", "ﬁ", "Ⅷ", "\u0307", "中", "\x1c", "\u2028", "'s", "don't"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.text(st.characters(exclude_categories=("Cs",)), max_size=12), st.sampled_from(ODD), st.sampled_from(" \n\t!.,'-")), max_size=12))
+def test_ids_of_any_text(parts):
+    text = "".join(parts)
+    texts = [text, "", text + " end", text]
+    data = [t.encode() for t in texts]
+    raw = np.frombuffer(b"".join(data), dtype=np.uint8)
+    ids, sizes = encoder("word_bpe_49k.json").encode(raw, np.cumsum([0, *map(len, data)]), 1)
+    cuts = np.split(ids, np.cumsum(sizes)[:-1])
+    tool = tokenizer()
+    assert [c.tolist() for c in cuts] == [[*tool.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_keys_are_integers(spark, tmp_path):
+    with pytest.raises(ValueError, match="integer"):
+        write_tokens(spark.createDataFrame([("a", "b")], "doc_id string, text string"), f"file://{tmp_path}/x")
 
 
 @pytest.mark.parametrize("parts", [1, 4])
