@@ -4,15 +4,20 @@ One pattern finds candidates: e-mail addresses, bank accounts, dates, internet a
 telephone and card numbers. Each kind is validated, mapped to a pair (x, y) of Z_m x Z_n that holds exactly its
 valid values, permuted by a keyed Feistel network over the two halves, and written back in the form it had.
 A value's pseudonym depends on the key, the kind and the value, not on its blanks and dashes: equal values
-stay equal in all documents, and different ones of one form stay different.
+stay equal in all documents, and different ones of one form stay different. Who has the key can undo it, so
+there is no default: an empty key is an error.
 
 - card: 13-19 digits with a right Luhn digit; the digits before it are permuted, the last is made right again.
 - account: two letters, a right remainder modulo 97; the digits of the number are permuted, the check digits renewed.
 - date: year-month-day, or day and month before the year with `.` or `/` (day first if that is a date, else
-  month first), from 1800 to 2199: one of the 146097 = 189 x 773 days of 400 years.
+  month first), from 1800 to 2199. Days up to the 12th are permuted among themselves (57600 = 240 x 240), and so
+  are later ones (88497, in 298 x 297 by walking on from the nine pairs that are no day): what can be read in one
+  order only stays so, and no two strings of one form become alike.
 - social security: areas 001-899 without 666, groups 01-99, serials 0001-9999.
 - internet address: four numbers up to 255 without leading zeros: 2^16 x 2^16.
-- telephone: a country code stays, all other digits are permuted.
+- telephone: after `+` or 00 the country code stays, as the published numbering plan delimits it, whatever the
+  blanks; both forms of a number are one value, with `(0)` after the code or without. Numbers with a leading 0
+  keep it, ten digits in groups of 3, 3 and 4 keep nothing; ten digits in one piece are no telephone number.
 - e-mail: the letters and digits of the local part, in runs of up to 12; the domain stays.
 
 What fails its check stays as it is. Null text stays null, empty text empty; other columns stay; repeated rows
@@ -21,6 +26,7 @@ get equal pseudonyms; a text may be of any length. An empty table gives an empty
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +34,8 @@ from pyspark.sql import functions as F
 
 from gleaner.llm._frame import table, unused
 
-KEY = "gleaner"
+#: Session option with the key of the registered query, and the key of sessions that don't set it (given tables, tests).
+KEY_OPTION, OPEN_KEY = "spark.gleaner.pseudonyms.key", "not secret"
 ROUNDS = 10
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
@@ -37,14 +44,26 @@ DATE = r"(?<![0-9./-])(?:(?:1[89]|2[01])[0-9]{2}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SECURITY = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 CARD = r"(?<![0-9])(?:[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9])"
+#: A digit of a telephone number, after a separator or not; a group has two digits at least.
+DIGIT = r"(?:(?:[ ./-]|[ .-]?\(|\)[ .-]?)?[0-9](?=[0-9])|[0-9])"
+NO_NUMBER = r"(?<![0-9][.,/-])"
+ABROAD = (
+    r"1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}", r"[1-9][0-9]{0,2}[ .-]?\(0\) ?[0-9]" + DIGIT + "{5,12}",
+    r"[1-9][0-9]{0,2}[ .-][0-9]" + DIGIT + "{6,11}", "[1-9]" + DIGIT + "{7,14}",
+)
 TELEPHONE = (
-    r"(?<![0-9+])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}|\+[0-9]{8,15})(?![0-9])"
-)
+    r"(?<![0-9+])(?:(?:\+|" + NO_NUMBER + "00)(?:" + "|".join(f"(?:{form}(?![0-9]))" for form in ABROAD) + ")"
+    + "|" + NO_NUMBER + r"\(?0[1-9]" + DIGIT + r"{7,10}|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9])"
+)
+#: Country codes of one and two digits; all others have three, and none begins another.
+COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ANY = "|".join((EMAIL, ACCOUNT, DATE, ADDRESS, SECURITY, CARD, TELEPHONE))
-#: What every candidate has, whichever alternative of ANY it fits (`+` and a digit: a telephone in short groups); most texts end here.
-HINT = r"[0-9]{4}|[0-9]\.[0-9]|@|\+[0-9]"
-DAYS = 146097
+#: What every candidate has, whichever alternative of ANY it fits (`+` or 0 and a digit: a telephone in short groups); most texts end here.
+HINT = r"[0-9]{4}|[0-9]\.[0-9]|@|\+[0-9]|(?<![0-9])0[0-9]"
+YEARS = range(1800, 2200)
+#: Days of a common year after the 12th of their month, and the years with a 29th of February.
+LATE = [f"{m:02}-{d:02}" for m in range(1, 13) for d in range(13, calendar.monthrange(1801, m)[1] + 1)]
+LEAP = [y for y in YEARS if calendar.isleap(y)]
 
 
 def is_a(value: Column, pattern: str, group: int | None = None) -> Column:
@@ -58,9 +77,9 @@ def number(digits: Column) -> Column:
     return F.coalesce(digits.try_cast("long"), F.lit(0).cast("long"))
 
 
-def feistel(x: Column, y: Column, m: Column, n: Column, key: str, kind: str, extra: Column | None = None) -> Column:
+def feistel(x: Column, y: Column, m: Column, n: Column, key: str, kind: str | Column) -> Column:
     """The struct (x, y) permuted within Z_m x Z_n."""
-    tweak = F.concat_ws("|", F.lit(key), F.lit(kind), m, n, *([extra] if extra is not None else []))
+    tweak = F.concat_ws("|", F.lit(key), F.lit(kind), m, n)
 
     def step(state: Column, turn: Column) -> Column:
         even = turn % 2 == 0
@@ -77,7 +96,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def permuted_digits(digits: Column, key: str, kind: str, base: int = 10) -> Column:
+def permuted_digits(digits: Column, key: str, kind: str | Column, base: int = 10) -> Column:
     """A string of up to 36 digits (24 of base 36) as another one of its length."""
     size = F.length(digits)
     half = F.floor(size / 2).cast("int")
@@ -150,8 +169,41 @@ def account(value: Column, key: str) -> Column:
     return let(digits_of(value), change)
 
 
+def literals(values: list) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def moved_early(year: Column, month: Column, day: Column, key: str) -> Column:
+    """The date that a day up to the 12th of its month becomes, as yyyyMMdd."""
+    place = (year - YEARS[0]) * 144 + (month - 1) * 12 + day - 1
+    size = F.lit(240).cast("long")
+
+    def write(k: Column) -> Column:
+        return F.format_string("%04d%02d%02d", F.floor(k / 144) + YEARS[0], F.floor(k % 144 / 12) + 1, k % 12 + 1)
+
+    return let(feistel(F.floor(place / 240).cast("long"), place % 240, size, size, key, "early"), lambda s: let(s["x"] * 240 + s["y"], write))
+
+
+def moved_late(year: Column, month: Column, day: Column, key: str) -> Column:
+    """The date that a later day of its month becomes, as yyyyMMdd."""
+    common, m, n = len(YEARS) * len(LATE), F.lit(298).cast("long"), F.lit(297).cast("long")
+    in_year = F.array_position(literals(LATE), F.format_string("%02d-%02d", month, day))
+    place = F.when(in_year > 0, (year - YEARS[0]) * len(LATE) + in_year - 1).otherwise(common + F.array_position(literals(LEAP), year.cast("int")) - 1)
+
+    def turn(k: Column) -> Column:
+        return let(feistel(F.floor(k / 297).cast("long"), k % 297, m, n, key, "late"), lambda s: s["x"] * 297 + s["y"])
+
+    days = common + len(LEAP)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(298 * 297 - days)), turn(place), lambda k, _: F.when(k < days, k).otherwise(turn(k)))
+
+    def write(k: Column) -> Column:
+        usual = F.concat((F.floor(k / len(LATE)) + YEARS[0]).cast("string"), F.element_at(literals([t.replace("-", "") for t in LATE]), (k % len(LATE) + 1).cast("int")))
+        return F.when(k < common, usual).otherwise(F.concat(F.element_at(literals(LEAP), (k - common + 1).cast("int")).cast("string"), F.lit("0229")))
+
+    return let(walked, write)
+
+
 def date(value: Column, key: str) -> Column:
-    first = F.lit("1800-01-01").cast("date")
     digits = digits_of(value)
     leads = value.rlike("^[0-9]{4}")
     year = F.when(leads, digits.substr(1, 4)).otherwise(digits.substr(5, 4))
@@ -161,20 +213,18 @@ def date(value: Column, key: str) -> Column:
     def day(month: Column, of_month: Column) -> Column:
         return F.concat_ws("-", year, month, of_month).try_cast("date")
 
-    def write(d: Column, day_first: Column) -> Column:
-        y, m, n = (F.date_format(d, f) for f in ("yyyy", "MM", "dd"))
-        return refill(value, F.when(leads, F.concat(y, m, n)).when(day_first, F.concat(n, m, y)).otherwise(F.concat(m, n, y)))
+    day_first = ~leads & day(b, a).isNotNull()
+    found = F.coalesce(F.when(day_first, day(b, a)), day(a, b))
 
-    def change(d: Column, day_first: Column) -> Column:
-        def move(k: Column) -> Column:
-            return let(
-                feistel(F.floor(k / 773).cast("long"), (k % 773).cast("long"), F.lit(189).cast("long"), F.lit(773).cast("long"), key, "date"),
-                lambda s: write(F.date_add(first, (s["x"] * 773 + s["y"]).cast("int")), day_first),
-            )
+    def change(d: Column) -> Column:
+        y, m, n = (f(d).cast("long") for f in (F.year, F.month, F.dayofmonth))
+        return F.when(n <= 12, moved_early(y, m, n, key)).otherwise(moved_late(y, m, n, key))
 
-        return let(F.datediff(d, first).cast("long"), lambda k: F.when(k.between(0, DAYS - 1), move(k)))
+    def write(new: Column) -> Column:
+        y, m, n = new.substr(1, 4), new.substr(5, 2), new.substr(7, 2)
+        return refill(value, F.when(leads, new).when(day_first, F.concat(n, m, y)).otherwise(F.concat(m, n, y)))
 
-    return F.when(leads, change(day(a, b), F.lit(False))).otherwise(F.coalesce(change(day(b, a), F.lit(True)), change(day(a, b), F.lit(False))))
+    return let(found, lambda d: F.when(d.isNotNull() & F.year(d).between(YEARS[0], YEARS[-1]), let(change(d), write)))
 
 
 def address(value: Column, key: str) -> Column:
@@ -203,12 +253,15 @@ def security(value: Column, key: str) -> Column:
 
 
 def telephone(value: Column, key: str) -> Column:
-    digits = digits_of(value)
-    long_code = F.length(F.regexp_extract(value, r"^\+([0-9]{1,3})(?![0-9])", 1))
-    code = F.when(~value.startswith("+"), 0).when(long_code > 0, long_code).otherwise(2)
-    body = digits.substr(code + 1, F.length(digits))
-    valid = F.length(digits).between(8, 15)
-    return F.when(valid, let(permuted_digits(body, key, "telephone"), lambda b: refill(value, F.concat(digits.substr(F.lit(1), code), b))))
+    digits = digits_of(F.regexp_replace(value, r"\(0\)", ""))
+    trunk = F.when(value.contains("(0)"), "0").otherwise("")
+    lead = F.when(value.startswith("00"), 2).otherwise(0)
+    abroad = value.startswith("+") | value.startswith("00")
+    code = F.when(abroad, F.length(F.regexp_extract(digits.substr(lead + 1, F.length(digits)), COUNTRY, 1))).when(digits.startswith("0"), 1).otherwise(0)
+    body = digits.substr(lead + code + 1, F.length(digits))
+    kind = F.when(abroad, "telephone").when(digits.startswith("0"), "trunk").otherwise("local")
+    valid = (F.length(digits) - lead).between(8, 15) & (F.length(body) > 1)
+    return F.when(valid, let(permuted_digits(body, key, kind), lambda b: refill(value, F.concat(digits.substr(F.lit(1), lead + code), trunk, b))))
 
 
 def email(value: Column, key: str) -> Column:
@@ -225,13 +278,15 @@ def pseudonym(value: Column, key: str) -> Column:
         .when(is_a(value, DATE), date(value, key))
         .when(is_a(value, ADDRESS), address(value, key))
         .when(is_a(value, SECURITY), security(value, key))
-        .when(is_a(value, CARD, 3), F.coalesce(card(value, key), F.when(is_a(value, TELEPHONE), telephone(value, key))))
+        .when(is_a(value, CARD, 3) & ~value.startswith("00"), F.coalesce(card(value, key), F.when(is_a(value, TELEPHONE), telephone(value, key))))
         .when(is_a(value, TELEPHONE), telephone(value, key))
     )
 
 
-def pseudonymize(docs: DataFrame, *, text: str = "text", key: str = KEY) -> tuple[DataFrame, str]:
+def pseudonymize(docs: DataFrame, *, key: str, text: str = "text") -> tuple[DataFrame, str]:
     """All rows and columns of `docs` with the text replaced, and the name of a new column: the values changed."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     count, parts = unused(docs, "n_replaced"), unused(docs, "parts")
     content = F.col(text)
     has = content.rlike(HINT)
@@ -247,5 +302,5 @@ def pseudonymize(docs: DataFrame, *, text: str = "text", key: str = KEY) -> tupl
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for its personal numbers and dates."""
-    found, count = pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found, count = pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get(KEY_OPTION, OPEN_KEY))
     return found.select("doc_id", "text", F.col(count).cast("long").alias("n_replaced"))

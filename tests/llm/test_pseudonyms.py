@@ -1,17 +1,19 @@
 """Pseudonyms: valid, in the same form, linked, and a permutation."""
 
 import datetime
+import hashlib
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.llm.pseudonyms import feistel, pseudonymize
+from gleaner.llm.pseudonyms import OPEN_KEY, feistel, op7_pseudonyms, pseudonym, pseudonymize
 
 
-def change(spark, texts, **options):
+def change(spark, texts, key="k", **options):
     frame = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, n_replaced string")
-    found, count = pseudonymize(frame, **options)
+    found, count = pseudonymize(frame, key=key, **options)
     assert found.columns == [*frame.columns, count]
     return [(r.text, r[count]) for r in found.orderBy("doc_id").collect()]
 
@@ -92,9 +94,99 @@ def test_feistel_is_a_permutation(spark):
     assert pairs.distinct().count() == 7 * 23 and pairs.where("p.x >= 7 or p.y >= 23 or p.x < 0 or p.y < 0").count() == 0
 
 
+@pytest.mark.parametrize("forms", [
+    ["+1 212 555 1234", "+12125551234", "+1 (212) 555-1234", "001 212 555 1234", "+1-212-555-1234", "0012125551234"],
+    ["+351 912 345 678", "+351912345678", "00351 912345678", "+351.912.345.678"], ["+33 6 12 34 56 78", "+33612345678", "0033 6 12 34 56 78", "+33 (0)6 12 34 56 78"],
+    ["0049 30 12345678", "+49 30 12345678", "+49 (0)30 12345678", "00493012345678"], ["0171 2345678", "01712345678", "0171/2345678", "(0171) 2345678", "0171 234 5678"],
+    ["020 7946 0958", "02079460958", "(020) 7946 0958"], ["01 23 45 67 89", "0123456789"],
+])
+def test_spellings_of_a_telephone_number_agree(spark, forms):
+    found = change(spark, [f"call {f}; 7" for f in forms])
+    plain = {re.sub(r"\(0\)|\D", "", t).removeprefix("00") for t, _ in found}
+    assert len(plain) == 1 and {n for _, n in found} == {1}, found
+    assert plain != {re.sub(r"\D", "", forms[0] + "7")}
+
+
+def test_numbers_that_are_no_telephone_stay(spark):
+    texts = ["0.0123456789", "1,012345678", "in 0100", "+1 2 3 4", "00 11", "0 123", "01 02 03"]
+    assert change(spark, texts) == [(t, 0) for t in texts]
+
+
+def rounds(x, y, m, n, kind, key, back):
+    """The network once more, step by step; `back` undoes it."""
+    for turn in range(9, -1, -1) if back else range(10):
+        even = turn % 2 == 0
+        seen = y if even else x
+        noise = int(hashlib.md5(f"{key}|{kind}|{m}|{n}|{turn}|{seen}".encode()).hexdigest()[:15], 16)
+        if even:
+            x = (x + (-noise if back else noise)) % m
+        else:
+            y = (y + (-noise if back else noise)) % n
+    return x, y
+
+
+def undo_digits(digits, kind, key):
+    half = len(digits) // 2
+    x, y = rounds(int(digits[:half]), int(digits[half:]), 10**half, 10 ** (len(digits) - half), kind, key, True)
+    return f"{x:0{half}}{y:0{len(digits) - half}}"
+
+
+DAYS = [datetime.date(1800, 1, 1) + datetime.timedelta(k) for k in range(146097)]
+LATE_DAYS = sorted((d for d in DAYS if d.day > 12), key=lambda d: ((d.month, d.day) == (2, 29), d))
+EARLY_DAYS = [d for d in DAYS if d.day <= 12]
+
+
+def undo_day(day, key, late={d: k for k, d in enumerate(LATE_DAYS)}, early={d: k for k, d in enumerate(EARLY_DAYS)}):  # noqa: B006
+    if day.day <= 12:
+        x, y = rounds(*divmod(early[day], 240), 240, 240, "early", key, True)
+        return EARLY_DAYS[x * 240 + y]
+    k = late[day]
+    while True:
+        x, y = rounds(*divmod(k, 297), 298, 297, "late", key, True)
+        if (k := x * 297 + y) < len(LATE_DAYS):
+            return LATE_DAYS[k]
+
+
+def test_who_has_the_key_can_undo_it(spark):
+    pick = random.Random(7)
+    phones = [f"+{pick.choice([1, 44, 351])}{pick.randrange(10**9, 10**10)}" for _ in range(40)]
+    for old, (new, _) in zip(phones, change(spark, phones, key="s"), strict=True):
+        code = re.match(r"\+(1|44|351)", new)[0]
+        assert code + undo_digits(new[len(code) :], "telephone", "s") == old
+    days = [*pick.sample(DAYS, 60), *[d for d in DAYS if (d.month, d.day) == (2, 29)][:20]]
+    for old, (new, _) in zip(days, change(spark, [d.isoformat() for d in days], key="s"), strict=True):
+        assert undo_day(datetime.date.fromisoformat(new), "s") == old
+    for old, (new, _) in zip(CARDS, change(spark, CARDS, key="s"), strict=True):
+        assert undo_digits(re.sub(r"\D", "", new)[:-1], "card", "s") == re.sub(r"\D", "", old)[:-1]
+
+
+def test_all_days_in_both_orders_stay_distinct(spark, sign="/"):
+    day = F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int"))
+    forms = F.array(F.date_format(day, f"dd{sign}MM{sign}yyyy"), F.date_format(day, f"MM{sign}dd{sign}yyyy"))
+    old = spark.range(0, 146097, 1, 8).select(F.explode(forms).alias("old")).distinct()
+    found = old.select("old", pseudonym(F.col("old"), "k").alias("new")).agg(
+        F.count("*").alias("all"), F.count_distinct("old"), F.count_distinct("new"), F.count_if(F.col("new").rlike(f"^[0-9]{{2}}[{sign}][0-9]{{2}}[{sign}][0-9]{{4}}$"))
+    ).first()
+    assert len(set(found)) == 1 and found["all"] == 2 * 146097 - 144 * 400
+
+
+def test_a_key_is_required_and_read_from_the_session(spark):
+    with pytest.raises(ValueError):
+        pseudonymize(spark.createDataFrame([("x",)], "text string"), key="")
+    sf = "/root/testdata/sf0.001"
+    one = op7_pseudonyms(spark, sf).agg(F.sum(F.xxhash64("text").cast("decimal(38)"))).first()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    assert one == pseudonymize(docs, key=OPEN_KEY)[0].agg(F.sum(F.xxhash64("text").cast("decimal(38)"))).first()
+    spark.conf.set("spark.gleaner.pseudonyms.key", "another")
+    try:
+        assert one != op7_pseudonyms(spark, sf).agg(F.sum(F.xxhash64("text").cast("decimal(38)"))).first()
+    finally:
+        spark.conf.unset("spark.gleaner.pseudonyms.key")
+
+
 def test_empty_table_and_plan(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
-    found = pseudonymize(frame)[0]
+    found = pseudonymize(frame, key="k")[0]
     assert found.count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
