@@ -3,7 +3,13 @@
 Each task builds, shard by shard, a suffix array over the word numbers of its training texts and
 binary-searches every test suffix in it. A shard is a block of documents; nothing is shuffled. Of the
 training suffixes only those are sorted whose first words start some test window: no other suffix can
-match one, so the array is sparse but the matches are complete.
+match one, so the array is sparse but the matches are complete. Test suffixes with equal windows are searched
+once, and a place is listed once for each item that has its window, however often it has it.
+
+Matches are the longest verbatim ones from the left: from the first place of an item's window the match goes on as
+long as the item has the same words at one place, the first of equal ones; the next match starts at the next window
+after it. In an item that repeats a window the longest match is found in the item's own suffix array, by narrowing
+its interval window by window, so that equal words cost no more than their number.
 
 Definitions. A window is `words` consecutive words of a test item, or all words of a shorter item that has
 any. A document word inside any occurrence of a window is hit; a document is contaminated if
@@ -14,7 +20,9 @@ An empty benchmark hits nothing. Words are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +36,8 @@ from gleaner.llm._text import blocks, window_hashes, word_hashes
 #: Test text that goes to all tasks at once. A larger benchmark is searched in several such blocks.
 BLOCK_BYTES = 32 << 20
 LEAD = 3
+#: Training suffixes in one array.
+SHARD = 1 << 18
 
 MATCH = T.StructType([
     T.StructField("item_id", T.StringType()), T.StructField("start", T.LongType()),
@@ -35,6 +45,23 @@ MATCH = T.StructType([
 ])
 
 
+class Windows(NamedTuple):
+    """The windows of one size: distinct ones in order, and for each the items that have it with their first place."""
+
+    size: int
+    suffixes: np.ndarray
+    leads: np.ndarray
+    seen: np.ndarray
+    offsets: np.ndarray
+    items: np.ndarray
+    starts: np.ndarray
+    #: The distinct windows of item after item, and where an item's begin and end.
+    sequence: np.ndarray
+    edges: dict[int, tuple[int, int]]
+    #: Items that have a window twice.
+    repeating: np.ndarray
+
+
 class TestSuffixes:
     """The windows of a block of test items, grouped by their number of words."""
 
@@ -44,18 +71,56 @@ class TestSuffixes:
         batch = pa.RecordBatch.from_pydict({"text": pa.array([t for _, t in items], pa.large_string())})
         hashes, rows = word_hashes(batch, "text")
         self.ids = [i for i, _ in items]
+        self.arrays: dict[int, list[int]] = {}
         lengths = np.diff(rows)
         self.groups = []
         for size in np.unique(np.minimum(lengths[lengths > 0], words)):
             of = np.flatnonzero(np.minimum(lengths, words) == size)
             counts = lengths[of] - size + 1
+            ends = np.cumsum(counts)
             item = np.repeat(of, counts)
-            start = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            start = np.arange(counts.sum()) - np.repeat(ends - counts, counts)
             suffixes = hashes[(rows[item] + start)[:, None] + np.arange(size)]
+            order = np.lexsort(suffixes.T[::-1])
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (suffixes[order[1:]] != suffixes[order[:-1]]).any(axis=1)
+            window = np.empty(len(order), dtype=np.int64)
+            window[order] = np.cumsum(new) - 1
+            suffixes = suffixes[order[new]]
             leads = np.unique(window_hashes_of(suffixes[:, : min(LEAD, size)]))
             seen = np.zeros(1 << 20, dtype=bool)
             seen[leads & np.uint64(len(seen) - 1)] = True
-            self.groups.append((int(size), suffixes, item, start, leads, seen))
+            order = np.lexsort((start, item, window))
+            first = np.ones(len(order), dtype=bool)
+            first[1:] = (window[order[1:]] != window[order[:-1]]) | (item[order[1:]] != item[order[:-1]])
+            own = order[first]
+            edges = dict(zip(of.tolist(), zip((ends - counts).tolist(), ends.tolist(), strict=True), strict=True))
+            self.groups.append(Windows(
+                int(size), suffixes, leads, seen, np.searchsorted(window[own], np.arange(len(suffixes) + 1)), item[own], start[own],
+                window, edges, np.unique(item[order[~first]]),
+            ))
+
+    def array_of(self, group: Windows, item: int) -> list[int]:
+        """The suffix array of an item's windows, made when it is needed first."""
+        if item not in self.arrays:
+            self.arrays[item] = suffix_array(group.sequence[slice(*group.edges[item])]).tolist()
+        return self.arrays[item]
+
+
+def suffix_array(values: np.ndarray) -> np.ndarray:
+    """By doubling; a suffix that ends stands before the longer ones."""
+    rank = np.unique(values, return_inverse=True)[1]
+    step = 1
+    while True:
+        after = np.full(len(rank), -1)
+        after[:-step] = rank[step:]
+        order = np.lexsort((after, rank))
+        more = (rank[order[1:]] != rank[order[:-1]]) | (after[order[1:]] != after[order[:-1]])
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.concatenate(([0], np.cumsum(more)))
+        if more.all():
+            return order
+        step *= 2
 
 
 def window_hashes_of(suffixes: np.ndarray) -> np.ndarray:
@@ -82,41 +147,77 @@ def bound(array: np.ndarray, suffixes: np.ndarray, right: bool) -> np.ndarray:
     return low
 
 
-def occurrences(hashes: np.ndarray, rows: np.ndarray, tests: TestSuffixes) -> list[tuple]:
-    """For each group of windows: its size, the training positions hit, the items and their positions."""
+def occurrences(hashes: np.ndarray, rows: np.ndarray, tests: TestSuffixes) -> list[tuple[Windows, np.ndarray, np.ndarray]]:
+    """For each group of windows: the training places where one occurs, and which."""
     found = []
     ends = np.repeat(rows[1:], np.diff(rows))
-    for size, suffixes, item, start, leads, seen in tests.groups:
+    for group in tests.groups:
+        size = group.size
         keys = window_hashes(hashes, min(LEAD, size))
-        at = np.flatnonzero(seen[keys & np.uint64(len(seen) - 1)])
-        at = at[(at + size <= ends[at]) & np.isin(keys[at], leads)]
-        if not len(at):
-            continue
-        array = hashes[at[:, None] + np.arange(size)]
-        order = np.lexsort(array.T[::-1])
-        array, at = array[order], at[order]
-        low, high = bound(array, suffixes, False), bound(array, suffixes, True)
-        counts = high - low
-        window = np.repeat(np.arange(len(suffixes)), counts)
-        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
-        if len(window):
-            found.append((size, at[place], item[window], start[window]))
+        at = np.flatnonzero(group.seen[keys & np.uint64(len(group.seen) - 1)])
+        at = at[(at + size <= ends[at]) & np.isin(keys[at], group.leads)]
+        for k in range(0, len(at), SHARD):
+            shard = at[k : k + SHARD]
+            array = hashes[shard[:, None] + np.arange(size)]
+            order = np.lexsort(array.T[::-1])
+            array, shard = array[order], shard[order]
+            low, high = bound(array, group.suffixes, False), bound(array, group.suffixes, True)
+            counts = high - low
+            window = np.repeat(np.arange(len(low)), counts)
+            place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
+            if len(window):
+                found.append((group, shard[place], window))
     return found
 
 
-def longest(found: list[tuple], rows: np.ndarray, ids: list) -> list[list[dict]]:
-    """Windows of one item that follow each other in a document, joined to the longest verbatim matches."""
+def narrowed(at: list[int], windows: list[int], values: list[int], array: list[int]) -> Iterator[tuple[int, int, int]]:
+    """Places of an item's windows in one document as longest matches: first place, place in the item, windows."""
+    k = 0
+    while k < len(at):
+        low, high, size = 0, len(array), 0
+        while k + size < len(at) and at[k + size] == at[k] + size:
+
+            def sign(suffix: int, size=size) -> int:
+                return values[suffix + size] if suffix + size < len(values) else -1
+
+            left = bisect_left(array, windows[k + size], low, high, key=sign)
+            right = bisect_right(array, windows[k + size], left, high, key=sign)
+            if left == right:
+                break
+            low, high, size = left, right, size + 1
+        yield at[k], min(array[low:high]), size
+        k += size
+
+
+def longest(found: list[tuple[Windows, np.ndarray, np.ndarray]], rows: np.ndarray, tests: TestSuffixes) -> list[list[dict]]:
+    """The longest verbatim matches of each document with each item."""
     out: list[list[dict]] = [[] for _ in range(len(rows) - 1)]
-    for size, at, item, start in found:
+    by_size: dict[int, list[tuple]] = {}
+    for group, at, window in found:
+        by_size.setdefault(group.size, []).append((group, at, window))
+    for parts in by_size.values():
+        group = parts[0][0]
+        at, window = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
+        counts = group.offsets[window + 1] - group.offsets[window]
+        own = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(group.offsets[window], counts)
+        at, window, item, start = np.repeat(at, counts), np.repeat(window, counts), group.items[own], group.starts[own]
+        order = np.lexsort((at, item))
+        at, window, item, start = at[order], window[order], item[order], start[order]
         row = np.searchsorted(rows, at, side="right") - 1
-        order = np.lexsort((at, at - start, item))
-        at, item, start, row = at[order], item[order], start[order], row[order]
+        repeating = np.isin(item, group.repeating)
         breaks = np.ones(len(at) + 1, dtype=bool)
-        breaks[1:-1] = (item[1:] != item[:-1]) | (at[1:] != at[:-1] + 1) | (start[1:] != start[:-1] + 1) | (row[1:] != row[:-1])
+        breaks[1:-1] = (item[1:] != item[:-1]) | (row[1:] != row[:-1])
+        follows = (at[1:] == at[:-1] + 1) & (start[1:] == start[:-1] + 1)
+        breaks[1:-1] |= ~repeating[1:] & ~follows
         edges = np.flatnonzero(breaks)
         for a, b in zip(edges[:-1], edges[1:], strict=True):
-            r = row[a]
-            out[r].append({"item_id": ids[item[a]], "start": int(at[a] - rows[r]), "item_start": int(start[a]), "n_words": int(at[b - 1] - at[a] + size)})
+            r, i = row[a], int(item[a])
+            if repeating[a]:
+                values = group.sequence[slice(*group.edges[i])].tolist()
+                runs = narrowed(at[a:b].tolist(), window[a:b].tolist(), values, tests.array_of(group, i))
+            else:
+                runs = [(int(at[a]), int(start[a]), int(b - a))]
+            out[r] += [{"item_id": tests.ids[i], "start": int(p - rows[r]), "item_start": s, "n_words": n - 1 + group.size} for p, s, n in runs]
     return out
 
 
@@ -149,7 +250,7 @@ def find_matches(
         def search(batches: Iterator[pa.RecordBatch], tests=tests, first=first) -> Iterator[pa.RecordBatch]:
             for batch in blocks(batches, text, 1 << 20):
                 hashes, rows = word_hashes(batch, text)
-                found = longest(occurrences(hashes, rows, tests.value), rows, tests.value.ids)
+                found = longest(occurrences(hashes, rows, tests.value), rows, tests.value)
                 if first:
                     columns = [*batch.columns, pa.array(np.diff(rows))]
                 else:

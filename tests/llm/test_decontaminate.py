@@ -1,5 +1,8 @@
+import random
 import re
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from gleaner.llm import decontaminate as D
@@ -76,6 +79,50 @@ def test_longest_matches_and_places(spark):
     assert [m.asDict() for m in found.first()[matches]] == [{"item_id": "1", "start": 1, "item_start": 0, "n_words": 17}]
 
 
+def longest_plain(doc, item, size):
+    """Brute force: the longest common run from the left, its first place in the item, on from the next window."""
+    out, k = [], 0
+    starts = range(len(item) - size + 1)
+    while k + size <= len(doc):
+        best = max((next((n for n in range(min(len(doc) - k, len(item) - s), size - 1, -1) if doc[k : k + n] == item[s : s + n]), 0), -s) for s in starts)
+        if best[0]:
+            out.append((k, -best[1], best[0]))
+        k += max(1, best[0] - size + 1)
+    return out
+
+
+def matched(docs, items, size):
+    tests = D.TestSuffixes(list(enumerate(items)), size)
+    hashes, rows = D.word_hashes(D.pa.RecordBatch.from_pydict({"t": D.pa.array(docs)}), "t")
+    return D.longest(D.occurrences(hashes, rows, tests), rows, tests)
+
+
+def test_longest_matches_are_those_of_brute_force(monkeypatch):
+    pick = random.Random(3)
+    for shard in (1 << 18, 7):
+        monkeypatch.setattr(D, "SHARD", shard)
+        for _ in range(60):
+            docs, items = ([" ".join(pick.choices("abc"[: pick.randint(1, 3)], k=pick.randint(0, 30))) for _ in range(4)] for _ in range(2))
+            for doc, found in zip(docs, matched(docs, items, 4), strict=True):
+                got = sorted((m["item_id"], m["start"], m["item_start"], m["n_words"]) for m in found)
+                assert got == sorted((k, *m) for k, i in enumerate(items) if i for m in longest_plain(doc.split(), i.split(), min(4, len(i.split()))))
+
+
+def test_equal_words_cost_their_number():
+    tracemalloc.start()
+    found = matched(["a " * 20_000, "b " + "a " * 5_000 + "b"], ["a " * 20_000, "a " * 19_999], 13)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert [[(m["item_id"], m["start"], m["item_start"], m["n_words"]) for m in f] for f in found] == [
+        [(0, 0, 0, 20_000), (1, 0, 0, 19_999), (1, 19_987, 0, 13)], [(0, 1, 0, 5_000), (1, 1, 0, 5_000)],
+    ]
+
+
+def test_suffix_array():
+    for values in ([1], [2, 1, 2, 1, 2], [0] * 50):
+        assert D.suffix_array(np.array(values)).tolist() == sorted(range(len(values)), key=lambda k, v=values: v[k:])
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs, items = ([tuple(r) for r in spark.read.parquet(f"{sf}/{t}.parquet").select(k, "text").collect()] for t, k in (("documents", "doc_id"), ("benchmark", "item_id")))
