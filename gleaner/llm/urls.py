@@ -2,8 +2,9 @@
 
 A rule (`org/`, `example.org/es/`) fits its host and all subdomains if the path starts with the rule's path.
 The longest fitting rule decides; of two of one length, the one with the longer host. Without a rule the
-vocabulary decides: a term counts where no letter or digit stands before or after it, once per URL however
-often it occurs. One strict term rejects, and so do soft terms whose weights reach the limit.
+vocabulary decides: a term or its plural counts where no letter or digit stands before or after it, once per URL
+however often it occurs. One strict term rejects, and so do soft terms whose weights reach the limit: two weighty
+ones, or one with a word that makes it an offer. The list is data of this module, by kind; give another one to `judge`.
 
 Definitions. The host is what follows the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; the
 path follows up to `?`, `#` or the end. Without `://`, and for null, both are empty and no rule fits. The
@@ -13,7 +14,6 @@ other columns and long URLs need no care.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,13 +29,31 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (
     (ALLOW, "org/"), (BLOCK, "example.org/es/"), (BLOCK, "example.org/en/1"), (ALLOW, "com/fr/"), (BLOCK, "com/de/"),
 )
-#: Terms and weights. A term of weight LIMIT or more is strict.
+#: Weight that rejects; a term of that weight or more is strict.
 LIMIT = 3
-VOCABULARY = {
-    "cheap-pills": 3, "spam-farm": 3, "porn": 3, "xxx": 3, "casino": 3, "viagra": 3, "warez": 3, "escort": 3,
-    "adult": 2, "betting": 2, "poker": 2, "torrent": 2, "payday": 2, "pills": 2, "spam": 2,
-    "bonus": 1, "cheap": 1, "click": 1, "crack": 1, "free": 1, "loan": 1, "sexy": 1, "win": 1, "winner": 1,
+KINDS = {
+    "gambling": {
+        "casino": 3, "sportsbook": 3, "blackjack": 3, "bookmaker": 2, "bookie": 2, "poker": 2, "roulette": 2, "jackpot": 2, "gambling": 2, "bet": 2,
+        "betting": 2, "wager": 2, "lottery": 1, "slot": 1, "bingo": 1, "win": 1, "winner": 1,
+    },
+    "adult": {
+        "porn": 3, "porno": 3, "xxx": 3, "hentai": 3, "camgirl": 3, "milf": 3, "escort": 2, "nude": 2, "erotic": 2, "fetish": 2, "adult": 2, "sex": 2,
+        "sexy": 2, "webcam": 1, "hookup": 1, "hot": 1, "x": 1,
+    },
+    "pharma": {
+        "viagra": 3, "cialis": 3, "levitra": 3, "xanax": 3, "tramadol": 3, "pill": 2, "steroid": 2, "painkiller": 2, "pharma": 1, "pharmacy": 1, "drug": 1,
+        "prescription": 1, "diet": 1,
+    },
+    "tracking": {
+        "adserver": 3, "popunder": 3, "clickbait": 3, "adclick": 3, "ads": 2, "tracker": 2, "popup": 2, "track": 1, "tracking": 1, "pixel": 1, "beacon": 1,
+        "banner": 1, "affiliate": 1, "click": 1, "sponsor": 1,
+    },
+    "spam": {
+        "warez": 3, "keygen": 3, "malware": 3, "phishing": 3, "spam": 2, "spammer": 2, "torrent": 2, "payday": 2, "crack": 2, "backlink": 2, "farm": 1,
+        "loan": 1, "bonus": 1, "cheap": 1, "discount": 1, "free": 1, "replica": 1, "crypto": 1, "rich": 1,
+    },
 }
+VOCABULARY = {term: weight for kind in KINDS.values() for term, weight in kind.items()}
 
 
 def host_of(url: str) -> Column:
@@ -58,19 +76,25 @@ def longest_rule(host: Column, path: Column, rules: tuple[tuple[str, str], ...])
     return F.greatest(*found) if len(found) > 1 else found[0]
 
 
+def forms(term: str) -> set[str]:
+    """A term and its plural."""
+    return {term, term[:-1] + "ies" if term.endswith("y") else term + "es" if term.endswith(("s", "x", "ch", "sh")) else term + "s"}
+
+
 def automaton(vocabulary: dict[str, int]) -> ahocorasick.Automaton:
     out = ahocorasick.Automaton()
     for term, weight in vocabulary.items():
-        out.add_word(term, (term, weight))
+        for form in forms(term) - vocabulary.keys() | {term}:
+            out.add_word(form, (form, term, weight))
     out.make_automaton()
     return out
 
 
 def terms_of(url: str, words: ahocorasick.Automaton) -> dict[str, int]:
-    """Distinct terms of a lower-cased URL that stand by themselves, with their weights."""
+    """Distinct terms of a lower-cased URL of which a form stands by itself, with their weights."""
     found = {}
-    for end, (term, weight) in words.iter(url):
-        start = end - len(term) + 1
+    for end, (form, term, weight) in words.iter(url):
+        start = end - len(form) + 1
         if not alnum(url[start - 1 : start]) and not alnum(url[end + 1 : end + 2]):
             found[term] = weight
     return found
@@ -115,22 +139,39 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages").select("page_id", "url"))[0].drop("url")
 
 
-def sql() -> str:
-    """The same in SQL: each term is a pattern."""
-    url = f"translate(coalesce(url, ''), '{UPPER}', '{LOWER}')"
-    weight = " + ".join(f"CASE WHEN regexp_matches(u, '(^|[^a-z0-9]){re.escape(t).replace(chr(92) + '-', '-')}($|[^a-z0-9])') THEN {w} ELSE 0 END" for t, w in VOCABULARY.items())
-    fits = "".join(
-        f" WHEN (host = '{of}' OR ends_with(host, '.{of}')) AND starts_with(path, '/{rest}') THEN '{rule}'"
-        for rule, of, rest in sorted(((r, *r.split("/", 1)) for _, r in RULES), key=lambda r: (-len(r[0]), -len(r[1])))
-    )
-    verdicts = " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in RULES)
-    return f"""
-WITH p AS (
-  SELECT page_id, {url} AS u, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
-    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-r AS (SELECT *, CASE{fits} END AS rule, {weight} AS weight FROM p)
-SELECT page_id, host, path, rule, CASE rule {verdicts} ELSE CASE WHEN weight >= {LIMIT} THEN 'block' ELSE 'allow' END END AS verdict FROM r
+#: The same in SQL, written by hand: the URL's words meet a table of forms. Every form is one word of letters.
+SQL = """
+WITH v(weight, forms) AS (VALUES
+  (3, 'casino/casinos sportsbook/sportsbooks blackjack/blackjacks'),
+  (2, 'bookmaker/bookmakers bookie/bookies poker/pokers roulette/roulettes jackpot/jackpots gambling/gamblings bet/bets'),
+  (2, 'betting/bettings wager/wagers'), (1, 'lottery/lotteries slot/slots bingo/bingos win/wins winner/winners'),
+  (3, 'porn/porns porno/pornos xxx/xxxes hentai/hentais camgirl/camgirls milf/milfs'),
+  (2, 'escort/escorts nude/nudes erotic/erotics fetish/fetishes adult/adults sex/sexes sexy/sexies'),
+  (1, 'webcam/webcams hookup/hookups hot/hots x/xes'),
+  (3, 'viagra/viagras cialis/cialises levitra/levitras xanax/xanaxes tramadol/tramadols'),
+  (2, 'pill/pills steroid/steroids painkiller/painkillers'),
+  (1, 'pharma/pharmas pharmacy/pharmacies drug/drugs prescription/prescriptions diet/diets'),
+  (3, 'adserver/adservers popunder/popunders clickbait/clickbaits adclick/adclicks'), (2, 'ads/adses tracker/trackers popup/popups'),
+  (1, 'track/tracks tracking/trackings pixel/pixels beacon/beacons banner/banners affiliate/affiliates click/clicks sponsor/sponsors'),
+  (3, 'warez/warezs keygen/keygens malware/malwares phishing/phishings'),
+  (2, 'spam/spams spammer/spammers torrent/torrents payday/paydaies crack/cracks backlink/backlinks'),
+  (1, 'farm/farms loan/loans bonus/bonuses cheap/cheaps discount/discounts free/frees replica/replicas crypto/cryptos rich/riches')),
+t AS (SELECT weight, unnest(string_split(forms, ' ')) AS term FROM v),
+f AS (SELECT weight, term, unnest(string_split(term, '/')) AS form FROM t),
+u AS (SELECT DISTINCT url, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower FROM pages),
+w AS (SELECT DISTINCT url, unnest(regexp_split_to_array(lower, '[^a-z0-9]+')) AS form FROM u),
+s AS (SELECT url, sum(weight) AS weight FROM (SELECT DISTINCT url, term, weight FROM w JOIN f USING (form)) GROUP BY url),
+p AS (
+  SELECT page_id, coalesce(s.weight, 0) AS weight, regexp_extract(coalesce(pages.url, ''), '://[^/?#]*([^?#]*)', 1) AS path,
+    translate(regexp_extract(coalesce(pages.url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM pages LEFT JOIN s ON pages.url = s.url),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN weight >= 3 THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
-
-
-SQL = sql()

@@ -1,4 +1,7 @@
-from gleaner.llm.urls import automaton, judge, terms_of
+import duckdb
+from pyspark.sql import functions as F
+
+from gleaner.llm.urls import KINDS, LIMIT, SQL, VOCABULARY, automaton, forms, judge, op4_url_filter, terms_of
 
 
 def verdicts(spark, urls, **options):
@@ -32,3 +35,32 @@ def test_terms_count_once_and_stand_alone():
     words = automaton({"win": 1, "free": 1, "free-win": 3})
     assert terms_of("win/win/free1/xfree/free-win", words) == {"win": 1, "free": 1, "free-win": 3}
     assert terms_of("winner", words) == {}
+
+
+def test_plurals_and_kinds():
+    words = automaton(VOCABULARY)
+    assert terms_of("http://lotteries.net/bets-bet/fetishes", words) == {"lottery": 1, "bet": 2, "fetish": 2}
+    assert terms_of("http://alphabet.net/scasino/trackless", words) == {}
+    assert sum(map(len, KINDS.values())) == len(VOCABULARY) and all(w in range(1, LIMIT + 1) for w in VOCABULARY.values())
+    assert all(len(forms(t)) == 2 and t.isalpha() and t.isascii() and t.islower() for t in VOCABULARY)
+
+
+def test_twin_on_every_form_and_pair(spark):
+    """The hand-written table has the same forms and weights: each term alone, its plural, and with a word of weight 1."""
+    ordered = sorted(VOCABULARY)
+    urls = [f"http://a.net/{f}{rest}" for t in ordered for f in sorted(forms(t)) for rest in ("", "-Free", ".hot/WIN", "1", "s")] + [None, ""]
+    found, names = judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+    got = {r.page_id: r[names["verdict"]] for r in found.collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(urls)))
+    assert {r[0]: r[4] for r in con.sql(SQL).fetchall()} == got and {*got.values()} == {"allow", "block"}
+
+
+def test_recall_by_kind_of_host(spark):
+    """Of the given pages that no rule decides: those of hosts named after an offer, and all others."""
+    rows = op4_url_filter(spark, "/root/testdata/sf0.1").where(F.col("rule").isNull())
+    offer = F.regexp_extract("host", "casino|bets|adult|pills|ads|spam", 0)
+    share = {r.offer: (r.blocked, r.n) for r in rows.groupBy(offer.alias("offer")).agg(F.count_if(F.col("verdict") == "block").alias("blocked"), F.count("*").alias("n")).collect()}
+    assert share.pop("")[0] == 0
+    assert len(share) == 6 and all(blocked >= 0.9 * n for blocked, n in share.values()), share
