@@ -14,12 +14,14 @@ links. Headings before the container are kept unless a list of links follows, la
 Definitions. A null or empty page gives an empty text. Without any points, the first `article` or `main`, else
 what is left of the page, is the text. Ends of elements may be missing; end tags without a start are ignored.
 `br` is a blank. Of equal containers the outer one wins, then the first. White space is Unicode's. Other
-columns are ignored; repeated pages and very long ones need no care.
+columns are ignored; repeated pages need no care. A long page is parsed in linear time, whatever is left open; points
+go to all ancestors, so that scoring costs paragraphs times depth.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -47,6 +49,8 @@ ENDS_P = frozenset("aside dialog fieldset footer form header menu nav".split())
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
 #: A start tag of the first kind ends an open element of the second.
 ENDS_OPEN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+LISTS = frozenset("ul ol dl table".split())
+PARTS = LISTS | ENDS_OPEN.keys()
 PARAGRAPHS = frozenset("p pre td blockquote li dd div section article".split())
 JUNK_WORDS = frozenset(
     "ad ads adv advert advertisement adverts adbox banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
@@ -73,11 +77,14 @@ DROP, WORDY, NAMED = 1, 2, 3
 
 
 class Node:
-    __slots__ = ("children", "junk", "links", "parent", "points", "size", "tag")
+    __slots__ = ("block", "children", "junk", "links", "parent", "part", "points", "size", "tag")
 
     def __init__(self, tag: str, parent: Node | None, junk: int = 0):
         self.tag, self.parent, self.children, self.points, self.junk = tag, parent, [], 0.0, junk
         self.size = self.links = 0
+        #: The node or the nearest one above that is a block, and one that is a list, a table or a part of them.
+        self.block = self if tag in BLOCKS else parent and parent.block
+        self.part = self if tag in PARTS else parent and parent.part
 
 
 def junk_words(name: str) -> bool:
@@ -93,13 +100,9 @@ def names_content(name: str) -> bool:
     return not words.isdisjoint(CONTENT) and words <= CONTENT | NEUTRAL
 
 
-def junk_of(tag: str, attributes: str, open_: Node | None) -> int:
+def junk_of(tag: str, attributes: str, in_article: bool) -> int:
     if tag in DROPPED:
-        if tag != "header":
-            return DROP
-        while open_ is not None and open_.tag not in ARTICLE:
-            open_ = open_.parent
-        return DROP if open_ is None else 0
+        return 0 if tag == "header" and in_article else DROP
     if tag in ("html", "body") or "=" not in attributes and "hidden" not in attributes.lower():
         return 0
     names, labels = [], []
@@ -119,23 +122,32 @@ def junk_of(tag: str, attributes: str, open_: Node | None) -> int:
 def parse(page: str) -> Node:
     """The tree of a page with its junk marked. Children are nodes and strings."""
     root = here = Node("html", None)
-    at = 0
-    for match in TOKEN.finditer(page):
+    at, last = 0, page.rfind(">") + 1
+    opened: Counter[str] = Counter()
+
+    def leave(to: Node) -> Node:
+        node = here
+        while node is not to:
+            opened[node.tag] -= 1
+            node = node.parent
+        return to
+
+    while match := TOKEN.search(page, at, last):
         start, end = match.span()
-        if start < at:
-            continue
         if start > at:
-            here = add_text(here, page[at:start])
+            here = leave(add_text(here, page[at:start]))
         at = end
         if match[2] is None:
+            if match[0].startswith("<!--") and (len(match[0]) < 7 or not match[0].endswith("-->")):
+                at = len(page)
             continue
         tag, closing = match[2].lower(), bool(match[1])
         if closing:
-            node = here
-            while node is not None and node.tag != tag:
-                node = node.parent
-            if node is not None and node is not root:
-                here = node.parent
+            if opened[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                here = leave(node.parent)
             continue
         if tag == "br":
             here.children.append(" ")
@@ -143,26 +155,27 @@ def parse(page: str) -> Node:
         if tag in VOID:
             continue
         if here.tag == "head" and tag not in IN_HEAD:
-            here = here.parent
+            here = leave(here.parent)
         if tag in RAW:
             if match[3].endswith("/>"):
                 continue
-            close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, end)
+            close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, end, last)
             at = close.end() if close else len(page)
             here.children.append(Node("hr", here))
             continue
         if tag in BLOCKS or tag in ENDS_OPEN or tag in ENDS_P:
-            here = closed(here, {"p"}, BLOCKS - {"p"})
+            here = leave(here.block.parent if here.block.tag == "p" else here)
         if tag in ENDS_OPEN:
-            here = closed(here, ENDS_OPEN[tag], {"ul", "ol", "dl", "table"})
+            here = leave(closed(here, ENDS_OPEN[tag]))
         if tag in ("html", "body"):
             continue
-        node = Node(tag, here, junk_of(tag, match[3], here))
+        node = Node(tag, here, junk_of(tag, match[3], any(opened[t] for t in ARTICLE)))
         here.children.append(node)
         if not match[3].endswith("/>"):
             here = node
-    if at < len(page):
-        add_text(here, page[at:])
+            opened[tag] += 1
+    if at < len(page) and (rest := page[at:last] + page[max(at, last) :].partition("<!--")[0]):
+        add_text(here, rest)
     return root
 
 
@@ -174,14 +187,14 @@ def add_text(here: Node, text: str) -> Node:
     return here
 
 
-def closed(here: Node, tags: set[str], stops: set[str]) -> Node:
-    """Where a start tag goes that ends an open element of `tags`, searched up to one of `stops`."""
-    node = here
+def closed(here: Node, tags: set[str]) -> Node:
+    """Where a start tag goes that ends an open element of `tags`, searched up to the next list or table."""
+    node = here.part
     while node is not None and node.tag not in tags:
-        if node.tag in stops:
+        if node.tag in LISTS:
             return here
-        node = node.parent
-    return node.parent if node is not None and node.parent is not None else here
+        node = node.parent.part
+    return here if node is None else node.parent
 
 
 def walk(root: Node) -> Iterator[Node]:

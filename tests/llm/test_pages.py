@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import pytest
@@ -115,3 +116,18 @@ def test_all_pages_against_their_article(spark):
         inside = re.search(r"<article>(.*?)(</article>|$)", html[r.page_id], re.S)[1]
         lines = (" ".join(unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:h1|p)>", inside))
         assert r.text == "\n".join(x for x in lines if x) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("piece", ["<div ", "<b>", "<b></i>", "<i><header>", "<ul><b><li>x</li>", "<!-- ", "</script", "<b><p></p>", '<a "'])
+def test_time_grows_with_the_page(piece):
+    """A quadratic walk over these took minutes."""
+    for lead in ("", "<ul><li><ul>" + "<b>" * 20_000):
+        begin = time.process_time()
+        main_text(lead + piece * (200_000 // len(piece)))
+        assert time.process_time() - begin < 10
+
+
+def test_what_is_left_open_at_the_end():
+    assert main_text("<p>One <b two") == "One <b two" and main_text("<p>One <!-- two > three") == "One" and main_text("<p>One <!-- two") == "One"
+    assert main_text("<p>One <!--> two") == "One" and main_text("<p>One <!-- x --> two") == "One two" and main_text("a < b") == "a < b"
+    assert main_text("<title>x <!-- y</title><p>One <b>two</b></p>") == "One two"
