@@ -13,8 +13,8 @@ the number of links and the smallest vector it reaches there. Nothing lists all
 
 Definitions. Vectors that are null, empty, zero, or hold null or non-finite components link with nothing;
 neither do vectors with different numbers of dimensions. A row without a key links with nothing and has a
-null component. Rows with one key and different vectors are one node; equal rows count once. Other columns
-are ignored.
+null component. Rows with one key and different vectors are one node; equal rows count once. Very large and
+very small components count like others. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -57,7 +57,10 @@ def rotated(vectors: np.ndarray) -> np.ndarray:
 
 
 def matrix(column: pa.Array, size: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    """One vector a row, each times the power of two that brings its largest component below 1: no square can
+    overflow or vanish then, and other digits don't change."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, initial=0.0))[1][:, None])
 
 
 def cells(nodes: DataFrame, cosine: float, blocks: int) -> DataFrame:

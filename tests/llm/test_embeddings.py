@@ -55,6 +55,12 @@ def test_same_as_all_pairs(spark, monkeypatch, size, tile):
     assert {r.vec_id: (r.n_links, r.component) for r in found} == brute(rows)
 
 
+def test_extreme_magnitudes_keep_their_links(spark):
+    rows = [(1, [1e-300, 2e-300]), (2, [2e300, 4e300]), (3, [1.0, 2.0]), (4, [5e-324, 0.0]), (5, [1.7e308, 1e-300]), (6, [-1.0, -2.0])]
+    found = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component) for r in found} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
 def test_no_key_no_rows(spark):
     frame = spark.createDataFrame([(None, [1.0, 0.0], "x"), (1, [1.0, 0.0], "x")], SCHEMA)
     assert sorted(map(tuple, near_vectors(frame).collect()), key=repr) == [(1, 0, 1), (None, 0, None)]
