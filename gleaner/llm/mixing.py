@@ -8,7 +8,8 @@ the level of all that do.
 A document is taken floor(target / source size) whole times. The rest of the target is one more repetition
 of documents in a seeded order (md5 of seed and key): whole ones, and the first words of the one at which the
 target is reached. The order is found in two steps, so that no source meets in one task: sums by source and
-bucket of the hash, then a running sum inside the one bucket in which the target ends.
+bucket of the hash, then a running sum inside the one bucket in which the target ends. There are more buckets
+where there are more rows, so that this one bucket stays small.
 
 Definitions. Null text has size 0. Sources are in code point order, null last, and take the weights in turn.
 A source without words has target 0. Rows with equal keys and texts are rows like any other; which of two
@@ -24,7 +25,8 @@ from gleaner.llm._frame import settle, table, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, EPOCHS, SEED = (5, 2, 1), 3, "mix-1"
-BUCKET_BITS, HASH_BITS = 10, 52
+#: Buckets of a source are at least 2^BUCKET_BITS, and so many that one has about EDGE_ROWS rows at most.
+BUCKET_BITS, HASH_BITS, EDGE_ROWS = 10, 52, 20_000
 #: Rows of the table of sources that may go to all tasks; a larger one is joined by shuffle.
 BROADCAST_ROWS = 50_000
 
@@ -34,6 +36,10 @@ def place(key: str, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
 
 
+def bucket_bits(rows: int) -> int:
+    return min(max(BUCKET_BITS, (rows // EDGE_ROWS).bit_length()), HASH_BITS)
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
     """(source, source_size, target) of a table (source, source_size) with one row a source."""
     turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -67,7 +73,8 @@ def mix(
     for name in ("size", "source_size", "target", "whole", "part"):
         names[name] = unused(docs, name)
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-    bucket = F.shiftright(place(key, seed), HASH_BITS - BUCKET_BITS)
+    bits = bucket_bits(docs.count())
+    bucket = F.shiftright(place(key, seed), HASH_BITS - bits)
     sums = settle(docs.select(F.col(source).alias("source"), bucket.alias("bucket"), size.alias("size")).groupBy("source", "bucket").agg(F.sum("size").alias("n")))
     goals = targets(sums.groupBy("source").agg(F.sum("n").alias("source_size")), weights, epochs)
     goals = goals.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
@@ -77,7 +84,7 @@ def mix(
     ends = ends.where("before <= rest and rest < before + n").select(F.col("s.source").alias("source"), F.col("bucket").alias("edge"), "before")
     plan = settle(
         goals.alias("g").join(ends.alias("e"), F.expr("g.source <=> e.source"), "left")
-        .select(F.col("g.source").alias("of"), "source_size", "target", "whole", "rest", F.coalesce("edge", F.lit(1 << BUCKET_BITS)).alias("edge"), F.coalesce("before", F.lit(0)).alias("before"))
+        .select(F.col("g.source").alias("of"), "source_size", "target", "whole", "rest", F.coalesce("edge", F.lit(1 << bits)).alias("edge"), F.coalesce("before", F.lit(0)).alias("before"))
     )
     if plan.count() <= BROADCAST_ROWS:
         plan = F.broadcast(plan)
@@ -103,7 +110,8 @@ def mix(
 def repeated(docs: DataFrame, *, text: str = "text", length: str | None = "n_chars", **options) -> DataFrame:
     """The mixed rows: each as often as the mix takes it, the part of a row with that many of its words.
 
-    All columns of `docs` and no other; a column named `length` gets the characters of a shortened text.
+    All columns of `docs` and no other; a column named `length` gets the characters of a shortened text. The words
+    of a shortened text are joined by single blanks.
     """
     found, names = mix(docs, text=text, **options)
     turn = unused(docs, "turn")

@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from gleaner.llm import mixing
 from gleaner.llm.mixing import mix, repeated, targets
 
 
@@ -56,6 +57,19 @@ def test_words_taken_meet_the_targets(spark):
     assert sorted(map(repr, again.collect())) == sorted(map(repr, found.select(again.columns).collect()))
 
 
+def test_more_buckets_change_nothing(spark, monkeypatch):
+    def taken():
+        found, names = mix(docs(spark))
+        return sorted(map(repr, found.select("doc_id", "source", "text", names["whole"], names["part"]).collect()))
+
+    few = taken()
+    monkeypatch.setattr(mixing, "EDGE_ROWS", 1)
+    monkeypatch.setattr(mixing, "BUCKET_BITS", 0)
+    assert mixing.bucket_bits(300) == 9 and taken() == few
+    monkeypatch.setattr(mixing, "EDGE_ROWS", 1000)
+    assert mixing.bucket_bits(300) == 0 and taken() == few
+
+
 def test_rows_are_repeated_and_cut(spark):
     frame = docs(spark).withColumn("n_chars", F.char_length("text").cast("long"))
     out = repeated(frame)
