@@ -7,15 +7,16 @@ so an expression that is rare in either class gets nearly the same chance from b
 ratio then depends on the word alone: a table of ratios for the sequences seen, and one for the contexts of
 the others, answer it.
 
-A text's log-likelihood difference is taken per word, so that length doesn't count, and in three forms that a
-language's own offset doesn't move: the mean of what words have above 1, the mean of what they have 3 above
-the text's median, and the first one in its highest window of WINDOW words (a few hostile lines in a long text
-count like a short text). A logistic curve over their logarithms and the logarithm of the length gives the
+A text's log-likelihood difference is taken per word, so that length doesn't count: its mean, and three forms of
+its peaks that a language's own offset doesn't move: the mean of what words have above 1, the mean of what they
+have 3 above the text's median, and the first one in its highest window of WINDOW words (a few hostile lines in a
+long text count like a short text). A logistic curve over the mean and the logarithms of the peaks gives the
 score; it is fitted on labelled texts that the models have not seen.
 
 Counting takes all labelled training texts. Tasks receive the table of ratios in blocks of about TABLE rows,
-cut by context; a table of several blocks is applied in as many passes. The curve is fitted on about SAMPLE
-texts at most.
+cut by context, which go through the driver one by one; a text's sums go from one block to the next. No more than
+HELD blocks are out at once: after as many, the sums are written and the blocks released. The curve is fitted on
+about SAMPLE texts at most.
 
 Definitions. Words are as in `_text`. Null, empty and wordless texts have ratio 0 and the curve's value
 there. Labels that are null, or whose document is missing, teach nothing; a repeated label counts again.
@@ -29,11 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm._frame import settle, table, unused
+from gleaner.llm._frame import settle, stored, table, unused
 from gleaner.llm._text import LOWER, U64, blocks, span_hashes, utf8, word_spans
 
 ORDER, DISCOUNT, BLANK = 6, 0.75, 32
@@ -42,7 +44,7 @@ CLASS_DISCOUNTS = (1.0, 1.5, 1.75)
 WINDOW, FLOOR = 48, 0.01
 #: For labels whose held-out share has one class only.
 DEFAULT_CURVE = np.array([1.0, 0.0, 1.0, 0.0, 0.0])
-TABLE, SAMPLE = 2_000_000, 20_000
+TABLE, HELD, SAMPLE = 2_000_000, 8, 20_000
 #: Labels up to this many rows go to all tasks; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 THRESHOLD = 0.7
@@ -173,33 +175,52 @@ def features(words: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """For each text four numbers; see the module."""
     lengths = np.diff(rows)
     out = np.zeros((len(lengths), 4))
-    out[:, :3] = np.log(FLOOR)
+    out[:, 1:] = np.log(FLOOR)
     for k in np.flatnonzero(lengths):
         ratio = words[rows[k] : rows[k + 1]]
         above = np.maximum(ratio - 1, 0)
         size = min(WINDOW, len(ratio))
         sums = np.concatenate([[0.0], np.cumsum(above)])
-        out[k] = above.mean(), np.maximum(ratio - np.median(ratio) - 3, 0).mean(), (sums[size:] - sums[:-size]).max() / size, len(ratio)
-        out[k, :3] = np.log(out[k, :3] + FLOOR)
-        out[k, 3] = np.log(out[k, 3])
+        peaks = above.mean(), np.maximum(ratio - np.median(ratio) - 3, 0).mean(), (sums[size:] - sums[:-size]).max() / size
+        out[k] = ratio.mean(), *np.log(np.array(peaks) + FLOOR)
     return out
 
 
+@dataclass
+class Block:
+    """A block of the ratio table, written; broadcast from its first use until it is released."""
+
+    rows: DataFrame
+    sent: Broadcast | None = None
+
+    def send(self) -> Broadcast:
+        self.sent = self.sent or self.rows.sparkSession.sparkContext.broadcast(Ratios(self.rows.toArrow()))
+        return self.sent
+
+    def release(self) -> None:
+        if self.sent:
+            self.sent.unpersist()  # a frame that has not run yet may still ask for it
+        self.sent = None
+
+
 @dataclass
 class Model:
-    """Broadcast blocks of the ratio table, and the curve: an intercept and a weight for each feature."""
+    """The blocks of the ratio table, and the curve: an intercept and a weight for each feature."""
 
-    tables: list
+    tables: list[Block]
     curve: np.ndarray
 
 
-def with_features(docs: DataFrame, text: str, tables: list) -> tuple[DataFrame, list[str]]:
-    """All columns of `docs` and the features. A table in several blocks takes a pass for each; the
-    words' sums so far go from one to the next."""
+def with_features(docs: DataFrame, text: str, tables: list[Block]) -> tuple[DataFrame, list[str]]:
+    """All columns of `docs` and the features. The words' sums so far go from one block of the table to the next."""
     names, sums = [unused(docs, f"ratio_{k}") for k in range(4)], unused(docs, "word_sums")
     out = docs
-    for number, block in enumerate(tables):
-        first, last = number == 0, number == len(tables) - 1
+    for number, table_block in enumerate(tables):
+        if number and number % HELD == 0:
+            out = stored(out, "word-sums")
+            for done in tables[number - HELD : number]:
+                done.release()
+        block, first, last = table_block.send(), number == 0, number == len(tables) - 1
         fields = [T.StructField(n, T.DoubleType()) for n in names] if last else [T.StructField(sums, T.BinaryType())]
         schema = T.StructType([*docs.schema.fields, *fields])
 
@@ -242,7 +263,6 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
     One label in five, up to about `sample` of them, is kept from the counts for the curve.
     """
-    spark = docs.sparkSession
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), (F.col(label) != 0).cast("int").alias("y"))
     rows = marks.count()
     share = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(1_000_000 * min(0.2, sample / max(rows, 1)))
@@ -261,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
         parts = [found]
     else:
         parts = [found.where(F.pmod(F.xxhash64("context"), F.lit(number)) == k) for k in range(number)]
-    tables = [spark.sparkContext.broadcast(Ratios(part.toArrow())) for part in parts]
+    tables = [Block(part) for part in parts]
     held, names = with_features(joined(marks.where(share)), "t", tables)
     rows = held.select("y", *names).toArrow()
     y, x = rows.column("y").to_numpy().astype(float), np.column_stack([rows.column(c).to_numpy() for c in names])

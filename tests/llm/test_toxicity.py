@@ -104,8 +104,27 @@ def test_a_table_in_blocks_scores_the_same(spark, monkeypatch):
     model = fit(docs, labels)
     assert len(model.tables) > 1
     two, _ = score(docs, model)
-    a, b = ({(r.doc_id, r.text): r[name] for r in f.collect()} for f in (one, two))
-    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-6) for k in a)
+    monkeypatch.setattr(X, "HELD", 2)
+    three, _ = score(docs, model)
+    assert sum(b.sent is not None for b in model.tables) <= 2
+    a, b, c = ({(r.doc_id, r.text): r[name] for r in f.collect()} for f in (one, two, three))
+    assert a.keys() == b.keys() == c.keys() and all(pytest.approx(a[k], abs=1e-6) == b[k] and pytest.approx(a[k], abs=1e-6) == c[k] for k in a)
+
+
+def test_features_are_those_of_the_definition():
+    words = np.array([2.0, -3.0, 5.0, 0.5, *[1.5] * 60, -1.0])
+    rows = np.array([0, 4, 4, 64, 65])
+    got = X.features(words, rows)
+    for k, (a, b) in enumerate(zip(rows[:-1], rows[1:])):
+        own = words[a:b].tolist()
+        want = [0.0, *[log(X.FLOOR)] * 3]
+        if own:
+            size = min(X.WINDOW, len(own))
+            above = [max(r - 1, 0) for r in own]
+            peak = max(sum(above[s : s + size]) / size for s in range(len(own) - size + 1))
+            far = sum(max(r - float(np.median(own)) - 3, 0) for r in own) / len(own)
+            want = [sum(own) / len(own), *[log(x + X.FLOOR) for x in (sum(above) / len(own), far, peak)]]
+        assert got[k].tolist() == pytest.approx(want, abs=1e-9)
 
 
 def test_without_labels_or_rows(spark):
