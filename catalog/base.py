@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner import FieldSpec, IndexSpec, SearchIndex
+from gleaner.streaming.ingest import read_changes
 
 #: Tasks that the documents are spread over before their texts are analyzed; None leaves Spark's own split.
 PARTITIONS: int | None = None
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def table_changes(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of files (a pattern matches both)."""
+    return read_changes(spark, f"{sf}/{name}.parque[t]", table(spark, sf, name).schema)
+
+
 DOCUMENTS = IndexSpec(
     "documents", "doc_id",
     (

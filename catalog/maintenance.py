@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalog.base import ORDERS, TEXT, documents, orders, parts, query, table
+from catalog.base import ORDERS, TEXT, documents, orders, parts, query, table, table_changes
 from gleaner import Condition, FieldSpec, IndexSpec, IndexStore, build_documents, search, where_all
 from gleaner.sources.index import (
     coerce_documents, delete_ids, delete_index, delete_where, distinct_terms, documents_from_text, field_statistics,
@@ -13,7 +13,7 @@ from gleaner.sources.index import (
     remaining_items, spell_dictionary, spell_texts, split_unknown, top_terms, with_external_rank, with_site_url,
 )
 from gleaner.sources.tables import work_dir
-from gleaner.streaming.ingest import read_changes, upsert_stream
+from gleaner.streaming.ingest import upsert_stream
 
 EVENTS = IndexSpec("events", "user_id", (FieldSpec("kind", source="event_type"), FieldSpec("value", "decimal")))
 
@@ -201,11 +201,9 @@ def compact(spark, sf):
 
 
 def _streamed(spark, sf) -> IndexStore:
-    schema = table(spark, sf, "events").schema
     store = IndexStore(spark, work_dir(spark, "stream"), EVENTS)
-    stream = read_changes(spark, sf, schema, pathGlobFilter="events.parquet")
     upsert_stream(
-        stream, store, lambda batch: build_documents(changes(batch), EVENTS), f"{store.path}/checkpoint",
+        table_changes(spark, sf, "events"), store, lambda batch: build_documents(changes(batch), EVENTS), f"{store.path}/checkpoint",
         available_now=True, with_postings=False,
     ).awaitTermination()
     return store

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import NORMED, POS, SQL, TOK, documents, ids, query, table
+from catalog.base import NORMED, POS, SQL, TOK, documents, ids, query, table, table_changes
 from catalog.features import SIMILAR
 from gleaner.operators.suggest import spell_suggest
 from gleaner import Condition as C
@@ -223,14 +223,13 @@ def store_weighted_tokens(spark, sf):
 SELECT CAST(doc_id AS VARCHAR) AS item_id FROM m""")
 def store_bulk_then_stream(spark, sf):
     """Even documents loaded in bulk, then all of them from a stream."""
-    from gleaner.streaming.ingest import read_changes, upsert_stream
+    from gleaner.streaming.ingest import upsert_stream
 
     store = IndexStore(spark, work_dir(spark, "store"), STORED)
     docs = documents(spark, sf, STORED).docs.withColumns({"version": F.lit(1).cast("bigint"), "op": F.lit("U")})
     store.append(docs.where(F.col("item_id").cast("long") % 2 == 0), unique=True)
-    changes = read_changes(spark, sf, table(spark, sf, "documents").schema, pathGlobFilter="documents.parquet")
     upsert_stream(
-        changes, store,
+        table_changes(spark, sf, "documents"), store,
         lambda rows: build_documents(rows.withColumns({"version": F.lit(2).cast("bigint"), "op": F.lit("U")}), STORED),
         f"{store.path}/checkpoint", available_now=True,
     ).awaitTermination()

@@ -339,3 +339,19 @@ def test_similar_by_key(spark):
     index = SearchIndex.build(spark.createDataFrame(data, "id int, t string, s string"), IndexSpec("small", "id", fields), site="s")
     request = SearchRequest(similar=Similar("1", ("t",), site="a"), all_sites=True)
     assert [(r.item_id, r.site) for r in search(index, request).hits.collect()] == [("a--2", "a")]
+
+
+@pytest.mark.parametrize("files", [0, 3])
+def test_a_table_streams_from_a_file_and_from_a_folder_of_files(spark, tmp_path, files):
+    from catalog.base import table_changes
+
+    (tmp_path / "table").mkdir()
+    if files:
+        spark.range(0, 20, 1, files).write.parquet(str(tmp_path / "table" / "things.parquet"))
+    else:
+        spark.range(20).toPandas().to_parquet(tmp_path / "table" / "things.parquet")
+    seen = []
+    table_changes(spark, str(tmp_path / "table"), "things").writeStream.foreachBatch(
+        lambda batch, _: seen.extend(r.id for r in batch.collect())
+    ).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(seen) == list(range(20))
