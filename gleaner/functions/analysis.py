@@ -57,7 +57,7 @@ def fold_chars(text: Column, mapping: dict[str, str]) -> Column:
 
 
 def whitespace_tokens(text: Column) -> Column:
-    return F.filter(F.split(text, SPACES), lambda t: t != "")
+    return F.array_remove(F.split(text, SPACES), "")
 
 
 def word_tokens(text: Column) -> Column:

@@ -19,6 +19,7 @@ from gleaner.functions.analysis import analyzer, group_terms
 from gleaner.functions.coerce import coerce_values, first_value
 from gleaner.functions.columns import compute_once, is_array, largest, let, sort_key, total
 from gleaner.operators.keys import phrase_frequency
+from gleaner.sources.inversion import is_direct
 from gleaner.sources.statistics import StoredCounts
 from gleaner.spec import FieldSpec, IndexSpec
 
@@ -287,28 +288,29 @@ def with_words(
     """Add ``array<string>`` columns with the terms of any fields, repeats included unless ``distinct``.
 
     Values of other fields are one term each.  Documents read from a store carry
-    their term vectors, which then replace the analysis.
+    term vectors of the fields that are costly to analyze, which then replace the analysis.
     """
-    if distinct and "terms" in docs.columns:
-        def stored(n: str) -> Column:
-            own = F.filter("terms", lambda t: t["field"] == n)
-            return F.transform(own, lambda t: t["term"])
+    held = [n for n in names if distinct and "terms" in docs.columns and spec[n].is_text and not is_direct(spec[n])]
+    stemmed = [
+        n for n in names
+        if spec[n].is_text and n not in held and spec[n].type != "tokens" and spec[n].chain.stemmer
+    ]
+    if stemmed:
+        docs = _with_tokens(docs, spec, stemmed)
 
-        text = {prefix + n: stored(n) for n in names if spec[n].is_text}
-    else:
-        stemmed = [n for n in names if spec[n].is_text and spec[n].type != "tokens" and spec[n].chain.stemmer]
-        if stemmed:
-            docs = _with_tokens(docs, spec, stemmed)
-
-        def analyzed(n: str) -> Column:
-            f = spec[n]
-            if f.type != "tokens" and f.chain.is_plain and not f.multi:
-                return f.chain.kept_words(F.coalesce(F.col(n), F.lit("")))
-            return F.transform(F.col(f"_tok_{n}") if n in stemmed else _raw_tokens(f), lambda x: x["term"])
-
-        text = {prefix + n: analyzed(n) for n in names if spec[n].is_text}
-        if distinct:
-            text = {c: F.array_distinct(words) for c, words in text.items()}
+    def stored(n: str) -> Column:
+        own = F.filter("terms", lambda t: t["field"] == n)
+        return F.transform(own, lambda t: t["term"])
+
+    def analyzed(n: str) -> Column:
+        f = spec[n]
+        if is_direct(f):
+            words = f.chain.kept_words(F.coalesce(F.col(n), F.lit("")))
+        else:
+            words = F.transform(F.col(f"_tok_{n}") if n in stemmed else _raw_tokens(f), lambda x: x["term"])
+        return F.array_distinct(words) if distinct else words
+
+    text = {prefix + n: stored(n) if n in held else analyzed(n) for n in names if spec[n].is_text}
     plain = {prefix + n: value_array(docs, n).cast("array<string>") for n in names if not spec[n].is_text}
     return compute_once(docs, {**text, **plain}).drop(*[f"_tok_{n}" for n in names])
 

@@ -355,3 +355,29 @@ def test_a_table_streams_from_a_file_and_from_a_folder_of_files(spark, tmp_path,
         lambda batch, _: seen.extend(r.id for r in batch.collect())
     ).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(seen) == list(range(20))
+
+
+@pytest.mark.parametrize("chain", ["text_ws", "text_word", "text"])
+def test_stored_postings_are_those_of_the_texts(spark, tmp_path, chain):
+    """Fields read off the text and fields with term vectors, short words, gaps, blanks, capitals, missing texts."""
+    kind = IndexSpec("small", "id", (FieldSpec("t", chain, norms=True), FieldSpec("u", "text_ws", norms=False), FieldSpec("n", "integer")))
+    data = [(1, " Foo  bar\tfoo ÄÖ a I\u0307 bar\n", "x x"), (2, "", None), (3, None, "b a"), (4, "a b a-b foo's", " "), (5, "zz " * 300, "a")]
+    docs_ = versioned(build_documents(spark.createDataFrame([(*r, 1) for r in data], "id int, t string, u string, n int"), kind))
+    store = IndexStore(spark, str(tmp_path / "a"), kind)
+    store.append(docs_.repartition(2))
+    columns = ["doc_key", "field", "term", "tf", "positions", "len", "weight"]
+    want = rows(SearchIndex(kind, docs_).postings().select(columns))
+    assert rows(store.index().postings().select(columns)) == want
+    length = {(k, f): n for k, f, _, _, _, n, _ in want}
+    assert {(r.doc_key, f): r[f"len__{f}"] for r in store.log().collect() for f in ("t", "u") if r[f"len__{f}"]} == length
+    store.compact()
+    assert rows(store.index().postings().select(columns)) == want
+
+
+def test_writing_plain_texts_shuffles_no_postings(spark, tmp_path):
+    """A batch is inverted where its documents are: no exchange and no sort of postings."""
+    from gleaner.sources.inversion import block_postings
+
+    rows_ = docs(spark, [(1, 1, "x y", 1)]).select("site", "doc_key", "t")
+    text = block_postings(rows_, SMALL, ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Sort" not in text
