@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from gleaner.functions.columns import any_of
 
 
-def term_counts(postings: DataFrame) -> DataFrame:
-    """(index_id, site, field, term, df, tf) of the postings of one part."""
-    return postings.groupBy("index_id", "site", "field", "term").agg(F.count("*").alias("df"), F.sum("tf").cast("long").alias("tf"))
+def term_counts(blocks: DataFrame) -> DataFrame:
+    """(index_id, site, field, term, df, tf) of the blocks of one part: their counts are added up, no posting is read."""
+    return blocks.groupBy("index_id", "site", "field", "term").agg(F.sum("df").alias("df"), F.sum("total").alias("tf"))
 
 
 def summary(docs: DataFrame, text_fields: list[str]) -> DataFrame:

@@ -381,3 +381,20 @@ def test_writing_plain_texts_shuffles_no_postings(spark, tmp_path):
     rows_ = docs(spark, [(1, 1, "x y", 1)]).select("site", "doc_key", "t")
     text = block_postings(rows_, SMALL, ["t"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Sort" not in text
+
+
+def test_a_block_has_a_row_for_each_term(spark, tmp_path):
+    """Postings of a term in a batch are one row for each site, with their counts; counting terms reads no posting."""
+    from gleaner.sources.inversion import block_postings, unblocked
+    from gleaner.sources.statistics import term_counts
+
+    made = spark.createDataFrame(
+        [("s1", "a", "x y x"), ("s1", "b", " x "), ("s2", "c", "x"), (None, "d", "y"), ("s1", "e", None)], "site string, doc_key string, t string")
+    blocks = block_postings(made.coalesce(1), SMALL, ["t"])
+    assert sorted((str(r.site), r.term, r.df, r.total) for r in blocks.collect()) == [
+        ("None", "y", 1, 1), ("s1", "x", 2, 3), ("s1", "y", 1, 1), ("s2", "x", 1, 1)]
+    assert sorted((r.doc_key, r.term, r.tf, r.positions) for r in unblocked(blocks).collect()) == [
+        ("a", "x", 2, [0, 2]), ("a", "y", 1, [1]), ("b", "x", 1, [0]), ("c", "x", 1, [0]), ("d", "y", 1, [0])]
+    blocks.selectExpr("'small' AS index_id", "*").write.parquet(str(tmp_path / "blocks"))
+    plan = term_counts(spark.read.parquet(str(tmp_path / "blocks")))._jdf.queryExecution().executedPlan().toString()
+    assert "postings" not in next(line for line in plan.splitlines() if "ReadSchema" in line)
