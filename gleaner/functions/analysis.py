@@ -10,14 +10,16 @@ is how removed stop words leave a gap.
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleaner.functions.columns import let, string_array
-from gleaner.functions.stemming import stem_terms, stem_word
+from gleaner.functions.columns import any_of, let, string_array
+from gleaner.functions.stemming import ROOTS, stem_terms, stem_word
 
 # Patterns, gaps and limits of the shipped chains.
 SPACES = r"\s+"
@@ -28,6 +30,8 @@ CASE_PARTS = r"\p{Lu}*[^\p{Lu}\P{L}]+|\p{Lu}+|\p{L}+|\p{N}+"
 LONE_WORD = r"^[^\p{L}\p{N}]*(\p{L}+|\p{N}+)[^\p{L}\p{N}]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 POSSESSIVE = r"'[sS]($|[^\p{L}\p{N}])"
+#: What may stand inside a token between the letters of a term that is put together from the token's parts.
+BETWEEN = r"(?:'s|[^\p{L}\p{N}\s])*"
 VALUE_GAP = 100
 PROTECTED_WORDS = ("&amp;", "&lt;", "&gt;", "&#039;", "&quot;")
 
@@ -170,6 +174,36 @@ class Analyzer:
             words = F.filter(words, lambda w: kept(w))
         return words
 
+    def _roots(self, term: str) -> tuple[str, ...] | None:
+        """Strings of which each lower-cased text with the term holds one; None if that isn't known."""
+        if self.char_map or not self.lowercase or self.tokenizer not in ("whitespace", "word"):
+            return None
+        if self.delimiter and self.delimiter.split_case:
+            return None
+        if self.stemmer is None:
+            return (term,)
+        roots = ROOTS.get(self.stemmer)
+        return (*roots(term), *((term,) if term in self.protected else ())) if roots else None
+
+    def _spread(self, terms: list[str]) -> str | None:
+        """A pattern that is found in each lower-cased token with one of the terms."""
+        each = [self._roots(t) for t in terms]
+        if any(roots is None for roots in each):
+            return None
+        between = BETWEEN if self.delimiter and self.delimiter.catenate else ""
+        return "|".join(between.join(re.sub(r"[^\w\s]", r"\\\g<0>", c) for c in root) for roots in each for root in roots)
+
+    def may_hold(self, text: Column, term: str) -> Column:
+        """A cheap test that every text with the term passes."""
+        roots = self._roots(term)
+        if roots is None:
+            return F.lit(True)
+        text = F.lower(text)
+        held = any_of(F.contains(text, F.lit(root)) for root in roots)
+        if self.delimiter and self.delimiter.catenate:
+            held = held | text.rlike(self._spread([term]))
+        return held
+
     # -- columns ---------------------------------------------------------
     def words(self, text: Column) -> Column:
         """Tokenize one string; case is folded early unless a step needs it."""
@@ -196,8 +230,8 @@ class Analyzer:
             return None
         return ~F.lower(term).isin(*[w.lower() for w in self.stopwords])
 
-    def slots(self, text: Column) -> Column:
-        """Slots before stemming: ``array<array<string>>``."""
+    def slots(self, text: Column, keep: Callable[[Column], Column] | None = None) -> Column:
+        """Slots before stemming: ``array<array<string>>``, of the words to ``keep``."""
 
         def one(word: Column) -> Column:
             slots = self.delimiter.slots(word, self.protected) if self.delimiter else F.array(F.array(word))
@@ -206,7 +240,8 @@ class Analyzer:
                 slots = F.when(not_stop, slots).otherwise(F.array(string_array([])))
             return slots
 
-        slots = F.flatten(F.transform(self.words(text), one))
+        words = self.words(text)
+        slots = F.flatten(F.transform(F.filter(words, keep) if keep else words, one))
         if self.delimiter and self.delimiter.split_case and self.lowercase:
             slots = F.transform(slots, lambda s: F.transform(s, lambda t: F.lower(t)))
         kept = self._kept
@@ -251,6 +286,15 @@ class Analyzer:
             F.transform(pairs, lambda x: F.struct(x["term"].alias("term"), x["pos"].alias("pos")))
         )
 
+    def tokens_like(self, text: Column, terms: list[str]) -> Column | None:
+        """Those of a text's tokens that come from words that may hold one of the terms, with positions among
+        themselves; None if that isn't known of the chain."""
+        pattern = self._spread(terms) if self.delimiter else None
+        if pattern is None:
+            return None
+        slots = self.slots(text, lambda w: w.rlike(pattern))
+        return F.flatten(F.transform(slots, lambda s, i: F.transform(s, lambda t: F.struct(t.alias("term"), i.alias("pos")))))
+
     # -- query side ------------------------------------------------------
     def query_slots(self, spark, texts: list[str]) -> list[list[list[str]]]:
         """Analyze short query strings: per text its non-empty slots, in order.

@@ -113,12 +113,11 @@ class SearchResult:
         f = self.spec[field]
         if field not in self._lookups:
             return F.lit(False)
-        if f.type == "tokens" or f.multi or not f.chain.is_plain:
+        if f.type == "tokens" or f.multi:
             return F.lit(True)
         lookup = self._lookups[field]
-        text = F.lower(F.col(field))
         return all_of(
-            any_of(F.contains(text, F.lit(lookup.terms[i])) for i in slot)
+            any_of(f.chain.may_hold(F.col(field), lookup.terms[i]) for i in slot)
             for slot in lookup.phrases[phrase] if slot
         )
 
@@ -263,7 +262,11 @@ class SearchResult:
             flags = [self._may_hold_key(p) for p in dict.fromkeys(m.phrase for m in measures)]
             docs = docs.where(any_of(f for f in flags if f is not None))
         need_match = self.request.scoring != "bm25"
-        return self._with_scores(rows, n, collection_stats(self._looked_up(docs, need_match), measures))
+        if need_match and self.index.stored_postings is None:
+            counted = replace(self.index, docs=docs).with_hits(self._lookups)
+        else:
+            counted = self._looked_up(docs, need_match)
+        return self._with_scores(rows, n, collection_stats(counted, measures))
 
     def _with_scores(self, rows: DataFrame, n: Column, stats: Column) -> DataFrame:
         rows = compute_once(rows, {"_n": n, "_stats": stats})

@@ -275,8 +275,10 @@ def with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str
     return _with_tokens(docs, spec, names, prefix)
 
 
-def _with_tokens(docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_tok_") -> DataFrame:
-    raw = {prefix + n: _raw_tokens(spec[n]) for n in names}
+def _with_tokens(
+    docs: DataFrame, spec: IndexSpec, names: list[str], prefix: str = "_tok_", given: dict[str, Column] | None = None,
+) -> DataFrame:
+    raw = {prefix + n: given[n] if given and n in given else _raw_tokens(spec[n]) for n in names}
     stemmed = {prefix + n: spec[n].chain for n in names if spec[n].type != "tokens" and spec[n].chain.stemmer}
     docs = docs.withColumns(raw)
     return docs.withColumns({c: chain.stemmed(F.col(c)) for c, chain in stemmed.items()}) if stemmed else docs
@@ -478,18 +480,20 @@ class SearchIndex:
             out = out.unionByName(p)
         return out
 
-    def with_frequencies(self, lookups: dict[str, Lookup], need_match: bool = False) -> DataFrame:
+    def with_frequencies(
+        self, lookups: dict[str, Lookup], need_match: bool = False, tokens: dict[str, Column] | None = None,
+    ) -> DataFrame:
         """Documents plus ``_len_<field>`` and one ``_tf_<field>_<i>`` per phrase.
 
         ``need_match`` says that documents without any of the terms cannot match,
-        so stored postings may be joined from the inside.
+        so stored postings may be joined from the inside.  ``tokens`` replace those of stemmed fields.
         """
         if not lookups:
             return self.docs
         if self.stored_postings is not None:
             return self._frequencies_from_postings(lookups, need_match)
         stemmed = [n for n in lookups if self.spec[n].is_text and self.spec[n].chain.stemmer]
-        rows = _with_tokens(self.docs, self.spec, stemmed) if stemmed else self.docs
+        rows = _with_tokens(self.docs, self.spec, stemmed, given=tokens or {}) if stemmed else self.docs
         found = compute_once(rows, {
             f"_x_{n}": _row_frequencies(self.spec[n], lookup, F.col(f"_tok_{n}") if n in stemmed else None)
             for n, lookup in lookups.items()
@@ -502,6 +506,18 @@ class SearchIndex:
             ],
         )
 
+    def with_hits(self, lookups: dict[str, Lookup]) -> DataFrame:
+        """``with_frequencies`` for those who ask only whether a frequency is above 0: of fields that are looked up for
+        single words, the words that can't be one of them aren't analyzed, and no length is right."""
+        few = {}
+        for n, lookup in lookups.items():
+            f = self.spec[n]
+            if f.type != "tokens" and not f.multi and f.chain.stemmer and all(len(slots) <= 1 for slots in lookup.phrases.values()):
+                tokens = f.chain.tokens_like(F.col(n), lookup.terms)
+                if tokens is not None:
+                    few[n] = F.coalesce(tokens, F.array().cast("array<struct<term:string,pos:int>>"))
+        return self.with_frequencies(lookups, True, few)
+
     def _frequencies_from_postings(self, lookups: dict[str, Lookup], need_match: bool) -> DataFrame:
         wanted = F.lit(False)
         for n, lookup in lookups.items():

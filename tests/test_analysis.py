@@ -158,3 +158,58 @@ def test_documents_without_a_language_take_the_default_chain(spark, tmp_path):
         f"{tmp_path}/documents.parquet")
     found = {(r.chain, r.term): r.df for r in queries()["analyze_by_lang"](spark, str(tmp_path)).where("field = 'text'").collect()}
     assert found == {("text_de", "haus"): 1, ("text", "run"): 2}
+
+
+TRICKY = (
+    "this", "th-is.", "THIS!", "this's", "th's-is x", "thís", "(th.i.s)", "t his", "'this", "thistle", "this-that", "abilities", "able",
+    "abl", "ably", "hopping", "hope", "Hopes,", "wi-fi", "wi fi", "dying", "dies", "skies", "sky", "ski", "relational", "relate", "r2d2", "22-33", "2233",
+)
+
+
+@pytest.mark.parametrize("name", ["text", "text_words", "text_unstemmed", "text_de", "text_word"])
+def test_a_text_with_a_term_may_hold_it(spark, name):
+    """The cheap test of a chain holds for every text that has the term; the tokens left for counting keep the term."""
+    from gleaner.functions.analysis import analyzer
+    from gleaner.sources.index import SearchIndex, build_documents
+
+    chain = analyzer(name)
+    spec = IndexSpec("t", "id", (FieldSpec("t", name),))
+    docs = build_documents(spark.createDataFrame(list(enumerate(TRICKY)), "id int, t string"), spec)
+    index = SearchIndex(spec, docs)
+    terms = sorted({r.term for r in index.postings().collect()})
+    has = {(r.doc_key, r.term) for r in index.postings().collect()}
+    flags = docs.select("doc_key", F.array(*[F.when(chain.may_hold(F.col("t"), t), F.lit(t)) for t in terms]).alias("f")).collect()
+    may = {(r.doc_key, t) for r in flags for t in r.f if t is not None}
+    assert has <= may
+    if chain.stemmer == "english":
+        assert not {(k, t) for k, t in may if t == "this"} - {(f"local-t-{i}", "this") for i in range(11)}
+        from gleaner.sources.index import Lookup
+
+        wanted = ["this", "abl", "hop", "wifi", "sky", "ski", "die"]
+        found = index.with_hits({"t": Lookup(wanted, {w: [[i]] for i, w in enumerate(wanted)})})
+        hits = {(r.doc_key, w) for r in found.collect() for i, w in enumerate(wanted) if r[f"_tf_t_{i}"] > 0}
+        assert hits == {(k, t) for k, t in has if t in wanted}
+
+
+def test_a_word_holds_a_root_of_its_stem():
+    """All endings of the steps, two in a row, behind heads of all kinds."""
+    import itertools
+
+    from gleaner.functions.stemming import _IRREGULAR, _STEP2, _STEP3, _STEP4, english_root, stem_english
+
+    ends = ["", *_STEP2, *_STEP3, *_STEP4, "eed", "eedly", "ed", "edly", "ing", "ingly", "s", "es", "ies", "ied", "'s", "'", "y", "ly", "e", "bly", "ility"]
+    heads = ["", "a", "b", "hab", "fea", "poss", "prob", "gener", "arsen", "cry", "say", "abl", "at", "iz", "hopp", "fall", "no", "'"]
+    for word in [*_IRREGULAR, *(h + a + b for h, a, b in itertools.product(heads, ends, ends))]:
+        assert any(root in word for root in english_root(stem_english(word))), word
+
+
+def test_stemmed_documents_without_the_words_are_not_analyzed(spark):
+    """Counts and hits of stemmed keywords analyze only documents that may hold them."""
+    from gleaner import search
+    from gleaner.sources.index import SearchIndex
+
+    rows = spark.createDataFrame([(1, "from this"), (2, "other words"), (3, "th-is and from")], "id int, t string")
+    hits = search(SearchIndex.build(rows, IndexSpec("t", "id", (FieldSpec("t", "text"),))), keys="from this").hits
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and plan.count("from") >= 2 and plan.count("Contains(") >= 2, plan
+    assert {r.item_id for r in hits.collect()} == {"1", "3"}
