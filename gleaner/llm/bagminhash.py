@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm._frame import settle, table, unused
+from gleaner.llm._frame import release, settle, table, unused
 from gleaner.llm._text import U64, blocks, mix, window_hashes, word_hashes
 from gleaner.llm.graph import components
 
@@ -230,7 +230,10 @@ def near_duplicates(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS,
     similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
-    """(key, class): the smallest key that each document reaches by links. One row for each key of `docs`."""
+    """(key, class): the smallest key that each document reaches by links. One row for each key of `docs`.
+
+    Between the steps the shuffle files of settled ones go, so disk holds one step's files and not those of all.
+    """
     texts = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("t"))
     signed = settle(sign(texts.where("id is not null"), bands, rows, words))
     copies = signed.where(F.size("keys") > 0).groupBy("copy").agg(F.min("id").alias("rep"))
@@ -243,17 +246,22 @@ def near_duplicates(
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     contents = settle(bags(texts.join(ids, "id", "left_semi"), words).distinct())
+    release(docs.sparkSession)
     ranked = shared.join(degrees, "id")
     pivots = settle(ranked.groupBy("key").agg(F.max_by("id", F.struct("degree", "id")).alias("pivot")))
     to_pivot = shared.select("key", "id").join(pivots, "key").where("id <> pivot").select(*pair("id", "pivot")).distinct()
     measured = similar(settle(to_pivot), contents, similarity)
     links = settle(member.select(F.col("id").alias("a"), F.col("rep").alias("b")).union(measured.select("a", "b")))
+    release(docs.sparkSession)
     parts = settle(components(links)).withColumnsRenamed({"node": "id", "component": "part"})
     joined = shared.select("key", "id").join(parts, "id")
     mixed = joined.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+    release(docs.sparkSession)
     open_ = settle(joined.join(mixed, "key", "left_semi").select("id", "part").distinct())
     candidates = settle(prefix_pairs(contents.join(open_, "id"), similarity))
+    release(docs.sparkSession)
     links = settle(links.union(similar(candidates, contents, similarity).select("a", "b")))
+    release(docs.sparkSession)
     parts = settle(components(links))
     found = texts.select("id").join(parts, F.col("id") == F.col("node"), "left")
     return found.select(F.col("id").alias(key), F.coalesce("component", "id").alias("class"))

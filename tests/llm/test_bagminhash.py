@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.llm import bagminhash
+from gleaner.llm._frame import release
 from gleaner.llm.bagminhash import deduplicate, near_duplicates, signatures
 from gleaner.llm.graph import components
 
@@ -81,6 +83,18 @@ def test_one_row_of_each_class_stays(spark):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_shuffles_of_earlier_steps_are_gone(spark, monkeypatch):
+    """The links are joined to components before the last candidates are sought; none of those shuffles is kept by then."""
+    shuffles = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    rows, seen, sought = corpus(), [], bagminhash.prefix_pairs
+    monkeypatch.setattr(bagminhash, "prefix_pairs", lambda *a: seen.append(shuffles()) or sought(*a))
+    frame = spark.createDataFrame([(d, t) for d, t in rows], "doc_id long, text string")
+    release(spark)
+    before = shuffles()
+    assert {r[0]: r[1] for r in near_duplicates(frame).collect()} == classes(rows)
+    assert len(seen) == 1 and seen[0] <= before + 10
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
