@@ -19,6 +19,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 #: A row of a block: the postings of a term in the documents of one site, with their number and words.
 BLOCK = "site string, field string, term string, df long, total long, postings array<struct<doc_key:string,tf:int,positions:array<int>,len:int,weight:double>>"
 
+#: Bytes that end a word of a text that is cut at blanks.
+BLANK = np.zeros(256, dtype=bool)
+BLANK[list(b" \t\n\r\x0b\x0c")] = True
+
 
 def is_direct(f: FieldSpec) -> bool:
     """Fields whose terms are words of the text as they stand: cheaper to read off the text again than to store."""
@@ -41,6 +45,23 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return sizes, words
 
 
+def _cut_sizes(texts: pa.Array) -> np.ndarray:
+    """Words in each text without nulls, split at ASCII blanks: the bytes that begin a word are counted and no word is made."""
+    if not len(texts):
+        return np.zeros(0, dtype=np.int64)
+    texts = texts.cast(pa.large_binary())
+    edges = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8)[edges[0] : edges[-1]] if data is not None and data.size else np.zeros(0, dtype=np.uint8)
+    edges = edges - edges[0]
+    inside = ~BLANK[raw]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = edges[:-1][edges[:-1] < len(raw)]
+    begins[first] = inside[first]
+    return np.diff(np.searchsorted(np.flatnonzero(begins), edges))
+
+
 def _fitting(words: pa.Array, low: int, high: int) -> np.ndarray:
     length = pc.utf8_length(words).to_numpy(zero_copy_only=False)
     return (length >= low) & (length <= (high or 2**31 - 1))
@@ -52,16 +73,19 @@ def word_count(f: FieldSpec) -> Column:
     if not _is_cut_at_blanks(f):
         return F.size(chain.kept_words(F.coalesce(f.name, F.lit(""))))
     low, high = chain.min_length, chain.max_length
+    text = F.coalesce(f.name, F.lit(""))
 
     @F.arrow_udf("int")
     def count(texts: pa.Array) -> pa.Array:
+        return pa.array(_cut_sizes(texts), pa.int32())
+
+    @F.arrow_udf("int")
+    def count_fitting(texts: pa.Array) -> pa.Array:
         sizes, words = _words(texts)
-        if low or high:
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            sizes = np.bincount(doc[_fitting(words, low, high)], minlength=len(sizes))
-        return pa.array(sizes, pa.int32())
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        return pa.array(np.bincount(doc[_fitting(words, low, high)], minlength=len(sizes)), pa.int32())
 
-    return count(F.lower(F.coalesce(f.name, F.lit(""))))
+    return count_fitting(F.lower(text)) if low or high else count(text)  # small letters have the same blanks
 
 
 def block_postings(docs: DataFrame, spec: IndexSpec, names: list[str]) -> DataFrame:
@@ -149,6 +173,11 @@ def single_rows(postings: DataFrame) -> DataFrame:
         "site", "field", "term", F.lit(1).cast("long").alias("df"), F.col("tf").cast("long").alias("total"), F.array(one).alias("postings"))
 
 
+def term_counts(blocks: DataFrame) -> DataFrame:
+    """``(index_id, part, site, field, term, df, tf)``, a row for each row of a block: the narrow columns, no posting is read."""
+    return blocks.select("index_id", "part", "site", "field", "term", "df", F.col("total").alias("tf"))
+
+
 def unblocked(rows: DataFrame) -> DataFrame:
     """Rows of blocks -> one row for each posting; filters on the term reach the blocks."""
     rest = [c for c in rows.columns if c not in ("df", "total", "postings")]

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from gleaner.functions.columns import any_of
 
 
-def term_counts(blocks: DataFrame) -> DataFrame:
-    """(index_id, site, field, term, df, tf) of the blocks of one part: their counts are added up, no posting is read."""
-    return blocks.groupBy("index_id", "site", "field", "term").agg(F.sum("df").alias("df"), F.sum("total").alias("tf"))
-
-
 def summary(docs: DataFrame, text_fields: list[str]) -> DataFrame:
     """(index_id, site, field, docs, total) of one part: under the empty field its documents and deletes, under
     each text field the documents with a value and the sum of their lengths."""
@@ -32,7 +27,7 @@ def summary(docs: DataFrame, text_fields: list[str]) -> DataFrame:
 class StoredCounts:
     """Collection numbers of a stored index without a look at its documents.
 
-    ``terms`` and ``lengths`` are sums over all rows of all parts; ``dead`` holds the rows among them that were
+    ``terms`` (a row for each block that holds a term) and ``lengths`` add up to all rows of all parts; ``dead`` holds the rows among them that were
     rewritten or deleted since, whose share is taken off again.  None means that there are none.
     """
 

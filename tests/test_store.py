@@ -398,3 +398,27 @@ def test_a_block_has_a_row_for_each_term(spark, tmp_path):
     blocks.selectExpr("'small' AS index_id", "*").write.parquet(str(tmp_path / "blocks"))
     plan = term_counts(spark.read.parquet(str(tmp_path / "blocks")))._jdf.queryExecution().executedPlan().toString()
     assert "postings" not in next(line for line in plan.splitlines() if "ReadSchema" in line)
+
+
+def test_a_write_makes_no_table_of_terms(spark, tmp_path):
+    """A term's counts stand in each of its blocks and are added up when read, so a write has nothing to shuffle for them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        store = IndexStore(spark, str(tmp_path / "s"), IndexSpec("i", "id", (FieldSpec("text", "text_ws", norms=True),)))
+        texts = [(k, "same again " + " ".join(f"w{j}" for j in range(k % 3))) for k in range(9)]
+        store.append(versioned(build_documents(spark.createDataFrame(texts, "id long, text string"), store.spec)), unique=True, partitions=2)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["docs", "layout", "postings", "summary"]
+    assert rows(store.index().document_frequency().select("term", "df")) == [("again", 9), ("same", 9), ("w0", 6), ("w1", 3)]
+
+
+def test_words_are_counted_without_being_made():
+    import pyarrow as pa
+
+    from gleaner.sources import inversion
+
+    texts = pa.array(["skipped", "", " ", "a", " a\tb \n", "x\x1cy\u00a0z é\x0bü\x0c", "", "last one"]).slice(1)
+    assert inversion._cut_sizes(texts).tolist() == [0, 0, 1, 2, 3, 0, 2]
+    assert inversion._cut_sizes(texts).tolist() == inversion._words(texts)[0].tolist()
+    assert inversion._cut_sizes(texts.slice(0, 0)).tolist() == []
