@@ -61,6 +61,11 @@ def store_facet_terms(spark, sf):
     return search(written(spark, sf).index(), facets=(Facet("text", limit=50, prefix="co"),)).facets
 
 
+def five_digits(score):
+    """Rounded as a double, like the SQL: a sixth digit of 5 goes by the number's binary value, not by its decimal one."""
+    return F.floor(score * 1e5 + 0.5) / 1e5
+
+
 @query("multi_store_search", r"""
 WITH t AS (
   SELECT CAST(doc_id AS VARCHAR) AS item_id, 'documents' AS index_id, unnest(string_split_regex(lower(text), '\s+')) AS term FROM documents
@@ -80,7 +85,7 @@ def multi_store_search(spark, sf):
     store.append(build_documents(table(spark, sf, "part"), parts_spec), unique=True)
     both = combined([written(spark, sf).index(), store.index()])
     hits = search(both, keys=some("blue", "the"), retrieve_all=True).hits
-    return hits.select("index_id", "item_id", F.round("score", 5).alias("score"))
+    return hits.select("index_id", "item_id", five_digits(F.col("score")).alias("score"))
 
 
 def updated(spark, sf) -> IndexStore:

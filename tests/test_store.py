@@ -422,3 +422,11 @@ def test_words_are_counted_without_being_made():
     assert inversion._cut_sizes(texts).tolist() == [0, 0, 1, 2, 3, 0, 2]
     assert inversion._cut_sizes(texts).tolist() == inversion._words(texts)[0].tolist()
     assert inversion._cut_sizes(texts.slice(0, 0)).tolist() == []
+
+
+def test_five_digits_like_the_sql(spark):
+    from catalog.stores import five_digits
+
+    values = spark.createDataFrame([(1.120645,), (1.120655,), (2.0,)], "score double")
+    assert [r[0] for r in values.select(five_digits(F.col("score"))).collect()] == [round(int(v * 1e5 + 0.5) / 1e5, 5) for v in (1.120645, 1.120655, 2.0)]
+    assert values.select(five_digits(F.col("score"))).first()[0] == 1.12064
