@@ -6,7 +6,8 @@ code point from U+0080 on. In UTF-8 that is a test on single bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,34 @@ def powers(base: int, count: int) -> np.ndarray:
     return have[:count]
 
 
+#: What a worker remembers from task to task, by operator.
+memories: dict[str, object] = {}
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for a worker that lives on: it begins without the memories of operators other than `keep`, and what is
+    free at its end goes back to the system. Spark keeps workers, and an idle one's memory counts like a busy one's."""
+
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name in memories.keys() - {keep}:
+            del memories[name]
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return lean_run
+
+
+def give_back() -> None:
+    """Freed memory of Arrow and of the C library goes to the system; without glibc, Arrow's only."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)

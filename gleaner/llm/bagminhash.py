@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm._frame import release, settle, table, unused
-from gleaner.llm._text import U64, blocks, mix, window_hashes, word_hashes
+from gleaner.llm._text import U64, blocks, lean, mix, window_hashes, word_hashes
 from gleaner.llm.graph import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -131,7 +131,7 @@ def sign(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("copy"), lists], names=["id", "copy", "keys"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.withColumn("copy", F.unhex(F.md5("t"))).mapInArrow(run, f"id {kind}, copy binary, keys array<long>")
+    return docs.withColumn("copy", F.unhex(F.md5("t"))).mapInArrow(lean(run), f"id {kind}, copy binary, keys array<long>")
 
 
 def bags(docs: DataFrame, words: int) -> DataFrame:
@@ -149,7 +149,7 @@ def bags(docs: DataFrame, words: int) -> DataFrame:
             packed = [values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "bag"])
 
-    return docs.select("id", "t").mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, bag binary")
+    return docs.select("id", "t").mapInArrow(lean(run), f"id {docs.schema['id'].dataType.simpleString()}, bag binary")
 
 
 def similar(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
@@ -170,7 +170,7 @@ def similar(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFra
     small = pairs.count() <= BROADCAST_ROWS
     joined = contents.withColumnRenamed("id", "a").join(F.broadcast(pairs) if small else pairs, "a")
     joined = joined.join(contents.select(F.col("id").alias("b"), F.col("bag").alias("bag_b")), "b")
-    return joined.select("a", "b", "bag", "bag_b").mapInArrow(run, f"a {kind}, b {kind}, similarity double")
+    return joined.select("a", "b", "bag", "bag_b").mapInArrow(lean(run), f"a {kind}, b {kind}, similarity double")
 
 
 def prefix_pairs(members: DataFrame, similarity: float) -> DataFrame:
@@ -196,7 +196,7 @@ def prefix_pairs(members: DataFrame, similarity: float) -> DataFrame:
                 )
 
     kind = members.schema["id"].dataType.simpleString()
-    rows = members.select("id", "part", "bag").mapInArrow(listed, f"id {kind}, part {kind}, size int, shingle long")
+    rows = members.select("id", "part", "bag").mapInArrow(lean(listed), f"id {kind}, part {kind}, size int, shingle long")
     shared = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
     ordered = rows.join(shared.select("shingle", "n"), "shingle").groupBy("id", "part", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("order"))
     s, step = similarity, 1.02

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.llm._frame import unused
-from gleaner.llm._text import blocks, window_hashes, word_hashes
+from gleaner.llm._text import blocks, lean, window_hashes, word_hashes
 
 #: Test text that goes to all tasks at once. A larger benchmark is searched in several such blocks.
 BLOCK_BYTES = 32 << 20
@@ -260,7 +260,7 @@ def find_matches(
 
         schema = T.StructType([*docs.schema.fields, T.StructField(n_words, T.LongType()), T.StructField(matches, T.ArrayType(MATCH))])
         names = schema.names
-        out = out.mapInArrow(search, schema)
+        out = out.mapInArrow(lean(search), schema)
     return out, n_words, matches
 
 

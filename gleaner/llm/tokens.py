@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from gleaner.llm._frame import fresh_folder, table
-from gleaner.llm._text import LOWER, blocks, utf8
+from gleaner.llm._text import LOWER, blocks, lean, memories, utf8
 from gleaner.llm.simple8b import pack, unpack
 
 #: Strings whose ids a worker remembers; then it starts anew.
@@ -110,12 +110,14 @@ class Encoder:
                 self.chunks[chunk] = np.array(found.ids, dtype="<u4").tobytes()
         if len(self.pieces) > REMEMBERED:
             self.pieces = {}
-        known = self.pieces
+        wanted = {p for _, word, signs in split for p in (word, signs)}
+        known = {p: self.pieces[p] for p in wanted if p in self.pieces}
         known[""] = b""
-        new = list({p for _, word, signs in split for p in (word, signs) if p not in known})
+        new = [p for p in wanted if p not in known]
         for start in range(0, len(new), 1000):
             known.update(zip(new[start : start + 1000], self.ids(new[start : start + 1000]), strict=True))
         self.chunks.update([(chunk, known[word] + known[signs]) for chunk, word, signs in split])
+        self.pieces.update([(p, known[p]) for _, word, signs in split if word and signs for p in (word, signs)])  # others are chunks
 
     def encode(self, raw: np.ndarray, edges: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, each text with the end id, and the number of ids of each text.
@@ -148,13 +150,12 @@ class Encoder:
         return ids, np.diff(total[upto + np.arange(len(edges))])
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(name: str) -> Encoder:
-    if name not in _encoders:
-        _encoders[name] = Encoder(name)
-    return _encoders[name]
+    """The worker's encoder, which stays until a task of another operator begins."""
+    known = memories.setdefault("tokens", {})
+    if name not in known:
+        known[name] = Encoder(name)
+    return known[name]
 
 
 def write_tokens(
@@ -170,7 +171,7 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
         part, number, before = TaskContext.get().partitionId(), 0, 0
-        for batch in blocks(batches, "t", 2 << 20):
+        for batch in blocks(batches, "t"):
             raw, edges = utf8(batch.column("t"))
             ids, sizes = tool.encode(raw, edges, end_id)
             lengths = sizes.tolist()
@@ -186,7 +187,7 @@ def write_tokens(
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(text, F.lit("")).alias("t"))
     order = (F.col("k").asc_nulls_first(), F.xxhash64("t"))
     spread = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
-    spread.sortWithinPartitions(*order).mapInArrow(run, ROW_DDL).write.option("compression", "zstd").parquet(folder)
+    spread.sortWithinPartitions(*order).mapInArrow(lean(run, "tokens"), ROW_DDL).write.option("compression", "zstd").parquet(folder)
 
 
 def segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -212,7 +213,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                     pa.array(at[:-1] + row["before"]), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values)),
                 ], schema=schema)
 
-    found = segments(spark, folder).mapInArrow(ids, "part int, key long, before long, ids array<long>")
+    found = segments(spark, folder).mapInArrow(lean(ids, "tokens"), "part int, key long, before long, ids array<long>")
     return with_starts(spark, folder, found).select("key", "start", "ids")
 
 
@@ -238,7 +239,7 @@ def token_digests(spark: SparkSession, folder: str) -> DataFrame:
                     pa.array(row["lengths"], pa.int64()), pa.array(sums, pa.int64()),
                 ], schema=IDS)
 
-    found = segments(spark, folder).mapInArrow(digests, "part int, key long, before long, n_tokens long, ids_crc32 long")
+    found = segments(spark, folder).mapInArrow(lean(digests, "tokens"), "part int, key long, before long, n_tokens long, ids_crc32 long")
     return with_starts(spark, folder, found).select("key", "start", "n_tokens", "ids_crc32")
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.llm._frame import settle, stored, table, unused
-from gleaner.llm._text import LOWER, U64, blocks, span_hashes, utf8, word_spans
+from gleaner.llm._text import LOWER, U64, blocks, lean, span_hashes, utf8, word_spans
 
 ORDER, DISCOUNT, BLANK = 6, 0.75, 32
 #: What the class models take off a count of 1, of 2, and of more: one text alone proves nothing.
@@ -89,7 +89,7 @@ def count_sequences(texts: DataFrame) -> DataFrame:
             sums = [np.bincount(where, weights=c, minlength=len(grams)).astype(np.int64) for c in counts]
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), *map(pa.array, sums)], names=["gram", "toxic", "ordinary"])
 
-    found = texts.select("t", "y").mapInArrow(run, "gram long, toxic long, ordinary long")
+    found = texts.select("t", "y").mapInArrow(lean(run), "gram long, toxic long, ordinary long")
     return found.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -239,7 +239,7 @@ def with_features(docs: DataFrame, text: str, tables: list[Block]) -> tuple[Data
                     columns.append(pa.array([total[a:b].tobytes() for a, b in zip(rows[:-1], rows[1:], strict=True)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(lean(run), schema)
     return out, names
 
 

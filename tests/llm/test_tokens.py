@@ -1,6 +1,7 @@
 """Round trips of the format, and ids against the tokenizer itself."""
 
 import functools
+import weakref
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gleaner.llm.simple8b import BLOCK, COUNTS, ESCAPE, pack, unpack, unpack_block
-from gleaner.llm.tokens import encoder, read_tokens, token_digests, write_tokens
+from gleaner.llm.tokens import Encoder, encoder, read_tokens, token_digests, write_tokens
 
 VALUES = st.one_of(st.integers(0, 2**64 - 1), st.integers(0, 3), st.sampled_from([0, 1, 2**60 - 1, 2**60, 49407]))
 
@@ -88,3 +89,38 @@ def test_ids_and_starts(spark, tmp_path, parts):
 def test_empty_table(spark, tmp_path):
     write_tokens(spark.createDataFrame([], "doc_id long, text string"), f"file://{tmp_path}/none")
     assert token_digests(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_a_task_of_another_operator_forgets_the_encoder():
+    """Spark keeps workers from stage to stage: words remembered for tokens aren't held while other operators run."""
+    from gleaner.llm._text import lean
+
+    known = weakref.ref(encoder("word_bpe_49k.json"))
+    assert list(lean(iter, "tokens")(iter("ab"))) == ["a", "b"] and known() is encoder("word_bpe_49k.json")
+    assert list(lean(iter)(iter("ab"))) == ["a", "b"] and known() is None
+
+
+def test_a_task_gives_freed_memory_back():
+    from gleaner.llm._text import lean
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    def run(batches):
+        for batch in batches:
+            rows = [bytes(2000) for _ in range(100_000)]
+            survivors.append([rows[-1], rows[-2], bytes(2000)])  # above what is freed, so that it can't shrink by itself
+            yield batch
+
+    survivors, start = [], resident()
+    assert list(lean(run)(iter("a"))) == ["a"]
+    assert resident() - start < 60 << 20
+
+
+def test_words_are_remembered_once():
+    tool = Encoder("word_bpe_49k.json")
+    text = b"plain words, \xc3\xa9t\xc3\xa9 \xc3\xa9t\xc3\xa9, end."
+    ids, sizes = tool.encode(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]), 1)
+    assert ids.tolist() == [*tokenizer().encode(text.decode(), add_special_tokens=False).ids, 1] and sizes.tolist() == [len(ids)]
+    assert {b"plain", b"words", b"end"} <= set(tool.chunks) and not {"plain", "words", "end"} & set(tool.pieces)
